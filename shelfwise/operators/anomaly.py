@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfwise import constants as K
 from shelfwise.functions.text import ratio, reason_in
 from shelfwise.operators.joins import lookup_join
+from shelfwise.sources.storage import cut_lineage
 
 MEASURES = ("units_sold_total", "returns_total", "ux_returns", "defect_returns",
             "logistics_returns", "other_returns")
@@ -113,7 +114,8 @@ def anomaly_report(orders: DataFrame, items: DataFrame, products: DataFrame, ret
     ``volume_baseline="per_product_mean"`` compares daily returns with the category's mean per
     product instead of its total (which includes the product, so that no spike can exceed it).
     """
-    per_product = product_returns(orders, items, returns, start, end)
+    # Used for the rows, the categories and the portfolio: the large joins run once.
+    per_product = cut_lineage(product_returns(orders, items, returns, start, end))
     labelled = _with_product(per_product, products)
     categories = labelled.groupBy("category_id").agg(*_baseline("cat", window_days(start, end)))
     portfolio = portfolio_baseline(per_product, start, end)

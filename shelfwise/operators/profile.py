@@ -144,8 +144,12 @@ def profile_table(df: DataFrame, table: str, top_n: int = 5) -> DataFrame:
 
 # ---- schema exploration over many tables ----
 
-def explore_schema(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, column_name, data_type, is_timestamp, proposed_name) from schemas alone."""
+def explore_schema(spark: SparkSession, tables: Mapping[str, DataFrame],
+                   counts: bool = False) -> DataFrame:
+    """(table_name, column_name, data_type, is_timestamp, proposed_name) from schemas alone.
+
+    With ``counts`` each table is scanned once for its row_count and each column's null_count.
+    """
     rows = []
     for table, df in tables.items():
         for f in df.schema.fields:
@@ -153,9 +157,14 @@ def explore_schema(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Data
             renamed = (f"{table}_id" if f.name == "id" and f"{table}_id" not in df.columns
                        else None)
             rows.append((table, f.name, kind, "timestamp" in kind, renamed))
-    return spark.createDataFrame(
+    explored = spark.createDataFrame(
         rows, "table_name string, column_name string, data_type string, is_timestamp boolean, "
               "proposed_name string")
+    if not counts:
+        return explored
+    filling = reduce(DataFrame.unionByName, [
+        null_counts(df).withColumn("table_name", F.lit(n)) for n, df in tables.items()])
+    return explored.join(filling, ["table_name", "column_name"])
 
 
 def lowercase_names(names: DataFrame, column: str = "table_name") -> DataFrame:

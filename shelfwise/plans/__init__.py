@@ -1,6 +1,6 @@
 """The registered queries over the given tables."""
 
-from shelfwise.plans import anomalies  # noqa: F401
+from shelfwise.plans import anomalies, cleaning, profiling, validation  # noqa: F401
 from shelfwise.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
