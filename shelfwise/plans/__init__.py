@@ -1,6 +1,7 @@
 """The registered queries over the given tables."""
 
-from shelfwise.plans import anomalies, cleaning, profiling, validation  # noqa: F401
+from shelfwise.plans import (  # noqa: F401
+    anomalies, cleaning, enrichment, feeds, profiling, recommending, validation)
 from shelfwise.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
