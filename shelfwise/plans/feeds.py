@@ -74,8 +74,16 @@ def _map_text(specs):
 _FLAGGED = f"SELECT {_ID} AS product_id, {_ERRORS} AS errors FROM part"
 
 
-@query("feed_errors", f"""SELECT product_id, CAST(pos - 1 AS INTEGER) AS pos, errors[pos] AS error
-    FROM (SELECT *, unnest(range(1, len(errors) + 1)) AS pos FROM ({_FLAGGED}))""")
+ERRORS_SQL = f"""SELECT product_id, CAST(pos - 1 AS INTEGER) AS pos, errors[pos] AS error
+    FROM (SELECT *, unnest(range(1, len(errors) + 1)) AS pos FROM ({_FLAGGED}))"""
+
+
+_NO_CATEGORY = f"CASE WHEN {_K} % 23 = 0 THEN 'Missing required field: category' END,"
+CSV_ERRORS_SQL = ERRORS_SQL.replace(
+    f"CASE WHEN {_K} % 11 = 0 THEN 'Field", f"{_NO_CATEGORY} CASE WHEN {_K} % 11 = 0 THEN 'Field")
+
+
+@query("feed_errors", ERRORS_SQL)
 def feed_errors(t: Tables) -> DataFrame:
     return O.error_table(O.validate_feed(t.feed(), RULES))
 

@@ -59,7 +59,10 @@ def profile_types(t: Tables) -> DataFrame:
     return P.column_types(cart).join(P.null_counts(cart), "column_name")
 
 
-@query("profile_nulls", with_tables("cart_item", _nulls("d_cart_item", CART)))
+NULLS_SQL = with_tables("cart_item", _nulls("d_cart_item", CART))
+
+
+@query("profile_nulls", NULLS_SQL)
 def profile_nulls(t: Tables) -> DataFrame:
     return P.null_counts(t.cart_item())
 

@@ -71,9 +71,12 @@ def check_rejects_strict(t: Tables) -> DataFrame:
     return V.rejects(t.product_records(), V.products_suite(), strict=True)
 
 
-@query("suite_products", with_tables("product_records", f"""
+PRODUCT_REJECTS_SQL = with_tables("product_records", f"""
     SELECT id, sku, {', '.join(_PRODUCTS)}
-    FROM ({_rejected('d_product_records', _PRODUCTS)})"""))
+    FROM ({_rejected('d_product_records', _PRODUCTS)})""")
+
+
+@query("suite_products", PRODUCT_REJECTS_SQL)
 def suite_products(t: Tables) -> DataFrame:
     return V.rejects(t.product_records(), V.products_suite()).select("id", "sku", *_PRODUCTS)
 

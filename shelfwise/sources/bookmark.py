@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from datetime import datetime
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from shelfwise import constants as K
 from shelfwise.operators.clean import keep_valid_cart_rows, newer_than
+from shelfwise.sources.storage import path_exists
 
 SCHEMA = "last_processed_ts timestamp_ntz"
 
 
 def read_bookmark(spark: SparkSession, path: str):
     """The last processed timestamp, or the default when none was written."""
-    try:
-        rows = spark.read.schema(SCHEMA).parquet(path).agg(
-            F.max("last_processed_ts")).collect()
-        stamp = rows[0][0]
-    except AnalysisException:
-        stamp = None
-    if stamp is not None:
-        return stamp
-    return spark.sql(f"SELECT TIMESTAMP_NTZ '{K.DEFAULT_BOOKMARK}'").first()[0]
+    if not path_exists(spark, path):
+        return datetime.fromisoformat(K.DEFAULT_BOOKMARK)
+    newest = spark.read.schema(SCHEMA).parquet(path).agg(F.max("last_processed_ts"))
+    return newest.first()[0] or datetime.fromisoformat(K.DEFAULT_BOOKMARK)
 
 
 def write_bookmark(spark: SparkSession, path: str, stamp) -> None:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise import constants as K
 from shelfwise import schemas
+from shelfwise.sources.storage import path_exists
 
 
 def jdbc_options(url: str, table: str | None = None, query: str | None = None,
@@ -108,6 +109,8 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
 
     A missing or unreadable file gives the default catalog.
     """
+    if not path_exists(spark, path):
+        return default_catalog(spark)
     element = "array<struct<" + schemas.CATALOG.replace(", ", ",").replace(" ", ":") + ">>"
     try:
         document = spark.read.text(path, wholetext=True).select(
@@ -116,7 +119,7 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
             "entry.*", F.col("pos").cast("bigint").alias("pos"))
         catalog.agg(F.max("id")).collect()  # one row: raises now if the text is no catalog
         return catalog
-    except (AnalysisException, PySparkException):
+    except PySparkException:
         return default_catalog(spark)
 
 

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfwise.sources.storage import path_exists
+
 
 def next_version(spark: SparkSession, path: str) -> int:
     """One more than the highest version written, starting at 1."""
-    try:
-        stored = spark.read.parquet(path).agg(F.max("version")).first()[0]
-    except AnalysisException:
+    if not path_exists(spark, path):
         return 1
-    return (stored or 0) + 1
+    return (spark.read.parquet(path).agg(F.max("version")).first()[0] or 0) + 1
 
 
 def save_report(report: DataFrame, path: str) -> int:

@@ -12,8 +12,13 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+# JSON texts keep microseconds; Spark's default keeps milliseconds.
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**JSON_OPTIONS).json(path)
 
 
 def counted_write(df: DataFrame, path: str, fmt: str = "parquet",
@@ -25,7 +30,8 @@ def counted_write(df: DataFrame, path: str, fmt: str = "parquet",
     if nulls:
         measures += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{i}")
                      for i, c in enumerate(df.columns) if c not in set(partition_by)]
-    writer = df.observe(seen, *measures).write.mode("overwrite").options(**options)
+    writer = df.observe(seen, *measures).write.mode("overwrite").options(
+        **{**(JSON_OPTIONS if fmt == "json" else {}), **options})
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.format(fmt).save(path)

@@ -28,6 +28,11 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/shelfwise/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a derived table to the shared folder and go on from there.
 

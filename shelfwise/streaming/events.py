@@ -111,6 +111,24 @@ def purchase_messages(events: DataFrame) -> DataFrame:
         F.coalesce(F.col("product.price"), F.lit(0.0)).alias("price"))
 
 
+def metrics_messages(metrics: DataFrame) -> DataFrame:
+    """Metrics rows as messages; runtime fields stay NULL unless the rows carry them."""
+    fields = ("precision double, recall double, f1 double, total_recommendations bigint, "
+              "relevant_recommendations bigint, total_relevant_products bigint, "
+              "runtime_seconds double, events_processed bigint, events_per_second double, "
+              "active_user_sessions bigint")
+    columns = []
+    for field in fields.split(", "):
+        name, kind = field.split()
+        value = F.col(name) if name in metrics.columns else F.lit(None)
+        columns.append(value.cast(kind).alias(name))
+    stamp = (epoch_seconds(F.col("ts")) if "ts" in metrics.columns
+             else F.lit(None).cast("double"))
+    keep = ["event_id"] if "event_id" in metrics.columns else []
+    return metrics.select(*keep, F.lit(K.METRICS_MESSAGE).alias("event_type"),
+                          stamp.alias("timestamp"), F.struct(*columns).alias("metrics"))
+
+
 def normalise_web_events(raw: DataFrame, catalog: DataFrame, profiles: DataFrame) -> DataFrame:
     """Web events (eventId, userId, eventType, productId, timestamp text) as engine events."""
     kinds = {"product_view": K.VIEW_EVENT, "purchase": K.PURCHASE_EVENT}

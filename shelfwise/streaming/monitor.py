@@ -43,7 +43,7 @@ def flatten_metrics(messages: DataFrame) -> DataFrame:
     zero = {"precision": 0.0, "recall": 0.0, "f1": 0.0, "events_processed": 0,
             "events_per_second": 0.0, "active_user_sessions": 0}
     return messages.filter(F.col("event_type") == K.METRICS_MESSAGE).select(
-        _clock(), *[F.coalesce(metrics[n], F.lit(z)).alias(n) for n, z in zero.items()])
+        "event_id", _clock(), *[F.coalesce(metrics[n], F.lit(z)).alias(n) for n, z in zero.items()])
 
 
 def flatten_events(events: DataFrame) -> DataFrame:

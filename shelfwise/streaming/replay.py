@@ -9,7 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +16,7 @@ from shelfwise import constants as K
 from shelfwise.operators import recommend as R
 from shelfwise.operators.joins import lookup_join, settled
 from shelfwise.operators.ordering import running_totals
+from shelfwise.sources.storage import path_exists
 from shelfwise.streaming import events as E
 
 
@@ -26,12 +26,9 @@ def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
 
 def read_batches(spark: SparkSession, folder: str, schema, before: int | None = None):
     """All written batches, or those before one; an empty frame when there are none."""
-    try:
-        df = spark.read.schema(schema).option("basePath", folder).parquet(f"{folder}/batch_id=*")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, folder):
         return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).parquet(folder)
     return df if before is None else df.filter(F.col("batch_id") < before)
 
 
@@ -160,7 +157,7 @@ def every_tenth(events: DataFrame, counters: DataFrame, every: int = 10) -> Data
     due = running.filter((F.col("event_type") == K.VIEW_EVENT) & (F.pmod(position, F.lit(every))
                                                                   == 0))
     return R.with_scores(due.withColumn("events_processed", position)).select(
-        "event_id", *METRIC_COLUMNS, "precision", "recall", "f1")
+        "event_id", "ts", *METRIC_COLUMNS, "precision", "recall", "f1")
 
 
 # ---- sessions ----
