@@ -46,12 +46,14 @@ def first_per_group(df: DataFrame, group: list[str], order: list, n: int) -> Dat
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
 
+def _entry(x: Column) -> Column:
+    return F.struct(*[x["product"][f].alias(f) for f in PRODUCT], x["tier"].alias("tier"))
+
+
 def _listed(df: DataFrame, group: list[str], name: str) -> DataFrame:
-    """Short groups as arrays ordered by (tier, pos)."""
-    return df.groupBy(*group).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("tier", "pos", "product"))),
-                    lambda x: F.struct(x["product"].alias("product"), x["tier"].alias("tier")))
-        .alias(name))
+    """Short groups as arrays of products with their tier, ordered by (tier, pos)."""
+    return df.groupBy(*group).agg(F.transform(F.array_sort(F.collect_list(
+        F.struct("tier", "pos", "product"))), _entry).alias(name))
 
 
 def category_rows(catalog: DataFrame, k: int) -> DataFrame:
@@ -72,8 +74,8 @@ def fill_list(catalog: DataFrame, k: int, fill_key: Column) -> DataFrame:
     first = (catalog.select(fill_key.alias("_key"), "pos", _product().alias("product"))
              .orderBy("_key", "pos").limit(k + 1))
     return first.agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("_key", "pos", "product"))),
-        lambda x: F.struct(x["product"].alias("product"), F.lit(FILL_TIER).alias("tier")))
+        F.array_sort(F.collect_list(F.struct("_key", "pos", "product",
+                                             F.lit(FILL_TIER).alias("tier")))), _entry)
         .alias("fill"))
 
 
@@ -177,31 +179,31 @@ def recommend(views: DataFrame, catalog: DataFrame, k: int = 3,
                          keys_from=views)
     joined = joined.withColumn("fill", fill.scalar())
 
-    empty = F.filter(F.col("fill"), lambda x: F.lit(False))
-    viewed = F.coalesce(F.col("product_id"), F.lit(None).cast("bigint"))
+    return _merged(joined, views.columns, ["preferred", "same_category", "fill"], k)
 
-    def others(name: str) -> Column:
-        return F.filter(F.coalesce(F.col(name), empty),
-                        lambda x: ~x["product"]["id"].eqNullSafe(viewed))
 
-    def unseen(name: str, seen: str) -> Column:
-        return F.filter(F.col(name), lambda x: ~F.exists(
-            F.col(seen), lambda y: y["product"]["id"] == x["product"]["id"]))
+def _merged(df: DataFrame, keep: list[str], lists: list[str], k: int) -> DataFrame:
+    """The first k products over several lists, without the viewed one and without repeats.
 
-    merged = (joined
-              .withColumns({"_a": others("preferred"), "_b": others("same_category"),
-                            "_c": others("fill")})
-              .withColumn("_ab", F.concat(F.col("_a"), unseen("_b", "_a")))
-              .withColumn("_abc", F.slice(F.concat(F.col("_ab"), unseen("_c", "_ab")), 1, k)))
-    return merged.select(*views.columns, F.transform("_abc", lambda x: F.struct(
-        *[x["product"][f].alias(f) for f in PRODUCT], x["tier"].alias("tier")))
-        .alias("recommendations"))
+    One fold that names each list once: nested filters would be copied wherever Catalyst inlines
+    them.
+    """
+    none = F.array().cast(df.schema["fill"].dataType)
+    chosen = F.aggregate(
+        F.concat(*[F.coalesce(F.col(n), none) for n in lists]), none,
+        lambda found, x: F.when(
+            (F.size(found) >= k) | x["id"].eqNullSafe(F.col("product_id"))
+            | F.exists(found, lambda y: y["id"] == x["id"]), found)
+        .otherwise(F.concat(found, F.array(x))))
+    return df.select(*keep, chosen.alias("recommendations"))
 
 
 def exploded(recommended: DataFrame) -> DataFrame:
     """One row per recommendation: (event_id, rank, id, tier, ...)."""
-    return recommended.select("event_id", F.posexplode("recommendations").alias("pos", "rec")) \
-        .select("event_id", (F.col("pos") + 1).alias("rank"), "rec.*")
+    return (recommended.select("event_id", F.posexplode_outer("recommendations")
+                               .alias("pos", "rec"))
+            .filter(F.col("pos").isNotNull())
+            .select("event_id", (F.col("pos") + 1).alias("rank"), "rec.*"))
 
 
 # ---- relevance and scoring ----
@@ -316,13 +318,4 @@ def category_recommend(views: DataFrame, catalog: DataFrame, k: int = 3,
     fill = fill_list(catalog, k, seeded_fill() if fill_key is None else fill_key)
     joined = lookup_join(views, category_lists(catalog, k), "category", "left", spread)
     joined = joined.withColumn("fill", fill.scalar())
-    empty = F.filter(F.col("fill"), lambda x: F.lit(False))
-    same = F.filter(F.coalesce(F.col("same_category"), empty),
-                    lambda x: ~x["product"]["id"].eqNullSafe(F.col("product_id")))
-    rest = F.filter(F.col("fill"), lambda x: ~x["product"]["id"].eqNullSafe(F.col("product_id"))
-                    & ~F.exists(F.col("_a"), lambda y: y["product"]["id"] == x["product"]["id"]))
-    merged = joined.withColumn("_a", same).withColumn(
-        "_all", F.slice(F.concat(F.col("_a"), rest), 1, k))
-    return merged.select(*views.columns, F.transform("_all", lambda x: F.struct(
-        *[x["product"][f].alias(f) for f in PRODUCT], x["tier"].alias("tier")))
-        .alias("recommendations"))
+    return _merged(joined, views.columns, ["same_category", "fill"], k)
