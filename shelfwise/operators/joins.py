@@ -79,7 +79,7 @@ def hot_keys(keys_frame: DataFrame, on: Sequence[str],
 
 def lookup_join(fact: DataFrame, keyed: DataFrame, on: str | Sequence[str], how: str = "left",
                 spread: Sequence[str] = (), keys_from: DataFrame | None = None,
-                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                rows_per_task: int | None = None) -> DataFrame:
     """Join ``fact`` to ``keyed`` on equal key columns (``how``: left or inner).
 
     ``spread`` names fact columns that differ between rows of one key; their hash is the salt.
@@ -88,7 +88,8 @@ def lookup_join(fact: DataFrame, keyed: DataFrame, on: str | Sequence[str], how:
     on = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(keyed):
         return fact.join(F.broadcast(keyed), on, how)
-    hot = hot_keys((fact if keys_from is None else keys_from).select(*on), on, rows_per_task)
+    hot = hot_keys((fact if keys_from is None else keys_from).select(*on), on,
+                   rows_per_task or ROWS_PER_TASK)
     if hot is None:
         return fact.join(keyed, on, how)
     return salted_join(fact, keyed, on, how, hot, spread or fact.columns)
@@ -98,12 +99,11 @@ def salted_join(fact: DataFrame, keyed: DataFrame, on: Sequence[str], how: str,
                 hot: DataFrame, spread: Sequence[str]) -> DataFrame:
     # `hot` has at most MAX_HOT_KEYS rows, so broadcasting it is bounded.
     small = F.broadcast(hot)
-    splits = F.coalesce(F.col("_splits"), F.lit(1))
+    splits = F.coalesce(F.col("_splits"), F.lit(1)).cast("bigint")
     left = (fact.join(small, _key_hash(on) == F.col("_hot"), "left")
             .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in spread]), splits))
             .drop("_hot", "_splits"))
     right = (keyed.join(small, _key_hash(on) == F.col("_hot"), "left")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), splits - 1)).cast("bigint"))
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), splits - 1)))
              .drop("_hot", "_splits"))
-    left = left.withColumn("_salt", F.col("_salt").cast("bigint"))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
