@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise import constants as K
@@ -119,7 +118,9 @@ def read_catalog(spark: SparkSession, path: str) -> DataFrame:
             "entry.*", F.col("pos").cast("bigint").alias("pos"))
         catalog.agg(F.max("id")).collect()  # one row: raises now if the text is no catalog
         return catalog
-    except PySparkException:
+    except Exception as error:  # the task failure reaches Python under several classes
+        if "MALFORMED_RECORD" not in str(error):
+            raise
         return default_catalog(spark)
 
 
