@@ -20,12 +20,14 @@ def key_family(key: Column) -> Column:
     return family
 
 
-def _per_unit(unit: Column, pick) -> Column:
-    out = F.lit(None)
-    for family, factors in K.UNIT_FACTORS.items():
-        for name, factor in factors.items():
-            out = F.when(unit == name, F.lit(pick(family, factor))).otherwise(out)
-    return out
+def _lookup(table: dict, key: Column) -> Column:
+    """The value of a small fixed table, or NULL."""
+    entries = [F.lit(part) for item in table.items() for part in item]
+    return F.try_element_at(F.create_map(*entries), key)
+
+
+FACTOR = {unit: f for units in K.UNIT_FACTORS.values() for unit, f in units.items()}
+FAMILY = {unit: family for family, units in K.UNIT_FACTORS.items() for unit in units}
 
 
 def standard_quantity(key: Column, value: Column, strict: bool = False) -> Column:
@@ -36,17 +38,13 @@ def standard_quantity(key: Column, value: Column, strict: bool = False) -> Colum
     """
     number = F.regexp_extract(value, _QUANTITY, 1).try_cast("double")
     unit = F.regexp_extract(value, _QUANTITY, 2)
-    factor = _per_unit(unit, lambda family, f: f)
     family = key_family(key)
     if strict:
-        family = F.when(_per_unit(unit, lambda f, _: f) == family, family)
-    label = F.lit(None)
-    for name, text in K.UNIT_LABELS.items():
-        label = F.when(family == name, F.lit(text)).otherwise(label)
-    # bround: ties go to the even digit, as in 0.125 -> 0.12.
-    amount = F.bround(number * factor, 2)
-    converted = F.concat(F.format_string("%.2f", amount), F.lit(" "), label)
-    return F.when(amount.isNotNull() & label.isNotNull(), converted).otherwise(value)
+        family = F.when(_lookup(FAMILY, unit) == family, family)
+    # bround: ties go to the even digit, as in 0.125 -> 0.12. NULL anywhere leaves the value.
+    amount = F.bround(number * _lookup(FACTOR, unit), 2).try_cast("decimal(38,2)")
+    converted = F.concat(amount.cast("string"), F.lit(" "), _lookup(K.UNIT_LABELS, family))
+    return F.coalesce(converted, value)
 
 
 def standard_specifications(specs: Column, strict: bool = False) -> Column:

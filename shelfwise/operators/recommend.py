@@ -92,16 +92,20 @@ def feature_matches(catalog: DataFrame, features: DataFrame) -> DataFrame:
     distinct lower-case features.
     """
     text = F.lower(F.coalesce("description", F.lit("")))
+    # At most four sizes: 0 (the empty feature, found in every text) to 3.
+    sizes = sorted(r[0] for r in features.select(
+        F.least(F.length("feature"), F.lit(GRAM))).distinct().collect())
 
     def pieces(value: Column, size: int) -> Column:
+        if size == 0:
+            return F.array(F.lit(""))
         return F.when(F.length(value) >= size, F.transform(
             F.sequence(F.lit(1), F.length(value) - size + 1),
             lambda i: F.substring(value, i, F.lit(size)))).otherwise(
             F.array().cast(TEXT_ARRAY))
 
-    # The empty piece finds every product, as the empty feature does.
     all_pieces = F.array_distinct(F.concat(
-        F.array(F.lit("")), *[pieces(text, n) for n in range(1, GRAM + 1)]))
+        F.array().cast(TEXT_ARRAY), *[pieces(text, n) for n in sizes]))
     catalog_pieces = catalog.select("id", F.explode(all_pieces).alias("piece"))
     own = F.when(F.length("feature") >= GRAM, pieces(F.col("feature"), GRAM)).otherwise(
         F.array("feature"))

@@ -54,10 +54,9 @@ def io_reject_sink(t: Tables) -> DataFrame:
 def io_split_sinks(t: Tables) -> DataFrame:
     """Valid and invalid rows in two places, counted as stored."""
     path = new_path(t.spark, "tasks")
-    sinks.write_split(O.with_task_issues(t.tasks()), "Issues", f"{path}/valid", f"{path}/invalid")
-    valid = t.spark.read.parquet(f"{path}/valid").select(F.lit(True).alias("valid"))
-    invalid = t.spark.read.parquet(f"{path}/invalid").select(F.lit(False).alias("valid"))
-    return valid.unionByName(invalid).groupBy("valid").agg(F.count("*").alias("rows"))
+    sinks.write_split(O.with_task_issues(t.tasks()), "Issues", path)
+    return t.spark.read.parquet(path).groupBy(F.col("is_valid").alias("valid")).agg(
+        F.count("*").alias("rows"))
 
 
 @query("io_report_sink", NULLS_SQL)

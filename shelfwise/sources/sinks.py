@@ -69,12 +69,16 @@ def save_feed(df: DataFrame, path: str, fmt: str = "csv") -> None:
         raise ValueError(f"unsupported output format: {fmt}")
 
 
-def write_split(flagged: DataFrame, issues: str, valid_path: str, invalid_path: str,
-                fmt: str = "parquet") -> dict:
-    """Valid rows to one place, rows with issues to another; returns both row counts."""
-    valid = counted_write(flagged.filter(F.col(issues) == "").drop(issues), valid_path, fmt)
-    invalid = counted_write(flagged.filter(F.col(issues) != ""), invalid_path, fmt)
-    return {"valid": valid["rows"], "invalid": invalid["rows"]}
+def write_split(flagged: DataFrame, issues: str, path: str, fmt: str = "parquet") -> dict:
+    """Valid rows below ``is_valid=true``, rows with issues below ``is_valid=false``; one scan.
+
+    A side without rows leaves no folder. Returns both row counts.
+    """
+    seen, valid = Observation(), F.col(issues) == ""
+    split = flagged.withColumn("is_valid", valid).observe(
+        seen, F.count_if("is_valid").alias("valid"), F.count_if(~F.col("is_valid")).alias("invalid"))
+    split.write.mode("overwrite").partitionBy("is_valid").format(fmt).save(path)
+    return seen.get
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -70,17 +70,24 @@ class Recommender:
     def _session_users(self, events: DataFrame, batch_id: int) -> DataFrame:
         """Users whose first view with a profile lies in this batch."""
         here = E.views(events).filter("has_user_profile").select("user_id").distinct()
-        known = read_batches(here.sparkSession, f"{self.out}/session_users",
-                             "user_id bigint, batch_id int", batch_id)
-        return here.join(known.select("user_id"), "user_id", "left_anti")
+        return self._unknown(here, "session_users", "user_id bigint, batch_id int", batch_id)
+
+    def _unknown(self, users: DataFrame, table: str, schema: str, batch_id: int) -> DataFrame:
+        """Users that no earlier batch wrote to a table of users.
+
+        The table is only scanned for the batch's few users, which Spark can broadcast; it is
+        as large as the number of users, whatever the number of events.
+        """
+        known = read_batches(users.sparkSession, f"{self.out}/{table}", schema, batch_id)
+        again = known.select("user_id").join(users.select("user_id"), "user_id", "left_semi")
+        return users.join(again, "user_id", "left_anti")
 
     def _counted_users(self, counters: DataFrame, batch_id: int) -> DataFrame:
         """(user_id, total): users whose relevant products first count in this batch."""
-        known = read_batches(counters.sparkSession, f"{self.out}/counted_users",
+        here = R.user_counters(counters).filter(F.col("total_relevant_products") > 0).select(
+            "user_id", F.col("total_relevant_products").alias("total"))
+        return self._unknown(here, "counted_users",
                              "user_id bigint, total bigint, batch_id int", batch_id)
-        here = R.user_counters(counters).filter(F.col("total_relevant_products") > 0)
-        return here.select("user_id", F.col("total_relevant_products").alias("total")).join(
-            known.select("user_id"), "user_id", "left_anti")
 
     def _batch(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame:
         return spark.read.parquet(f"{self.out}/{table}/batch_id={batch_id}")
