@@ -120,7 +120,8 @@ def anomaly_report(orders: DataFrame, items: DataFrame, products: DataFrame, ret
     categories = labelled.groupBy("category_id").agg(*_baseline("cat", window_days(start, end)))
     portfolio = portfolio_baseline(per_product, start, end)
     # The portfolio is one row: a scalar subquery, not a join.
-    scored = labelled.join(categories, "category_id", "left").withColumn(
+    scored = lookup_join(labelled, categories, "category_id", "left", spread=["product_id"])
+    scored = scored.withColumn(
         "portfolio", portfolio.select(F.struct("*")).scalar()).select("*", "portfolio.*")
     return score(scored, start, end, thresholds, volume_baseline)
 

@@ -2,15 +2,16 @@
 
 A keyed table is broadcast only when Catalyst's size estimate fits the session's broadcast
 budget. Otherwise both sides are shuffled on the key, and keys too frequent for one task are
-split over several: the large side's rows get a salt derived from their own columns, and the
-few matching rows of the keyed side are repeated once per salt. Every row is joined either way.
+split over several: the frequent side's rows get a salt, and the matching rows of the other side
+are repeated once per salt. Every row is joined either way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.sources.storage import cut_lineage
 
@@ -79,31 +80,77 @@ def hot_keys(keys_frame: DataFrame, on: Sequence[str],
 
 def lookup_join(fact: DataFrame, keyed: DataFrame, on: str | Sequence[str], how: str = "left",
                 spread: Sequence[str] = (), keys_from: DataFrame | None = None,
-                rows_per_task: int | None = None) -> DataFrame:
+                rows_per_task: int | None = None, unique: bool = True) -> DataFrame:
     """Join ``fact`` to ``keyed`` on equal key columns (``how``: left or inner).
 
-    ``spread`` names fact columns that differ between rows of one key; their hash is the salt.
-    ``keys_from`` may give a cheaper frame with the same key distribution for the sketch.
+    ``spread`` names fact columns that differ between rows of one key (default: all); their hash
+    is the salt. ``keys_from`` may give a cheaper frame with the same frequent keys for the
+    sketch. With ``unique=False`` a key may have any number of rows in ``keyed`` too.
     """
     on = [on] if isinstance(on, str) else list(on)
+    limit = rows_per_task or ROWS_PER_TASK
     if fits_broadcast(keyed):
         return fact.join(F.broadcast(keyed), on, how)
-    hot = hot_keys((fact if keys_from is None else keys_from).select(*on), on,
-                   rows_per_task or ROWS_PER_TASK)
-    if hot is None:
-        return fact.join(keyed, on, how)
-    return salted_join(fact, keyed, on, how, hot, spread or fact.columns)
+    columns = [*fact.columns, *[c for c in keyed.columns if c not in on]]
+    parts = []
+    if not unique:
+        hot = hot_keys(keyed.select(*on), on, limit)
+        if hot is not None:
+            large = frequent_keys(keyed, on, hot)
+            parts.append(_keyed_side_salted(fact, keyed, on, large).select(*columns))
+            fact = fact.join(F.broadcast(large.drop("_splits")), on, "left_anti")
+            keyed = keyed.join(F.broadcast(large.drop("_splits")), on, "left_anti")
+    hot = hot_keys((fact if keys_from is None else keys_from).select(*on), on, limit)
+    rest = (fact.join(keyed, on, how) if hot is None
+            else salted_join(fact, keyed, on, how, hot, spread or fact.columns))
+    return reduce(DataFrame.unionByName, [rest.select(*columns), *parts])
+
+
+def _salt(spread: Sequence[str]) -> Column:
+    """A salt per row that a repeated task computes again.
+
+    The partition number is part of it, so that exact copies of a row spread as well.
+    """
+    splits = F.coalesce(F.col("_splits"), F.lit(1))
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in spread]),
+                  splits.cast("bigint"))
+
+
+def _all_salts() -> Column:
+    splits = F.coalesce(F.col("_splits"), F.lit(1)).cast("bigint")
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), splits - 1))
 
 
 def salted_join(fact: DataFrame, keyed: DataFrame, on: Sequence[str], how: str,
                 hot: DataFrame, spread: Sequence[str]) -> DataFrame:
+    """Fact rows of hot keys are split; the matching rows of ``keyed`` go to every split."""
     # `hot` has at most MAX_HOT_KEYS rows, so broadcasting it is bounded.
     small = F.broadcast(hot)
-    splits = F.coalesce(F.col("_splits"), F.lit(1)).cast("bigint")
     left = (fact.join(small, _key_hash(on) == F.col("_hot"), "left")
-            .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in spread]), splits))
-            .drop("_hot", "_splits"))
+            .withColumn("_salt", _salt(spread)).drop("_hot", "_splits"))
     right = (keyed.join(small, _key_hash(on) == F.col("_hot"), "left")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), splits - 1)))
-             .drop("_hot", "_splits"))
+             .withColumn("_salt", _all_salts()).drop("_hot", "_splits"))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
+def frequent_keys(keyed: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
+    """The key values behind the hot hashes with their splits: at most one row per hot key.
+
+    NULL keys are left out, since they match nothing.
+    """
+    rows = (keyed.select(*on).na.drop().join(F.broadcast(hot), _key_hash(on) == F.col("_hot"))
+            .select(*on, "_splits").distinct().collect())
+    schema = keyed.select(*on).withColumn("_splits", F.lit(1)).schema
+    return keyed.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+
+
+def _keyed_side_salted(fact: DataFrame, keyed: DataFrame, on: Sequence[str],
+                       large: DataFrame) -> DataFrame:
+    """Join on keys frequent in ``keyed``: its rows are split, fact rows go to every split.
+
+    Each of these keys has matches, so the inner join is the left join.
+    """
+    small = F.broadcast(large)
+    left = fact.join(small, on).withColumn("_salt", _all_salts()).drop("_splits")
+    right = keyed.join(small, on).withColumn("_salt", _salt(keyed.columns)).drop("_splits")
+    return left.join(right, [*on, "_salt"], "inner").drop("_salt")

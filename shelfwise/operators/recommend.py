@@ -111,17 +111,19 @@ def feature_matches(catalog: DataFrame, features: DataFrame) -> DataFrame:
         F.array("feature"))
     feature_pieces = features.select("feature", F.explode(F.array_distinct(own)).alias("piece"))
 
-    frequency = catalog_pieces.join(
-        feature_pieces.select("piece").distinct(), "piece", "left_semi").groupBy("piece").agg(
-        F.count("*").alias("n"))
+    wanted = settled(feature_pieces.select("piece").distinct())
+    frequency = lookup_join(catalog_pieces, wanted, "piece", "inner", spread=["id"]).groupBy(
+        "piece").agg(F.count("*").alias("n"))
     # A piece the catalog lacks has no frequency, and its feature no match.
-    anchors = (feature_pieces.join(frequency, "piece", "inner")
+    anchors = (lookup_join(feature_pieces, frequency, "piece", "inner", spread=["feature"])
                .groupBy("feature").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece")))
-    candidates = lookup_join(catalog_pieces, anchors, "piece", "inner", spread=["id"])
+    candidates = lookup_join(catalog_pieces, settled(anchors), "piece", "inner", spread=["id"],
+                             unique=False)
     details = catalog.select("id", "pos", "category", text.alias("_text"),
                              _product().alias("product"))
-    return (candidates.select("id", "feature").join(details, "id")
-            .filter(F.col("_text").contains(F.col("feature")))
+    found = lookup_join(candidates.select("id", "feature"), details, "id", "inner",
+                        spread=["feature"])
+    return (found.filter(F.col("_text").contains(F.col("feature")))
             .select("feature", "id", "pos", "category", "product"))
 
 
@@ -232,7 +234,8 @@ def relevant_totals(preferences: Preferences, catalog: DataFrame) -> DataFrame:
         F.transform("categories", lambda c: F.struct(F.lit("c").alias("kind"), c.alias("key"))),
         F.transform("features", lambda f: F.struct(F.lit("f").alias("kind"), f.alias("key"))),
     )).alias("w")).select(*PREFERENCE, "w.*")
-    merged = (lookup_join(wanted, lists, ["kind", "key"], "inner", spread=PREFERENCE)
+    merged = (lookup_join(wanted, settled(lists), ["kind", "key"], "inner",
+                          spread=PREFERENCE)
               .groupBy(*PREFERENCE, "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits"))
                                                   .alias("n")))
     totals = merged.groupBy(*PREFERENCE).agg(F.sum("n").alias("relevant_products"))

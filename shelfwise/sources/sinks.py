@@ -93,3 +93,9 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 def kafka_sink_options(servers: str, topic: str, checkpoint: str) -> dict:
     """Options of a stream writer to a topic; offsets live in the checkpoint."""
     return {"kafka.bootstrap.servers": servers, "topic": topic, "checkpointLocation": checkpoint}
+
+
+def write_topic(messages: DataFrame, servers: str, topic: str) -> None:
+    """Send message texts (column ``value``) of a batch to a topic."""
+    (messages.write.format("kafka").option("kafka.bootstrap.servers", servers)
+     .option("topic", topic).save())

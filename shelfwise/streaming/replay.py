@@ -6,6 +6,7 @@ below ``batch_id=N``, replacing it when a batch is repeated: outputs stay exactl
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -40,6 +41,9 @@ class Recommender:
     out: str
     k: int = 5
     fill_key: Column | None = None
+    # Called with message texts and a topic name after a batch is stored. A repeated batch calls
+    # again: topics receive at least once, the stored tables hold exactly once.
+    publish: Callable[[DataFrame, str], None] | None = None
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         parsed = E.parse(batch).persist()
@@ -61,9 +65,20 @@ class Recommender:
             self._write(self._counted_users(self._batch(spark, "counters", batch_id), batch_id),
                         "counted_users", batch_id)
             self._write(self._metric_steps(spark, batch_id), "metrics", batch_id)
+            if self.publish:
+                self._publish(spark, batch_id)
         finally:
             parsed.unpersist()
 
+    def _publish(self, spark: SparkSession, batch_id: int) -> None:
+        for table in ("recommendations", "purchases"):
+            self.publish(E.to_messages(self._batch(spark, table, batch_id)),
+                         K.TOPIC_RECOMMENDATIONS)
+        steps = read_batches(spark, f"{self.out}/metrics",
+                             "metric string, amount bigint, batch_id int", batch_id + 1)
+        self.publish(E.to_messages(E.metrics_messages(cumulative_metrics(steps))),
+                     K.TOPIC_METRICS)
+
     def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
         write_batch(df, f"{self.out}/{table}", batch_id)
 
@@ -128,6 +143,13 @@ def cumulative_metrics(steps: DataFrame) -> DataFrame:
         .cast("bigint").alias(c) for c in METRIC_COLUMNS]))
 
 
+def with_runtime(metrics: DataFrame, seconds: float) -> DataFrame:
+    """Add runtime_seconds and events_per_second, as the closing metrics message carries them."""
+    per_second = F.col("events_processed") / F.lit(float(seconds)) if seconds > 0 else F.lit(0.0)
+    return metrics.withColumns({"runtime_seconds": F.lit(float(seconds)),
+                                "events_per_second": per_second})
+
+
 def every_tenth(events: DataFrame, counters: DataFrame, every: int = 10) -> DataFrame:
     """The metrics messages of a replay in (ts, event_id) order.
 

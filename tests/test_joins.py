@@ -85,3 +85,23 @@ def test_running_totals_split_a_large_group(spark):
     got = running_totals(df, ["id"], {"seen": F.lit(1)}, by=["user"])
     assert got.filter("seen != id + 1").count() == 0
     assert storage.shared_folder(spark)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_keys_frequent_on_the_keyed_side(spark, no_broadcast, how):
+    """One key holds most of the keyed rows, some of them exact copies, some without key."""
+    left = spark.range(60).select("id", F.when(F.col("id") > 5, F.col("id") % 30).alias("key"))
+    right = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id") % 50)
+        .cast("bigint").alias("key"), (F.col("id") % 100).alias("label"))
+    got = J.lookup_join(left, right, "key", how, rows_per_task=100, unique=False)
+    assert "Union" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.columns == ["id", "key", "label"]
+    assert rows(got) == rows(left.join(right, "key", how).select("id", "key", "label"))
+
+
+def test_copies_of_a_row_spread(spark):
+    hot = spark.createDataFrame([(1, 8)], "key int, _splits int")
+    copies = spark.range(8000, numPartitions=16).select(F.lit(1).alias("key"))
+    salts = copies.join(F.broadcast(hot), "key").select(J._salt(["key"]).alias("s"))
+    assert salts.distinct().count() >= 4

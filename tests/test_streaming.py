@@ -99,6 +99,25 @@ def test_repeated_batch_replaces_its_output(spark, tmp_path):
         spark.read.parquet(str(tmp_path / "out/metrics"))).first()["events_processed"] == 1
 
 
+def test_published_messages(spark, tmp_path):
+    batch = spark.createDataFrame([(json.dumps(e),) for e in EVENTS[:3]], "value string")
+    sent = []
+
+    def publish(messages, topic):
+        sent.extend((topic, json.loads(r["value"])) for r in messages.collect())
+    S.Recommender(catalog(spark), str(tmp_path / "out"), 3, F.col("pos"), publish).process(batch, 0)
+    kinds = [(topic, m["event_type"]) for topic, m in sent]
+    assert sorted(kinds) == [
+        (K.TOPIC_METRICS, K.METRICS_MESSAGE), (K.TOPIC_RECOMMENDATIONS, K.PURCHASE_MESSAGE),
+        (K.TOPIC_RECOMMENDATIONS, K.PURCHASE_MESSAGE),
+        (K.TOPIC_RECOMMENDATIONS, K.RECOMMENDATION_MESSAGE)]
+    assert sent[-1][1]["metrics"]["events_processed"] == 3
+    metrics = S.cumulative_metrics(spark.read.parquet(str(tmp_path / "out/metrics")))
+    closing = E.metrics_messages(S.with_runtime(metrics, 1.5)).first()["metrics"]
+    assert (closing["events_per_second"], closing["runtime_seconds"]) == (2.0, 1.5)
+    assert S.with_runtime(metrics, 0).first()["events_per_second"] == 0.0
+
+
 def test_anonymous_and_user_zero(spark, landed):
     views = {r["event_id"]: r["has_user_profile"] for r in
              E.views(E.accepted(E.parse(spark.read.text(landed)))).collect()}
