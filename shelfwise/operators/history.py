@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfwise import constants as K
 from shelfwise.operators.joins import lookup_join, settled
 from shelfwise.operators.ordering import running_totals
+from shelfwise.sources.storage import cut_lineage
 
 ORDER = ["ts", "event_id"]
 EMBEDDED_ENTRIES = 1000
@@ -47,6 +48,7 @@ def with_histories(positioned: DataFrame, limit: int = EMBEDDED_ENTRIES) -> Data
     Both are NULL for users with more than ``limit`` events, whose histories are ``entries`` up to
     the event's positions. So no task holds more than ``limit`` events of one user.
     """
+    positioned = cut_lineage(positioned)  # used three times below
     large = settled(positioned.groupBy("user_id").agg(F.count("*").alias("n"))
                     .filter(F.col("n") > limit).select("user_id", F.lit(True).alias("_large")))
     marked = lookup_join(positioned, large, "user_id", "left", spread=["event_id"])

@@ -279,8 +279,8 @@ class Tables:
         Two categories and two features each; the second feature is part of a word, in capitals.
         """
         users = self.raw("events").select("user_id").distinct()
-        u = F.col("user_id")
-        return users.filter(u % 10 != 9).select("user_id", *self.profile_columns(u))
+        return users.filter(~self.anonymous()).select(
+            "user_id", *self.profile_columns(F.col("user_id")))
 
     @staticmethod
     def profile_columns(u: Column) -> list[Column]:
@@ -292,6 +292,7 @@ class Tables:
                 F.lit(0.5).alias("price_sensitivity")]
 
     def anonymous(self) -> Column:
+        """Users who gave no profile; their events stay, without one."""
         return F.col("user_id") % 10 == 9
 
     def views(self) -> DataFrame:

@@ -8,7 +8,6 @@ from shelfwise.operators import history as H, recommend as R
 from shelfwise.plans.adapters import Tables
 from shelfwise.plans.oracle_tables import F1, SCORES, scored, with_tables
 from shelfwise.plans.registry import query
-from shelfwise.sources.storage import cut_lineage
 
 K_RECS = 5
 
@@ -166,7 +165,6 @@ _HISTORIES = f"""SELECT event_id, user_id, {_listed('product_view')} AS viewed,
 
 @query("user_history_embedded", with_tables("engine_events", _HISTORIES))
 def user_history_embedded(t: Tables) -> DataFrame:
-    positioned = cut_lineage(H.positions(t.engine_events()))
-    return H.with_histories(positioned).select(
+    return H.with_histories(H.positions(t.engine_events())).select(
         "event_id", "user_id", F.array_join("viewing_history", ",").alias("viewed"),
         F.array_join("purchase_history", ",").alias("bought"))

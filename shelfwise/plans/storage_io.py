@@ -55,7 +55,8 @@ def io_split_sinks(t: Tables) -> DataFrame:
     """Valid and invalid rows in two places, counted as stored."""
     path = new_path(t.spark, "tasks")
     sinks.write_split(O.with_task_issues(t.tasks()), "Issues", path)
-    return t.spark.read.parquet(path).groupBy(F.col("is_valid").alias("valid")).agg(
+    return t.spark.read.parquet(path).groupBy(
+        F.col("is_valid").cast("boolean").alias("valid")).agg(
         F.count("*").alias("rows"))
 
 
@@ -68,13 +69,12 @@ def io_report_sink(t: Tables) -> DataFrame:
 
 
 @query("io_catalog_fallback", with_tables("views", """
-    SELECT event_id, CAST(rank AS INTEGER) AS rank, CAST(id AS BIGINT) AS id
-    FROM d_views CROSS JOIN (VALUES (1, 1), (2, 2), (3, 3)) AS v(rank, id)
-    WHERE product_id > 4"""))
+    SELECT event_id, CAST(r AS INTEGER) AS rank, CAST(id AS BIGINT) AS id FROM (
+      SELECT event_id, id, row_number() OVER (PARTITION BY event_id ORDER BY id) AS r
+      FROM d_views CROSS JOIN (VALUES (1), (2), (3), (4), (5)) AS v(id) WHERE id <> product_id)
+    WHERE r <= 3"""))
 def io_catalog_fallback(t: Tables) -> DataFrame:
     """Without a readable catalog file, views get the default catalog."""
     catalog = readers.read_catalog(t.spark, new_path(t.spark, "no-such-catalog") + ".json")
     recs = R.category_recommend(t.views(), catalog, 3, F.col("pos"))
-    return R.exploded(recs).join(
-        t.views().filter(F.col("product_id") > 4).select("event_id"), "event_id").select(
-        "event_id", "rank", "id")
+    return R.exploded(recs).select("event_id", "rank", "id")
