@@ -65,8 +65,11 @@ def category_rows(catalog: DataFrame, k: int) -> DataFrame:
 
 def category_lists(catalog: DataFrame, k: int) -> DataFrame:
     """(category, same_category): the same products as one array per category."""
-    rows = category_rows(catalog, k).withColumn("tier", F.lit(NO_PROFILE_TIER))
-    return settled(_listed(rows, ["category"], "same_category"))
+    return settled(listed_categories(category_rows(catalog, k)))
+
+
+def listed_categories(rows: DataFrame) -> DataFrame:
+    return _listed(rows.withColumn("tier", F.lit(NO_PROFILE_TIER)), ["category"], "same_category")
 
 
 def fill_list(catalog: DataFrame, k: int, fill_key: Column) -> DataFrame:
@@ -84,42 +87,56 @@ def seeded_fill(seed: int = 0) -> Column:
     return F.xxhash64(F.lit(seed), F.col("id"))
 
 
-def feature_matches(catalog: DataFrame, features: DataFrame) -> DataFrame:
+def _text() -> Column:
+    return F.lower(F.coalesce("description", F.lit("")))
+
+
+def _pieces(value: Column, size: int) -> Column:
+    """All pieces of a text of one size; the empty piece is in every text."""
+    if size == 0:
+        return F.array(F.lit(""))
+    return F.when(F.length(value) >= size, F.transform(
+        F.sequence(F.lit(1), F.length(value) - size + 1),
+        lambda i: F.substring(value, i, F.lit(size)))).otherwise(F.array().cast(TEXT_ARRAY))
+
+
+def catalog_pieces(catalog: DataFrame, sizes: Sequence[int] = range(GRAM + 1)) -> DataFrame:
+    """(id, piece): the distinct pieces of each description."""
+    return catalog.select("id", F.explode(F.array_distinct(F.concat(
+        F.array().cast(TEXT_ARRAY), *[_pieces(_text(), n) for n in sizes]))).alias("piece"))
+
+
+def feature_matches(catalog: DataFrame, features: DataFrame,
+                    shelf: "Shelf | None" = None) -> DataFrame:
     """(feature, id, pos, category, product) where the description contains the feature.
 
     Substring search as an equi-join: each feature is looked up under its rarest piece of three
     characters (or itself when shorter), and the few candidates are verified. ``features`` holds
     distinct lower-case features.
     """
-    text = F.lower(F.coalesce("description", F.lit("")))
-    # At most four sizes: 0 (the empty feature, found in every text) to 3.
-    sizes = sorted(r[0] for r in features.select(
-        F.least(F.length("feature"), F.lit(GRAM))).distinct().collect())
-
-    def pieces(value: Column, size: int) -> Column:
-        if size == 0:
-            return F.array(F.lit(""))
-        return F.when(F.length(value) >= size, F.transform(
-            F.sequence(F.lit(1), F.length(value) - size + 1),
-            lambda i: F.substring(value, i, F.lit(size)))).otherwise(
-            F.array().cast(TEXT_ARRAY))
-
-    all_pieces = F.array_distinct(F.concat(
-        F.array().cast(TEXT_ARRAY), *[pieces(text, n) for n in sizes]))
-    catalog_pieces = catalog.select("id", F.explode(all_pieces).alias("piece"))
-    own = F.when(F.length("feature") >= GRAM, pieces(F.col("feature"), GRAM)).otherwise(
+    if shelf is None:
+        # At most four sizes: 0 (the empty feature, found in every text) to 3.
+        sizes = sorted(r[0] for r in features.select(
+            F.least(F.length("feature"), F.lit(GRAM))).distinct().collect())
+        indexed = catalog_pieces(catalog, sizes)
+    else:
+        indexed = shelf.pieces
+    own = F.when(F.length("feature") >= GRAM, _pieces(F.col("feature"), GRAM)).otherwise(
         F.array("feature"))
     feature_pieces = features.select("feature", F.explode(F.array_distinct(own)).alias("piece"))
 
-    wanted = settled(feature_pieces.select("piece").distinct())
-    frequency = lookup_join(catalog_pieces, wanted, "piece", "inner", spread=["id"]).groupBy(
-        "piece").agg(F.count("*").alias("n"))
+    if shelf is None:
+        wanted = settled(feature_pieces.select("piece").distinct())
+        frequency = lookup_join(indexed, wanted, "piece", "inner", spread=["id"]).groupBy(
+            "piece").agg(F.count("*").alias("n"))
+    else:
+        frequency = shelf.frequency
     # A piece the catalog lacks has no frequency, and its feature no match.
     anchors = (lookup_join(feature_pieces, frequency, "piece", "inner", spread=["feature"])
                .groupBy("feature").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece")))
-    candidates = lookup_join(catalog_pieces, settled(anchors), "piece", "inner", spread=["id"],
+    candidates = lookup_join(indexed, settled(anchors), "piece", "inner", spread=["id"],
                              unique=False)
-    details = catalog.select("id", "pos", "category", text.alias("_text"),
+    details = catalog.select("id", "pos", "category", _text().alias("_text"),
                              _product().alias("product"))
     found = lookup_join(candidates.select("id", "feature"), details, "id", "inner",
                         spread=["feature"])
@@ -140,18 +157,39 @@ class Preferences:
     matches: DataFrame
 
     @classmethod
-    def of(cls, views: DataFrame, catalog: DataFrame) -> "Preferences":
+    def of(cls, views: DataFrame, catalog: DataFrame,
+           shelf: "Shelf | None" = None) -> "Preferences":
         sets = preference_sets(views)
         features = sets.select(F.explode("features").alias("feature")).distinct()
-        return cls(sets, cut_lineage(feature_matches(catalog, features)))
+        return cls(sets, cut_lineage(feature_matches(catalog, features, shelf)))
 
 
-def preferred_lists(preferences: DataFrame, catalog: DataFrame, matches: DataFrame,
+@dataclass(frozen=True)
+class Shelf:
+    """What a catalog gives whatever the events are, written once and used by every batch."""
+
+    category_rows: DataFrame
+    same_category: DataFrame
+    fill: DataFrame
+    pieces: DataFrame
+    frequency: DataFrame
+
+    @classmethod
+    def of(cls, catalog: DataFrame, k: int, fill_key: Column | None = None) -> "Shelf":
+        rows = cut_lineage(category_rows(catalog, k))
+        pieces = cut_lineage(catalog_pieces(catalog))
+        frequency = cut_lineage(pieces.groupBy("piece").agg(F.count("*").alias("n")))
+        return cls(rows, cut_lineage(listed_categories(rows)),
+                   cut_lineage(fill_list(catalog, k, seeded_fill() if fill_key is None
+                                         else fill_key)), pieces, frequency)
+
+
+def preferred_lists(preferences: DataFrame, by_category: DataFrame, matches: DataFrame,
                     k: int) -> DataFrame:
     """(categories, features, preferred): the first k + 1 products of tiers 1 and 2."""
     tier1 = lookup_join(
         preferences.select(*PREFERENCE, F.explode("categories").alias("category")),
-        category_rows(catalog, k), "category", "inner", spread=PREFERENCE).select(
+        by_category, "category", "inner", spread=PREFERENCE).select(
         *PREFERENCE, F.lit(1).alias("tier"), "pos", "product")
     by_feature = first_per_group(matches, ["feature"], ["pos"], k + 1)
     tier2 = lookup_join(
@@ -167,24 +205,26 @@ def preferred_lists(preferences: DataFrame, catalog: DataFrame, matches: DataFra
 
 
 def recommend(views: DataFrame, catalog: DataFrame, k: int = 3,
-              fill_key: Column | None = None,
-              preferences: Preferences | None = None) -> DataFrame:
+              fill_key: Column | None = None, preferences: Preferences | None = None,
+              shelf: Shelf | None = None) -> DataFrame:
     """Add ``recommendations`` (array of product fields and ``tier``) to every view.
 
     ``views`` has event_id, product_id, category (of the viewed product), has_user_profile,
     categories and features; ``catalog`` has the product fields and ``pos``. Views without a
-    profile get tiers 3 and 4.
+    profile get tiers 3 and 4. A ``shelf`` made for the same k and fill order saves the work on
+    the catalog.
     """
-    preferences = preferences or Preferences.of(views, catalog)
-    preferred = preferred_lists(preferences.sets, catalog, preferences.matches, k).withColumn(
-        "has_user_profile", F.lit(True))
-    fill = fill_list(catalog, k, seeded_fill() if fill_key is None else fill_key)
+    preferences = preferences or Preferences.of(views, catalog, shelf)
+    by_category = category_rows(catalog, k) if shelf is None else shelf.category_rows
+    same_category = category_lists(catalog, k) if shelf is None else shelf.same_category
+    fill = (fill_list(catalog, k, seeded_fill() if fill_key is None else fill_key)
+            if shelf is None else shelf.fill)
+    preferred = preferred_lists(preferences.sets, by_category, preferences.matches,
+                                k).withColumn("has_user_profile", F.lit(True))
     spread = ["event_id"]
     joined = lookup_join(views, preferred, [*PREFERENCE, "has_user_profile"], "left", spread)
-    joined = lookup_join(joined, category_lists(catalog, k), "category", "left", spread,
-                         keys_from=views)
+    joined = lookup_join(joined, same_category, "category", "left", spread, keys_from=views)
     joined = joined.withColumn("fill", fill.scalar())
-
     return _merged(joined, views.columns, ["preferred", "same_category", "fill"], k)
 
 

@@ -44,14 +44,17 @@ class Recommender:
     # Called with message texts and a topic name after a batch is stored. A repeated batch calls
     # again: topics receive at least once, the stored tables hold exactly once.
     publish: Callable[[DataFrame, str], None] | None = None
+    shelf: R.Shelf | None = None
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         parsed = E.parse(batch).persist()
         try:
             events = E.accepted(parsed)
             views = E.views(events)
-            preferences = R.Preferences.of(views, self.catalog)
-            recommended = R.recommend(views, self.catalog, self.k, self.fill_key, preferences)
+            shelf = self._shelf()
+            preferences = R.Preferences.of(views, self.catalog, shelf)
+            recommended = R.recommend(views, self.catalog, self.k, self.fill_key, preferences,
+                                      shelf)
             totals = R.relevant_totals(preferences, self.catalog)
             self._write(E.recommendation_messages(recommended), "recommendations", batch_id)
             self._write(E.purchase_messages(events), "purchases", batch_id)
@@ -70,6 +73,12 @@ class Recommender:
         finally:
             parsed.unpersist()
 
+    def _shelf(self) -> R.Shelf:
+        """The static catalog's lists, made at the first batch."""
+        if self.shelf is None:
+            self.shelf = R.Shelf.of(self.catalog, self.k, self.fill_key)
+        return self.shelf
+
     def _publish(self, spark: SparkSession, batch_id: int) -> None:
         for table in ("recommendations", "purchases"):
             self.publish(E.to_messages(self._batch(spark, table, batch_id)),
