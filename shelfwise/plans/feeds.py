@@ -8,7 +8,7 @@ from shelfwise import constants as K
 from shelfwise.operators import feed as O
 from shelfwise.plans import adapters as A
 from shelfwise.plans.adapters import Tables
-from shelfwise.plans.oracle_tables import pick, with_tables
+from shelfwise.plans.oracle_tables import pick
 from shelfwise.plans.registry import query
 
 RULES = O.FeedRules().override({"valid_categories": list(A.FEED_TYPES)})
