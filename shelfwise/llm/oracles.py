@@ -23,4 +23,18 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op7_decontamination": _OP7}
+_OP10 = r"""
+WITH doc AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 12), ' ')) AS k
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM doc WHERE len(w) > 12)),
+gone AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS m FROM win) WHERE m < doc_id),
+word AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS pos FROM gone),
+lost AS (SELECT doc_id, list(pos) AS p FROM word GROUP BY doc_id),
+each AS (SELECT doc_id, w[pos] AS one, pos FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS pos FROM doc)
+         ANTI JOIN word USING (doc_id, pos)),
+kept AS (SELECT doc_id, string_agg(one, ' ' ORDER BY pos) AS t FROM each GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(p), 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op7_decontamination": _OP7, "op10_substring_dedup": _OP10}

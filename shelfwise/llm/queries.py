@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import crf_quality, fm_decontaminate, language_id, sentencepiece
+from shelfwise.llm import crf_quality, fm_decontaminate, language_id, sentencepiece, substring_dedup
 from shelfwise.llm.oracles import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -33,7 +33,11 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
                                                  table(spark, folder, "benchmark"))
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.removal_report(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_sentencepiece, op3_quality_classifier, op4_language_id,
-                            op7_decontamination)
+                            op7_decontamination, op10_substring_dedup)
 }
