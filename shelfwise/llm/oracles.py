@@ -5,6 +5,23 @@ from __future__ import annotations
 #: Lower-cased words of a text column, as a list; null has none.
 _WORDLIKE = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_OP5 = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingle AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(3, len(w)) - 1), ' ') AS s
+            FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle a JOIN shingle b USING (s)
+           WHERE a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+         WHERE 100 * c >= 90 * (x.n + y.n - c)),
+both_ AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id, doc_id AS r FROM size UNION SELECT reach.doc_id, b FROM reach JOIN both_ ON a = r)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(m, d.doc_id) AS component_id
+FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN (SELECT doc_id, min(r) AS m FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
 _OP7 = f"""
 WITH item AS (SELECT DISTINCT item_id, {_WORDLIKE.format('text')} AS w FROM benchmark WHERE item_id IS NOT NULL),
 phrase AS (
@@ -37,4 +54,25 @@ SELECT doc_id, len(w) AS n_words, coalesce(len(p), 0) AS n_removed, sha256(coale
 FROM doc LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op7_decontamination": _OP7, "op10_substring_dedup": _OP10}
+_OP9 = """
+WITH line AS (
+  SELECT doc_id, x, i FROM (SELECT doc_id, unnest(l) AS x, unnest(generate_series(1, len(l))) AS i
+                            FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))),
+filled AS (SELECT doc_id, x, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM line WHERE trim(x) <> ''),
+run AS (SELECT a.doc_id, a.n, a.i AS i1, b.i AS i2, c.i AS i3, a.x AS x1, b.x AS x2, c.x AS x3
+        FROM filled a JOIN filled b ON b.doc_id = a.doc_id AND b.n = a.n + 1
+        JOIN filled c ON c.doc_id = a.doc_id AND c.n = a.n + 2),
+later AS (SELECT doc_id, i1, i2, i3 FROM (
+            SELECT doc_id, i1, i2, i3, row_number() OVER (PARTITION BY x1, x2, x3 ORDER BY doc_id, n) AS place FROM run)
+          WHERE place > 1),
+gone AS (SELECT DISTINCT doc_id, unnest([i1, i2, i3]) AS i FROM later),
+kept AS (SELECT doc_id, string_agg(x, chr(10) ORDER BY i) AS t, count(*) AS left_
+         FROM line ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+had AS (SELECT doc_id, count(*) AS n FROM line GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t, '') END AS text,
+       CASE WHEN coalesce(d.text, '') = '' THEN 0 ELSE n END AS n_lines,
+       CASE WHEN coalesce(d.text, '') = '' THEN 0 ELSE n - coalesce(left_, 0) END AS n_removed
+FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN had USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op5_ngram_jaccard_join": _OP5, "op7_decontamination": _OP7, "op9_line_dedup": _OP9, "op10_substring_dedup": _OP10}

@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import crf_quality, fm_decontaminate, language_id, sentencepiece, substring_dedup
+from shelfwise.llm import (
+    crf_quality,
+    fm_decontaminate,
+    jaccard_join,
+    language_id,
+    line_winnowing,
+    page_diff,
+    sentencepiece,
+    substring_dedup,
+    url_filters,
+)
 from shelfwise.llm.oracles import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -16,6 +26,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filters.judge(table(spark, folder, "pages"))
+
+
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece.encoded(table(spark, folder, "documents"))
 
@@ -28,16 +42,28 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(table(spark, folder, "documents"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.components_of(table(spark, folder, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return fm_decontaminate.contamination_report(table(spark, folder, "documents"),
                                                  table(spark, folder, "benchmark"))
 
 
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return page_diff.main_texts(table(spark, folder, "pages"))
+
+
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_winnowing.removal_report(table(spark, folder, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.removal_report(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_sentencepiece, op3_quality_classifier, op4_language_id,
-                            op7_decontamination, op10_substring_dedup)
+    f.__name__: f for f in (op1_url_filters, op2_sentencepiece, op3_quality_classifier, op4_language_id,
+                            op5_ngram_jaccard_join, op7_decontamination, op8_html_extraction, op9_line_dedup, op10_substring_dedup)
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +25,11 @@ def cut(frame: DataFrame) -> DataFrame:
     """The same rows, stored in the checkpoint folder."""
     checkpoint_dir(frame.sparkSession)
     return frame.checkpoint()
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """The same rows, written as Parquet below the checkpoint folder and read again."""
+    spark = frame.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
