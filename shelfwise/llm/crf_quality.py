@@ -7,7 +7,7 @@ lines, is carried through a fitted logistic curve to the document's score.
 
 Only documents are labelled, so each line is trained with the label of its document. The field is
 fitted on a bounded sample: per label ``SAMPLE_ROWS`` documents in the order of a hash of their
-text, the first ``SAMPLE_CHARS`` characters of each, and long documents in sequences of
+id, the first ``SAMPLE_CHARS`` characters of each, and long documents in sequences of
 ``SEQUENCE`` lines. Scoring reads whole texts and runs whole chains.
 
 Defined results: a text that is null, empty or blank is one line of its own kind ("empty") and
@@ -22,9 +22,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.llm import words as W
+from shelfwise.llm.sampling import per_label
 
 SAMPLE_ROWS = 2_000
 SAMPLE_CHARS = 20_000
@@ -214,14 +215,18 @@ def scores(texts: pd.Series, field: Field | float) -> np.ndarray:
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Field | float:
-    """Fit on the bounded sample; ``labels`` has doc_id and label (0 or 1)."""
-    marked = (documents.select("doc_id", "text")
-              .join(labels.select("doc_id", "label").where(F.col("label").isin(0, 1)), "doc_id")
-              .select(F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text"), "label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("text"), "text")
-    few = marked.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).toPandas()
-    few = few.sort_values(["label", "n"])
-    return fit(few["text"], few["label"].to_numpy())
+    """Fit on the bounded sample; ``labels`` has doc_id and label (0 or 1).
+
+    The sample is drawn from the labels, so that only its few ids meet the texts, by a broadcast.
+    """
+    few = per_label(labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)), rows, text="doc_id")
+    spark = documents.sparkSession
+    kind = labels.select("doc_id", F.col("label").cast("int").alias("label")).schema
+    chosen = spark.createDataFrame([tuple(map(int, r)) for r in few[["doc_id", "label"]].to_numpy()], kind)
+    text = F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS)
+    found = documents.select("doc_id", text.alias("text")).join(F.broadcast(chosen), "doc_id").toPandas()
+    found = found.sort_values(["label", "doc_id", "text"])
+    return fit(found["text"], found["label"].to_numpy())
 
 
 def score(documents: DataFrame, field: Field | float) -> DataFrame:

@@ -18,9 +18,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.llm import words as W
+from shelfwise.llm.sampling import per_label
 
 SAMPLE_ROWS = 400
 SAMPLE_CHARS = 2_000
@@ -114,10 +115,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """One automaton per language, from the bounded sample of the labelled rows."""
     few = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).toPandas()
+    sample = per_label(few, rows, "lang")
     out = {}
-    for lang, own in sorted(sample.sort_values(["lang", "n"]).groupby("lang")):
+    for lang, own in sample.groupby("lang"):
         if words := training_words(own["text"].tolist()):
             out[lang] = Automaton(words)
     return out

@@ -22,6 +22,19 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(m, d.doc_id) AS componen
 FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN (SELECT doc_id, min(r) AS m FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
+_OP6 = """
+WITH RECURSIVE vec AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, row_number() OVER () AS r FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM vec a JOIN vec b ON a.r <> b.r AND len(a.v) = len(b.v)
+         WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (SELECT vec_id, vec_id AS r FROM vec UNION SELECT reach.vec_id, b FROM reach JOIN link ON a = r)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(m, e.vec_id) AS component_id, coalesce(m, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a) USING (vec_id)
+LEFT JOIN (SELECT vec_id, min(r) AS m FROM reach GROUP BY vec_id) USING (vec_id)
+"""
+
 _OP7 = f"""
 WITH item AS (SELECT DISTINCT item_id, {_WORDLIKE.format('text')} AS w FROM benchmark WHERE item_id IS NOT NULL),
 phrase AS (
@@ -75,4 +88,5 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t, '') END AS
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN had USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op5_ngram_jaccard_join": _OP5, "op7_decontamination": _OP7, "op9_line_dedup": _OP9, "op10_substring_dedup": _OP10}
+ORACLE: dict[str, str] = {"op5_ngram_jaccard_join": _OP5, "op6_embedding_near_dedup": _OP6,
+                          "op7_decontamination": _OP7, "op9_line_dedup": _OP9, "op10_substring_dedup": _OP10}

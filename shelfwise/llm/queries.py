@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import (
+    cap_filters,
     crf_quality,
     fm_decontaminate,
     jaccard_join,
@@ -46,6 +47,10 @@ def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.components_of(table(spark, folder, "documents"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return cap_filters.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return fm_decontaminate.contamination_report(table(spark, folder, "documents"),
                                                  table(spark, folder, "benchmark"))
@@ -65,5 +70,6 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filters, op2_sentencepiece, op3_quality_classifier, op4_language_id,
-                            op5_ngram_jaccard_join, op7_decontamination, op8_html_extraction, op9_line_dedup, op10_substring_dedup)
+                            op5_ngram_jaccard_join, op6_embedding_near_dedup, op7_decontamination,
+                            op8_html_extraction, op9_line_dedup, op10_substring_dedup)
 }
