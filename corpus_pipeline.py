@@ -10,10 +10,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import crf_quality, fm_decontaminate, sentencepiece
+from shelfwise.llm import crf_quality, fm_decontaminate, jaccard_join, line_winnowing, sentencepiece
 from shelfwise.llm.scratch import checkpoint_dir
 
 
+def measured(changed: DataFrame, like: DataFrame) -> DataFrame:
+    """n_chars as the texts have it now; the columns of ``like``."""
+    return changed.withColumn("n_chars", F.length("text").cast("long")).select(*like.columns)
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line field accepts; it is fitted on all labelled folds but the held-out one."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -22,9 +27,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return crf_quality.score(docs, field).where(F.col("score") >= crf_quality.PREDICT_AT).drop("score")
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the runs of lines that occurred before; a document may be left empty."""
+    return measured(line_winnowing.remove_repeated_lines(docs), docs)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates (five words, 0.8 or more)."""
+    return jaccard_join.keep_one(docs, 5, (80, 100))
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of benchmark items."""
-    return fm_decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return measured(fm_decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), docs)
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,6 +49,8 @@ def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality classifier", quality_classifier),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", ngram_jaccard_join),
     ("benchmark decontamination", benchmark_decontamination),
     ("sentencepiece encoding", piece_encoding),
 ]

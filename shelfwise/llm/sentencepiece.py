@@ -35,8 +35,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 FREQUENT = 65_536
 LONGEST = 32  # longer words are left to the tasks, whose cost is linear in their length
 MAX_PIECES = 1_000_000  # the vocabulary is broadcast
-SLICE_BYTES = 4_000_000
-CHUNK_BYTES = 400_000
+SLICE_BYTES = 2_000_000
+CHUNK_BYTES = 200_000
 _SPACE = 0x20
 _MARK = "▁"
 
@@ -398,6 +398,16 @@ def decode(documents: DataFrame, vocabulary: Vocabulary, ids_col: str = "token_i
 def encoded(documents: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, the ids of the whole text, their number, and whether they decode to the same text."""
     vocabulary = load(path)
-    out = decode(encode(documents.select("doc_id", "text"), vocabulary), vocabulary)
-    return out.select("doc_id", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"),
-                      F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    source = documents.select("doc_id", "text")
+    context = documents.sparkSession.sparkContext
+    shared = context.broadcast((vocabulary._replace(scored=[]), table_of(word_table(source, vocabulary))))
+
+    def run(texts: pa.Array) -> list[pa.Array]:
+        values = texts.to_pylist()
+        ids, bounds = encode_texts(values, *shared.value)
+        back = decode_ids(ids, bounds, shared.value[0].pieces)
+        same = [a == (b or "") for a, b in zip(back, values, strict=True)]
+        return [lists(ids, bounds, texts), pa.array(np.diff(bounds)), pa.array(same)]
+
+    new = {"token_ids": T.ArrayType(T.IntegerType()), "n_tokens": T.LongType(), "round_trip": T.BooleanType()}
+    return _batched(source, "text", new, run).drop("text")
