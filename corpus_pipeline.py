@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm import crf_quality, fm_decontaminate, jaccard_join, line_winnowing, sentencepiece
 from shelfwise.llm.scratch import checkpoint_dir
+from shelfwise.llm.tasks import unused
 
 
 def measured(changed: DataFrame, like: DataFrame) -> DataFrame:
@@ -24,7 +25,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     field = crf_quality.train(docs.where(~crf_quality.held_out()),
                               labels.where(~crf_quality.held_out()).select("doc_id", F.col("quality").alias("label")))
-    return crf_quality.score(docs, field).where(F.col("score") >= crf_quality.PREDICT_AT).drop("score")
+    name = unused("score", docs)
+    return crf_quality.score(docs, field, name).where(F.col(name) >= crf_quality.PREDICT_AT).drop(name)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,10 +22,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from shelfwise.llm import words as W
 from shelfwise.llm.sampling import per_label
+from shelfwise.llm.tasks import add_columns
 
 SAMPLE_ROWS = 2_000
 SAMPLE_CHARS = 20_000
@@ -229,18 +231,14 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> F
     return fit(found["text"], found["label"].to_numpy())
 
 
-def score(documents: DataFrame, field: Field | float) -> DataFrame:
-    """The documents with a column ``score`` (0 to 1, higher: label 1 likelier)."""
+def score(documents: DataFrame, field: Field | float, column: str = "score") -> DataFrame:
+    """The documents with a score (0 to 1, higher: label 1 likelier); a column of that name is replaced."""
     shared = documents.sparkSession.sparkContext.broadcast(field)
-    rest = [f for f in documents.schema.fields if f.name != "score"]
-    schema = documents.select([f.name for f in rest]).schema.add("score", "double")
 
-    def run(batches):
-        for batch in batches:
-            for part in W.slices(batch):
-                yield part.assign(score=scores(part["text"], shared.value))
+    def run(texts: pa.Array) -> list[pa.Array]:
+        return [pa.array(scores(pd.Series(texts.to_pylist(), dtype=object), shared.value))]
 
-    return documents.select([f.name for f in rest]).mapInPandas(run, schema)
+    return add_columns(documents, "text", {column: T.DoubleType()}, run)
 
 
 def held_out(fold: int = 2, folds: int = 4) -> F.Column:

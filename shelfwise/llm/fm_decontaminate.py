@@ -21,9 +21,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfwise.llm import words as W
+from shelfwise.llm.tasks import add_columns, replace_column
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -191,9 +194,9 @@ def occurrences(found: W.Words, phrases: Phrases) -> Iterator[tuple[np.ndarray,
             yield which, word_at[index.locate(row)], size
 
 
-def shard_hits(frame: pd.DataFrame, phrases: Phrases, id_col: str, text_col: str) -> pd.DataFrame:
-    """Per document its words, merged hit spans [first, end), and the items found."""
-    found = W.tokenize(frame[text_col], W.WORDLIKE, lower=True)
+def shard_hits(texts: list[str | None], phrases: Phrases) -> tuple[W.Words, list, list]:
+    """The words of a shard, and per document its merged hit spans [first, end) and the items found."""
+    found = W.tokenize(texts, W.WORDLIKE, lower=True)
     n = len(found.key)
     cover = np.zeros(n + 1, np.int64)
     text = W.owner(found.first)
@@ -210,14 +213,13 @@ def shard_hits(frame: pd.DataFrame, phrases: Phrases, id_col: str, text_col: str
     tail = hit & np.concatenate((~hit[1:] | (text[1:] != text[:-1]), [True])) if n else hit
     first, last = np.flatnonzero(head), np.flatnonzero(tail) + 1
     of = text[first] if len(first) else np.zeros(0, np.int64)
-    items: list[list] = [[] for _ in range(len(frame))]
+    items: list[list] = [[] for _ in texts]
     for pair in np.unique(np.concatenate(pairs)) if pairs else ():
         items[pair // len(phrases.names)].append(phrases.names[pair % len(phrases.names)])
-    cuts = np.searchsorted(of, np.arange(len(frame) + 1))
+    cuts = np.searchsorted(of, np.arange(len(texts) + 1))
     spans = [[[int(a), int(b)] for a, b in zip(first[x:y] - base, last[x:y] - base, strict=True)]
              for x, y, base in zip(cuts[:-1], cuts[1:], found.first[:-1], strict=True)]
-    return pd.DataFrame({id_col: frame[id_col].to_numpy(), "n_words": np.diff(found.first),
-                         "spans": spans, "items": items})
+    return found, spans, items
 
 
 def blocks(items: DataFrame, window: int, id_col: str, text_col: str) -> list[Phrases]:
@@ -236,21 +238,20 @@ def contaminated_spans(documents: DataFrame, items: DataFrame, window: int = WIN
                        id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
                        item_text: str = "text") -> DataFrame:
     """Per document: n_words, spans of hit words as [first, end), and the ids of the items found."""
-    spark = documents.sparkSession
     source = documents.select(id_col, text_col)
-    id_type = source.schema[id_col].dataType.simpleString()
-    item_type = items.schema[item_id].dataType.simpleString()
-    schema = f"`{id_col}` {id_type}, n_words long, spans array<array<int>>, items array<{item_type}>"
+    kind = items.schema[item_id].dataType
+    new = {"n_words": T.LongType(), "spans": T.ArrayType(T.ArrayType(T.IntegerType())), "items": T.ArrayType(kind)}
+    context = documents.sparkSession.sparkContext
     passes = []
     for block in blocks(items, window, item_id, item_text):
-        shared = spark.sparkContext.broadcast(block)
+        shared = context.broadcast(block)
 
-        def run(batches, shared=shared):
-            for batch in batches:
-                for part in W.slices(batch, text_col):
-                    yield shard_hits(part, shared.value, id_col, text_col)
+        def run(texts: pa.Array, shared=shared) -> list[pa.Array]:
+            found, spans, names = shard_hits(texts.to_pylist(), shared.value)
+            return [pa.array(np.diff(found.first)), pa.array(spans, pa.list_(pa.list_(pa.int32()))),
+                    pa.array(names, pa.list_(to_arrow_type(kind)))]
 
-        passes.append(source.mapInPandas(run, schema))
+        passes.append(add_columns(source, text_col, new, run).drop(text_col))
     if len(passes) == 1:
         return passes[0]
     union = passes[0]
@@ -286,24 +287,32 @@ def contamination_report(documents: DataFrame, items: DataFrame, window: int = W
 def decontaminate(documents: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents without the words of the spans; other columns and untouched texts stay as they are.
 
-    The text before a removed span and the text after it are joined by one space.
+    The text before a removed span and the text after it are joined by one space. With phrases in several
+    blocks, the blocks are searched in the text as it came, one after the other, before it is cut.
     """
-    spark = documents.sparkSession
-    schema = documents.schema
-    out = documents
-    for block in blocks(items, window, "item_id", "text"):
-        shared = spark.sparkContext.broadcast(block)
-
-        def run(batches, shared=shared):
-            for batch in batches:
-                for part in W.slices(batch):
-                    hits = shard_hits(part, shared.value, "doc_id", "text")
-                    found = W.tokenize(part["text"], W.WORDLIKE, lower=True, keys=False)
-                    texts = [cut(t, s, found, i) if s else t for i, (t, s) in
-                             enumerate(zip(part["text"], hits["spans"], strict=True))]
-                    yield part.assign(text=texts)
-
-        out = out.mapInPandas(run, schema)
+    context = documents.sparkSession.sparkContext
+    shared = [context.broadcast(block) for block in blocks(items, window, "item_id", "text")]
+
+    def run(column: pa.Array) -> pa.Array:
+        texts = column.to_pylist()
+        spans: list[list] = [[] for _ in texts]
+        for block in shared:
+            found, own, _ = shard_hits(texts, block.value)
+            for mine, new in zip(spans, own, strict=True):
+                mine.extend(new)
+        return pa.array([cut(t, joined(s), found, i) if s else t
+                         for i, (t, s) in enumerate(zip(texts, spans, strict=True))], pa.string())
+
+    return replace_column(documents, "text", run)
+
+
+def joined(spans: list[list[int]]) -> list[list[int]]:
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
     return out
 
 

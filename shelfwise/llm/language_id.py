@@ -17,11 +17,12 @@ rows are each scored. Other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from shelfwise.llm import words as W
 from shelfwise.llm.sampling import per_label
+from shelfwise.llm.tasks import add_columns
 
 SAMPLE_ROWS = 400
 SAMPLE_CHARS = 2_000
@@ -123,7 +124,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
     return out
 
 
-def count_phrases(texts: pd.Series, models: list[Automaton]) -> tuple[np.ndarray, np.ndarray]:
+def count_phrases(texts: list[str | None], models: list[Automaton]) -> tuple[np.ndarray, np.ndarray]:
     """Per text the phrases of each language (texts x languages), and whether it has a letter."""
     lowered = [t.lower() if isinstance(t, str) else "" for t in texts]
     found = W.tokenize(lowered, LETTERS)
@@ -155,16 +156,14 @@ def identify(documents: DataFrame, models: dict[str, Automaton], id_col: str = "
     """id, lang_pred and score: 1 less the winner's phrases as a share of the runner-up's."""
     names = sorted(models)
     shared = documents.sparkSession.sparkContext.broadcast([models[n] for n in names])
-    source = documents.select(id_col, text_col)
-    schema = f"`{id_col}` {source.schema[id_col].dataType.simpleString()}, lang_pred string, score double"
 
-    def run(batches):
-        for batch in batches:
-            for part in W.slices(batch, text_col):
-                total, letter = count_phrases(part[text_col], shared.value)
-                yield pd.DataFrame({id_col: part[id_col].to_numpy(), **choose(total, letter, names)})
+    def run(texts: pa.Array) -> list[pa.Array]:
+        total, letter = count_phrases(texts.to_pylist(), shared.value)
+        best = choose(total, letter, names)
+        return [pa.array(best["lang_pred"], pa.string()), pa.array(best["score"])]
 
-    return source.mapInPandas(run, schema)
+    return add_columns(documents.select(id_col, text_col), text_col,
+                       {"lang_pred": T.StringType(), "score": T.DoubleType()}, run).drop(text_col)
 
 
 def choose(total: np.ndarray, letter: np.ndarray, names: list[str]) -> dict[str, np.ndarray]:

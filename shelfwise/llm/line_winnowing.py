@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.llm.blocks import LAST
 from shelfwise.llm.scratch import cut
+from shelfwise.llm.tasks import unused
 
 MIN_LINES = 3
 
@@ -71,15 +72,16 @@ def repeated_lines(documents: DataFrame, min_lines: int = MIN_LINES, id_col: str
 def remove_repeated_lines(documents: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id",
                           text_col: str = "text") -> DataFrame:
     """The documents with the repeated runs removed from their texts; all columns stay."""
+    key, lost = unused("__rank", documents), unused("__places", documents)
     gone = repeated_lines(documents, min_lines, id_col, text_col).select(
-        F.col("rank").alias("__rank"), F.col("places").alias("__places"))
+        F.col("rank").alias(key), F.col("places").alias(lost))
     rank = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
-    both = documents.withColumn("__rank", rank).join(gone, "__rank", "left")
+    both = documents.withColumn(key, rank).join(gone, key, "left")
     lines = _lines(F.col(text_col))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__places"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(lost))
     text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    return both.withColumn(text_col, F.when(F.col("__places").isNull(), F.col(text_col)).otherwise(text)).select(
-        *(F.col(f"`{c}`") for c in documents.columns))
+    return both.withColumn(text_col, F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(text)).select(
+        *(both[c] if c != text_col else F.col(c) for c in documents.columns))
 
 
 def removal_report(documents: DataFrame) -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from shelfwise.llm import words as W
 from shelfwise.llm.scratch import cut
+from shelfwise.llm.tasks import add_columns, nulls
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 FREQUENT = 65_536
@@ -342,23 +343,6 @@ def decode_ids(ids: np.ndarray, bounds: np.ndarray, pieces: list[bytes]) -> list
             for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def _batched(frame: DataFrame, column: str, new: dict[str, T.DataType], run) -> DataFrame:
-    """Apply ``run`` to slices of a column; it returns the new columns as Arrow arrays."""
-    kept = frame.drop(*new)
-    schema = T.StructType([*kept.schema.fields, *(T.StructField(n, k) for n, k in new.items())])
-
-    def each(batches):
-        for batch in batches:
-            at = batch.schema.get_field_index(column)
-            step = max(1, int(batch.num_rows * SLICE_BYTES / max(batch.column(at).nbytes, 1)))
-            for i in range(0, batch.num_rows, step):
-                part = batch.slice(i, step)
-                yield pa.RecordBatch.from_arrays([*part.columns, *run(part.column(at))],
-                                                 names=[*part.schema.names, *new])
-
-    return kept.mapInArrow(each, schema)
-
-
 def encode(documents: DataFrame, vocabulary: Vocabulary, text_col: str = "text",
            ids_col: str = "token_ids", frequent: int = FREQUENT) -> DataFrame:
     """The documents with a column of piece ids."""
@@ -370,12 +354,11 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, text_col: str = "text",
         ids, bounds = encode_texts(texts.to_pylist(), *shared.value)
         return [lists(ids, bounds, texts)]
 
-    return _batched(documents, text_col, {ids_col: T.ArrayType(T.IntegerType())}, run)
+    return add_columns(documents, text_col, {ids_col: T.ArrayType(T.IntegerType())}, run, SLICE_BYTES)
 
 
 def lists(ids: np.ndarray, bounds: np.ndarray, like: pa.Array) -> pa.Array:
-    mask = pa.array(like.is_null().to_numpy(zero_copy_only=False)) if like.null_count else None
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)), mask=mask)
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)), mask=nulls(like))
 
 
 def decode(documents: DataFrame, vocabulary: Vocabulary, ids_col: str = "token_ids",
@@ -392,7 +375,7 @@ def decode(documents: DataFrame, vocabulary: Vocabulary, ids_col: str = "token_i
         return [pa.array([t if ok else None for t, ok in zip(texts, column.is_valid().to_pylist(), strict=True)],
                          pa.string())]
 
-    return _batched(documents, ids_col, {text_col: T.StringType()}, run)
+    return add_columns(documents, ids_col, {text_col: T.StringType()}, run, SLICE_BYTES)
 
 
 def encoded(documents: DataFrame, path: str = MODEL) -> DataFrame:
@@ -410,4 +393,4 @@ def encoded(documents: DataFrame, path: str = MODEL) -> DataFrame:
         return [lists(ids, bounds, texts), pa.array(np.diff(bounds)), pa.array(same)]
 
     new = {"token_ids": T.ArrayType(T.IntegerType()), "n_tokens": T.LongType(), "round_trip": T.BooleanType()}
-    return _batched(source, "text", new, run).drop("text")
+    return add_columns(source, "text", new, run, SLICE_BYTES).drop("text")
