@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm import crf_quality, fm_decontaminate, jaccard_join, line_winnowing, sentencepiece
 from shelfwise.llm.scratch import checkpoint_dir
-from shelfwise.llm.tasks import unused
+from shelfwise.llm.tasks import importable, unused
 
 
 def measured(changed: DataFrame, like: DataFrame) -> DataFrame:
@@ -63,6 +63,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each written to the checkpoint folder and read again; the last one's rows."""
+    importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES[:-1]):

@@ -94,7 +94,6 @@ def lines_of(texts: pd.Series) -> Lines:
               "echo": np.maximum(repeats(2), repeats(3)), "words": count,
               "mean": (letters[stop] - letters[begin]) / np.maximum(count, 1)}
     own = np.stack([values[name] > cut for name, cuts in _CUTS.items() for cut in cuts], axis=1)
-    own = own.reshape(len(size), -1)
     # a text without lines becomes one line of its own kind
     empty = np.diff(found.first) == 0
     order = np.argsort(np.concatenate((W.owner(found.first), np.flatnonzero(empty))), kind="stable")

@@ -7,13 +7,13 @@ frequencies of fixed size, then by key; any order is right, a good one is cheap.
 1. Texts are dealt to chunks once. Equal sets count as one; sets too small to resemble another
    only join their equals.
 2. Prefix n-grams that two different sets share are found by an exchange of packed blocks. Only
-   documents that have any are candidates, and only their sets travel on.
+   documents that have any are candidates.
 3. Candidates that share a prefix n-gram, pass the length and the positional filter are pairs. First
    each bucket's members pair with three of the bucket, which links groups of many near copies without
    their pairs. After contracting these links, all pairs of a bucket are formed that are not linked
    yet; a pair inside one component could add nothing.
 4. Each pair is verified once on the whole sets, behind a suffix filter that compares the sets' counts
-   per range of keys.
+   per range of keys. Only the sets of documents in pairs are built again and travel.
 
 N-grams are compared by 64-bit keys, equal sets by their size and 128 bits.
 
@@ -37,7 +37,8 @@ WORDS = 3
 THRESHOLD = (90, 100)  # links from 90 / 100 on
 SKETCH_BITS = 20  # counters of the frequency sketch, 4 bytes each: its size does not grow
 _SLICES = 64
-_ROW = ("rank long, n long, s1 long, s2 long, keys array<long>, places array<int>, grams binary")
+FEW = 500_000  # ids that may be broadcast, 8 bytes each
+_ROW = "rank long, n long, s1 long, s2 long, keys array<long>, places array<int>"
 
 
 class Sets:
@@ -135,7 +136,7 @@ class Prefixes:
 
 
 def candidates(documents: DataFrame, size: int, threshold: tuple[int, int], id_col: str, text_col: str) -> DataFrame:
-    """One row per document: rank, size and key of its set, and for candidates shared prefixes and the set."""
+    """One row per document: rank, size and key of its set, and the prefix n-grams that other sets share."""
     source = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     chunks, parts = B.layout(source)
     texts = B.chunked(source, chunks)
@@ -157,27 +158,41 @@ def candidates(documents: DataFrame, size: int, threshold: tuple[int, int], id_c
 
     def rows(frame, bits):
         if not len(frame):
-            return pd.DataFrame({k: [] for k in ("rank", "n", "s1", "s2", "keys", "places", "grams")})
+            return pd.DataFrame({k: [] for k in ("rank", "n", "s1", "s2", "keys", "places")})
         own = Prefixes(frame, size, threshold, shared.value)
         keys, _, _, which = own.grouped()
         hit = np.flatnonzero(B.flags_of(bits, 1, keys, parts)[which])
         key, text, place = own.key[hit].view(np.int64), own.text[hit], own.place[hit]
         bound = np.searchsorted(text, np.arange(len(frame) + 1)).tolist()
-        first = own.sets.first.tolist()
         some = [b > a for a, b in zip(bound[:-1], bound[1:], strict=True)]
         return pd.DataFrame({
             "rank": own.rank, "n": own.sets.n, "s1": own.sets.s1.view(np.int64), "s2": own.sets.s2.view(np.int64),
             "keys": [key[a:b] if s else None for a, b, s in zip(bound[:-1], bound[1:], some, strict=True)],
-            "places": [place[a:b] if s else None for a, b, s in zip(bound[:-1], bound[1:], some, strict=True)],
-            "grams": [own.sets.key[a:b].tobytes() if s else None for a, b, s in zip(first[:-1], first[1:], some, strict=True)]})
+            "places": [place[a:b] if s else None for a, b, s in zip(bound[:-1], bound[1:], some, strict=True)]})
 
     blocks = texts.groupBy("chunk").applyInPandas(prefixes, "part int, chunk int, keys binary, one binary, several binary")
     bits = blocks.groupBy("part").applyInPandas(common, B._BITS)
     return texts.groupBy("chunk").cogroup(bits.groupBy("chunk")).applyInPandas(rows, _ROW)
 
 
-def verify(pairs: DataFrame, grams: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough; ``grams`` has rank and grams."""
+def sets_of(ranks: DataFrame, documents: DataFrame, size: int) -> DataFrame:
+    """rank and grams (the sorted keys of the set) of the documents (rank, text) with these ranks."""
+    ranks = cut(ranks.distinct())
+    few = F.broadcast(ranks) if ranks.count() <= FEW else ranks
+
+    def build(batches):
+        for batch in batches:
+            for part in W.slices(batch):
+                sets = Sets(part["text"], size)
+                yield pd.DataFrame({"rank": part["rank"].to_numpy(), "grams": [
+                    sets.key[a:b].tobytes() for a, b in zip(sets.first[:-1], sets.first[1:], strict=True)]})
+
+    chosen = documents.join(few, "rank").select("rank", "text")
+    return chosen.mapInPandas(build, "rank long, grams binary")
+
+
+def verify(pairs: DataFrame, documents: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough; ``documents`` has rank and text."""
     num, den = threshold
 
     def check(batches):
@@ -186,9 +201,10 @@ def verify(pairs: DataFrame, grams: DataFrame, threshold: tuple[int, int]) -> Da
                     for x, y in zip(batch["x"], batch["y"], strict=True)]
             yield batch.loc[keep, ["a", "b"]]
 
+    grams = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("rank")), documents, size)
     left = grams.select(F.col("rank").alias("a"), F.col("grams").alias("x"))
     right = grams.select(F.col("rank").alias("b"), F.col("grams").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(check, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(check, "a long, b long").distinct()
 
 
 def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
@@ -220,16 +236,18 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.where(x != y).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def links(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Links between representatives of different sets; enough of them to connect all that are similar."""
+def links(rows: DataFrame, documents: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
+    """Links between representatives of different sets; enough of them to connect all that are similar.
+
+    ``rows`` are the representatives' rows of ``candidates``, ``documents`` has rank and text.
+    """
     entries = cut(rows.select(F.explode(F.arrays_zip("keys", "places")).alias("e"), "rank", "n").select(
         F.col("e.keys").alias("key"), F.struct("n", "rank", F.col("e.places").alias("place")).alias("x")))
-    grams = rows.select("rank", "grams")
     hashed = F.xxhash64(F.col("x.rank"))
     heads = entries.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.min_by("x", hashed).alias("any"))
     heads = heads.select("key", F.explode(F.array_distinct(F.array("lo", "hi", "any"))).alias("y"))
     pairs = cut(_pairs(entries.join(heads, "key").where(_fits("x", "y", threshold))))
-    found = cut(verify(pairs, grams, threshold))
+    found = cut(verify(pairs, documents, size, threshold))
     joined = components(found)
     # entries by component; the largest component of a bucket needs no pairs of its own
     placed = entries.join(joined.select(F.col("id").alias("__id"), "component"), F.col("x.rank") == F.col("__id"), "left").select(
@@ -240,7 +258,7 @@ def links(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     open_ = cut(placed.join(main, "key"))
     rest = open_.where(F.col("group") != F.col("main")).select("key", F.col("x").alias("y"), F.col("group").alias("other"))
     cross = open_.join(rest, "key").where((F.col("group") != F.col("other")) & _fits("x", "y", threshold))
-    more = verify(_pairs(cross).join(pairs, ["a", "b"], "left_anti"), grams, threshold)
+    more = verify(cut(_pairs(cross).join(pairs, ["a", "b"], "left_anti")), documents, size, threshold)
     return found.unionByName(more)
 
 
@@ -251,8 +269,9 @@ def similarity_groups(documents: DataFrame, size: int = WORDS, threshold: tuple[
     key = ["n", "s1", "s2"]
     known = rows.where((F.col("n") > 0) & (F.col("rank") != B.LAST))
     first = cut(known.groupBy(*key).agg(F.min("rank").alias("first")))
-    alone = rows.where(F.col("grams").isNotNull()).join(first, key).where("rank = first").dropDuplicates(["rank", *key])
-    joined = components(links(alone, threshold))
+    alone = rows.where(F.size("keys") > 0).join(first, key).where("rank = first").dropDuplicates(["rank", *key])
+    texts = documents.select(F.col(id_col).cast("long").alias("rank"), F.col(text_col).alias("text"))
+    joined = components(links(alone, texts, size, threshold))
     groups = first.join(joined, F.col("first") == F.col("id"), "left").select(
         *key, F.coalesce("component", "first").alias("component"))
     return rows.select("rank", *key).join(groups, key, "left").select(

@@ -19,11 +19,13 @@ from shelfwise.llm import (
     url_filters,
 )
 from shelfwise.llm.oracles import ORACLE
+from shelfwise.llm.tasks import importable
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

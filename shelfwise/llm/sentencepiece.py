@@ -26,6 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfwise.llm import words as W
@@ -370,7 +371,7 @@ def decode(documents: DataFrame, vocabulary: Vocabulary, ids_col: str = "token_i
         ids = column.flatten().to_numpy(zero_copy_only=False)
         if len(ids) and (ids.min() < 0 or ids.max() >= len(shared.value)):
             raise ValueError("an id is not in the vocabulary")
-        counts = np.array([len(x) if x is not None else 0 for x in column], np.int64)
+        counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         texts = decode_ids(ids, np.concatenate(([0], np.cumsum(counts))), shared.value)
         return [pa.array([t if ok else None for t, ok in zip(texts, column.is_valid().to_pylist(), strict=True)],
                          pa.string())]

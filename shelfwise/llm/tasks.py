@@ -5,12 +5,23 @@ All other columns pass through as they are, whatever their type, nulls and names
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 SLICE_BYTES = 4_000_000
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> None:
+    """Let tasks import this package where it lies on the same path for them, whatever folder the driver runs in."""
+    environment = spark.sparkContext.environment
+    have = environment.get("PYTHONPATH", "")
+    if _ROOT not in have.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (have, _ROOT) if p)
 
 
 def unused(name: str, *frames: DataFrame) -> str:

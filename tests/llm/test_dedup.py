@@ -75,8 +75,9 @@ def test_group_of_near_copies_makes_few_pairs(spark):
         own = list(base)
         own[rng.randrange(300)] = f"x{i}"
         docs.append((i, " ".join(own)))
-    rows = jaccard_join.candidates(spark.createDataFrame(docs, DOCS), 3, (90, 100), "doc_id", "text").where("grams IS NOT NULL")
-    found = jaccard_join.links(rows, (90, 100))
+    frame = spark.createDataFrame(docs, DOCS)
+    rows = jaccard_join.candidates(frame, 3, (90, 100), "doc_id", "text").where("size(keys) > 0")
+    found = jaccard_join.links(rows, frame.withColumnRenamed("doc_id", "rank"), 3, (90, 100))
     assert found.count() < 150 * 40  # of 11,175 pairs
     assert {r.component for r in components(found).collect()} == {0}
 
