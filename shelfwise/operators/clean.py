@@ -49,6 +49,8 @@ def cart_details(df: DataFrame, as_of: Column | None = None) -> DataFrame:
 def clean_users(df: DataFrame, latest_by: Sequence[str]) -> DataFrame:
     """Users with an id and a valid e-mail; of several rows per id the latest one stays.
 
+    Equally late rows are told apart by their other columns, so the winner never depends on the order.
+
     The winner is an aggregate (``max_by``), so copies combine before the shuffle and no user's
     rows are gathered.
     """
@@ -56,5 +58,5 @@ def clean_users(df: DataFrame, latest_by: Sequence[str]) -> DataFrame:
             .withColumns({"email": F.trim("email"), "name": F.trim("name")}))
     others = [c for c in kept.columns if c != "user_id"]
     return (kept.groupBy("user_id")
-            .agg(F.max_by(F.struct(*others), F.struct(*latest_by)).alias("row"))
+            .agg(F.max_by(F.struct(*others), F.struct(*latest_by, *others)).alias("row"))
             .select("user_id", "row.*").select(*df.columns))

@@ -2,13 +2,13 @@
 
 A user's history is a numbered list of entries, and an event refers to it by two positions: how
 many views and purchases came before. This says everything in linear space, for users of any
-size. Lists embedded in the events, as messages carry them, repeat a user's history per event
-and are built for users up to a given size; events of larger users keep the positions.
+size. Lists embedded in the events, as messages carry them, are put together from blocks of
+numbered entries.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise import constants as K
 from shelfwise.operators.joins import lookup_join, settled
@@ -16,7 +16,7 @@ from shelfwise.operators.ordering import running_totals
 from shelfwise.sources.storage import cut_lineage
 
 ORDER = ["ts", "event_id"]
-EMBEDDED_ENTRIES = 1000
+BLOCK_ENTRIES = 256
 
 
 def _is(kind: str) -> Column:
@@ -42,27 +42,42 @@ def entries(positioned: DataFrame) -> DataFrame:
             .select("user_id", "event_type", (own + 1).alias("seq"), "product_id"))
 
 
-def with_histories(positioned: DataFrame, limit: int = EMBEDDED_ENTRIES) -> DataFrame:
+def entry_blocks(positioned: DataFrame, size: int = BLOCK_ENTRIES) -> DataFrame:
+    """(user_id, event_type, block, products): the histories in blocks of ``size`` entries."""
+    numbered = entries(positioned).withColumn("block", F.floor((F.col("seq") - 1) / size).cast("bigint"))
+    ordered = F.array_sort(F.collect_list(F.struct("seq", "product_id")))
+    return (numbered.groupBy("user_id", "event_type", "block").agg(ordered.alias("e"))
+            .select("user_id", "event_type", "block",
+                    F.transform("e", lambda x: x["product_id"]).alias("products")))
+
+
+def with_histories(positioned: DataFrame, size: int = BLOCK_ENTRIES) -> DataFrame:
     """Add viewing_history and purchase_history as arrays of the products before each event.
 
-    Both are NULL for users with more than ``limit`` events, whose histories are ``entries`` up to
-    the event's positions. So no task holds more than ``limit`` events of one user.
+    An event takes the blocks before it whole and a prefix of its own block, so that a task holds
+    the history of an event but never all events of a user. The arrays repeat a user's
+    history per event, as the messages do; ``entries`` says the same in linear space.
     """
     positioned = cut_lineage(positioned)  # used three times below
-    large = settled(positioned.groupBy("user_id").agg(F.count("*").alias("n"))
-                    .filter(F.col("n") > limit).select("user_id", F.lit(True).alias("_large")))
-    marked = lookup_join(positioned, large, "user_id", "left", spread=["event_id"])
-    before = (Window.partitionBy("user_id").orderBy(*ORDER)
-              .rowsBetween(Window.unboundedPreceding, -1))
+    at = ["user_id", "views_before", "purchases_before"]  # all that a history depends on
+    counts = F.array(F.struct(F.lit(K.VIEW_EVENT).alias("event_type"), F.col("views_before").alias("n")),
+                     F.struct(F.lit(K.PURCHASE_EVENT).alias("event_type"), F.col("purchases_before").alias("n")))
+    wanted = (positioned.select(*at).distinct().withColumn("w", F.explode(counts))
+              .select(*at, "w.event_type", "w.n").filter(F.col("n") > 0)
+              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                        F.floor((F.col("n") - 1) / size).cast("bigint")))))
+    found = lookup_join(wanted, settled(entry_blocks(positioned, size)), ["user_id", "event_type", "block"],
+                        "inner", spread=["views_before", "purchases_before"])
+    part = F.struct("block", F.slice("products", F.lit(1), F.least(
+        F.lit(size).cast("bigint"), F.col("n") - F.col("block") * size).cast("int")).alias("products"))
 
     def listed(kind: str) -> Column:
-        product = F.when(F.col("event_type") == kind, F.col("product_id"))
-        return F.collect_list(product).over(before)
-
-    embedded = (marked.filter(F.col("_large").isNull()).drop("_large")
-                .withColumns({"viewing_history": listed(K.VIEW_EVENT),
-                              "purchase_history": listed(K.PURCHASE_EVENT)}))
-    none = F.lit(None).cast("array<bigint>")
-    referred = (marked.filter(F.col("_large").isNotNull()).drop("_large")
-                .withColumns({"viewing_history": none, "purchase_history": none}))
-    return embedded.unionByName(referred)
+        parts = F.array_sort(F.collect_list(F.when(F.col("event_type") == kind, part)))
+        return F.flatten(F.transform(parts, lambda x: x["products"]))
+
+    lists = found.groupBy(*at).agg(listed(K.VIEW_EVENT).alias("viewing_history"),
+                                   listed(K.PURCHASE_EVENT).alias("purchase_history"))
+    none = F.array().cast("array<bigint>")
+    return positioned.join(lists, at, "left").withColumns({
+        c: F.coalesce(c, none) for c in ("viewing_history", "purchase_history")}).select(
+        *positioned.columns, "viewing_history", "purchase_history")

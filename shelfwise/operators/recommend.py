@@ -275,7 +275,7 @@ def relevant_totals(preferences: Preferences, catalog: DataFrame) -> DataFrame:
         F.transform("features", lambda f: F.struct(F.lit("f").alias("kind"), f.alias("key"))),
     )).alias("w")).select(*PREFERENCE, "w.*")
     merged = (lookup_join(wanted, settled(lists), ["kind", "key"], "inner",
-                          spread=PREFERENCE)
+                          spread=PREFERENCE, unique=False)  # a row per bucket
               .groupBy(*PREFERENCE, "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits"))
                                                   .alias("n")))
     totals = merged.groupBy(*PREFERENCE).agg(F.sum("n").alias("relevant_products"))

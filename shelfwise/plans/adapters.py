@@ -56,6 +56,7 @@ def every(key: str, n: int) -> Column:
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._products: int | None = None
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.schema(RAW[name]).parquet(f"{self.folder}/{name}.parquet")
@@ -118,7 +119,7 @@ class Tables:
             F.when(every("c_custkey", 7), "no address").otherwise(
                 F.concat(F.lit("u"), k.cast("string"), F.lit("@shop.example"))).alias("email"),
             F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("name"),
-            (F.lit(1000) - k).alias("updated"))
+            (F.lit(1000) - F.floor(k / 2)).cast("bigint").alias("updated"))
 
     # ---- sales ----
 
@@ -190,9 +191,14 @@ class Tables:
     def _k(self) -> Column:
         return F.regexp_extract("props", "[0-9]+", 0).cast("int")
 
+    def any_product(self) -> Column:
+        """The product of an event, over the whole catalog."""
+        if self._products is None:
+            self._products = max(self.raw("part").count(), 1)
+        return F.col("event_id") * 7 % F.lit(self._products)
+
     def _wanted_product(self) -> Column:
-        e = F.col("event_id")
-        return e * 7 % 200 + F.when(every("event_id", 19), ORPHAN).otherwise(0)
+        return self.any_product() + F.when(every("event_id", 19), ORPHAN).otherwise(0)
 
     def activity(self, event_type: str) -> DataFrame:
         return self.raw("events").filter(F.col("event_type") == event_type).select(
@@ -271,7 +277,7 @@ class Tables:
             "event_id", "ts", "user_id",
             F.when(kind == "view", K.VIEW_EVENT).when(kind == "purchase", K.PURCHASE_EVENT)
             .otherwise(kind).alias("event_type"),
-            (F.col("event_id") * 7 % 200).alias("product_id"))
+            self.any_product().alias("product_id"))
 
     def profiles(self) -> DataFrame:
         """Profiles of the users in events; one user in ten has none.

@@ -112,7 +112,8 @@ def clean_cart_legacy(t: Tables) -> DataFrame:
 
 @query("clean_users_legacy", with_tables("legacy_users", r"""
     SELECT user_id, trim(email) AS email, trim(name) AS name, updated FROM (
-      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY updated DESC) AS r
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY updated DESC,
+          trim(email) DESC, trim(name) DESC) AS r
       FROM d_legacy_users WHERE user_id IS NOT NULL
         AND regexp_full_match(email, '[\w\.-]+@[\w\.-]+\.\w+')) WHERE r = 1"""))
 def clean_users_legacy(t: Tables) -> DataFrame:

@@ -17,6 +17,7 @@ def alternatives(words) -> str:
     return "(?i)" + "|".join(words)
 
 
+PRODUCTS = "(SELECT greatest(count(*), 1) FROM part)"
 _USER = "e.user_id"
 _CATS = (f"[{pick(A.PART_TYPES, 'u % 6')}, {pick(A.PART_TYPES, '(u + 2) % 6')}]")
 _FEATS = (f"[{pick(A.FIRST_WORDS, 'u % 8')}, upper(substr({pick(A.LAST_WORDS, 'u % 7')}, 1, 3))]")
@@ -49,7 +50,7 @@ CTES: dict[str, str] = {
     "legacy_users": """SELECT CASE WHEN c_custkey % 17 <> 0 THEN c_custkey // 3 END AS user_id,
         CASE WHEN c_custkey % 7 = 0 THEN 'no address'
              ELSE 'u' || c_custkey || '@shop.example' END AS email,
-        '  ' || c_name || ' ' AS name, 1000 - c_custkey AS updated FROM customer""",
+        '  ' || c_name || ' ' AS name, 1000 - c_custkey // 2 AS updated FROM customer""",
     "sales": """SELECT o_orderkey AS id, o_custkey AS user_id, o_orderdate AS created_at
         FROM orders""",
     "order_items": """SELECT l_orderkey AS order_id, l_partkey AS product_id,
@@ -68,7 +69,7 @@ CTES: dict[str, str] = {
              THEN {pick(("SUCCESS", "PENDING", "FAILED"), "o_orderkey % 3")} END
             AS payment_status, o_orderdate AS created_at FROM orders""",
     "enriched_events": f"""SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k,
-        event_id * 7 % 200 + CASE WHEN event_id % 19 = 0 THEN {A.ORPHAN} ELSE 0 END AS wanted
+        event_id * 7 % {PRODUCTS} + CASE WHEN event_id % 19 = 0 THEN {A.ORPHAN} ELSE 0 END AS wanted
         FROM events""",
     "cart_item": """SELECT CASE WHEN event_id % 29 = 0 THEN event_id - 1 ELSE event_id END AS id,
         CASE WHEN event_id % 31 <> 0 THEN user_id END AS cart_id, wanted AS product_id,
@@ -89,9 +90,9 @@ CTES: dict[str, str] = {
         'spec ' || n AS text FROM part, unnest(range(1, (p_partkey + 1) % 3 + 1)) AS t(n)""",
     "inventories": """SELECT l_partkey AS product_id, count(*) AS movements,
         max(l_shipdate) AS last_movement FROM lineitem GROUP BY 1""",
-    "engine_events": """SELECT event_id, ts, user_id, CASE event_type WHEN 'view' THEN
+    "engine_events": f"""SELECT event_id, ts, user_id, CASE event_type WHEN 'view' THEN
         'product_view' WHEN 'purchase' THEN 'product_purchase' ELSE event_type END AS event_type,
-        event_id * 7 % 200 AS product_id FROM events""",
+        event_id * 7 % {PRODUCTS} AS product_id FROM events""",
     "profiles": f"""SELECT u AS user_id, {_CATS} AS cats, {_FEATS} AS feats
         FROM (SELECT DISTINCT user_id AS u FROM events) WHERE u % 10 <> 9""",
     "views": """SELECT e.event_id, e.ts, e.user_id, e.product_id, p.name AS product_name,

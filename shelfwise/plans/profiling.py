@@ -19,7 +19,8 @@ ORDERS = {"id": "CAST(id AS VARCHAR)", "user_id": "CAST(user_id AS VARCHAR)",
           "amount": "CAST(amount AS VARCHAR)", "payment_status": "payment_status",
           "created_at": "strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f')"}
 RECORDS = {"id": "CAST(id AS VARCHAR)"}
-RECORDS |= {c: c for c in ("brand", "name", "model", "created_at")}
+RECORDS |= {c: c for c in ("brand", "name", "sku", "model", "created_at", "updated_at")}
+RECORDS |= {"average_rating": "CAST(average_rating AS VARCHAR)"}
 RECORDS |= {"is_active": "CAST(is_active AS VARCHAR)",
             "is_featured": "CAST(is_featured AS VARCHAR)"}
 
@@ -211,4 +212,4 @@ for _table, _cte, _cols in (("cart_item", "d_cart_item", CART),
 @query("rule_inference", with_tables("cart_item product_records", " UNION ALL ".join(_RULES)))
 def rule_inference(t: Tables) -> DataFrame:
     return P.infer_all_rules({"cart_item": t.cart_item(),
-                              "products": t.product_records().select(*RECORDS)})
+                              "products": t.product_records()})

@@ -49,15 +49,14 @@ def io_reject_sink(t: Tables) -> DataFrame:
     return t.spark.read.schema(failing.select(*columns).schema).json(path)
 
 
-@query("io_split_sinks", f"""SELECT "Issues" = '' AS valid, count(*) AS rows
-    FROM (SELECT {_ISSUES} AS "Issues" FROM ({_TASKS})) GROUP BY 1""")
+@query("io_split_sinks", f"""SELECT *, "Issues" = '' AS valid
+    FROM (SELECT *, {_ISSUES} AS "Issues" FROM ({_TASKS}))""")
 def io_split_sinks(t: Tables) -> DataFrame:
-    """Valid and invalid rows in two places, counted as stored."""
+    """Valid and invalid rows in two places, as stored."""
     path = new_path(t.spark, "tasks")
     sinks.write_split(O.with_task_issues(t.tasks()), "Issues", path)
-    return t.spark.read.parquet(path).groupBy(
-        F.col("is_valid").cast("boolean").alias("valid")).agg(
-        F.count("*").alias("rows"))
+    stored = t.spark.read.parquet(path)
+    return stored.withColumn("valid", F.col("is_valid").cast("boolean")).drop("is_valid")
 
 
 @query("io_report_sink", NULLS_SQL)
@@ -78,3 +77,12 @@ def io_catalog_fallback(t: Tables) -> DataFrame:
     catalog = readers.read_catalog(t.spark, new_path(t.spark, "no-such-catalog") + ".json")
     recs = R.category_recommend(t.views(), catalog, 3, F.col("pos"))
     return R.exploded(recs).select("event_id", "rank", "id")
+
+
+@query("io_catalog_written", with_tables("products", """
+    SELECT id, name, category, price, name AS description, id AS pos FROM d_products"""))
+def io_catalog_written(t: Tables) -> DataFrame:
+    """The whole catalog through files of records, with the order of its entries."""
+    path = new_path(t.spark, "catalog")
+    sinks.write_catalog(t.catalog(), path)
+    return readers.read_catalog(t.spark, path)

@@ -238,7 +238,7 @@ def web_event_normalise(t: Tables) -> DataFrame:
     web = t.raw("events").select(
         F.col("event_id").alias("eventId"), F.col("user_id").alias("userId"),
         F.when(kind == "view", "product_view").when(kind == "click", "add_to_cart")
-        .otherwise(kind).alias("eventType"), (F.col("event_id") * 7 % 200).alias("productId"),
+        .otherwise(kind).alias("eventType"), t.any_product().alias("productId"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"))
     events = E.normalise_web_events(web, t.catalog(), t.profiles())
     return events.select(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise import constants as K
 from shelfwise import schemas
-from shelfwise.sources.storage import path_exists
+from shelfwise.sources.storage import is_folder, path_exists
 
 
 def jdbc_options(url: str, table: str | None = None, query: str | None = None,
@@ -82,16 +82,17 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_feed(spark: SparkSession, path: str, schema: str = schemas.FEED,
+              multi_line: bool = False) -> DataFrame:
+    """A product feed by file extension; every field arrives as text.
 
-
-def read_feed(spark: SparkSession, path: str, schema: str = schemas.FEED) -> DataFrame:
-    """A product feed by file extension; every field arrives as text."""
+    ``multi_line`` is for fields with line breaks: such a CSV file is read by one task.
+    """
     extension = os.path.splitext(path.rstrip("/"))[1].lower()
     if extension == ".csv":
         return (spark.read.schema(schema)
-                .options(header="true", escape='"', multiLine="true", enforceSchema="false")
+                .options(header="true", escape='"', multiLine=str(multi_line).lower(),
+                         enforceSchema="false")
                 .csv(path))
     if extension == ".json":
         return read_json_array(spark, path, schema)
@@ -104,18 +105,23 @@ def default_catalog(spark: SparkSession) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """A catalog file (one JSON array) with ``pos``, the order of its entries.
+    """A catalog with ``pos``, the order of its entries.
 
-    A missing or unreadable file gives the default catalog.
+    A folder holds records with a stored ``pos`` (``sinks.write_catalog``), which are read in parallel. A
+    file is one JSON array, whose order is its text; only one task can read that, so it suits
+    catalogs that people keep by hand. A missing or unreadable catalog gives the default one.
     """
     if not path_exists(spark, path):
         return default_catalog(spark)
-    element = "array<struct<" + schemas.CATALOG.replace(", ", ",").replace(" ", ":") + ">>"
     try:
-        document = spark.read.text(path, wholetext=True).select(
-            F.from_json("value", element, {"mode": "FAILFAST"}).alias("entries"))
-        catalog = document.select(F.posexplode("entries").alias("pos", "entry")).select(
-            "entry.*", F.col("pos").cast("bigint").alias("pos"))
+        if is_folder(spark, path):
+            catalog = spark.read.schema(f"{schemas.CATALOG}, pos bigint").option("mode", "FAILFAST").json(path)
+        else:
+            element = "array<struct<" + schemas.CATALOG.replace(", ", ",").replace(" ", ":") + ">>"
+            document = spark.read.text(path, wholetext=True).select(
+                F.from_json("value", element, {"mode": "FAILFAST"}).alias("entries"))
+            catalog = document.select(F.posexplode("entries").alias("pos", "entry")).select(
+                "entry.*", F.col("pos").cast("bigint").alias("pos"))
         catalog.agg(F.max("id")).collect()  # one row: raises now if the text is no catalog
         return catalog
     except Exception as error:  # the task failure reaches Python under several classes

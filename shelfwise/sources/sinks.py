@@ -8,10 +8,6 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
 # JSON texts keep microseconds; Spark's default keeps milliseconds.
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
                 "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -21,6 +17,11 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**JSON_OPTIONS).json(path)
 
 
+def write_catalog(catalog: DataFrame, path: str) -> None:
+    """A catalog as files of records, each with ``pos``, the order of its entries."""
+    write_json(catalog.select("id", "name", "category", "price", "description", "pos"), path)
+
+
 def counted_write(df: DataFrame, path: str, fmt: str = "parquet",
                   partition_by: Sequence[str] = (), nulls: bool = False,
                   options: Mapping[str, str] = {}) -> dict:

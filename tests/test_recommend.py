@@ -132,7 +132,7 @@ def test_seeds_change_the_fill_only(spark):
     assert all(ids[0] == 1 and 0 not in ids and len(set(ids)) == 6 for ids in found)
 
 
-def test_histories_and_large_users(spark):
+def test_histories_of_users_of_any_size(spark):
     rng = random.Random(5)
     kinds = [K.VIEW_EVENT, K.PURCHASE_EVENT, "click"]
     events = [(i, i // 2, rng.choice([1, 1, 2, 3, None]), rng.choice(kinds), i + 1000)
@@ -140,8 +140,7 @@ def test_histories_and_large_users(spark):
     df = spark.createDataFrame(
         events, "event_id bigint, ts bigint, user_id bigint, event_type string, product_id bigint")
     positioned = H.positions(df)
-    limit = sum(1 for e in events if e[2] == 2)
-    out = {r["event_id"]: r for r in H.with_histories(positioned, limit).collect()}
+    out = {r["event_id"]: r for r in H.with_histories(positioned, 4).collect()}
     lists = {}
     for i, _, u, kind, p in events:
         if u is None:
@@ -150,12 +149,27 @@ def test_histories_and_large_users(spark):
         viewed, bought = lists.setdefault(u, ([], []))
         row = out[i]
         assert (row["views_before"], row["purchases_before"]) == (len(viewed), len(bought))
-        large = sum(1 for e in events if e[2] == u) > limit
-        assert row["viewing_history"] == (None if large else viewed)
-        assert row["purchase_history"] == (None if large else bought)
+        assert row["viewing_history"] == viewed
+        assert row["purchase_history"] == bought
         {K.VIEW_EVENT: viewed, K.PURCHASE_EVENT: bought}.get(kind, []).append(p)
     entries = rows(H.entries(positioned), "user_id", "event_type", "seq", "product_id")
     assert entries == sorted(
         [(u, kind, n + 1, p) for u, (v, b) in lists.items()
          for kind, items in ((K.VIEW_EVENT, v), (K.PURCHASE_EVENT, b))
          for n, p in enumerate(items)], key=repr)
+
+
+def test_a_user_with_thousands_of_events_keeps_full_histories(spark):
+    n = 2500
+    events = [(i, i, 7, K.VIEW_EVENT if i % 3 else K.PURCHASE_EVENT, i + 1000) for i in range(n)]
+    df = spark.createDataFrame(
+        events, "event_id bigint, ts bigint, user_id bigint, event_type string, product_id bigint")
+    out = H.with_histories(H.positions(df)).selectExpr(
+        "event_id", "size(viewing_history) AS v", "size(purchase_history) AS p",
+        "try_element_at(viewing_history, 1) AS first", "try_element_at(viewing_history, -1) AS last").collect()
+    for r in out:
+        seen = [e[4] for e in events[:r["event_id"]] if e[3] == K.VIEW_EVENT]
+        assert (r["v"], r["p"]) == (len(seen), r["event_id"] - len(seen))
+        if seen:
+            assert (r["first"], r["last"]) == (seen[0], seen[-1])
+    assert len(out) == n
