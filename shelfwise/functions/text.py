@@ -23,10 +23,6 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
-    return F.coalesce(ratio(numerator, denominator), F.lit(0.0))
-
-
 def reason_in(reason: Column, words: Sequence[str]) -> Column:
     """Whether a reason contains one of the words, ignoring case; NULL for a NULL reason."""
     return reason.rlike("(?i)" + "|".join(words))

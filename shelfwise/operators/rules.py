@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 import yaml
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise import constants as K
 
@@ -62,9 +62,9 @@ def rename_for_table(df: DataFrame, table: str,
     return rename_existing(df, renames.get(table, {}))
 
 
-def load_renames(path: str) -> dict:
-    with open(path, encoding="utf-8") as source:
-        return yaml.safe_load(source) or {}
+def load_renames(spark: SparkSession, path: str) -> dict:
+    """The rename maps of a YAML file, in any store that Spark reads; an empty file has none."""
+    return yaml.safe_load("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())) or {}
 
 
 def cased(value: Column, style: str) -> Column:
@@ -102,14 +102,3 @@ def apply_rules(df: DataFrame, rules: CleaningRules) -> DataFrame:
         out.append(value.alias(name))
     return renamed.select(*out)
 
-
-def rules_table(spark, table: str, rules: CleaningRules) -> DataFrame:
-    """Rules as rows (table, column, rule, value)."""
-    rows = []
-    for rule in ("rename_columns", "type_conversions", "null_replacements", "case_formatting"):
-        rows += [(table, c, rule, str(v)) for c, v in getattr(rules, rule).items()]
-    rows += [(table, c, "standardize_units", f"{v['from']} -> {v['to']}")
-             for c, v in rules.standardize_units.items()]
-    schema = T.StructType([T.StructField(n, T.StringType())
-                           for n in ("table_name", "column_name", "rule", "value")])
-    return spark.createDataFrame(rows, schema)

@@ -62,6 +62,17 @@ def rename_map(t: Tables) -> DataFrame:
                                       none.alias("product_id"), "user_id")))
 
 
+@query("rename_map_file", with_tables("product_records", """
+    SELECT id AS product_id, * EXCLUDE (id) FROM d_product_records"""))
+def rename_map_file(t: Tables) -> DataFrame:
+    """All columns, renamed by a map that is read from a file."""
+    from shelfwise.sources.storage import new_path
+    path = new_path(t.spark, "renames")
+    t.spark.createDataFrame([("products:\n  id: product_id\n  absent: ignored\n",)], "value string").coalesce(1) \
+        .write.text(path)
+    return R.rename_for_table(t.product_records(), "products", R.load_renames(t.spark, path))
+
+
 @query("unit_rule", with_tables("images", r"""
     SELECT product_id, image_no,
       regexp_replace(regexp_replace(product_id || ' kg  net', '\s+', '', 'g'), 'kg', 'kilogram',

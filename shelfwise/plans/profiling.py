@@ -93,6 +93,19 @@ def profile_distinct_approx(t: Tables) -> DataFrame:
     return P.distinct_counts(t.cart_item(), approximate=True)
 
 
+@query("profile_distinct_bound", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, true AS close, true AS repeatable" for c in CART))
+def profile_distinct_bound(t: Tables) -> DataFrame:
+    """The approximate counts against the exact ones: five times the promised deviation of 5 percent."""
+    cart = t.cart_item()
+    one, two = (P.distinct_counts(cart, approximate=True).withColumnRenamed("distinct_count", n)
+                for n in ("one", "two"))
+    both = P.distinct_counts(cart).join(one, "column_name").join(two, "column_name")
+    return both.select("column_name", (F.abs(F.col("one") - F.col("distinct_count"))
+                                       <= 0.25 * F.col("distinct_count") + 1).alias("close"),
+                       (F.col("one") == F.col("two")).alias("repeatable"))
+
+
 @query("profile_topn", with_tables("cart_item", _top("d_cart_item", CART, 5)))
 def profile_topn(t: Tables) -> DataFrame:
     return P.top_values(t.cart_item())

@@ -56,6 +56,24 @@ def recommend_seeded(t: Tables) -> DataFrame:
     return R.exploded(R.recommend(views, catalog, 3, R.seeded_fill(7), preferences))
 
 
+@query("recommend_seeded_holds", with_tables("views", """
+    SELECT event_id, true AS complete, true AS others, true AS by_tier, true AS repeatable
+    FROM d_views"""))
+def recommend_seeded_holds(t: Tables) -> DataFrame:
+    """What holds for any fill order: three distinct other products in the order of their tiers."""
+    views, catalog, preferences = prepared(t)
+    one, two = (R.recommend(views, catalog, 3, R.seeded_fill(7), preferences) for _ in range(2))
+    again = two.select("event_id", F.col("recommendations").alias("again"))
+    ids = F.transform("recommendations", lambda r: r["id"])
+    tiers = F.transform("recommendations", lambda r: r["tier"])
+    viewed = views.select("event_id", F.col("product_id").alias("viewed"))
+    return one.join(again, "event_id").join(viewed, "event_id").select(
+        "event_id", (F.size(F.array_distinct(ids)) == 3).alias("complete"),
+        (~F.array_contains(ids, F.col("viewed"))).alias("others"),
+        (tiers == F.array_sort(tiers)).alias("by_tier"),
+        (F.col("recommendations") == F.col("again")).alias("repeatable"))
+
+
 @query("feature_matches", with_tables("profiles products", """
     SELECT DISTINCT lower(f) AS feature, p.id FROM (SELECT unnest(feats) AS f FROM d_profiles)
     JOIN d_products p ON contains(p.name, lower(f))"""))
@@ -134,6 +152,23 @@ def ab_split_hashed(t: Tables) -> DataFrame:
     return R.global_metrics(with_variant(counters(t), "round 1"), ["variant"])
 
 
+@query("ab_split_holds", with_tables("user_counters", f"""
+    SELECT {_SUMS}, true AS both_variants, true AS share_near_half FROM d_user_counters"""))
+def ab_split_holds(t: Tables) -> DataFrame:
+    """The hashed split loses nobody: its variants add up to the whole, and each has its share."""
+    from shelfwise.streaming.replay import with_variant
+    counted = counters(t)
+    split = with_variant(counted, "round 1")
+    users = split.select("user_id", "variant").distinct().agg(
+        F.countDistinct("user_id").alias("users"), F.count("*").alias("places"),
+        F.count_if(F.col("variant") == "A").alias("a"))
+    sums = R.global_metrics(split, ["variant"]).agg(
+        *[F.sum(c).alias(c) for c in R.COUNTERS], F.countDistinct("variant").alias("variants"))
+    return sums.join(users).select(  # one row each
+        *R.COUNTERS, ((F.col("variants") == 2) & (F.col("users") == F.col("places"))).alias("both_variants"),
+        (F.abs(F.col("a") / F.col("users") - 0.5) < 0.25).alias("share_near_half"))
+
+
 @query("user_history_asof", with_tables("engine_events", """
     SELECT event_id, user_id, event_type, product_id,
       count(*) FILTER (event_type = 'product_view') OVER w AS views_before,

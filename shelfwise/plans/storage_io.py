@@ -22,6 +22,17 @@ def io_json_roundtrip(t: Tables) -> DataFrame:
     return t.spark.read.schema(wishes.schema).json(path)
 
 
+@query("io_json_arrays", with_tables("wishlist", "SELECT * FROM d_wishlist"))
+def io_json_arrays(t: Tables) -> DataFrame:
+    """Rows in files that each hold one JSON array of at most a thousand entries."""
+    wishes, path = t.wishlist(), new_path(t.spark, "arrays")
+    entry = F.struct(*wishes.columns)
+    part = wishes.groupBy(F.floor(F.col("id") / 1000).alias("part")).agg(
+        F.to_json(F.collect_list(entry), sinks.JSON_OPTIONS).alias("value"))
+    part.write.partitionBy("part").text(path)
+    return readers.read_json_array(t.spark, path, wishes.schema).select(*wishes.columns)
+
+
 @query("io_csv_roundtrip", """SELECT 'S-' || p_partkey AS product_id, p_name AS description,
     CASE WHEN p_partkey % 31 <> 0 THEN '["' || p_partkey || '.png"]' END AS images
     FROM part""")

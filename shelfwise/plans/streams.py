@@ -258,6 +258,17 @@ def stream_flatten_recs(t: Tables) -> DataFrame:
     return M.flatten_recommendations(M.output_messages(texts))
 
 
+@query("stream_flatten_purchases", with_tables("engine_events products", """
+    SELECT event_id, strftime(ts, '%H:%M:%S') AS time, CAST(user_id AS VARCHAR) AS "user",
+      p.name AS product_name, p.price
+    FROM d_engine_events e JOIN d_products p ON p.id = e.product_id
+    WHERE event_type = 'product_purchase'"""))
+def stream_flatten_purchases(t: Tables) -> DataFrame:
+    """Display rows of the purchase messages, built straight from the events."""
+    texts = E.to_messages(E.purchase_messages(E.accepted(E.parse(E.to_messages(built(t))))))
+    return M.flatten_purchases(M.output_messages(texts))
+
+
 @query("stream_flatten_events", with_tables("engine_events products", """
     SELECT event_id, event_type, strftime(ts, '%H:%M:%S') AS time,
       CASE WHEN user_id % 7 = 0 THEN 'Anonymous' ELSE CAST(user_id AS VARCHAR) END AS "user",
