@@ -1,11 +1,12 @@
 """Similarity join of documents by the Jaccard index of their word n-grams.
 
 Prefix filtering: in one order of all n-grams, rare ones first, two sets that are similar enough
-share an n-gram among the first n - ceil(t n) + 1 of each. The order goes by a sketch of document
-frequencies of fixed size, then by key; any order is right, a good one is cheap.
+share an n-gram among the first n - ceil(t n) + 1 of each.
 
 1. Texts are dealt to chunks once. Equal sets count as one; sets too small to resemble another
-   only join their equals.
+   only join their equals. An exchange of packed blocks counts every n-gram over all sets; the order
+   goes by these counts (up to 255, over 32 bits of the key and its part), then by key. Any order is right,
+   and a rare-first one leaves few candidates.
 2. Prefix n-grams that two different sets share are found by an exchange of packed blocks. Only
    documents that have any are candidates.
 3. Candidates that share a prefix n-gram, pass the length and the positional filter are pairs. First
@@ -35,8 +36,6 @@ from shelfwise.llm.scratch import cut, stored
 
 WORDS = 3
 THRESHOLD = (90, 100)  # links from 90 / 100 on
-SKETCH_BITS = 20  # counters of the frequency sketch, 4 bytes each: its size does not grow
-_SLICES = 64
 FEW = 500_000  # ids that may be broadcast, 8 bytes each
 _ROW = "rank long, n long, s1 long, s2 long, keys array<long>, places array<int>"
 
@@ -71,68 +70,57 @@ def _sum(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-def _bucket(keys: np.ndarray) -> np.ndarray:
-    return (keys & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
+class Chosen:
+    """The distinct sets of a chunk that can resemble another set, and their n-grams."""
 
-
-def frequencies(documents: DataFrame, text_col: str, size: int) -> np.ndarray:
-    """The frequency sketch: documents per hashed n-gram, summed over tasks in slices."""
-    width = (1 << SKETCH_BITS) // _SLICES
-
-    def count(batches):
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in batches:
-            for part in W.slices(batch, text_col):
-                total += np.bincount(_bucket(Sets(part[text_col], size).key), minlength=len(total))
-        parts = total.reshape(_SLICES, width)
-        yield pd.DataFrame({"slice": np.arange(_SLICES), "counts": [p.tobytes() for p in parts]})
-
-    def add(key, frame):
-        total = np.zeros(width, np.int64)
-        for raw in frame["counts"]:
-            total += np.frombuffer(raw, np.int64)
-        return pd.DataFrame({"slice": [key[0]], "counts": [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()]})
-
-    schema = "slice int, counts binary"
-    rows = documents.select(text_col).mapInPandas(count, schema).groupBy("slice").applyInPandas(add, schema).collect()
-    out = np.zeros((_SLICES, width), np.int32)
-    for place, raw in rows:
-        out[place] = np.frombuffer(raw, np.int32)
-    return out.ravel()
-
-
-class Prefixes:
-    """The distinct sets of a chunk that can resemble another set, and their prefixes."""
-
-    def __init__(self, frame: pd.DataFrame, size: int, threshold: tuple[int, int], counts: np.ndarray) -> None:
-        num, den = threshold
+    def __init__(self, frame: pd.DataFrame, size: int, threshold: tuple[int, int]) -> None:
+        self.num, self.den = threshold
         self.rank = frame["rank"].to_numpy(np.int64)
         self.sets = sets = Sets(frame["text"], size)
         # one text for each distinct set, the one with the smallest rank
         order = np.lexsort((self.rank, sets.s2, sets.s1, sets.n))
-        head = np.ones(len(order), bool)
+        same = np.ones(len(order), bool)
+        same[:1] = False
         for x in (sets.n, sets.s1, sets.s2):
-            head[1:] &= x[order][1:] == x[order][:-1]
-        head[1:] = ~head[1:]
-        # a set of n differs from a similar one by an n-gram at least: n / (n + 1) >= t
+            same[1:] &= x[order][1:] == x[order][:-1]
         chosen = np.zeros(len(order), bool)
-        chosen[order[head]] = True
-        self.chosen = chosen & (sets.n * den >= num * (sets.n + 1)) & (self.rank != B.LAST)
-        own = np.flatnonzero(self.chosen[sets.text])
-        key, text = sets.key[own], sets.text[own]
-        order = np.lexsort((key, counts[_bucket(key)], text))
-        key, text = key[order], text[order]
+        chosen[order[~same]] = True
+        # a set of n differs from a similar one by an n-gram at least: n / (n + 1) >= t
+        chosen &= (sets.n * self.den >= self.num * (sets.n + 1)) & (self.rank != B.LAST)
+        own = np.flatnonzero(chosen[sets.text])
+        self.key, self.text = sets.key[own], sets.text[own]
+        self.keys, self.which = B.distinct(self.key)
+
+    def counted(self, chunk: int, parts: int) -> pd.DataFrame:
+        """Blocks of 32 bits of each distinct key, and how many of the sets have it."""
+        times = np.minimum(np.bincount(self.which, minlength=len(self.keys)), 255).astype(np.uint8)
+        bits = np.uint64(parts.bit_length() - 1)
+        return B.pack(chunk, parts, self.keys, short=((self.keys << bits) >> np.uint64(32)).astype(np.uint32),
+                      times=times).drop(columns="keys")
+
+    def prefixes(self, counts: pd.DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Key, text and place of the n-grams in the prefixes, in the order of the texts."""
+        weight = np.zeros(len(self.keys), np.uint8)
+        bound = B.cuts(self.keys, parts)
+        own = counts[counts["kind"] == 0]
+        for part, raw in zip(own["part"], own["bits"], strict=True):
+            weight[bound[part]:bound[part + 1]] = np.frombuffer(raw, np.uint8)
+        order = np.lexsort((self.key, weight[self.which], self.text))
+        key, text = self.key[order], self.text[order]
         place = np.arange(len(key)) - np.searchsorted(text, text)
-        n = sets.n[text]
-        inside = place < n - -(-num * n // den) + 1
-        self.key, self.text, self.place = key[inside], text[inside], place[inside]
+        n = self.sets.n[text]
+        inside = place < n - -(-self.num * n // self.den) + 1
+        return key[inside], text[inside], place[inside]
 
-    def grouped(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct prefix keys, a set of each, whether there are several, and each entry's key."""
-        keys, which = B.distinct(self.key)
-        one = np.zeros(len(keys), np.uint64)
-        one[which] = self.sets.s1[self.text]
-        return keys, one, np.bincount(which, minlength=len(keys)) > 1, which
+
+def _frequencies(blocks: pd.DataFrame) -> pd.DataFrame:
+    """For each block the number of sets with each of its n-grams, 255 at most."""
+    short, times = B.unpack(blocks, "short", np.uint32), B.unpack(blocks, "times", np.uint8)
+    _, which = B.distinct(short)
+    total = np.minimum(np.bincount(which, weights=times), 255).astype(np.uint8)[which]
+    ends = np.cumsum(blocks["times"].map(len).to_numpy(np.int64))
+    return pd.DataFrame({"chunk": blocks["chunk"], "part": blocks["part"], "kind": np.zeros(len(blocks), np.int32),
+                         "bits": [total[a:b].tobytes() for a, b in zip(np.append(0, ends[:-1]), ends, strict=True)]})
 
 
 def candidates(documents: DataFrame, size: int, threshold: tuple[int, int], id_col: str, text_col: str) -> DataFrame:
@@ -140,11 +128,22 @@ def candidates(documents: DataFrame, size: int, threshold: tuple[int, int], id_c
     source = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     chunks, parts = B.layout(source)
     texts = B.chunked(source, chunks)
-    shared = documents.sparkSession.sparkContext.broadcast(frequencies(source, "text", size))
 
-    def prefixes(key, frame):
-        keys, one, several, _ = Prefixes(frame, size, threshold, shared.value).grouped()
-        return B.pack(key[0], parts, keys, one=one, several=several)
+    def count(key, frame):
+        return Chosen(frame, size, threshold).counted(key[0], parts)
+
+    def grouped(own: Chosen, counts: pd.DataFrame):
+        key, text, place = own.prefixes(counts, parts)
+        keys, which = B.distinct(key)
+        one = np.zeros(len(keys), np.uint64)
+        one[which] = own.sets.s1[text]
+        return key, text, place, keys, which, one
+
+    def prefixes(key, frame, counts):
+        if not len(frame):
+            return B.pack(0, parts, np.zeros(0, np.uint64), one=np.zeros(0, np.uint64), several=np.zeros(0, bool))
+        _, _, _, keys, which, one = grouped(Chosen(frame, size, threshold), counts)
+        return B.pack(key[0], parts, keys, one=one, several=np.bincount(which, minlength=len(keys)) > 1)
 
     def common(frame):
         keys, which = B.distinct(B.unpack(frame, "keys", np.uint64))
@@ -156,23 +155,26 @@ def candidates(documents: DataFrame, size: int, threshold: tuple[int, int], id_c
         hot[which[B.unpack(frame, "several", bool)]] = True
         return B.answer(frame, hot[which], 1)
 
-    def rows(frame, bits):
+    def rows(frame, answers):
         if not len(frame):
             return pd.DataFrame({k: [] for k in ("rank", "n", "s1", "s2", "keys", "places")})
-        own = Prefixes(frame, size, threshold, shared.value)
-        keys, _, _, which = own.grouped()
-        hit = np.flatnonzero(B.flags_of(bits, 1, keys, parts)[which])
-        key, text, place = own.key[hit].view(np.int64), own.text[hit], own.place[hit]
+        own = Chosen(frame, size, threshold)
+        key, text, place, keys, which, _ = grouped(own, answers)
+        hit = np.flatnonzero(B.flags_of(answers, 1, keys, parts)[which])
+        key, text, place = key[hit].view(np.int64), text[hit], place[hit]
         bound = np.searchsorted(text, np.arange(len(frame) + 1)).tolist()
-        some = [b > a for a, b in zip(bound[:-1], bound[1:], strict=True)]
+        spans = list(zip(bound[:-1], bound[1:], strict=True))
         return pd.DataFrame({
             "rank": own.rank, "n": own.sets.n, "s1": own.sets.s1.view(np.int64), "s2": own.sets.s2.view(np.int64),
-            "keys": [key[a:b] if s else None for a, b, s in zip(bound[:-1], bound[1:], some, strict=True)],
-            "places": [place[a:b] if s else None for a, b, s in zip(bound[:-1], bound[1:], some, strict=True)]})
+            "keys": [key[a:b] if b > a else None for a, b in spans],
+            "places": [place[a:b] if b > a else None for a, b in spans]})
 
-    blocks = texts.groupBy("chunk").applyInPandas(prefixes, "part int, chunk int, keys binary, one binary, several binary")
+    each = texts.groupBy("chunk").applyInPandas(count, "part int, chunk int, short binary, times binary")
+    counts = each.groupBy("part").applyInPandas(_frequencies, B._BITS)
+    blocks = (texts.groupBy("chunk").cogroup(counts.groupBy("chunk"))
+              .applyInPandas(prefixes, "part int, chunk int, keys binary, one binary, several binary"))
     bits = blocks.groupBy("part").applyInPandas(common, B._BITS)
-    return texts.groupBy("chunk").cogroup(bits.groupBy("chunk")).applyInPandas(rows, _ROW)
+    return texts.groupBy("chunk").cogroup(counts.unionByName(bits).groupBy("chunk")).applyInPandas(rows, _ROW)
 
 
 def sets_of(ranks: DataFrame, documents: DataFrame, size: int) -> DataFrame:
@@ -221,13 +223,15 @@ def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
 
 
 def _fits(x: str, y: str, threshold: tuple[int, int]) -> Column:
-    """Length and positional filter of two entries: structs of n, rank and place."""
+    """Length and positional filter of two entries: structs of n, rank and place.
+
+    Nothing before the first n-gram that two prefixes share is in both sets, so what follows in the shorter rest
+    bounds the overlap. The bound holds for that first one, and one passing n-gram makes a pair.
+    """
     num, den = threshold
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    before = F.least(F.col(f"{x}.place"), F.col(f"{y}.place"))
-    after = F.least(n - F.col(f"{x}.place"), m - F.col(f"{y}.place"))
-    return ((F.least(n, m) * den >= F.greatest(n, m) * num)
-            & ((before + after) * den >= (n + m - before - after) * num))
+    most = F.least(n - F.col(f"{x}.place"), m - F.col(f"{y}.place"))
+    return (F.least(n, m) * den >= F.greatest(n, m) * num) & (most * den >= (n + m - most) * num)
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
