@@ -9,12 +9,13 @@ share an n-gram among the first n - ceil(t n) + 1 of each.
    and a rare-first one leaves few candidates.
 2. Prefix n-grams that two different sets share are found by an exchange of packed blocks. Only
    documents that have any are candidates.
-3. Candidates that share a prefix n-gram, pass the length and the positional filter are pairs. First
+3. Candidates that share a prefix n-gram and pass the length, the positional and the suffix filter are
+   pairs; the suffix filter bounds the overlap by the sets' counts per range of keys. First
    each bucket's members pair with three of the bucket, which links groups of many near copies without
    their pairs. After contracting these links, all pairs of a bucket are formed that are not linked
    yet; a pair inside one component could add nothing.
-4. Each pair is verified once on the whole sets, behind a suffix filter that compares the sets' counts
-   per range of keys. Only the sets of documents in pairs are built again and travel.
+4. Each pair is verified once on the whole sets. Only the sets of documents in pairs are built again
+   and travel.
 
 N-grams are compared by 64-bit keys, equal sets by their size and 128 bits.
 
@@ -37,7 +38,8 @@ from shelfwise.llm.scratch import cut, stored
 WORDS = 3
 THRESHOLD = (90, 100)  # links from 90 / 100 on
 FEW = 500_000  # ids that may be broadcast, 8 bytes each
-_ROW = "rank long, n long, s1 long, s2 long, keys array<long>, places array<int>"
+RANGES = 128  # of keys, for the suffix filter
+_ROW = "rank long, n long, s1 long, s2 long, keys array<long>, places array<int>, ranges array<smallint>"
 
 
 class Sets:
@@ -98,6 +100,13 @@ class Chosen:
         return B.pack(chunk, parts, self.keys, short=((self.keys << bits) >> np.uint64(32)).astype(np.uint32),
                       times=times).drop(columns="keys")
 
+    def ranges(self, row: int) -> np.ndarray | None:
+        """How many keys of a set lie in each of RANGES equal ranges."""
+        keys = self.sets.key[self.sets.first[row]:self.sets.first[row + 1]]
+        place = keys >> np.uint64(64 - (RANGES.bit_length() - 1))
+        counts = np.bincount(place.astype(np.int64), minlength=RANGES)
+        return counts.astype(np.int16) if counts.max() < 2**15 else None  # no filter then
+
     def prefixes(self, counts: pd.DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Key, text and place of the n-grams in the prefixes, in the order of the texts."""
         weight = np.zeros(len(self.keys), np.uint8)
@@ -157,7 +166,7 @@ def candidates(documents: DataFrame, size: int, threshold: tuple[int, int], id_c
 
     def rows(frame, answers):
         if not len(frame):
-            return pd.DataFrame({k: [] for k in ("rank", "n", "s1", "s2", "keys", "places")})
+            return pd.DataFrame({k: [] for k in ("rank", "n", "s1", "s2", "keys", "places", "ranges")})
         own = Chosen(frame, size, threshold)
         key, text, place, keys, which, _ = grouped(own, answers)
         hit = np.flatnonzero(B.flags_of(answers, 1, keys, parts)[which])
@@ -167,7 +176,8 @@ def candidates(documents: DataFrame, size: int, threshold: tuple[int, int], id_c
         return pd.DataFrame({
             "rank": own.rank, "n": own.sets.n, "s1": own.sets.s1.view(np.int64), "s2": own.sets.s2.view(np.int64),
             "keys": [key[a:b] if b > a else None for a, b in spans],
-            "places": [place[a:b] if b > a else None for a, b in spans]})
+            "places": [place[a:b] if b > a else None for a, b in spans],
+            "ranges": [own.ranges(i) if b > a else None for i, (a, b) in enumerate(spans)]})
 
     each = texts.groupBy("chunk").applyInPandas(count, "part int, chunk int, short binary, times binary")
     counts = each.groupBy("part").applyInPandas(_frequencies, B._BITS)
@@ -210,16 +220,9 @@ def verify(pairs: DataFrame, documents: DataFrame, size: int, threshold: tuple[i
 
 
 def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
-    """Whether two sorted sets reach the threshold; the suffix filter decides most that do not."""
-    total = len(a) + len(b)
-    bound = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
-    cut_a = np.concatenate(([0], np.searchsorted(a, bound), [len(a)]))
-    cut_b = np.concatenate(([0], np.searchsorted(b, bound), [len(b)]))
-    most = int(np.minimum(np.diff(cut_a), np.diff(cut_b)).sum())
-    if den * most < num * (total - most):
-        return False
+    """Whether two sorted sets reach the threshold."""
     both = int(np.isin(a, b, assume_unique=True, kind="sort").sum())
-    return den * both >= num * (total - both)
+    return den * both >= num * (len(a) + len(b) - both)
 
 
 def _fits(x: str, y: str, threshold: tuple[int, int]) -> Column:
@@ -234,6 +237,19 @@ def _fits(x: str, y: str, threshold: tuple[int, int]) -> Column:
     return (F.least(n, m) * den >= F.greatest(n, m) * num) & (most * den >= (n + m - most) * num)
 
 
+def _first(x: str, y: str) -> Column:
+    """Whether the key is the first that two prefixes share: each pair comes up once."""
+    return F.get(F.array_intersect(f"{x}.keys", f"{y}.keys"), F.lit(0)) == F.col("key")
+
+
+def _may_overlap(x: str, y: str, threshold: tuple[int, int]) -> Column:
+    """Suffix filter: the sets' counts per range of keys bound the overlap."""
+    num, den = threshold
+    both = F.zip_with(f"{x}.ranges", f"{y}.ranges", lambda a, b: F.least(a, b).cast("int"))
+    most = F.aggregate(both, F.lit(0), lambda total, i: total + i)
+    return F.coalesce(most * den >= (F.col(f"{x}.n") + F.col(f"{y}.n") - most) * num, F.lit(True))
+
+
 def _pairs(rows: DataFrame) -> DataFrame:
     """Distinct pairs, the smaller rank first."""
     x, y = F.col("x.rank"), F.col("y.rank")
@@ -259,9 +275,14 @@ def links(rows: DataFrame, documents: DataFrame, size: int, threshold: tuple[int
     sizes = placed.groupBy("key", "group").count()
     main = (sizes.groupBy("key").agg(F.count("*").alias("groups"), F.max_by("group", F.struct("count", "group")).alias("main"))
             .where("groups > 1").select("key", "main"))
-    open_ = cut(placed.join(main, "key"))
+    more = rows.select(F.col("rank").alias("__id"), "keys", "ranges")
+    open_ = cut(placed.join(main, "key").join(more, F.col("x.rank") == F.col("__id")).select(
+        "key", F.struct("x.n", "x.rank", "x.place", "keys", "ranges").alias("x"), "group", "main"))
     rest = open_.where(F.col("group") != F.col("main")).select("key", F.col("x").alias("y"), F.col("group").alias("other"))
-    cross = open_.join(rest, "key").where((F.col("group") != F.col("other")) & _fits("x", "y", threshold))
+    # the main component's members meet the others, and these meet each other once
+    once = (F.col("group") == F.col("main")) | (F.col("x.rank") < F.col("y.rank"))
+    cross = open_.join(rest, "key").where((F.col("group") != F.col("other")) & once & _fits("x", "y", threshold)
+                                          & _first("x", "y") & _may_overlap("x", "y", threshold))
     more = verify(cut(_pairs(cross).join(pairs, ["a", "b"], "left_anti")), documents, size, threshold)
     return found.unionByName(more)
 
