@@ -34,7 +34,7 @@ THRESHOLD = 0.95
 PER_FILTER = 200
 HITS = 16  # filters times the share of vectors that pass one, before alpha is lowered
 MISSED = 0.005
-BLOCK = 3_000
+BLOCK = 8_000
 STRIPE = 500  # vectors of a filter that are compared with the others at once
 _TRIALS = 1_500
 
@@ -140,7 +140,7 @@ def filtered(representatives: DataFrame, codes) -> DataFrame:
                 places = [np.unique(cells(codes.value[size], f)) for f in found]
                 yield pd.DataFrame({"size": size, "cells": places, "id": own["id"], "copies": own["copies"],
                                     "vector": [r.tobytes() for r in raw],
-                                    "filters": [f.astype(np.int64).tobytes() for f in found]})
+                                    "filters": [f.astype(np.int32).tobytes() for f in found]})
 
     rows = representatives.select("id", "copies", "vector").mapInPandas(
         run, "size int, cells array<long>, id long, copies long, vector binary, filters binary")
@@ -159,9 +159,9 @@ def compare(key: tuple, frame: pd.DataFrame, own: Code, kind: type, threshold: f
     side = frame["block"].to_numpy()
     ids, copies = frame["id"].to_numpy(np.int64), frame["copies"].to_numpy(np.int64)
     rows = units(np.stack([np.frombuffer(v, kind) for v in frame["vector"]]))
-    lists = [np.frombuffer(f, np.int64) for f in frame["filters"]]
+    lists = [np.frombuffer(f, np.int32) for f in frame["filters"]]
     place = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    flat = np.concatenate(lists)
+    flat = np.concatenate(lists).astype(np.int64)
     here = np.flatnonzero(cells(own, flat) == cell)
     order = here[np.lexsort((place[here], flat[here]))]
     bounds = np.concatenate(([0], np.flatnonzero(np.diff(flat[order])) + 1, [len(order)]))

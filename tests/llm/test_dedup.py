@@ -139,7 +139,7 @@ def vectors(seed, dimension, n):
     return rows
 
 
-@pytest.mark.parametrize(("dimension", "block"), [(64, 3_000), (48, 60), (3, 40), (2, 3_000), (1, 3_000)])
+@pytest.mark.parametrize(("dimension", "block"), [(64, 8_000), (48, 60), (3, 40), (2, 8_000), (1, 8_000)])
 def test_cap_filters_against_all_pairs(spark, monkeypatch, dimension, block):
     import numpy as np
     monkeypatch.setattr(cap_filters, "BLOCK", block)
