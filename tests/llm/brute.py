@@ -137,8 +137,10 @@ def best_path(word, scores, unknown):
 def piece_ids(text, vocabulary):
     scores = {p: s for p, s, _ in vocabulary.scored}
     ids = {p: i for p, _, i in vocabulary.scored}
-    out = []
+    out, known = [], {}
     for word in re.findall(r" *[^ \n]+|\n| +", " " + text) if text else []:
-        for piece in best_path(word, scores, vocabulary.unknown):
-            out += [ids[piece]] if piece in ids else [int(vocabulary.byte_ids[b]) for b in piece.encode()]
+        if word not in known:
+            known[word] = [i for piece in best_path(word, scores, vocabulary.unknown) for i in
+                           ([ids[piece]] if piece in ids else [int(vocabulary.byte_ids[b]) for b in piece.encode()])]
+        out += known[word]
     return out
