@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
                                 "tools"))
 from compare import TABLES, compare  # noqa: E402
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from shelfwise.plans import ORACLE, QUERIES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -23,7 +24,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     outcome = compare(spark, db, FOLDER, name)
     assert outcome.startswith(("ok", "rows")), outcome
@@ -31,5 +32,6 @@ def test_query(spark, db, name):
 
 def test_registry(spark):
     assert set(oracle_sql()) <= set(queries())
-    assert len(set(queries()) - set(oracle_sql())) <= 3
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
+    assert len(set(QUERIES) - set(ORACLE)) <= 3
     assert entry(spark).count() > 0
