@@ -13,7 +13,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
-        if not context.master.startswith("local["):
+        if context.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="shelfwise-llm-")
     if not context.getCheckpointDir():
