@@ -36,6 +36,7 @@ DEPTH = 8  # segments that are told apart; the rest of a path is one more
 APART = 1.96
 STRENGTH = 4.0
 REJECT = 0.5
+NUMBER = r"^#?([.][a-z0-9#]{1,5})?$"  # segments that are kept: empty, a number, an extension
 
 
 class Rule(NamedTuple):
@@ -88,18 +89,22 @@ def shape(path: Column) -> Column:
 def templates(shapes: DataFrame) -> DataFrame:
     """host, shape and its template: rare values below a node become *, level by level.
 
-    ``shapes`` has one row per host and shape with its number of pages.
+    ``shapes`` has one row per host and shape with its number of pages. A node has at most 1 / MIN_SHARE common
+    values; their table is joined, so a large host is never gathered.
     """
     tree = shapes.select("host", "shape", "pages", F.array().cast("array<string>").alias("template"))
-    for level in range(DEPTH + 2):
-        node = Window.partitionBy("host", "template")
-        value = F.get(F.col("shape"), F.lit(level))
-        own = F.sum("pages").over(Window.partitionBy("host", "template", "value"))
-        common = (own >= MIN_PAGES) & (own >= MIN_SHARE * F.sum("pages").over(node))
-        common |= F.col("value").rlike("^(#.*)?$")  # numbers are wildcards already
+    for level in range(shapes.agg(F.max(F.size("shape"))).first()[0] or 0):  # DEPTH + 2 at most
+        tree = tree.withColumn("value", F.get(F.col("shape"), F.lit(level)))
+        children = tree.groupBy("host", "template", "value").agg(F.sum("pages").alias("own"))
+        nodes = children.groupBy("host", "template").agg(F.sum("own").alias("all"))
+        common = (children.where((F.col("own") >= MIN_PAGES) & F.col("value").isNotNull()).join(nodes, ["host", "template"])
+                  .where(F.col("own") >= MIN_SHARE * F.col("all"))
+                  .select("host", "template", "value", F.lit(True).alias("common")))
+        keep = F.col("common").isNotNull() | F.col("value").rlike(NUMBER)  # numbers are wildcards already
         step = F.when(F.col("value").isNull(), F.col("template")).otherwise(F.concat(
-            "template", F.array(F.when(common, F.col("value")).otherwise("*"))))
-        tree = tree.withColumn("value", value).withColumn("template", step).drop("value")
+            "template", F.array(F.when(keep, F.col("value")).otherwise("*"))))
+        tree = cut(tree.join(common, ["host", "template", "value"], "left").select(
+            "host", "shape", "pages", step.alias("template")))
     return tree.select("host", "shape", F.array_join("template", "/").alias("template"))
 
 
@@ -151,7 +156,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "page
     counted = cut(found.groupBy("host", "shape").agg(
         F.count("*").alias("pages"), F.count("by").alias("labelled"),
         F.count_if(F.col("by")["verdict"] == "block").alias("blocked")))
-    known = cut(purities(counted, cut(templates(counted))))
+    known = cut(purities(counted, templates(counted)))
     verdict = F.coalesce(F.col("by")["verdict"], F.when(F.col("purity") >= REJECT, "block").otherwise("allow"))
     return found.join(known, ["host", "shape"], "left").select(
         id_col, "host", "path", F.col("by")["rule"].alias("rule"), verdict.alias("verdict"), "template", "purity")

@@ -232,7 +232,7 @@ def plain_verdicts(rows):
             t = template[h, s]
             if level < len(s):
                 n = own[h, t, s[level]]
-                keep = re.fullmatch("(#.*)?", s[level]) or (n >= U.MIN_PAGES and n >= U.MIN_SHARE * node[h, t])
+                keep = re.search(U.NUMBER, s[level]) or (n >= U.MIN_PAGES and n >= U.MIN_SHARE * node[h, t])
                 t = (*t, s[level] if keep else "*")
             new[h, s] = t
         template = new
