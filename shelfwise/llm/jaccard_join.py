@@ -11,7 +11,7 @@ share an n-gram among the first n - ceil(t n) + 1 of each.
    documents that have any are candidates.
 3. Candidates that share a prefix n-gram and pass the length, the positional and the suffix filter are
    pairs; the suffix filter bounds the overlap by the sets' counts per range of keys. First
-   each bucket's members pair with three of the bucket, which links groups of many near copies without
+   each bucket's members pair with a dozen of the bucket, which links groups of many near copies without
    their pairs. After contracting these links, all pairs of a bucket are formed that are not linked
    yet; a pair inside one component could add nothing.
 4. Each pair is verified once on the whole sets. Only the sets of documents in pairs are built again
@@ -38,8 +38,9 @@ from shelfwise.llm.scratch import cut, stored
 WORDS = 3
 THRESHOLD = (90, 100)  # links from 90 / 100 on
 FEW = 500_000  # ids that may be broadcast, 8 bytes each
-RANGES = 128  # of keys, for the suffix filter
-_ROW = "rank long, n long, s1 long, s2 long, keys array<long>, places array<int>, ranges array<smallint>"
+HEADS = 10  # members of a bucket that all others are compared with at first
+RANGES = 512  # of keys, for the suffix filter
+_ROW = "rank long, n long, s1 long, s2 long, keys array<long>, places array<int>, ranges array<tinyint>"
 
 
 class Sets:
@@ -105,7 +106,7 @@ class Chosen:
         keys = self.sets.key[self.sets.first[row]:self.sets.first[row + 1]]
         place = keys >> np.uint64(64 - (RANGES.bit_length() - 1))
         counts = np.bincount(place.astype(np.int64), minlength=RANGES)
-        return counts.astype(np.int16) if counts.max() < 2**15 else None  # no filter then
+        return counts.astype(np.int8) if counts.max() < 2**7 else None  # no filter then
 
     def prefixes(self, counts: pd.DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Key, text and place of the n-grams in the prefixes, in the order of the texts."""
@@ -263,9 +264,9 @@ def links(rows: DataFrame, documents: DataFrame, size: int, threshold: tuple[int
     """
     entries = cut(rows.select(F.explode(F.arrays_zip("keys", "places")).alias("e"), "rank", "n").select(
         F.col("e.keys").alias("key"), F.struct("n", "rank", F.col("e.places").alias("place")).alias("x")))
-    hashed = F.xxhash64(F.col("x.rank"))
-    heads = entries.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.min_by("x", hashed).alias("any"))
-    heads = heads.select("key", F.explode(F.array_distinct(F.array("lo", "hi", "any"))).alias("y"))
+    some = [F.min_by("x", F.xxhash64(F.lit(i), F.col("x.rank"))).alias(f"h{i}") for i in range(HEADS)]
+    heads = entries.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), *some)
+    heads = heads.select("key", F.explode(F.array_distinct(F.array("lo", "hi", *(f"h{i}" for i in range(HEADS))))).alias("y"))
     pairs = cut(_pairs(entries.join(heads, "key").where(_fits("x", "y", threshold))))
     found = cut(verify(pairs, documents, size, threshold))
     joined = components(found)
