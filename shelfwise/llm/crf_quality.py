@@ -113,6 +113,14 @@ def lines_of(texts: pd.Series) -> Lines:
     return Lines(first, weight, np.concatenate((flags, own, before, after), axis=1))
 
 
+def gathered(texts: pd.Series) -> Lines:
+    """The lines of many texts, made slice by slice to bound the memory."""
+    parts = [lines_of(p["text"]) for p in W.slices(pd.DataFrame({"text": texts}))]
+    sizes = np.concatenate([np.diff(p.first) for p in parts])
+    return Lines(np.concatenate(([0], np.cumsum(sizes))), np.concatenate([p.weight for p in parts]),
+                 np.concatenate([p.table for p in parts]))
+
+
 class Field(NamedTuple):
     weights: np.ndarray  # features: evidence that a line is good
     moves: np.ndarray  # 2 x 2: from label, to label
@@ -161,7 +169,7 @@ def fit(texts: pd.Series, labels: np.ndarray, rounds: int = ROUNDS) -> Field | f
     labels = np.asarray(labels, float)
     if not len(labels) or labels.min() == labels.max():
         return float(labels.mean()) if len(labels) else 0.5
-    lines = lines_of(texts)
+    lines = gathered(texts)
     table = lines.table.astype(np.float64)
     target = np.repeat(labels, np.diff(lines.first))
     cuts = [np.arange(a, b, SEQUENCE) for a, b in zip(lines.first[:-1], lines.first[1:], strict=True)]
