@@ -13,11 +13,15 @@ hashes; blank lines are passed over and stay.
 Defined results: a null text stays null, an empty one empty; a text with fewer lines than a run
 loses none, a run may recur in its own document and then loses its later lines, a text may
 lose all lines and stay as an empty one; ids are integers, a null id counts as larger than all
-others; rows with equal ids count as one document; an empty table gives no rows; other columns stay.
+others; a row with a null id is a document of its own, and so are rows with equal ids and different texts
+(in the order of a hash of the text); rows equal in id and text are one document and keep the same
+lines; an empty table gives no rows; other columns stay.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.llm.blocks import LAST
@@ -25,61 +29,86 @@ from shelfwise.llm.scratch import cut
 from shelfwise.llm.tasks import unused
 
 MIN_LINES = 3
+KEY = ["rank", "mark", "row"]
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _runs(documents: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """rank, at (first line of the run, among the non-blank), place of its lines, fingerprint, keys."""
-    numbered = F.transform(_lines(F.col(text_col)), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    filled = F.filter(numbered, lambda x: F.length(F.trim(x["x"])) > 0)
-    rows = documents.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("rank"),
-        F.transform(filled, lambda x: F.struct(x["i"].alias("i"), F.xxhash64(x["x"]).alias("a"),
-                                               F.xxhash64(F.lit(1), x["x"]).alias("b"))).alias("line"))
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also if lambdas within refer to it."""
+    return F.get(F.transform(F.array(value), lambda once: use(once)), F.lit(0))
+
+
+def _filled(lines: Column) -> Column:
+    """The numbers of the lines that are not blank."""
+    numbered = F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    return F.transform(F.filter(numbered, lambda y: F.length(F.trim(y["x"])) > 0), lambda z: z["i"])
+
+
+def _keyed(documents: DataFrame, key: list[str], id_col: str, text_col: str) -> DataFrame:
+    """The documents with three columns that tell them apart: rank, hash of the text, and a number where the id is null.
+
+    The numbers are stored, so that all later reads see the same ones.
+    """
+    rank, mark, row = key
+    found = documents.withColumns({rank: F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)),
+                                   mark: F.xxhash64(text_col)})
+    null = F.col(id_col).isNull()
+    return found.where(~null).withColumn(row, F.lit(-1).cast("long")).union(
+        cut(found.where(null).withColumn(row, F.monotonically_increasing_id())))
+
+
+def _runs(documents: DataFrame, key: list[str], text_col: str, size: int) -> DataFrame:
+    """The key, at (first line of the run, among the non-blank), fingerprint, two hashes of the run."""
+    filled = F.filter(_lines(F.col(text_col)), lambda x: F.length(F.trim(x)) > 0)
+    rows = documents.select(*(F.col(c).alias(n) for c, n in zip(key, KEY, strict=True)), F.transform(
+        filled, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))).alias("line"))
     rows = rows.where(F.size("line") >= size)
     pair = F.transform(F.slice("line", 1, F.size("line") - 1), lambda x, i: F.xxhash64(
         x["a"], F.element_at("line", (i + 2).cast("int"))["a"]))
     rows = rows.withColumn("pair", pair)
     starts = F.sequence(F.lit(1), F.size("line") - size + 1)
 
-    def key(i: Column, part: str) -> Column:
+    def whole(i: Column, part: str) -> Column:
         return F.xxhash64(*(F.element_at("line", (i + k).cast("int"))[part] for k in range(size)))
 
     each = F.transform(starts, lambda i: F.struct(
-        i.alias("at"),
-        F.transform(F.slice("line", i, size), lambda x: x["i"]).alias("places"),
-        F.array_min(F.slice("pair", i, size - 1)).alias("fingerprint"),
-        key(i, "a").alias("a"), key(i, "b").alias("b")))
-    return rows.select("rank", F.explode(each).alias("run")).select("rank", "run.*")
+        i.alias("at"), F.array_min(F.slice("pair", i, size - 1)).alias("fingerprint"),
+        whole(i, "a").alias("a"), whole(i, "b").alias("b")))
+    return rows.select(*KEY, F.explode(each).alias("run")).select(*KEY, "run.*")
 
 
-def repeated_lines(documents: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id",
+def repeated_lines(documents: DataFrame, min_lines: int = MIN_LINES, key: list[str] = KEY,
                    text_col: str = "text") -> DataFrame:
-    """rank (the id, or the largest number for null) and the places of its lines that go."""
+    """The key of each document that loses lines, and where its repeated runs begin."""
     if min_lines < 2:
         raise ValueError("a run has at least two lines")
-    runs = _runs(documents, id_col, text_col, min_lines)
+    runs = _runs(documents, key, text_col, min_lines)
     again = runs.groupBy("fingerprint").count().where("count > 1").select("fingerprint")
     seen = cut(runs.join(again, "fingerprint").drop("fingerprint"))
-    first = seen.groupBy("a", "b").agg(F.min(F.struct("rank", "at")).alias("first"))
-    later = seen.join(first, ["a", "b"]).where(F.struct("rank", "at") > F.col("first"))
-    return later.groupBy("rank").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    first = seen.groupBy("a", "b").agg(F.min(F.struct(*KEY, "at")).alias("first"))
+    later = seen.join(first, ["a", "b"]).where(F.struct(*KEY, "at") > F.col("first"))
+    return later.groupBy(*KEY).agg(F.collect_set("at").alias("starts"))
 
 
 def remove_repeated_lines(documents: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id",
                           text_col: str = "text") -> DataFrame:
     """The documents with the repeated runs removed from their texts; all columns stay."""
-    key, lost = unused("__rank", documents), unused("__places", documents)
-    gone = repeated_lines(documents, min_lines, id_col, text_col).select(
-        F.col("rank").alias(key), F.col("places").alias(lost))
-    rank = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
-    both = documents.withColumn(key, rank).join(gone, key, "left")
-    lines = _lines(F.col(text_col))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(lost))
-    text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    key, lost = [unused(f"__{n}", documents) for n in KEY], unused("__starts", documents)
+    keyed = _keyed(documents, key, id_col, text_col)
+    gone = repeated_lines(keyed, min_lines, key, text_col).select(
+        *(F.col(n).alias(c) for c, n in zip(key, KEY, strict=True)), F.col("starts").alias(lost))
+    both = keyed.join(gone, key, "left")
+    runs = F.flatten(F.transform(F.col(lost), lambda at: F.sequence(at - 1, at + (min_lines - 2))))
+
+    def spared(lines: Column, filled: Column) -> Column:
+        out = F.transform(runs, lambda k: F.get(filled, k))
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), out)
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    text = _let(_lines(F.col(text_col)), lambda lines: _let(_filled(lines), lambda filled: spared(lines, filled)))
     return both.withColumn(text_col, F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(text)).select(
         *(both[c] if c != text_col else F.col(c) for c in documents.columns))
 

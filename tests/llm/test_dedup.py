@@ -129,6 +129,16 @@ def test_line_dedup_nulls_repeats_and_clashes(spark):
         line_winnowing.repeated_lines(frame, 1)
 
 
+def test_line_dedup_keeps_rows_without_an_own_id_apart(spark):
+    run = "a\nb\nc"
+    rows = [(1, run), (2, "first\nown\n" + run), (2, "p\nq\nr\ns\nt"), (None, "w\nx\n" + run), (None, "d\ne\nf\ng\nh"),
+            (None, "k\nl\nm"), (None, "k\nl\nm")]
+    for frame in (spark.createDataFrame(rows, DOCS), spark.createDataFrame(rows[::-1], DOCS).repartition(5)):
+        got = sorted(((r.doc_id, r.text) for r in line_winnowing.remove_repeated_lines(frame).collect()), key=repr)
+        assert got == sorted([(1, run), (2, "first\nown"), (2, "p\nq\nr\ns\nt"), (None, "w\nx"), (None, "d\ne\nf\ng\nh"),
+                              (None, "k\nl\nm"), (None, "")], key=repr)
+
+
 def vectors(seed, dimension, n):
     rng = random.Random(seed)
     rows = [[rng.gauss(0, 1) for _ in range(dimension)] for _ in range(n)]
