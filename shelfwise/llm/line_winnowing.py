@@ -1,6 +1,7 @@
 """Removal of runs of lines that occurred before, found by winnowing.
 
-A run of ``MIN_LINES`` consecutive lines is the shortest that is removed. Pairs of neighbouring
+A run of ``MIN_LINES`` consecutive lines is the shortest that is removed; with ``min_words`` also
+any run, down to one line, with so many words. Pairs of neighbouring
 lines are hashed, and of the pairs in each run the least hash is its fingerprint: equal
 runs have equal fingerprints, wherever they stand. Only runs whose fingerprint occurs again are
 looked at further. They are compared over their whole length, which extends the match from the fingerprint
@@ -29,6 +30,7 @@ from shelfwise.llm.scratch import cut
 from shelfwise.llm.tasks import unused
 
 MIN_LINES = 3
+WORD = r"[^\x20\x09-\x0D]+"
 KEY = ["rank", "mark", "row"]
 
 
@@ -60,12 +62,37 @@ def _keyed(documents: DataFrame, key: list[str], id_col: str, text_col: str) ->
         cut(found.where(null).withColumn(row, F.monotonically_increasing_id())))
 
 
-def _runs(documents: DataFrame, key: list[str], text_col: str, size: int) -> DataFrame:
-    """The key, at (first line of the run, among the non-blank), fingerprint, two hashes of the run."""
+def _long_runs(words: int) -> Column:
+    """at and n of the shortest runs with so many words from each line on, and up to each line.
+
+    Together they cover every run with so many words: a line of it lies in the shortest run from the
+    run's first line, or else in the shortest one up to the line itself. A line that is not blank counts
+    as a word at least, so no shortest run has more lines than words.
+    """
+    def shortest(lines: Column) -> Column:
+        start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("words"))
+        end = F.aggregate(F.slice(lines, 1, words), start, lambda done, x: F.when(done["words"] >= words, done).otherwise(
+            F.struct((done["n"] + 1).alias("n"), (done["words"] + x["words"]).alias("words"))))
+        return F.when(end["words"] >= words, end["n"])
+
+    n = F.size("line")
+    each = F.sequence(F.lit(1), n)
+    onward = F.transform(each, lambda i: F.struct(i.alias("at"), shortest(F.slice("line", i, words)).alias("n")))
+    back = F.transform(each, lambda j: _let(shortest(F.reverse(F.slice(
+        "line", F.greatest(j - (words - 1), F.lit(1)), F.least(j, F.lit(words))))),
+        lambda m: F.struct((j - m + 1).alias("at"), m.alias("n"))))
+    return F.filter(F.array_union(onward, back), lambda r: r["n"].isNotNull())
+
+
+def _runs(documents: DataFrame, key: list[str], text_col: str, size: int, words: int | None) -> DataFrame:
+    """The key, at (first line of the run, among the non-blank), n (lines), fingerprint, two hashes of the run."""
+    def counted(x: Column) -> list[Column]:
+        return [] if words is None else [F.greatest(F.regexp_count(x, F.lit(WORD)), F.lit(1)).alias("words")]
+
     filled = F.filter(_lines(F.col(text_col)), lambda x: F.length(F.trim(x)) > 0)
     rows = documents.select(*(F.col(c).alias(n) for c, n in zip(key, KEY, strict=True)), F.transform(
-        filled, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))).alias("line"))
-    rows = rows.where(F.size("line") >= size)
+        filled, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"), *counted(x))).alias("line"))
+    rows = rows.where(F.size("line") >= (size if words is None else 1))
     pair = F.transform(F.slice("line", 1, F.size("line") - 1), lambda x, i: F.xxhash64(
         x["a"], F.element_at("line", (i + 2).cast("int"))["a"]))
     rows = rows.withColumn("pair", pair)
@@ -75,33 +102,48 @@ def _runs(documents: DataFrame, key: list[str], text_col: str, size: int) -> Dat
         return F.xxhash64(*(F.element_at("line", (i + k).cast("int"))[part] for k in range(size)))
 
     each = F.transform(starts, lambda i: F.struct(
-        i.alias("at"), F.array_min(F.slice("pair", i, size - 1)).alias("fingerprint"),
+        i.alias("at"), F.lit(size).alias("n"), F.array_min(F.slice("pair", i, size - 1)).alias("fingerprint"),
         whole(i, "a").alias("a"), whole(i, "b").alias("b")))
+    if words is not None:
+        several = F.when(F.size("line") >= size, each).otherwise(F.array())
+
+        def hashed(r: Column, part: str) -> Column:
+            return F.xxhash64(F.transform(F.slice("line", r["at"], r["n"]), lambda x: x[part]))
+
+        # one line has no pair: a long run is its own fingerprint
+        each = F.concat(several, F.transform(_long_runs(words), lambda r: F.struct(
+            r["at"].alias("at"), r["n"].alias("n"), hashed(r, "a").alias("fingerprint"),
+            hashed(r, "a").alias("a"), hashed(r, "b").alias("b"))))
     return rows.select(*KEY, F.explode(each).alias("run")).select(*KEY, "run.*")
 
 
 def repeated_lines(documents: DataFrame, min_lines: int = MIN_LINES, key: list[str] = KEY,
-                   text_col: str = "text") -> DataFrame:
-    """The key of each document that loses lines, and where its repeated runs begin."""
+                   text_col: str = "text", min_words: int | None = None) -> DataFrame:
+    """The key of each document that loses lines, and its repeated runs: at and n, among its non-blank lines."""
     if min_lines < 2:
         raise ValueError("a run has at least two lines")
-    runs = _runs(documents, key, text_col, min_lines)
+    if min_words is not None and min_words < 1:
+        raise ValueError("a run has at least one word")
+    runs = _runs(documents, key, text_col, min_lines, min_words)
     again = runs.groupBy("fingerprint").count().where("count > 1").select("fingerprint")
     seen = cut(runs.join(again, "fingerprint").drop("fingerprint"))
     first = seen.groupBy("a", "b").agg(F.min(F.struct(*KEY, "at")).alias("first"))
     later = seen.join(first, ["a", "b"]).where(F.struct(*KEY, "at") > F.col("first"))
-    return later.groupBy(*KEY).agg(F.collect_set("at").alias("starts"))
+    return later.groupBy(*KEY).agg(F.collect_set(F.struct("at", "n")).alias("runs"))
 
 
 def remove_repeated_lines(documents: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id",
-                          text_col: str = "text") -> DataFrame:
-    """The documents with the repeated runs removed from their texts; all columns stay."""
-    key, lost = [unused(f"__{n}", documents) for n in KEY], unused("__starts", documents)
+                          text_col: str = "text", min_words: int | None = None) -> DataFrame:
+    """The documents with the repeated runs removed from their texts; all columns stay.
+
+    With ``min_words``, runs of fewer lines go as well if they have so many words, be it in one line.
+    """
+    key, lost = [unused(f"__{n}", documents) for n in KEY], unused("__runs", documents)
     keyed = _keyed(documents, key, id_col, text_col)
-    gone = repeated_lines(keyed, min_lines, key, text_col).select(
-        *(F.col(n).alias(c) for c, n in zip(key, KEY, strict=True)), F.col("starts").alias(lost))
+    gone = repeated_lines(keyed, min_lines, key, text_col, min_words).select(
+        *(F.col(n).alias(c) for c, n in zip(key, KEY, strict=True)), F.col("runs").alias(lost))
     both = keyed.join(gone, key, "left")
-    runs = F.flatten(F.transform(F.col(lost), lambda at: F.sequence(at - 1, at + (min_lines - 2))))
+    runs = F.flatten(F.transform(F.col(lost), lambda r: F.sequence(r["at"] - 1, r["at"] + r["n"] - 2)))
 
     def spared(lines: Column, filled: Column) -> Column:
         out = F.transform(runs, lambda k: F.get(filled, k))

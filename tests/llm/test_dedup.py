@@ -139,6 +139,35 @@ def test_line_dedup_keeps_rows_without_an_own_id_apart(spark):
                               (None, "k\nl\nm"), (None, "")], key=repr)
 
 
+def without_long_repeats(docs, size, words):
+    """Every run of so many lines or words that occurred before goes; all runs of all lengths are tried."""
+    seen, out = set(), {}
+    for i, text in sorted(docs):
+        lines = text.split("\n")
+        filled = [k for k, x in enumerate(lines) if x.strip(" ")]
+        gone = set()
+        for end in range(1, len(filled) + 1):
+            for at in range(end):
+                run = tuple(lines[k] for k in filled[at:end])
+                if len(run) >= size or sum(max(1, len(x.split())) for x in run) >= words:
+                    if run in seen:
+                        gone |= set(filled[at:end])
+                    seen.add(run)
+        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+@pytest.mark.parametrize("words", [1, 5, 9])
+def test_line_dedup_by_words_equals_brute_force(spark, words):
+    rng = random.Random(words)
+    choices = ["a", "b b", "c c c", "d " * 4, "", " ", "\t", "e " * 6, "f " * 9]
+    docs = [(i, "\n".join(rng.choice(choices) + rng.choice(["", "", f" {i}"]) for _ in range(rng.randrange(7)))) for i in range(60)]
+    docs += [(100, "only one line " * 4), (101, "only one line " * 4), (102, "new\n" + "only one line " * 4)]
+    out = line_winnowing.remove_repeated_lines(spark.createDataFrame(docs, DOCS), 4, min_words=words).collect()
+    got = {r.doc_id: r.text for r in out}
+    assert got == without_long_repeats(docs, 4, words) and got[101] == "" and got[102] == "new"
+
+
 def vectors(seed, dimension, n):
     rng = random.Random(seed)
     rows = [[rng.gauss(0, 1) for _ in range(dimension)] for _ in range(n)]
