@@ -30,7 +30,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
-    return url_filters.judge(table(spark, folder, "pages"))
+    return url_filters.judge(table(spark, folder, "pages"), min_share=0, depth=None)
 
 
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:

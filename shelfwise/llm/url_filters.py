@@ -4,7 +4,7 @@ Lists of rules decide the urls that they fit. The others are judged by templates
 path is a row of segments, and the templates of a host form a tree:
 
 1. Variable segments become wildcards: runs of digits at once, and below each node the values that
-   make up less than ``MIN_SHARE`` of its pages (or fewer than ``MIN_PAGES`` pages).
+   have fewer than ``MIN_PAGES`` pages (or less than ``min_share`` of the node's pages, 0 for no such bound).
 2. Branches below the same node with similar labels merge: ordered by their smoothed share of
    blocked pages, neighbours whose shares differ by less than ``APART`` standard errors join.
    So a template is judged by all pages of its merged branch.
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.llm.scratch import cut
 
-MIN_SHARE = 0.02
+MIN_SHARE = 0.02  # of the default; the registered query sets neither this bound nor DEPTH
 MIN_PAGES = 5
 DEPTH = 8  # segments that are told apart; the rest of a path is one more
 APART = 1.96
@@ -81,52 +81,74 @@ def matched(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     return reduce(add, (r for _, r in reversed(ranked)), none)
 
 
-def shape(path: Column) -> Column:
-    """The segments of a path, digits as #, at most DEPTH and one for the rest."""
-    return F.split(F.regexp_replace(path, r"[0-9]+", "#"), "/", DEPTH + 2)
+def shape(path: Column, depth: int | None = DEPTH) -> Column:
+    """The segments of a path, digits as #, at most ``depth`` and one for the rest; all of them with None."""
+    return F.split(F.regexp_replace(path, r"[0-9]+", "#"), "/", -1 if depth is None else depth + 2)
 
 
-def templates(shapes: DataFrame) -> DataFrame:
+def templates(shapes: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     """host, shape and its template: rare values below a node become *, level by level.
 
-    ``shapes`` has one row per host and shape with its number of pages. A node has at most 1 / MIN_SHARE common
-    values; their table is joined, so a large host is never gathered.
+    ``shapes`` has one row per host and shape with its number of pages. The common values of all nodes are
+    joined, so a large host is never gathered. Below the usual depth a path leaves the tree once its node
+    has too few pages for any common value, so single long paths cost no further levels.
     """
     tree = shapes.select("host", "shape", "pages", F.array().cast("array<string>").alias("template"))
-    for level in range(shapes.agg(F.max(F.size("shape"))).first()[0] or 0):  # DEPTH + 2 at most
+    left = []  # frames of paths that are through
+    for level in range(shapes.agg(F.max(F.size("shape"))).first()[0] or 0):
+        if level >= DEPTH + 2:
+            crowded = (tree.groupBy("host", "template").agg(F.sum("pages").alias("all"))
+                       .where(F.col("all") >= MIN_PAGES).select("host", "template", F.lit(True).alias("crowded")))
+            tree = cut(tree.join(crowded, ["host", "template"], "left"))
+            on = F.col("crowded").isNotNull() & (F.size("shape") > level)
+            rest = F.transform(F.slice("shape", level + 1, F.greatest(F.size("shape") - level, F.lit(0))),
+                               lambda x: F.when(x.rlike(NUMBER), x).otherwise("*"))
+            left.append(tree.where(~on).select("host", "shape", "pages", F.concat("template", rest).alias("template")))
+            tree = tree.where(on).drop("crowded")
+            if tree.isEmpty():
+                break
         tree = tree.withColumn("value", F.get(F.col("shape"), F.lit(level)))
         children = tree.groupBy("host", "template", "value").agg(F.sum("pages").alias("own"))
         nodes = children.groupBy("host", "template").agg(F.sum("own").alias("all"))
         common = (children.where((F.col("own") >= MIN_PAGES) & F.col("value").isNotNull()).join(nodes, ["host", "template"])
-                  .where(F.col("own") >= MIN_SHARE * F.col("all"))
+                  .where(F.col("own") >= min_share * F.col("all"))
                   .select("host", "template", "value", F.lit(True).alias("common")))
         keep = F.col("common").isNotNull() | F.col("value").rlike(NUMBER)  # numbers are wildcards already
         step = F.when(F.col("value").isNull(), F.col("template")).otherwise(F.concat(
             "template", F.array(F.when(keep, F.col("value")).otherwise("*"))))
         tree = cut(tree.join(common, ["host", "template", "value"], "left").select(
             "host", "shape", "pages", step.alias("template")))
+    for frame in left:
+        tree = tree.unionByName(frame)
     return tree.select("host", "shape", F.array_join("template", "/").alias("template"))
 
 
 def merged(counts: DataFrame) -> DataFrame:
-    """Branches below one node with similar labels: host, template, node and the branch they join.
+    """Branches below one node with similar labels: host, template, and the labelled (n) and blocked (k) pages of its branch.
 
     ``counts`` has host, template, labelled and blocked. Templates that differ in their last literal
-    segment only are branches of one node.
+    segment only are branches of one node. Templates of a node with one share are one row before they are
+    put in order, so a wide node is as many rows as it has different shares.
     """
     # the last segment that is a name of its own, neither wildcard nor number
     node = F.regexp_replace("template", r"[^/*#]+(?=(/[*#][^/]*)*/?$)", "?")
     share = (F.col("blocked") + 1) / (F.col("labelled") + 2)
-    order = Window.partitionBy("host", "node", "known").orderBy("share", "template")
     error = F.sqrt(F.col("share") * (1 - F.col("share")) / (F.col("labelled") + 2))
+    branches = cut(counts.withColumn("node", node).withColumn("share", share).withColumn("error", error))
+    known = branches.where("labelled > 0")
+    shares = known.groupBy("host", "node", "share").agg(
+        F.sum("labelled").alias("n"), F.sum("blocked").alias("k"),
+        F.min_by("error", "template").alias("first"), F.max_by("error", "template").alias("last"))
+    order = Window.partitionBy("host", "node").orderBy("share")
     gap = F.col("share") - F.lag("share").over(order)
-    limit = APART * F.sqrt(F.pow("error", F.lit(2)) + F.pow(F.lag("error").over(order), F.lit(2)))
-    # branches without labels have nothing to be compared by: they join each other
-    begins = F.when(F.col("known") & (gap >= limit), 1).otherwise(0)
-    return (counts.withColumn("node", node).withColumn("known", F.col("labelled") > 0)
-            .withColumn("share", share).withColumn("error", error).withColumn("begins", begins)
+    limit = APART * F.sqrt(F.pow("first", F.lit(2)) + F.pow(F.lag("last").over(order), F.lit(2)))
+    whole = Window.partitionBy("host", "node", "branch")
+    sums = (shares.withColumn("begins", F.when(gap >= limit, 1).otherwise(0))
             .withColumn("branch", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-            .select("host", "template", "node", "known", "branch", "labelled", "blocked"))
+            .select("host", "node", "share", F.sum("n").over(whole).alias("n"), F.sum("k").over(whole).alias("k")))
+    # branches without labels have nothing to be compared by: they join each other
+    none = branches.where("labelled = 0").select("host", "template", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("k"))
+    return known.join(sums, ["host", "node", "share"]).select("host", "template", "n", "k").unionByName(none)
 
 
 def purities(shapes: DataFrame, tree: DataFrame) -> DataFrame:
@@ -137,26 +159,27 @@ def purities(shapes: DataFrame, tree: DataFrame) -> DataFrame:
     prior = everywhere.join(F.broadcast(total)).select(  # one row
         "shape", ((F.col("s_bad") + STRENGTH * base) / (F.col("s_all") + STRENGTH)).alias("prior"))
     placed = shapes.join(tree, ["host", "shape"])
-    branches = merged(placed.groupBy("host", "template").agg(
+    judged = merged(placed.groupBy("host", "template").agg(
         F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")))
-    key = ["host", "node", "known", "branch"]
-    sums = branches.groupBy(*key).agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("k"))
-    judged = branches.select(*key, "template").join(sums, key).select("host", "template", "n", "k")
     return (tree.join(judged, ["host", "template"]).join(prior, "shape")
             .select("host", "shape", "template",
                     ((F.col("k") + STRENGTH * F.col("prior")) / (F.col("n") + STRENGTH)).alias("purity")))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "page_id",
-          url_col: str = "url") -> DataFrame:
-    """id, host, path, rule (or null), verdict, template, and its purity."""
+          url_col: str = "url", min_share: float = MIN_SHARE, depth: int | None = DEPTH) -> DataFrame:
+    """id, host, path, rule (or null), verdict, template, and its purity.
+
+    With ``min_share`` 0 and ``depth`` None the values with MIN_PAGES pages are told apart whatever else their node
+    holds, at every depth.
+    """
     host, path = split_url(F.col(url_col))
     found = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
-    found = found.select("*", matched(F.col("host"), F.col("path"), rules).alias("by"), shape(F.col("path")).alias("shape"))
+    found = found.select("*", matched(F.col("host"), F.col("path"), rules).alias("by"), shape(F.col("path"), depth).alias("shape"))
     counted = cut(found.groupBy("host", "shape").agg(
         F.count("*").alias("pages"), F.count("by").alias("labelled"),
         F.count_if(F.col("by")["verdict"] == "block").alias("blocked")))
-    known = cut(purities(counted, templates(counted)))
+    known = cut(purities(counted, templates(counted, min_share)))
     verdict = F.coalesce(F.col("by")["verdict"], F.when(F.col("purity") >= REJECT, "block").otherwise("allow"))
     return found.join(known, ["host", "shape"], "left").select(
         id_col, "host", "path", F.col("by")["rule"].alias("rule"), verdict.alias("verdict"), "template", "purity")

@@ -286,3 +286,29 @@ def test_verdicts_equal_brute_force(spark):
     nulls = spark.createDataFrame([(None, "http://b.net/x"), (None, None)], "page_id long, url string")
     assert sorted((r.page_id, r.verdict) for r in U.judge(nulls).collect()) == [(None, "allow"), (None, "allow")]
     assert U.judge(frame.limit(0)).collect() == []
+
+
+def test_wide_and_deep_nodes_have_no_share_cut(spark, monkeypatch):
+    """A section below 2% of its host keeps its own verdict, and so does one after the eighth segment."""
+    words = [f"{a}{b}" for a in "abcdefghijkl" for b in "mnopqrstuvwx"]
+    rows = [f"http://example.org/en/{i}/{w}" for w in words for i in range(6)]
+    rows += [f"http://big.com/{'de' if k % 3 else 'fr'}/{w}/{i}" for k, w in enumerate(words) for i in range(1 + k % 7)]
+    deep = "a/b/c/d/e/f/g/h/i"
+    rows += [f"http://big.com/{x}/{deep}/{y}/{i}" for x in ("de", "fr", "it") for y in ("one", "two") for i in range(7)]
+    rows += [f"http://big.com/es/{deep}/{y}/{z}/{i}" for y in "pq" for z in words[:30] for i in range(2)] + ["http://big.com/" + "x/" * 400]
+    rows = list(enumerate(rows))
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    wide = {r.page_id: r for r in U.judge(frame, min_share=0, depth=None).collect()}
+    assert wide[7].template == "/en/#/an" and "/".join(["", "it", deep, "one", "#"]) in {r.template for r in wide.values()}
+    monkeypatch.setattr(U, "MIN_SHARE", 0)
+    monkeypatch.setattr(U, "DEPTH", 420)
+    want = plain_verdicts(rows)
+    assert {i: (r.host, r.path, r["rule"], r.verdict, round(r.purity, 9)) for i, r in wide.items()} == want
+
+
+def test_a_small_section_of_a_large_host_keeps_its_template(spark):
+    words = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    rows = [f"http://h.net/{w}/{p}" for w in words for p in "abcdefgh"]
+    frame = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    assert {r.template for r in U.judge(frame, min_share=0, depth=None).collect()} == {f"/{w}/*" for w in words}
+    assert all(r.template.startswith("/*/") for r in U.judge(frame).collect())
