@@ -7,7 +7,8 @@ samples, and the spans merged. A stretch without phrase words, or one shorter th
 phrase, cannot hold an occurrence and is left out of the index: an exact reduction.
 
 Phrases reach the tasks by broadcast in blocks of ``BLOCK_WORDS`` words at most, one pass over
-the documents per block; documents are never shuffled for one block.
+the documents per block; documents are never shuffled for one block. With several blocks the rows are stored with
+a number of their own, and a block is fetched, searched and released before the next one.
 
 Defined results: a null or empty text has no words and no hits; repeated documents are each
 reported; items without words or without an id are ignored, repeated item ids count once; an empty
@@ -17,16 +18,19 @@ table of items gives documents without hits; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfwise.llm import words as W
-from shelfwise.llm.tasks import add_columns, replace_column
+from shelfwise.llm.scratch import cut as cut_lineage, stored
+from shelfwise.llm.tasks import add_columns, replace_column, unused
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -222,16 +226,52 @@ def shard_hits(texts: list[str | None], phrases: Phrases) -> tuple[W.Words, list
     return found, spans, items
 
 
-def blocks(items: DataFrame, window: int, id_col: str, text_col: str) -> list[Phrases]:
-    """The phrases in blocks of bounded size, fetched block by block."""
+def blocks(items: DataFrame, window: int, id_col: str, text_col: str) -> tuple[int, Iterator[Phrases]]:
+    """The number of blocks of bounded size, and their phrases, each block fetched when its turn comes."""
     few = items.select(id_col, text_col).where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     size = few.agg(F.sum(F.length(text_col))).first()[0] or 0
     count = max(1, -(-size // (4 * BLOCK_WORDS)))
-    if count == 1:
-        return [phrases_of(few.toPandas(), window, id_col, text_col)]
     part = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(count))
-    return [phrases_of(few.where(part == i).toPandas(), window, id_col, text_col)
-            for i in range(count)]
+    return count, (phrases_of((few.where(part == i) if count > 1 else few).toPandas(), window, id_col, text_col)
+                   for i in range(count))
+
+
+def searched(frame: DataFrame, text_col: str, shared: Broadcast, kind: T.DataType) -> DataFrame:
+    """The frame with n_words, the hit spans and the items found in place of its text, for one block of phrases."""
+    new = {"n_words": T.LongType(), "spans": T.ArrayType(T.ArrayType(T.IntegerType())), "items": T.ArrayType(kind)}
+
+    def run(texts: pa.Array) -> list[pa.Array]:
+        found, spans, names = shard_hits(texts.to_pylist(), shared.value)
+        return [pa.array(np.diff(found.first)), pa.array(spans, pa.list_(pa.list_(pa.int32()))),
+                pa.array(names, pa.list_(to_arrow_type(kind)))]
+
+    return add_columns(frame, text_col, new, run).drop(text_col)
+
+
+def hits_of_blocks(texts: DataFrame, parts: Iterator[Phrases], row: str, text_col: str,
+                   kind: T.DataType) -> tuple[DataFrame, DataFrame]:
+    """row and n_words of all rows; row, spans and items of the rows with hits, over all blocks.
+
+    The rows must be stored: ``row`` tells them apart in every pass.
+    """
+    context = texts.sparkSession.sparkContext
+    source = texts.select(F.col(row).alias("row"), F.col(text_col).alias("text"))
+    counts, found = None, []
+    for block in parts:
+        shared = context.broadcast(block)
+        del block
+        done = searched(source, "text", shared, kind)
+        if counts is None:
+            done = stored(done)
+            counts = done.select("row", "n_words")
+        else:
+            done = stored(done.where(F.size("spans") > 0))
+        found.append(done.where(F.size("spans") > 0).drop("n_words"))
+        shared.destroy()
+    union = reduce(DataFrame.unionByName, found)
+    return counts, (union.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"),
+                                             F.flatten(F.collect_list("items")).alias("items"))
+                    .select("row", merged(F.array_sort("spans")).alias("spans"), F.array_distinct("items").alias("items")))
 
 
 def contaminated_spans(documents: DataFrame, items: DataFrame, window: int = WINDOW,
@@ -240,27 +280,16 @@ def contaminated_spans(documents: DataFrame, items: DataFrame, window: int = WIN
     """Per document: n_words, spans of hit words as [first, end), and the ids of the items found."""
     source = documents.select(id_col, text_col)
     kind = items.schema[item_id].dataType
-    new = {"n_words": T.LongType(), "spans": T.ArrayType(T.ArrayType(T.IntegerType())), "items": T.ArrayType(kind)}
-    context = documents.sparkSession.sparkContext
-    passes = []
-    for block in blocks(items, window, item_id, item_text):
-        shared = context.broadcast(block)
-
-        def run(texts: pa.Array, shared=shared) -> list[pa.Array]:
-            found, spans, names = shard_hits(texts.to_pylist(), shared.value)
-            return [pa.array(np.diff(found.first)), pa.array(spans, pa.list_(pa.list_(pa.int32()))),
-                    pa.array(names, pa.list_(to_arrow_type(kind)))]
-
-        passes.append(add_columns(source, text_col, new, run).drop(text_col))
-    if len(passes) == 1:
-        return passes[0]
-    union = passes[0]
-    for one in passes[1:]:
-        union = union.unionByName(one)
-    return (union.groupBy(id_col, "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"),
-                                                 F.flatten(F.collect_list("items")).alias("items"))
-            .withColumn("items", F.array_distinct("items"))
-            .withColumn("spans", merged(F.array_sort("spans"))))
+    count, parts = blocks(items, window, item_id, item_text)
+    if count == 1:
+        return searched(source, text_col, documents.sparkSession.sparkContext.broadcast(next(parts)), kind)
+    row = unused("__row", source)
+    rows = cut_lineage(source.withColumn(row, F.monotonically_increasing_id()))
+    counts, found = hits_of_blocks(rows, parts, row, text_col, kind)
+    ids = rows.select(F.col(row).alias("row"), F.col(id_col).alias("own"))
+    return ids.join(counts, "row").join(found, "row", "left").select(
+        F.col("own").alias(id_col), "n_words", *(F.coalesce(c, F.array().cast(found.schema[c].dataType)).alias(c)
+                                                 for c in ("spans", "items")))
 
 
 def merged(spans) -> F.Column:
@@ -288,32 +317,35 @@ def decontaminate(documents: DataFrame, items: DataFrame, window: int = WINDOW)
     """Documents without the words of the spans; other columns and untouched texts stay as they are.
 
     The text before a removed span and the text after it are joined by one space. With phrases in several
-    blocks, the blocks are searched in the text as it came, one after the other, before it is cut.
+    blocks, all blocks are searched in the text as it came before it is cut.
     """
-    context = documents.sparkSession.sparkContext
-    shared = [context.broadcast(block) for block in blocks(items, window, "item_id", "text")]
-
-    def run(column: pa.Array) -> pa.Array:
-        texts = column.to_pylist()
-        spans: list[list] = [[] for _ in texts]
-        for block in shared:
-            found, own, _ = shard_hits(texts, block.value)
-            for mine, new in zip(spans, own, strict=True):
-                mine.extend(new)
-        return pa.array([cut(t, joined(s), found, i) if s else t
-                         for i, (t, s) in enumerate(zip(texts, spans, strict=True))], pa.string())
-
-    return replace_column(documents, "text", run)
-
-
-def joined(spans: list[list[int]]) -> list[list[int]]:
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return out
+    count, parts = blocks(items, window, "item_id", "text")
+    if count == 1:
+        shared = documents.sparkSession.sparkContext.broadcast(next(parts))
+
+        def run(column: pa.Array) -> pa.Array:
+            texts = column.to_pylist()
+            found, spans, _ = shard_hits(texts, shared.value)
+            return pa.array([cut(t, s, found, i) if s else t
+                             for i, (t, s) in enumerate(zip(texts, spans, strict=True))], pa.string())
+
+        return replace_column(documents, "text", run)
+    row, lost, left = (unused(n, documents) for n in ("__row", "__spans", "__left"))
+    rows = cut_lineage(documents.withColumn(row, F.monotonically_increasing_id()))
+    _, hits = hits_of_blocks(rows, parts, row, "text", items.schema["item_id"].dataType)
+    both = rows.join(hits.select(F.col("row").alias(row), F.col("spans").alias(lost)), row, "left")
+
+    def cuts(column: pa.Array) -> list[pa.Array]:
+        texts, spans = (column.field(i).to_pylist() for i in range(2))
+        hit = [i for i, s in enumerate(spans) if s]
+        found = W.tokenize([texts[i] for i in hit], W.WORDLIKE, lower=True)
+        for place, i in enumerate(hit):
+            texts[i] = cut(texts[i], spans[i], found, place)
+        return [pa.array(texts, pa.string())]
+
+    done = add_columns(both.withColumn(lost, F.struct(F.col("text").alias("text"), F.col(lost).alias("spans"))),
+                       lost, {left: T.StringType()}, cuts)
+    return done.select(*(done[left].alias(c) if c == "text" else done[c] for c in documents.columns))
 
 
 def cut(text: str, spans: list[list[int]], found: W.Words, row: int) -> str:

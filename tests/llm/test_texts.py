@@ -111,6 +111,26 @@ def test_contamination_equals_brute_force(spark, monkeypatch, size, block):
     assert {r.doc_id: r.text for r in left.collect()} == {i: brute.without_hits(t, want[i][1]) for i, t in docs}
 
 
+@pytest.mark.parametrize("block", [2_000_000, 20])
+def test_contamination_reports_every_row(spark, monkeypatch, block):
+    """Rows with null or equal ids and as many words stay apart, and repeated rows stay several, in any number of blocks."""
+    monkeypatch.setattr(D, "BLOCK_WORDS", block)
+    items = [(k, " ".join(f"{c}{k}" for c in "abcdefgh")) for k in range(30)]
+    texts = [f"{x} {items[k][1]} {y}" for k, x, y in ((0, "p", "q"), (1, "r", "s"), (2, "p q", ""), (29, "", "v w"))] + ["n " * 10, None, ""]
+    docs = [(i, t) for t in texts for i in (None, None, 5, 5)] + [(7, texts[0] + " and " + items[17][1])]
+    frame = spark.createDataFrame(docs, DOCS).withColumn("row", F.lit(3)).withColumn("void", F.lit(None))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    plain = [brute.contaminated([(0, t)], items, 5)[0] for _, t in docs]
+    out = D.contaminated_spans(frame, bench, 5).collect()
+    got = [(r.doc_id, r.n_words, sorted(k for a, b in r.spans for k in range(a, b)), sorted(r["items"])) for r in out]
+    assert sorted(got, key=repr) == sorted(((i, n, sorted(h), sorted(x)) for (i, _), (n, h, x) in zip(docs, plain, strict=True)), key=repr)
+    left = D.decontaminate(frame, bench, 5)
+    assert left.columns == frame.columns
+    want = [(i, brute.without_hits(t, h)) for (i, t), (_, h, _) in zip(docs, plain, strict=True)]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(want, key=repr)
+    assert D.contamination_report(frame.limit(0), bench, 5).collect() == []
+
+
 def test_contamination_of_empty_tables(spark):
     docs, items = spoiled(1, 5)
     frame, bench = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")
