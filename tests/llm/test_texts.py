@@ -200,6 +200,36 @@ def test_unmarked_pages_differ_from_their_neighbours(spark):
     assert P.main_texts(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("ranges", [1, 7, 60])
+def test_differences_do_not_depend_on_the_ranges(spark, ranges):
+    """Long runs of copies fill ranges, and hosts begin and end anywhere: every page gets the partner of a plain pass."""
+    rng = random.Random(9)
+    pages = [("whole.com", "same")] * 25 + [("alone.com", "one")]
+    pages += [(f"h{k % 5}.com", rng.choice(["x", "y", "z"])) for k in range(30)]
+    for host, parts in (("a.com", [("p", 30), ("q", 1), ("p", 25)]), ("b.com", [("p", 1), ("q", 40)]), ("c.com", [("p", 40), ("q", 1)])):
+        pages += [(host, body) for body, n in parts for _ in range(n)]
+    rows = [(i, f"http://{h}/{i:03d}", f"<div>Menu {h}</div><p>{b}</p><div>Imprint</div>") for i, (h, b) in enumerate(pages)]
+    lines = {i: [f"Menu {h}", b, "Imprint"] for i, (h, b) in enumerate(pages)}
+    want = {}
+    for host in {h for h, _ in pages}:
+        own = [i for i, (h, _) in enumerate(pages) if h == host]
+        for at, i in enumerate(own):
+            start = at
+            while start and lines[own[start - 1]] == lines[i]:
+                start -= 1
+            near = own[start - 1] if start else next((j for j in own[at:] if lines[j] != lines[i]), None)
+            want[i] = "\n".join(lines[i] if near is None else [pages[i][1]])
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert {r.page_id: r.text for r in P.main_texts(frame).collect()} == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 URLS = [(None, "", ""), ("", "", ""), ("no scheme", "", ""), ("http://A.Org", "a.org", ""), ("http://A.org/B?c/d#e", "a.org", "/B"),
         ("http://a.org?x=http://b/c", "a.org", ""), ("x://h#f", "h", ""), ("://É.COM/x/", "É.com", "/x/"),
         ("http://a/b://c", "a", "/b://c"), ("http://a\nb/c\nd", "a\nb", "/c\nd"), ("http:///p", "", "/p")]
