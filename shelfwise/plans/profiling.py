@@ -148,6 +148,15 @@ def profile_table(t: Tables) -> DataFrame:
     return P.profile_table(t.payments().drop("amount"), "payment")
 
 
+# The given amounts lie between a thousandth and ten million, where both engines print plain decimals.
+@query("profile_table_whole", with_tables("payments", _profile(
+    "d_payments", ORDERS, {"id": "bigint", "user_id": "bigint", "amount": "double",
+                           "payment_status": "string", "created_at": "timestamp_ntz"},
+    ["id", "user_id", "amount"])))
+def profile_table_whole(t: Tables) -> DataFrame:
+    return P.profile_table(t.payments(), "payment")
+
+
 @query("profile_value_sample", with_tables("cart_item", f"""
     SELECT column_name, value, CAST(r AS INTEGER) AS rank FROM (
       SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY value) AS r FROM (
