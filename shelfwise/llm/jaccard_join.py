@@ -36,6 +36,7 @@ from shelfwise.llm.components import components
 from shelfwise.llm.scratch import cut, stored
 
 WORDS = 3
+SET = ["n", "s1", "s2"]  # what tells the sets of n-grams apart
 THRESHOLD = (90, 100)  # links from 90 / 100 on
 FEW = 500_000  # ids that may be broadcast, 8 bytes each
 HEADS = 10  # members of a bucket that all others are compared with at first
@@ -288,14 +289,37 @@ def links(rows: DataFrame, documents: DataFrame, size: int, threshold: tuple[int
     return found.unionByName(more)
 
 
+def all_links(documents: DataFrame, size: int = WORDS, threshold: tuple[int, int] = THRESHOLD,
+              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """a, b (a < b): every pair of similar documents with different sets, one document standing for each set.
+
+    The smallest id stands for the documents of a set. A group whose members all resemble each other gives as many
+    pairs as it has, which ``similarity_groups`` does without.
+    """
+    _, rows, _ = _representatives(documents, size, threshold, id_col, text_col)
+    entries = cut(rows.select(F.explode(F.arrays_zip("keys", "places")).alias("e"), "rank", "n", "keys", "ranges").select(
+        F.col("e.keys").alias("key"), F.struct("n", "rank", F.col("e.places").alias("place"), "keys", "ranges").alias("x")))
+    met = entries.join(entries.withColumnRenamed("x", "y"), "key").where(
+        (F.col("x.rank") < F.col("y.rank")) & _fits("x", "y", threshold) & _first("x", "y") & _may_overlap("x", "y", threshold))
+    texts = documents.select(F.col(id_col).cast("long").alias("rank"), F.col(text_col).alias("text"))
+    return verify(cut(_pairs(met)), texts, size, threshold)
+
+
+def _representatives(documents: DataFrame, size: int, threshold: tuple[int, int], id_col: str,
+                     text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of ``candidates``, those that stand for each set, and the smallest id of each set."""
+    rows = stored(candidates(documents, size, threshold, id_col, text_col))
+    known = rows.where((F.col("n") > 0) & (F.col("rank") != B.LAST))
+    first = cut(known.groupBy(*SET).agg(F.min("rank").alias("first")))
+    alone = rows.where(F.size("keys") > 0).join(first, SET).where("rank = first").dropDuplicates(["rank", *SET])
+    return rows, alone, first
+
+
 def similarity_groups(documents: DataFrame, size: int = WORDS, threshold: tuple[int, int] = THRESHOLD,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """rank, n (size of the set) and component (smallest id reachable by links; null for a null id)."""
-    rows = stored(candidates(documents, size, threshold, id_col, text_col))
-    key = ["n", "s1", "s2"]
-    known = rows.where((F.col("n") > 0) & (F.col("rank") != B.LAST))
-    first = cut(known.groupBy(*key).agg(F.min("rank").alias("first")))
-    alone = rows.where(F.size("keys") > 0).join(first, key).where("rank = first").dropDuplicates(["rank", *key])
+    key = SET
+    rows, alone, first = _representatives(documents, size, threshold, id_col, text_col)
     texts = documents.select(F.col(id_col).cast("long").alias("rank"), F.col(text_col).alias("text"))
     joined = components(links(alone, texts, size, threshold))
     groups = first.join(joined, F.col("first") == F.col("id"), "left").select(

@@ -46,6 +46,22 @@ def test_jaccard_groups_equal_brute_force(spark, small_chunks, size, num):
     assert {r.rank: (r.n, r.component) for r in out} == brute.jaccard_groups(docs, size, num, 100)
 
 
+def test_all_links_are_every_similar_pair_of_sets(spark):
+    """One large group around the threshold: the components need few of its links, the join has them all."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(30)]
+    docs = [(i, " ".join(rng.sample([w for w in words if rng.random() > 0.12], k=20))) for i in range(60)]
+    docs += [(100 + i, docs[i][1]) for i in range(5)] + [(200, None), (201, "")]
+    sets = {i: frozenset((t or "").split()) for i, t in docs}
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(sets[i], i)
+    own = sorted(i for s, i in first.items() if s)
+    want = {(a, b) for a in own for b in own if a < b and 100 * len(sets[a] & sets[b]) >= 55 * len(sets[a] | sets[b])}
+    got = [(r.a, r.b) for r in jaccard_join.all_links(spark.createDataFrame(docs, DOCS), 1, (55, 100)).collect()]
+    assert len(want) > 300 and sorted(got) == sorted(want)
+
+
 def test_jaccard_threshold_is_met_exactly(spark):
     words = [f"w{i}" for i in range(40)]
     # 20 n-grams each, 18 in common of 20: 0.9; and 17 in common: below
