@@ -88,5 +88,44 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t, '') END AS
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN had USING (doc_id)
 """
 
+
+
+def _op13(rounds: int = 6) -> str:
+    """Rounds written one after the other; positions go through the vectors in order, 8 parts of ``width`` each."""
+    books = """
+book0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p, k ORDER BY vec_id NULLS LAST, embedding) - 1 AS e, k, x AS c
+  FROM part JOIN first USING (r))"""
+    for n in range(1, rounds + 2):
+        books += f""",
+near{n} AS MATERIALIZED (
+  SELECT r, p, arg_min(e, (d, e)) AS e, min(d) AS d
+  FROM (SELECT r, p, e, sum((x - c) * (x - c)) AS d FROM part JOIN book{n - 1} USING (p, k) GROUP BY r, p, e)
+  GROUP BY r, p)"""
+        if n <= rounds:
+            books += f""",
+mean{n} AS (SELECT p, e, k, sum(x) AS s, count(*) AS n FROM near{n} JOIN part USING (r, p) GROUP BY p, e, k),
+book{n} AS MATERIALIZED (SELECT p, e, k, CASE WHEN n IS NULL THEN c ELSE (s - ((s % n) + n) % n) // n END AS c
+                         FROM book{n - 1} LEFT JOIN mean{n} USING (p, e, k))"""
+    last = rounds + 1
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, embedding, row_number() OVER () AS r FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+size AS (SELECT CAST((max(len(embedding)) + 7) // 8 AS BIGINT) AS width FROM kept),
+first AS (SELECT r, vec_id, embedding FROM kept ORDER BY vec_id NULLS LAST, embedding LIMIT 16),
+part AS MATERIALIZED (
+  SELECT r, j // width AS p, j % width AS k, CAST(coalesce(floor(4096 * CAST(embedding[j + 1] AS DOUBLE)), 0) AS HUGEINT) AS x
+  FROM (SELECT r, embedding, width, unnest(generate_series(0, 8 * width - 1)) AS j FROM kept, size)),{books},
+own AS (SELECT r, string_agg(printf('%02x', CAST(e AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+        FROM near{last} GROUP BY r),
+sums AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM kept JOIN own USING (r) GROUP BY label)
+SELECT vec_id, code, error, label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, k)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN own USING (r) JOIN sums ON sums.label IS NOT DISTINCT FROM kept.label
+"""
+
+
 ORACLE: dict[str, str] = {"op5_ngram_jaccard_join": _OP5, "op6_embedding_near_dedup": _OP6,
-                          "op7_decontamination": _OP7, "op9_line_dedup": _OP9, "op10_substring_dedup": _OP10}
+                          "op7_decontamination": _OP7, "op9_line_dedup": _OP9, "op10_substring_dedup": _OP10,
+                          "op13_vector_codes": _op13()}

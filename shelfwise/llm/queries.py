@@ -17,6 +17,7 @@ from shelfwise.llm import (
     sentencepiece,
     substring_dedup,
     url_filters,
+    vector_codes,
 )
 from shelfwise.llm.oracles import ORACLE
 from shelfwise.llm.tasks import importable
@@ -70,8 +71,13 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.removal_report(table(spark, folder, "documents"))
 
 
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compression_report(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filters, op2_sentencepiece, op3_quality_classifier, op4_language_id,
                             op5_ngram_jaccard_join, op6_embedding_near_dedup, op7_decontamination,
-                            op8_html_extraction, op9_line_dedup, op10_substring_dedup)
+                            op8_html_extraction, op9_line_dedup, op10_substring_dedup,
+                            op13_vector_codes)
 }
