@@ -89,6 +89,24 @@ FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN had USING (doc_id)
 """
 
 
+_OP11 = f"""
+WITH doc AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, w, CAST(len(w) AS BIGINT) AS n
+  FROM (SELECT doc_id, {_WORDLIKE.format('text')} AS w FROM documents) WHERE len(w) > 0),
+term AS (SELECT DISTINCT item_id, unnest({_WORDLIKE.format('text')}) AS t FROM benchmark),
+place AS MATERIALIZED (
+  SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM doc) SEMI JOIN term USING (t) GROUP BY r, t),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM doc),
+weight AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+           FROM place, whole GROUP BY t, docs),
+norm AS (SELECT r, doc_id, 10 + (90 * n * docs) // words AS m FROM doc, whole),
+scored AS (SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+           FROM term JOIN place USING (t) JOIN weight USING (t) JOIN norm USING (r) GROUP BY item_id, r, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+                  doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 
 def _op13(rounds: int = 6) -> str:
     """Rounds written one after the other; positions go through the vectors in order, 8 parts of ``width`` each."""
@@ -128,4 +146,4 @@ FROM kept JOIN own USING (r) JOIN sums ON sums.label IS NOT DISTINCT FROM kept.l
 
 ORACLE: dict[str, str] = {"op5_ngram_jaccard_join": _OP5, "op6_embedding_near_dedup": _OP6,
                           "op7_decontamination": _OP7, "op9_line_dedup": _OP9, "op10_substring_dedup": _OP10,
-                          "op13_vector_codes": _op13()}
+                          "op11_ranked_search": _OP11, "op13_vector_codes": _op13()}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import (
+    bitsliced_search,
     cap_filters,
     crf_quality,
     fm_decontaminate,
@@ -71,6 +72,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.removal_report(table(spark, folder, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return bitsliced_search.ranking(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.compression_report(table(spark, folder, "embeddings"))
 
@@ -79,5 +84,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filters, op2_sentencepiece, op3_quality_classifier, op4_language_id,
                             op5_ngram_jaccard_join, op6_embedding_near_dedup, op7_decontamination,
                             op8_html_extraction, op9_line_dedup, op10_substring_dedup,
-                            op13_vector_codes)
+                            op11_ranked_search, op13_vector_codes)
 }
