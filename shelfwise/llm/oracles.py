@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shelfwise.llm.license_scan import all_templates
+
 #: Lower-cased words of a text column, as a list; null has none.
 _WORDLIKE = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -108,6 +110,28 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
 
 
+def _op12() -> str:
+    words = ", ".join(f"({n}, '{t.label}', {t.base}, {i - t.keys[0]}, '{w}', {i in t.keys})"
+                      for n, t in enumerate(all_templates()) for i, w in enumerate(t.words))
+    return f"""
+WITH template(t, label, base, place, word, key) AS (VALUES {words}),
+need AS (SELECT t, any_value(label) AS label, any_value(base) AS base, count(*) AS n, count(*) FILTER (key) AS keys FROM template GROUP BY t),
+doc AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDLIKE.format('text')}, []) AS w FROM documents),
+word AS MATERIALIZED (SELECT r, unnest(w) AS word, unnest(generate_series(0, len(w) - 1)) AS pos FROM doc),
+may AS (SELECT r, t, pos AS start FROM word JOIN template USING (word) WHERE place = 0),
+met AS (SELECT r, m.t, start, count(*) AS agree, count(*) FILTER (key) AS keys
+        FROM may m JOIN template x ON x.t = m.t JOIN word USING (r) WHERE word.pos = start + place AND word.word = x.word GROUP BY ALL),
+found AS (SELECT r, start, label, base, agree / n AS share FROM met JOIN need USING (t) WHERE met.keys = need.keys),
+sums AS (SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+                max(share) AS score FROM found GROUP BY r),
+named AS (SELECT r, string_agg(label, ',' ORDER BY label) AS labels, string_agg(label, ',' ORDER BY label) FILTER (base) AS base_labels
+          FROM (SELECT r, label, bool_or(base) AS base FROM found GROUP BY r, label) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM doc LEFT JOIN sums USING (r) LEFT JOIN named USING (r)
+"""
+
+
 def _op13(rounds: int = 6) -> str:
     """Rounds written one after the other; positions go through the vectors in order, 8 parts of ``width`` each."""
     books = """
@@ -146,4 +170,5 @@ FROM kept JOIN own USING (r) JOIN sums ON sums.label IS NOT DISTINCT FROM kept.l
 
 ORACLE: dict[str, str] = {"op5_ngram_jaccard_join": _OP5, "op6_embedding_near_dedup": _OP6,
                           "op7_decontamination": _OP7, "op9_line_dedup": _OP9, "op10_substring_dedup": _OP10,
-                          "op11_ranked_search": _OP11, "op13_vector_codes": _op13()}
+                          "op11_ranked_search": _OP11, "op12_license_scan": _op12(),
+                          "op13_vector_codes": _op13()}

@@ -13,6 +13,7 @@ from shelfwise.llm import (
     fm_decontaminate,
     jaccard_join,
     language_id,
+    license_scan,
     line_winnowing,
     page_diff,
     sentencepiece,
@@ -76,6 +77,10 @@ def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return bitsliced_search.ranking(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan_report(table(spark, folder, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.compression_report(table(spark, folder, "embeddings"))
 
@@ -84,5 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filters, op2_sentencepiece, op3_quality_classifier, op4_language_id,
                             op5_ngram_jaccard_join, op6_embedding_near_dedup, op7_decontamination,
                             op8_html_extraction, op9_line_dedup, op10_substring_dedup,
-                            op11_ranked_search, op13_vector_codes)
+                            op11_ranked_search, op12_license_scan, op13_vector_codes)
 }
