@@ -7,13 +7,16 @@ lines, is carried through a fitted logistic curve to the document's score.
 
 Only documents are labelled, so each line is trained with the label of its document. The field is
 fitted on a bounded sample: per label ``SAMPLE_ROWS`` documents in the order of a hash of their
-id, the first ``SAMPLE_CHARS`` characters of each, and long documents in sequences of
-``SEQUENCE`` lines. Scoring reads whole texts and runs whole chains.
+id, one text of each id, its first ``SAMPLE_CHARS`` characters, and long documents in sequences of
+``SEQUENCE`` lines. One task fits it, and only the weights come to the driver. Scoring reads whole texts and runs
+whole chains; a task holds the lines of a slice of texts, of one text at least, so a very long one costs it memory
+in proportion to its lines.
 
 Defined results: a text that is null, empty or blank is one line of its own kind ("empty") and
-gets a score; repeated rows are each scored alike; contradicting labels of a document are each used;
-null labels are ignored; without training rows of both labels every score is the share of label 1
-(0.5 if there are none). Other columns are ignored.
+gets a score; repeated rows are each scored alike; repeated labels of a document count once, contradicting ones
+are each used; of rows with equal ids one text is learned from; null labels are ignored; without training rows of
+both labels every score is the share of label 1 (0.5 if there are none); an empty table gives no rows. Other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -26,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from shelfwise.llm import words as W
-from shelfwise.llm.sampling import per_label
-from shelfwise.llm.tasks import add_columns
+from shelfwise.llm.sampling import rows_per_label
+from shelfwise.llm.tasks import add_columns, importable
 
 SAMPLE_ROWS = 2_000
 SAMPLE_CHARS = 20_000
 SEQUENCE = 40
 ROUNDS = 150
 PREDICT_AT = 0.7
+_LINES = 8_192
 
 _LINE = np.ones(256, bool)
 _LINE[0x0A] = False
@@ -142,10 +146,10 @@ def _spread(prior: np.ndarray, moves: np.ndarray) -> np.ndarray:
     return np.logaddexp(prior[:, :1] + moves[0], prior[:, 1:] + moves[1])
 
 
-def marginals(evidence: np.ndarray, moves: np.ndarray, first: np.ndarray,
+def marginals(evidence_: np.ndarray, moves: np.ndarray, first: np.ndarray,
               pairs: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """P(good) of each line, and if asked the expected number of each transition."""
-    score = np.stack((np.zeros(len(evidence)), evidence), axis=1)
+    score = np.stack((np.zeros(len(evidence_)), evidence_), axis=1)
     ahead, back = score.copy(), np.zeros_like(score)
     steps = _chains(first)
     for now, then in zip(steps, steps[1:], strict=False):
@@ -164,13 +168,23 @@ def marginals(evidence: np.ndarray, moves: np.ndarray, first: np.ndarray,
     return good, expected
 
 
+def evidence(table: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Sum of the weights of each line's features; the flags become numbers for some lines at a time."""
+    return np.concatenate([np.zeros(0), *(table[i:i + _LINES].astype(np.float64) @ weights for i in range(0, len(table), _LINES))])
+
+
+def gradient(table: np.ndarray, error: np.ndarray) -> np.ndarray:
+    return sum((error[i:i + _LINES] @ table[i:i + _LINES].astype(np.float64) for i in range(0, len(table), _LINES)),
+               np.zeros(table.shape[1]))
+
+
 def fit(texts: pd.Series, labels: np.ndarray, rounds: int = ROUNDS) -> Field | float:
     """A field by gradient ascent, or the share of label 1 if there is nothing to tell apart."""
     labels = np.asarray(labels, float)
     if not len(labels) or labels.min() == labels.max():
         return float(labels.mean()) if len(labels) else 0.5
     lines = gathered(texts)
-    table = lines.table.astype(np.float64)
+    table = lines.table
     target = np.repeat(labels, np.diff(lines.first))
     cuts = [np.arange(a, b, SEQUENCE) for a, b in zip(lines.first[:-1], lines.first[1:], strict=True)]
     first = np.append(np.concatenate(cuts), len(table))
@@ -186,8 +200,8 @@ def fit(texts: pd.Series, labels: np.ndarray, rounds: int = ROUNDS) -> Field | f
     weights, moves = np.zeros(table.shape[1]), np.zeros((2, 2))
     first_moment, second = np.zeros(len(weights) + 4), np.zeros(len(weights) + 4)
     for i in range(1, rounds + 1):
-        good, expected = marginals(table @ weights, moves, first, pairs=True)
-        slope = np.concatenate((table.T @ ((target - good) * importance) * scale - 1e-4 * weights,
+        good, expected = marginals(evidence(table, weights), moves, first, pairs=True)
+        slope = np.concatenate((gradient(table, (target - good) * importance) * scale - 1e-4 * weights,
                                 ((seen - expected) / len(table)).ravel() - 1e-3 * moves.ravel()))
         first_moment = 0.9 * first_moment + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
@@ -200,7 +214,7 @@ def fit(texts: pd.Series, labels: np.ndarray, rounds: int = ROUNDS) -> Field | f
 
 def means(lines: Lines, weights: np.ndarray, moves: np.ndarray) -> np.ndarray:
     """Marginal of being good per text, weighted by the length of the lines."""
-    good, _ = marginals(lines.table @ weights, moves, lines.first)
+    good, _ = marginals(evidence(lines.table, weights), moves, lines.first)
     return W.sums(good * lines.weight, lines.first) / W.sums(lines.weight, lines.first)
 
 
@@ -226,16 +240,29 @@ def scores(texts: pd.Series, field: Field | float) -> np.ndarray:
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Field | float:
     """Fit on the bounded sample; ``labels`` has doc_id and label (0 or 1).
 
-    The sample is drawn from the labels, so that only its few ids meet the texts, by a broadcast.
+    The sample is drawn from the labels, so that only its few ids, at most ``rows`` per label, meet the texts by a
+    broadcast. Equal ids and labels are one row before and after, so copies make neither larger.
     """
-    few = per_label(labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)), rows, text="doc_id")
-    spark = documents.sparkSession
-    kind = labels.select("doc_id", F.col("label").cast("int").alias("label")).schema
-    chosen = spark.createDataFrame([tuple(map(int, r)) for r in few[["doc_id", "label"]].to_numpy()], kind)
+    importable(documents.sparkSession)
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
+    known = known.select("doc_id", F.col("label").cast("int").alias("label")).distinct()
+    few = rows_per_label(known, rows, text="doc_id").select("doc_id", "label")
     text = F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS)
-    found = documents.select("doc_id", text.alias("text")).join(F.broadcast(chosen), "doc_id").toPandas()
-    found = found.sort_values(["label", "doc_id", "text"])
-    return fit(found["text"], found["label"].to_numpy())
+    found = documents.select("doc_id", text.alias("text")).join(F.broadcast(few), "doc_id")
+    sample = found.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+
+    def one(batches):
+        table = pd.concat([pd.DataFrame({"doc_id": [], "label": [], "text": []}), *batches])
+        table = table.sort_values(["label", "doc_id"])
+        field = fit(table["text"], table["label"].to_numpy(float))
+        flat = [field] if not isinstance(field, Field) else [*field.weights, *field.moves.ravel(), field.slope, field.offset]
+        yield pd.DataFrame({"field": [flat]})
+
+    row = sample.repartition(1).mapInPandas(one, "field array<double>").first()
+    flat = np.array([0.5] if row is None else row[0])  # the plan of a table known to be empty has no task
+    if len(flat) == 1:
+        return float(flat[0])
+    return Field(flat[:-6], flat[-6:-2].reshape(2, 2), float(flat[-2]), float(flat[-1]))
 
 
 def score(documents: DataFrame, field: Field | float, column: str = "score") -> DataFrame:

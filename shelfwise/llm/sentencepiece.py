@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from shelfwise.llm import words as W
 from shelfwise.llm.scratch import cut
-from shelfwise.llm.tasks import add_columns, nulls
+from shelfwise.llm.tasks import add_columns, importable, nulls
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 FREQUENT = 65_536
@@ -160,21 +160,65 @@ def best_paths(edges: DataFrame) -> DataFrame:
     return grouped.withColumn("best", best).select("word", steps.alias("path"))
 
 
+class Table(NamedTuple):
+    """Words with known ids, by key."""
+
+    key: np.ndarray
+    bound: np.ndarray
+    ids: np.ndarray
+
+
+def table_of(words: dict[str, list[int]]) -> Table:
+    raw = [w.encode("utf-8", "surrogatepass") for w in words]
+    ends = np.cumsum([len(r) for r in raw]).astype(np.int64)
+    begin = np.concatenate(([0], ends))[:-1].astype(np.int64)
+    key = word_keys(np.frombuffer(b"".join(raw), np.uint8), begin, ends) if raw else np.zeros(0, np.uint64)
+    order = np.argsort(key)
+    lists = list(words.values())
+    lists = [lists[i] for i in order.tolist()]
+    return Table(key[order], np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int64),
+                 np.array([i for x in lists for i in x], np.int64))
+
+
+def word_paths(documents: DataFrame, vocabulary: Vocabulary, text_col: str, limit: int) -> DataFrame:
+    """The frequent words and their best paths, by the relational way."""
+    pieces = piece_table(documents.sparkSession, vocabulary)
+    longest = max((len(t) for t, _, _ in vocabulary.scored), default=1)
+    return best_paths(lattice(frequent_words(documents, text_col, limit), pieces, vocabulary.unknown, longest))
+
+
+def path_ids(word: str, path: list, byte_ids: np.ndarray) -> list[int]:
+    ids: list[int] = []
+    for step in path:
+        raw = word[step["start"] - 1:step["start"] - 1 + step["size"]].encode()
+        ids += [step["id"]] if step["id"] >= 0 else byte_ids[list(raw)].tolist()
+    return ids
+
+
 def word_table(documents: DataFrame, vocabulary: Vocabulary, text_col: str = "text",
                limit: int = FREQUENT) -> dict[str, list[int]]:
-    """Ids of the frequent words, by the relational way."""
-    spark = documents.sparkSession
-    pieces = piece_table(spark, vocabulary)
-    longest = max((len(t) for t, _, _ in vocabulary.scored), default=1)
-    paths = best_paths(lattice(frequent_words(documents, text_col, limit), pieces, vocabulary.unknown, longest))
-    out = {}
-    for word, path in paths.collect():  # at most ``limit`` short words
-        ids: list[int] = []
-        for i, start, size in path:
-            raw = word[start - 1:start - 1 + size].encode()
-            ids += [i] if i >= 0 else vocabulary.byte_ids[list(raw)].tolist()
-        out[word] = ids
-    return out
+    """Ids of the frequent words."""
+    rows = word_paths(documents, vocabulary, text_col, limit).collect()  # at most ``limit`` short words
+    return {word: path_ids(word, path, vocabulary.byte_ids) for word, path in rows}
+
+
+def packed_words(documents: DataFrame, vocabulary: Vocabulary, text_col: str = "text", limit: int = FREQUENT) -> Table:
+    """The same as arrays; one task packs them, at most ``limit`` short words, so the driver holds a few MB only."""
+    importable(documents.sparkSession)
+    byte_ids = vocabulary.byte_ids
+
+    def pack(batches):
+        words = {}
+        for batch in batches:
+            for word, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words[word] = path_ids(word, path, byte_ids)
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in table_of(words)], names=list(Table._fields))
+
+    paths = word_paths(documents, vocabulary, text_col, limit)
+    row = paths.repartition(1).mapInArrow(pack, "key binary, bound binary, ids binary").first()
+    if row is None:  # the plan of a table known to be empty has no task
+        return table_of({})
+    return Table(*(np.frombuffer(x, kind) for x, kind in zip(row, (np.uint64, np.int64, np.int64), strict=True)))
 
 
 def piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
@@ -279,26 +323,6 @@ def _segment(data: np.ndarray, start: np.ndarray, end: np.ndarray,
     return ids, np.bincount(of, weights=count, minlength=n).astype(np.int64)
 
 
-class Table(NamedTuple):
-    """Words with known ids, by key."""
-
-    key: np.ndarray
-    bound: np.ndarray
-    ids: np.ndarray
-
-
-def table_of(words: dict[str, list[int]]) -> Table:
-    raw = [w.encode("utf-8", "surrogatepass") for w in words]
-    ends = np.cumsum([len(r) for r in raw]).astype(np.int64)
-    begin = np.concatenate(([0], ends))[:-1].astype(np.int64)
-    key = word_keys(np.frombuffer(b"".join(raw), np.uint8), begin, ends) if raw else np.zeros(0, np.uint64)
-    order = np.argsort(key)
-    lists = list(words.values())
-    lists = [lists[i] for i in order.tolist()]
-    return Table(key[order], np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int64),
-                 np.array([i for x in lists for i in x], np.int64))
-
-
 def gather(values: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The ranges of ``values``, one after the other."""
     ends = np.cumsum(count)
@@ -349,7 +373,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, text_col: str = "text",
     """The documents with a column of piece ids."""
     context = documents.sparkSession.sparkContext
     shared = context.broadcast((vocabulary._replace(scored=[]),
-                                table_of(word_table(documents, vocabulary, text_col, frequent))))
+                                packed_words(documents, vocabulary, text_col, frequent)))
 
     def run(texts: pa.Array) -> list[pa.Array]:
         ids, bounds = encode_texts(texts.to_pylist(), *shared.value)
@@ -384,7 +408,7 @@ def encoded(documents: DataFrame, path: str = MODEL) -> DataFrame:
     vocabulary = load(path)
     source = documents.select("doc_id", "text")
     context = documents.sparkSession.sparkContext
-    shared = context.broadcast((vocabulary._replace(scored=[]), table_of(word_table(source, vocabulary))))
+    shared = context.broadcast((vocabulary._replace(scored=[]), packed_words(source, vocabulary)))
 
     def run(texts: pa.Array) -> list[pa.Array]:
         values = texts.to_pylist()

@@ -115,6 +115,19 @@ def test_quality_on_the_held_out_fold(spark):
     assert np.mean([by[i].predicted == q for i, q, _ in tested]) > 0.95
 
 
+def test_the_sample_holds_one_text_per_id_and_label(spark):
+    """Copies of a labelled id and repeated labels do not make it larger; the fit is that of the plain sample."""
+    rng = random.Random(6)
+    rows = [(i, "\n".join(spoken(rng, "xx", 8) for _ in range(4)) if i % 2 else "A! " * 20, "xx", "s") for i in range(40)]
+    labels = [(i, i % 2) for i in range(40)]
+    plain = Q.fit(pd.Series([t for _, t, _, _ in sorted(rows, key=lambda r: (r[0] % 2, r[0]))], dtype=object), np.repeat([0, 1], 20))
+    many = spark.createDataFrame([*rows, *[rows[3]] * 3000], DOCS)
+    marks = spark.createDataFrame([*labels, *[labels[3]] * 3000], "doc_id long, label int")
+    field = Q.train(many, marks)
+    assert np.allclose(field.weights, plain.weights) and np.allclose(field[2:], plain[2:])
+    assert isinstance(Q.train(many, marks, rows=5), Q.Field)
+
+
 def test_quality_without_labels(spark):
     frame = spark.createDataFrame([(1, "abc", "xx", "s"), (2, None, "xx", "s")], DOCS)
     none = spark.createDataFrame([], "doc_id long, quality int")

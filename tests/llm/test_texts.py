@@ -62,6 +62,8 @@ def test_relational_way_equals_the_way_in_tasks(spark, vocabulary):
     for word, ids in table.items():
         want = brute.piece_ids(word[1:], vocabulary) if word[0] == " " else brute.piece_ids("\n" + word, vocabulary)[2:]
         assert ids == want or word in (" ", "\n"), word
+    packed = S.packed_words(frame, vocabulary)
+    assert all((a == b).all() for a, b in zip(packed, S.table_of(table), strict=True))
     few = S.word_table(frame, vocabulary, limit=50)
     assert 0 < len(few) <= 50
     a, b = (S.encode_texts(texts, vocabulary, S.table_of(t)) for t in (table, {}))
