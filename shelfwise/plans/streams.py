@@ -37,15 +37,31 @@ def message_files(t: Tables) -> str:
     return path
 
 
-def replayed(t: Tables, files_per_trigger: int = 16) -> str:
+def replayed(t: Tables, files_per_trigger: int = 16, accounts: bool = False, every: int | None = None,
+             source: str | None = None) -> str:
     """Run the recommender over all messages; returns the folder of its outputs."""
     base = new_path(t.spark, "replay")
-    source = readers.stream_text_files(t.spark, message_files(t), files_per_trigger)
-    S.Recommender(cut_lineage(t.catalog()), f"{base}/out", K_RECS, t.fill_key()).start(
-        source, f"{base}/checkpoint", available_now=True).awaitTermination()
+    stream = readers.stream_text_files(t.spark, source or message_files(t), files_per_trigger)
+    S.Recommender(cut_lineage(t.catalog()), f"{base}/out", K_RECS, t.fill_key(), every=every, accounts=accounts).start(
+        stream, f"{base}/checkpoint", available_now=True).awaitTermination()
     return f"{base}/out"
 
 
+SLICES, SLICE_FILES = 8, 4
+
+
+def ordered_files(t: Tables) -> str:
+    """The event messages landed in the order of their time: SLICES batches of SLICE_FILES files each."""
+    path = new_path(t.spark, "ordered")
+    rows = cut_lineage(built(t))
+    low, high = rows.agg(F.min("timestamp"), F.max("timestamp")).first()
+    step = (high - low) / SLICES
+    place = F.least(F.floor((F.col("timestamp") - low) / F.lit(step)), F.lit(SLICES - 1))
+    for n in range(SLICES):  # files are read in the order of their writing
+        E.to_messages(rows.filter(place == n)).repartition(SLICE_FILES).write.mode("append").text(path)
+    return path
+
+
 def output(t: Tables, folder: str, table: str) -> DataFrame:
     return t.spark.read.parquet(f"{folder}/{table}")
 
@@ -136,7 +152,7 @@ _SUMS = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in R.COUNTERS)
       count(*) AS active_user_sessions FROM d_user_counters""")))
 def stream_metrics_final(t: Tables) -> DataFrame:
     """Cumulative metrics after all micro-batches, four files at a time."""
-    return S.cumulative_metrics(output(t, replayed(t, 4), "metrics"))
+    return S.cumulative_metrics(output(t, replayed(t, 4, accounts=True), "metrics"))
 
 
 _EVERY10 = f"""SELECT * FROM (SELECT event_id, ts, event_type, n - 1 AS events_processed,
@@ -163,17 +179,50 @@ def every_tenth(t: Tables) -> DataFrame:
     return S.every_tenth(known, cut_lineage(recommending.counters(t)))
 
 
-@query("stream_metrics_every10", with_tables("engine_events counters", scored(
-    f"SELECT * EXCLUDE (ts, event_type) FROM ({_EVERY10})")))
-def stream_metrics_every10(t: Tables) -> DataFrame:
+_UPDATES = with_tables("engine_events counters", scored(f"SELECT * EXCLUDE (ts, event_type) FROM ({_EVERY10})"))
+
+
+@query("replay_metrics_every10", _UPDATES)
+def replay_metrics_every10(t: Tables) -> DataFrame:
+    """The messages due at every tenth event, from stored tables."""
     return every_tenth(t).drop("ts")
 
 
-def sessions(t: Tables, source: str) -> DataFrame:
-    base = new_path(t.spark, "sessions")
-    S.start_sessions(readers.stream_text_files(t.spark, source), f"{base}/out",
-                     f"{base}/checkpoint", available_now=True).awaitTermination()
-    return S.current_sessions(t.spark.read.parquet(f"{base}/out"))
+@query("stream_metrics_every10", _UPDATES)
+def stream_metrics_every10(t: Tables) -> DataFrame:
+    """The same messages as the running stream sends them, over several batches of ordered events."""
+    out = replayed(t, SLICE_FILES, accounts=True, every=10, source=ordered_files(t))
+    return output(t, out, "updates").drop("ts", "batch_id", "runtime_seconds", "events_per_second")
+
+
+@query("stream_closing", with_tables("engine_events user_counters", """
+    SELECT 'metrics_update' AS event_type, (SELECT count(*) FROM d_engine_events) AS events_processed,
+      count(*) AS active_user_sessions, TRUE AS has_time, TRUE AS has_runtime, TRUE AS has_rate
+    FROM d_user_counters"""))
+def stream_closing(t: Tables) -> DataFrame:
+    """The message a stream ends with; its run time and rate are measured, so only their presence is stated."""
+    out = replayed(t, SLICE_FILES, accounts=True, source=ordered_files(t))
+    m = F.col("metrics")
+    return output(t, out, "closing").select(
+        "event_type", m["events_processed"].alias("events_processed"), m["active_user_sessions"].alias("active_user_sessions"),
+        (F.col("timestamp") > 0).alias("has_time"), (m["runtime_seconds"] > 0).alias("has_runtime"),
+        (F.abs(m["events_per_second"] * m["runtime_seconds"] - m["events_processed"]) < 0.01).alias("has_rate"))
+
+
+@query("stream_progress", with_tables("engine_events", f"""
+    SELECT CAST({SLICES} AS BIGINT) AS batches, count(*) AS messages, TRUE AS timed FROM d_engine_events"""))
+def stream_progress(t: Tables) -> DataFrame:
+    """What the listener saw: batches, their messages, and that each took time."""
+    base = new_path(t.spark, "progress")
+    stream = readers.stream_text_files(t.spark, ordered_files(t), SLICE_FILES)
+    running = S.Recommender(cut_lineage(t.catalog()), f"{base}/out", K_RECS, t.fill_key(), accounts=False).start(
+        stream, f"{base}/checkpoint", available_now=True)
+    running.awaitTermination()
+    # a batch is reported again when the stream ends without further messages
+    seen = running.progress_rows().filter("messages > 0").groupBy("batch_id").agg(
+        F.max("messages").alias("messages"), F.max("milliseconds").alias("ms"), F.max("rows_per_second").alias("rate"))
+    return seen.agg(F.count("*").alias("batches"), F.sum("messages").alias("messages"),
+                    F.bool_and((F.col("ms") > 0) & (F.col("rate") > 0)).alias("timed"))
 
 
 _LAST_VIEW = f"""SELECT * FROM ({_BUILT}) WHERE event_type = 'product_view' AND has_profile
@@ -183,8 +232,9 @@ _LAST_VIEW = f"""SELECT * FROM ({_BUILT}) WHERE event_type = 'product_view' AND
 @query("stream_sessions", with_tables("engine_events products profiles", f"""
     SELECT user_id, event_id, categories, features, viewed, bought FROM ({_LAST_VIEW})"""))
 def stream_sessions(t: Tables) -> DataFrame:
+    """The sessions that the running stream keeps, after several batches in no order."""
     profile = F.col("profile")
-    return sessions(t, message_files(t)).select(
+    return S.stored_sessions(t.spark, replayed(t, 4, accounts=True)).select(
         "user_id", "event_id",
         F.array_join(profile["preferred_categories"], ",").alias("categories"),
         F.array_join(profile["preferred_features"], ",").alias("features"),
@@ -197,9 +247,23 @@ def stream_sessions(t: Tables) -> DataFrame:
       ON l.user_id = e.user_id AND (e.ts > l.ts OR (e.ts = l.ts AND e.event_id > l.event_id))
     WHERE e.event_type = 'product_purchase'""", last_view=_LAST_VIEW))
 def stream_session_purchases(t: Tables) -> DataFrame:
-    source = message_files(t)
-    events = E.accepted(E.parse(t.spark.read.text(source)))
-    return S.session_purchases(sessions(t, source), E.purchase_messages(events)).drop("ts")
+    return S.stored_session_purchases(t.spark, replayed(t, 4, accounts=True)).drop("ts")
+
+
+@query("stream_latest_recs", with_tables("view_recs", """
+    SELECT user_id, event_id, ts, epoch_ms(ts) + 300001 <= (SELECT max(epoch_ms(ts)) FROM d_view_recs) AS is_stale,
+      array_to_string(list(id ORDER BY rank), ',') AS ids FROM d_view_recs
+    GROUP BY 1, 2, 3
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""))
+def stream_latest_recs(t: Tables) -> DataFrame:
+    """The newest recommendations as a stream keeps them: rows go stale as other users' events pass by."""
+    folder = f"{replayed(t, SLICE_FILES, source=ordered_files(t))}/recommendations"
+    base = new_path(t.spark, "newest")
+    stored = t.spark.read.parquet(folder)
+    stream = t.spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 4).parquet(folder)
+    S.start_newest(stream, f"{base}/out", f"{base}/checkpoint", available_now=True).awaitTermination()
+    newest = S.newest_of(t.spark.read.parquet(f"{base}/out"))
+    return newest.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("latest_recs_stale", with_tables("view_recs", f"""
@@ -231,31 +295,36 @@ def replay_from(t: Tables) -> DataFrame:
 
 @query("web_event_normalise", with_tables("engine_events products profiles", f"""
     SELECT event_id, CASE event_type WHEN 'click' THEN 'add_to_cart' ELSE event_type END
-      AS event_type, timestamp, user_id, product_id, product_name, has_profile, bought
-    FROM ({_BUILT})"""))
+      AS event_type, timestamp, user_id, product_id, product_name, has_profile, bought,
+      coalesce(json_extract_string(props, '$.k'), '') AS k, CASE WHEN event_id % 5 = 0 THEN 0 ELSE 1 END AS fields
+    FROM ({_BUILT}) JOIN (SELECT event_id, props FROM events) USING (event_id)"""))
 def web_event_normalise(t: Tables) -> DataFrame:
     kind = F.col("event_type")
     web = t.raw("events").select(
         F.col("event_id").alias("eventId"), F.col("user_id").alias("userId"),
         F.when(kind == "view", "product_view").when(kind == "click", "add_to_cart")
         .otherwise(kind).alias("eventType"), t.any_product().alias("productId"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"))
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
+        F.when(F.col("event_id") % 5 != 0, F.from_json("props", "map<string, string>")).alias("metadata"))
     events = E.normalise_web_events(web, t.catalog(), t.profiles())
     return events.select(
         "event_id", "event_type", "timestamp", "user_id", "product_id",
         F.col("product.name").alias("product_name"),
         F.col("user_profile").isNotNull().alias("has_profile"),
-        F.array_join("user_profile.purchase_history", ",").alias("bought"))
+        F.array_join("user_profile.purchase_history", ",").alias("bought"),
+        F.coalesce(F.try_element_at("metadata", F.lit("k")), F.lit("")).alias("k"), F.size("metadata").alias("fields"))
 
 
 @query("stream_flatten_recs", with_tables("view_recs", """
     SELECT event_id, strftime(ts, '%H:%M:%S') AS time, CAST(user_id AS VARCHAR) AS "user",
-      viewed_product_name, 0.0::DOUBLE AS processing_time_ms, has_user_profile,
+      viewed_product_name, TRUE AS timed, has_user_profile,
       CAST(5 AS INTEGER) AS recommendation_count, rank, name, price, rec_category AS category
     FROM d_view_recs"""))
 def stream_flatten_recs(t: Tables) -> DataFrame:
-    texts = E.to_messages(E.recommendation_messages(recommending.recommended(t)))
-    return M.flatten_recommendations(M.output_messages(texts))
+    """Display rows of the stream's messages; the time per event is measured, so only its presence is stated."""
+    texts = E.to_messages(S.timed_recommendations(t.spark, replayed(t)))
+    return M.flatten_recommendations(M.output_messages(texts)).withColumn(
+        "timed", F.col("processing_time_ms") > 0).drop("processing_time_ms")
 
 
 @query("stream_flatten_purchases", with_tables("engine_events products", """
@@ -285,14 +354,22 @@ def stream_flatten_events(t: Tables) -> DataFrame:
 
 @query("stream_flatten_metrics", with_tables("engine_events counters", f"""
     SELECT event_id, strftime(ts, '%H:%M:%S') AS time, precision, recall, {F1},
-      events_processed, 0.0::DOUBLE AS events_per_second, active_user_sessions
+      events_processed, events_processed > 0 AS has_rate, active_user_sessions
     FROM (SELECT *, {SCORES} FROM ({_EVERY10}))"""))
 def stream_flatten_metrics(t: Tables) -> DataFrame:
-    return M.flatten_metrics(M.output_messages(E.to_messages(E.metrics_messages(every_tenth(t)))))
+    """Display rows of the metrics messages that the running stream sent."""
+    out = replayed(t, SLICE_FILES, accounts=True, every=10, source=ordered_files(t))
+    texts = E.to_messages(E.metrics_messages(output(t, out, "updates")))
+    return M.flatten_metrics(M.output_messages(texts)).withColumn(
+        "has_rate", F.col("events_per_second") > 0).drop("events_per_second")
 
 
 @query("stream_message_rates", with_tables("engine_events", """
-    SELECT event_type, count(*) AS messages, count(*) / CAST(60.0 AS DOUBLE) AS per_second
-    FROM d_engine_events GROUP BY 1"""))
+    SELECT event_type, count(*) AS messages, TRUE AS has_rate FROM d_engine_events GROUP BY 1"""))
 def stream_message_rates(t: Tables) -> DataFrame:
-    return M.message_rates(E.accepted(E.parse(E.to_messages(built(t)))), seconds=60)
+    """Messages per type, and per second of the measured run time of the stream that took them."""
+    source = ordered_files(t)
+    out = replayed(t, SLICE_FILES, accounts=True, source=source)
+    seconds = output(t, out, "closing").first()["metrics"]["runtime_seconds"]
+    rates = M.message_rates(E.accepted(E.parse(t.spark.read.text(source))), seconds)
+    return rates.withColumn("has_rate", F.col("per_second") > 0).drop("per_second")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise import constants as K
@@ -95,13 +97,13 @@ def profile_with_defaults(profile: Column) -> Column:
         .alias("purchases_before")))
 
 
-def recommendation_messages(recommended: DataFrame) -> DataFrame:
+def recommendation_messages(recommended: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     return recommended.select(
         "event_id", F.lit(K.RECOMMENDATION_MESSAGE).alias("event_type"),
         epoch_seconds(F.col("ts")).alias("timestamp"), "user_id",
         F.col("product_id").alias("viewed_product_id"),
         F.col("product_name").alias("viewed_product_name"), "recommendations",
-        F.size("recommendations").alias("recommendation_count"), "has_user_profile")
+        F.size("recommendations").alias("recommendation_count"), "has_user_profile", *more)
 
 
 def purchase_messages(events: DataFrame) -> DataFrame:
@@ -130,7 +132,10 @@ def metrics_messages(metrics: DataFrame) -> DataFrame:
 
 
 def normalise_web_events(raw: DataFrame, catalog: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Web events (eventId, userId, eventType, productId, timestamp text) as engine events."""
+    """Web events (eventId, userId, eventType, productId, timestamp text, metadata) as engine events.
+
+    ``metadata``, a map of texts, is carried as it came; events without one get an empty map.
+    """
     kinds = {"product_view": K.VIEW_EVENT, "purchase": K.PURCHASE_EVENT}
     kind = F.col("eventType")
     for web, ours in kinds.items():
@@ -139,4 +144,9 @@ def normalise_web_events(raw: DataFrame, catalog: DataFrame, profiles: DataFrame
         F.col("eventId").alias("event_id"), F.col("timestamp").try_cast("timestamp").alias("ts"),
         F.col("userId").alias("user_id"), kind.alias("event_type"),
         F.col("productId").alias("product_id"))
-    return build_events(events, catalog, profiles)
+    built = build_events(events, catalog, profiles)
+    if "metadata" not in raw.columns:
+        return built
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    more = raw.select(F.col("eventId").alias("event_id"), F.coalesce("metadata", none).alias("metadata"))
+    return built.join(more, "event_id")  # ids of events are unique: no key can be hot

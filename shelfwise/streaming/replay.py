@@ -6,19 +6,18 @@ below ``batch_id=N``, replacing it when a batch is repeated: outputs stay exactl
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from shelfwise import constants as K
 from shelfwise.operators import recommend as R
-from shelfwise.operators.joins import lookup_join, settled
 from shelfwise.operators.ordering import running_totals
-from shelfwise.sources.storage import path_exists
-from shelfwise.streaming import events as E
+from shelfwise.sources.storage import make_folder, path_exists
+from shelfwise.streaming import events as E, state as S
 
 
 def write_batch(df: DataFrame, folder: str, batch_id: int) -> None:
@@ -35,7 +34,12 @@ def read_batches(spark: SparkSession, folder: str, schema, before: int | None =
 
 @dataclass
 class Recommender:
-    """Routes message batches to recommendations, purchases, counters and rejects."""
+    """Routes message batches to recommendations, purchases, counters and rejects.
+
+    A batch is scored once; messages and counters are read back from what it stored. It leaves one
+    row per user and one per purchase for the second query, which keeps the state of the users and the
+    running totals. So a batch costs what its own events cost, however many went before.
+    """
 
     catalog: DataFrame
     out: str
@@ -45,31 +49,53 @@ class Recommender:
     # again: topics receive at least once, the stored tables hold exactly once.
     publish: Callable[[DataFrame, str], None] | None = None
     shelf: R.Shelf | None = None
+    # Metrics messages at views whose zero-based position it divides; None: one per micro-batch.
+    every: int | None = None
+    ttl_ms: int | None = None
+    accounts: bool = True  # run the second query
+    mark: float = field(default_factory=time.monotonic)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        """One batch on its own: both steps, one after the other."""
+        self.score(batch, batch_id)
+        self.account_for_all()
+
+    # ---- first query: score the events ----
+
+    def score(self, batch: DataFrame, batch_id: int) -> None:
         parsed = E.parse(batch).persist()
         try:
             events = E.accepted(parsed)
             views = E.views(events)
-            shelf = self._shelf()
+            shelf, spark = self._shelf(), batch.sparkSession
+            began, seen = time.perf_counter(), Observation()
             preferences = R.Preferences.of(views, self.catalog, shelf)
             recommended = R.recommend(views, self.catalog, self.k, self.fill_key, preferences,
                                       shelf)
+            self._write(E.recommendation_messages(recommended, R.PREFERENCE).observe(
+                seen, F.count("*").alias("n")), "recommendations", batch_id)
+            spent = 1000 * (time.perf_counter() - began) / max(seen.get["n"], 1)
+            self._write(spark.createDataFrame([(spent, seen.get["n"])], "processing_time_ms double, views bigint"),
+                        "timings", batch_id)
+            stored = self._batch(spark, "recommendations", batch_id).withColumn(
+                "ts", E.event_time(F.col("timestamp")))
             totals = R.relevant_totals(preferences, self.catalog)
-            self._write(E.recommendation_messages(recommended), "recommendations", batch_id)
+            self._write(R.event_counters(stored, totals), "counters", batch_id)
             self._write(E.purchase_messages(events), "purchases", batch_id)
-            self._write(R.event_counters(recommended, totals), "counters", batch_id)
             self._write(parsed.filter(F.col("rejected").isNotNull()).select("rejected"),
                         "rejects", batch_id)
-            self._write(parsed.filter(F.col("rejected").isNull()).groupBy("event_type").agg(
-                F.count("*").alias("events")), "event_counts", batch_id)
-            self._write(self._session_users(events, batch_id), "session_users", batch_id)
-            spark = batch.sparkSession
-            self._write(self._counted_users(self._batch(spark, "counters", batch_id), batch_id),
-                        "counted_users", batch_id)
-            self._write(self._metric_steps(spark, batch_id), "metrics", batch_id)
+            counters = self._batch(spark, "counters", batch_id)
+            if self.every:
+                self._write(events.select("event_id", "ts", "event_type").join(
+                    counters.drop("user_id", "ts"), "event_id", "left"), "events", batch_id)
+            if self.accounts:
+                self._write(profiles_of(events), "profiles", batch_id)
+                self._write(activity(events, counters), "activity", batch_id)
             if self.publish:
-                self._publish(spark, batch_id)
+                texts = stored.drop("ts", *R.PREFERENCE).withColumn("processing_time_ms", F.lit(spent))
+                self.publish(E.to_messages(texts), K.TOPIC_RECOMMENDATIONS)
+                self.publish(E.to_messages(self._batch(spark, "purchases", batch_id)),
+                             K.TOPIC_RECOMMENDATIONS)
         finally:
             parsed.unpersist()
 
@@ -79,70 +105,241 @@ class Recommender:
             self.shelf = R.Shelf.of(self.catalog, self.k, self.fill_key)
         return self.shelf
 
-    def _publish(self, spark: SparkSession, batch_id: int) -> None:
-        for table in ("recommendations", "purchases"):
-            self.publish(E.to_messages(self._batch(spark, table, batch_id)),
-                         K.TOPIC_RECOMMENDATIONS)
-        steps = read_batches(spark, f"{self.out}/metrics",
-                             "metric string, amount bigint, batch_id int", batch_id + 1)
-        self.publish(E.to_messages(E.metrics_messages(cumulative_metrics(steps))),
-                     K.TOPIC_METRICS)
-
     def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
         write_batch(df, f"{self.out}/{table}", batch_id)
 
-    def _session_users(self, events: DataFrame, batch_id: int) -> DataFrame:
-        """Users whose first view with a profile lies in this batch."""
-        here = E.views(events).filter("has_user_profile").select("user_id").distinct()
-        return self._unknown(here, "session_users", "user_id bigint, batch_id int", batch_id)
-
-    def _unknown(self, users: DataFrame, table: str, schema: str, batch_id: int) -> DataFrame:
-        """Users that no earlier batch wrote to a table of users.
-
-        The table is only scanned for the batch's few users, which Spark can broadcast; it is
-        as large as the number of users, whatever the number of events.
-        """
-        known = read_batches(users.sparkSession, f"{self.out}/{table}", schema, batch_id)
-        again = known.select("user_id").join(users.select("user_id"), "user_id", "left_semi")
-        return users.join(again, "user_id", "left_anti")
-
-    def _counted_users(self, counters: DataFrame, batch_id: int) -> DataFrame:
-        """(user_id, total): users whose relevant products first count in this batch."""
-        here = R.user_counters(counters).filter(F.col("total_relevant_products") > 0).select(
-            "user_id", F.col("total_relevant_products").alias("total"))
-        return self._unknown(here, "counted_users",
-                             "user_id bigint, total bigint, batch_id int", batch_id)
-
     def _batch(self, spark: SparkSession, table: str, batch_id: int) -> DataFrame:
         return spark.read.parquet(f"{self.out}/{table}/batch_id={batch_id}")
 
-    def _metric_steps(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """(metric, amount): what this batch adds to each cumulative counter."""
-        measures = {
-            "counters": {"total_recommendations": F.sum("n_recs"),
-                         "relevant_recommendations": F.sum("n_relevant"),
-                         "relevant_products_recommended": F.sum("n_relevant_products")},
-            "counted_users": {"total_relevant_products": F.sum("total")},
-            "event_counts": {"events_processed": F.sum("events")},
-            "session_users": {"active_user_sessions": F.count("*")},
-        }
-        parts = []
-        for table, sums in measures.items():
-            row = self._batch(spark, table, batch_id).agg(*[
-                F.coalesce(s, F.lit(0)).cast("bigint").alias(n) for n, s in sums.items()])
-            parts.append(row.select(F.explode(F.array(*[
-                F.struct(F.lit(n).alias("metric"), F.col(n).alias("amount")) for n in sums]))
-                .alias("m")).select("m.*"))
-        return reduce(DataFrame.unionByName, parts)
+    # ---- second query: state of the users and running totals ----
+
+    def start_accounts(self, available_now: bool = False, interval: str = "10 seconds") -> StreamingQuery:
+        spark = self.catalog.sparkSession
+        make_folder(spark, f"{self.out}/activity")
+        source = spark.readStream.schema(S.ACTIVITY).parquet(f"{self.out}/activity")
+        trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+        with S.keyed_state(spark):
+            return (S.session_changes(source, self.ttl_ms).writeStream.outputMode("update")
+                    .foreachBatch(self.account).trigger(**trigger)
+                    .option("checkpointLocation", f"{self.out}/_accounts").start())
+
+    def account_for_all(self) -> None:
+        """Bring totals and sessions up to date with all batches that are stored."""
+        self.start_accounts(available_now=True).awaitTermination()
+
+    def account(self, changes: DataFrame, batch_id: int) -> None:
+        """Store what a step of the second query changes, and add it to the totals of the step before."""
+        spark = changes.sparkSession
+        self._write(changes.withColumnRenamed("batch_id", "stored_in"), "changes", batch_id)
+        changes = self._batch(spark, "changes", batch_id)
+        sums = changes.filter("kind = 'sums'")
+        row = sums.agg(*[F.coalesce(s, F.lit(0)).cast("bigint").alias(n) for n, s in {
+            "total_recommendations": F.sum("n_recs"), "relevant_recommendations": F.sum("n_relevant"),
+            "relevant_products_recommended": F.sum("n_relevant_products"),
+            "total_relevant_products": F.sum("total"), "events_processed": F.sum("n_events"),
+            "active_user_sessions": F.count("session_start")}.items()]).first()
+        self._write(spark.createDataFrame(list(row.asDict().items()), "metric string, amount bigint"),
+                    "metrics", batch_id)
+        before = self._totals(spark, batch_id - 1)
+        now = time.monotonic()
+        totals = {n: row[n] + before.get(n, 0) for n in METRIC_COLUMNS}
+        totals["runtime_seconds"] = before.get("runtime_seconds", 0.0) + now - self.mark
+        self.mark = now
+        self._write(spark.createDataFrame([tuple(totals.values())], TOTALS), "totals", batch_id)
+        self._write(changes.filter("kind = 'session'").select(
+            "user_id", F.timestamp_micros("ts").alias("ts"), "event_id", F.col("session_batch").alias("stored_in")),
+            "sessions", batch_id)
+        self._write(changes.filter("kind = 'purchase'").select(
+            "user_id", "session_event", "event_id", F.timestamp_micros("ts").alias("ts"), "product_id"),
+            "session_purchases", batch_id)
+        if self.every:
+            self._write(self._updates(spark, sums, before, totals["runtime_seconds"]), "updates", batch_id)
+        if self.publish:
+            self.publish(E.to_messages(E.metrics_messages(
+                self._batch(spark, "updates", batch_id) if self.every else totals_with_scores(
+                    self._batch(spark, "totals", batch_id)))), K.TOPIC_METRICS)
+
+    def _totals(self, spark: SparkSession, batch_id: int) -> dict:
+        if batch_id < 0:
+            return {}
+        return self._batch(spark, "totals", batch_id).first().asDict()
+
+    def _updates(self, spark: SparkSession, sums: DataFrame, before: dict, runtime: float) -> DataFrame:
+        """The metrics messages due among the events of this step, in the order of batch, time and event."""
+        batches = [r[0] for r in sums.select("stored_in").distinct().collect()]  # the batches of this step
+        if not batches:
+            return spark.createDataFrame([], UPDATES)
+        events = spark.read.schema(EVENT_STEPS).parquet(f"{self.out}/events").filter(F.col("batch_id").isin(batches))
+        starts = sums.filter("session_start IS NOT NULL").select(
+            F.col("session_start").alias("event_id"), F.lit(1).cast("bigint").alias("_first_session"))
+        firsts = sums.filter("total_start IS NOT NULL").select(F.col("total_start").alias("event_id"), "total")
+        due = due_updates(events.join(starts, "event_id", "left").join(firsts, "event_id", "left"),
+                          ["batch_id", "ts", "event_id"], self.every, before)
+        per_second = F.col("events_processed") / F.lit(runtime)
+        return due.withColumns({"runtime_seconds": F.lit(runtime), "events_per_second": per_second})
+
+    def close(self) -> DataFrame:
+        """The closing message: the totals after the last step. It is stored and published."""
+        spark = self.catalog.sparkSession
+        last = spark.read.schema(f"{TOTALS}, batch_id int").parquet(f"{self.out}/totals")
+        row = last.orderBy(F.col("batch_id").desc()).limit(1)
+        message = E.metrics_messages(totals_with_scores(row).withColumn("ts", F.current_timestamp()))
+        message.write.mode("overwrite").parquet(f"{self.out}/closing")
+        message = spark.read.parquet(f"{self.out}/closing")
+        if self.publish:
+            self.publish(E.to_messages(message), K.TOPIC_METRICS)
+        return message
 
     def start(self, messages: DataFrame, checkpoint: str, available_now: bool = False,
-              interval: str = "10 seconds") -> StreamingQuery:
+              interval: str = "10 seconds") -> Running:
         trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-        return (messages.writeStream.foreachBatch(self.process).trigger(**trigger)
-                .option("checkpointLocation", checkpoint).start())
+        self.mark = time.monotonic()
+        progress = Progress()
+        messages.sparkSession.streams.addListener(progress)
+        observed = messages.observe("arrived", F.count("*").alias("messages"))
+        scoring = (observed.writeStream.foreachBatch(self.score).trigger(**trigger)
+                   .option("checkpointLocation", checkpoint).start())
+        progress.query_id = str(scoring.id)
+        live = self.accounts and not available_now
+        return Running(self, scoring, self.start_accounts(interval=interval) if live else None, progress)
+
+
+def timed_recommendations(spark: SparkSession, out: str) -> DataFrame:
+    """The stored recommendation messages with the time their batch took per view."""
+    times = spark.read.schema("processing_time_ms double, views bigint, batch_id int").parquet(f"{out}/timings")
+    recs = spark.read.parquet(f"{out}/recommendations").drop(*R.PREFERENCE)
+    return recs.join(times.drop("views"), "batch_id").drop("batch_id")
+
+
+class Progress(StreamingQueryListener):
+    """What the stream itself reports per batch: messages, rows per second and time."""
+
+    def __init__(self) -> None:
+        self.query_id: str | None = None
+        self.rows: list[tuple] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        arrived = p.observedMetrics.get("arrived")
+        if arrived is not None and self.query_id in (None, str(p.id)):
+            self.rows.append((int(p.batchId), int(arrived["messages"]), float(p.processedRowsPerSecond),
+                              float(p.durationMs.get("triggerExecution", 0))))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+@dataclass
+class Running:
+    """Both queries of a started recommender."""
+
+    engine: Recommender
+    scoring: StreamingQuery
+    accounts: StreamingQuery | None
+    progress: Progress
+
+    def awaitTermination(self, timeout: float | None = None) -> None:
+        """Until the stream ends; then the accounts are brought up to date and the closing message is sent."""
+        self.scoring.awaitTermination(timeout)
+        if timeout is None or not self.scoring.isActive:
+            self._finish()
+
+    def stop(self) -> None:
+        self.scoring.stop()
+        self._finish()
+
+    def _finish(self) -> None:
+        if self.accounts is not None:
+            self.accounts.stop()
+            self.accounts = None
+        if self.engine.accounts:
+            self.engine.account_for_all()
+        if self.engine.accounts and path_exists(self.engine.catalog.sparkSession, f"{self.engine.out}/totals"):
+            self.engine.close()
+        self.engine.catalog.sparkSession.streams.removeListener(self.progress)
+
+    def progress_rows(self) -> DataFrame:
+        """batch_id, messages, rows_per_second, milliseconds: one row per batch of this run."""
+        return self.engine.catalog.sparkSession.createDataFrame(
+            list(self.progress.rows), "batch_id bigint, messages bigint, rows_per_second double, milliseconds double")
+
+
+def activity(events: DataFrame, counters: DataFrame) -> DataFrame:
+    """What a batch says about its users: one row per user, however many events it has, and its purchases."""
+    micros = F.unix_micros("ts")
+    views = events.filter((F.col("event_type") == K.VIEW_EVENT) & F.col("user_id").isNotNull()
+                          & F.col("user_profile").isNotNull())
+    at = F.struct(micros.alias("ts"), "event_id")
+    seen = views.groupBy("user_id").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    counted = counters.withColumn("at", at).groupBy("user_id").agg(
+        *[F.sum(n).alias(n) for n in ("n_recs", "n_relevant", "n_relevant_products")],
+        F.min_by(F.struct("at", "relevant_products"), F.when(F.col("relevant_products") > 0, F.col("at"))).alias("t"))
+    per_user = events.groupBy("user_id").agg(F.count("*").alias("n_events"))
+    known = per_user.join(seen, "user_id", "left").join(counted, "user_id", "left")  # a NULL user joins nothing
+    none = F.lit(None).cast("bigint")
+    sums = known.select(
+        F.lit("sums").alias("kind"), "user_id", "n_events", "n_recs", "n_relevant", "n_relevant_products",
+        F.col("first.ts").alias("first_ts"), F.col("first.event_id").alias("first_event"),
+        F.col("last.ts").alias("last_ts"), F.col("last.event_id").alias("last_event"),
+        F.col("t.at.ts").alias("total_ts"), F.col("t.at.event_id").alias("total_event"),
+        F.col("t.relevant_products").alias("total"),
+        *[none.alias(n) for n in ("ts", "event_id", "product_id")])
+    bought = events.filter((F.col("event_type") == K.PURCHASE_EVENT) & F.col("user_id").isNotNull()
+                           & F.col("product.id").isNotNull()).select(
+        F.lit("purchase").alias("kind"), "user_id",
+        *[none.alias(n) for n in sums.columns[2:-3]], micros.alias("ts"), "event_id",
+        F.col("product.id").alias("product_id"))
+    return sums.unionByName(bought)
+
+
+def profiles_of(events: DataFrame) -> DataFrame:
+    """(user_id, event_id, ts, profile) of each user's last view with a profile in a batch."""
+    views = events.filter((F.col("event_type") == K.VIEW_EVENT) & F.col("user_id").isNotNull()
+                          & F.col("user_profile").isNotNull())
+    last = views.groupBy("user_id").agg(F.max(F.struct("ts", "event_id")).alias("l"))
+    return views.join(last, "user_id").where(F.struct("ts", "event_id") == F.col("l")).select(
+        "user_id", "event_id", "ts", E.profile_with_defaults(F.col("user_profile")).alias("profile"))
+
+
+def stored_sessions(spark: SparkSession, out: str) -> DataFrame:
+    """(user_id, ts, event_id, profile): the sessions as the state of a recommender has them.
+
+    The state names the batch and event of a session; the profile is read where that batch stored it.
+    """
+    changes = spark.read.schema("user_id bigint, ts timestamp, event_id bigint, stored_in bigint, batch_id int").parquet(
+        f"{out}/sessions")
+    newest = changes.groupBy("user_id").agg(F.max(F.struct("ts", "event_id", "stored_in")).alias("s")).select("user_id", "s.*")
+    profiles = spark.read.parquet(f"{out}/profiles").select(
+        "user_id", "event_id", F.col("batch_id").cast("bigint").alias("stored_in"), "profile")
+    return newest.join(profiles, ["user_id", "event_id", "stored_in"]).select("user_id", "ts", "event_id", "profile")
+
+
+def stored_session_purchases(spark: SparkSession, out: str) -> DataFrame:
+    """(user_id, event_id, ts, product_id) of the purchases in each user's session."""
+    changes = spark.read.parquet(f"{out}/sessions").groupBy("user_id").agg(
+        F.max(F.struct("ts", "event_id")).alias("s")).select("user_id", F.col("s.event_id").alias("session_event"))
+    bought = spark.read.parquet(f"{out}/session_purchases").drop("batch_id").distinct()
+    return bought.join(changes, ["user_id", "session_event"], "left_semi").drop("session_event")
 
 
 METRIC_COLUMNS = [*R.COUNTERS, "events_processed", "active_user_sessions"]
+TOTALS = ", ".join(f"{c} bigint" for c in METRIC_COLUMNS) + ", runtime_seconds double"
+EVENT_STEPS = ("event_id bigint, ts timestamp, event_type string, n_recs bigint, n_relevant bigint, "
+               "n_relevant_products bigint, relevant_products bigint, batch_id int")
+UPDATES = ("event_id bigint, ts timestamp, " + ", ".join(f"{c} bigint" for c in METRIC_COLUMNS)
+           + ", precision double, recall double, f1 double, runtime_seconds double, events_per_second double")
+
+
+def totals_with_scores(totals: DataFrame) -> DataFrame:
+    """Totals with precision, recall, F1 and the events per second of the run time."""
+    return R.with_scores(totals).withColumn("events_per_second", F.when(
+        F.col("runtime_seconds") > 0, F.col("events_processed") / F.col("runtime_seconds")).otherwise(0.0))
 
 
 def cumulative_metrics(steps: DataFrame) -> DataFrame:
@@ -178,19 +375,29 @@ def every_tenth(events: DataFrame, counters: DataFrame, every: int = 10) -> Data
               .join(counters.drop("user_id", "ts"), "event_id", "left")
               .join(first_total, "event_id", "left").join(sessions, "event_id", "left"))
 
+    return due_updates(marked.withColumn("total", F.when(F.col("_first_total") == 1, F.col("relevant_products"))),
+                       ["ts", "event_id"], every, {})
+
+
+def due_updates(marked: DataFrame, order: list[str], every: int, before: dict) -> DataFrame:
+    """The updates due among events in an order, after the totals of ``before``.
+
+    ``marked`` has event_id, ts, event_type, the counters of scored views, and at a user's first event of the
+    kind ``_first_session`` and the ``total`` of relevant products.
+    """
     def or_zero(column: Column) -> Column:
         return F.coalesce(column, F.lit(0).cast("bigint"))
 
     running = running_totals(marked.select(
-        "event_id", "ts", "event_type", "n_recs", "n_relevant", "n_relevant_products",
-        "relevant_products", "_first_total", "_first_session"), ["ts", "event_id"], {
+        *dict.fromkeys([*order, "event_id", "ts"]), "event_type", "n_recs", "n_relevant", "n_relevant_products",
+        "total", "_first_session"), order, {
             "total_recommendations": or_zero(F.col("n_recs")),
             "relevant_recommendations": or_zero(F.col("n_relevant")),
-            "total_relevant_products": or_zero(F.when(F.col("_first_total") == 1,
-                                                      F.col("relevant_products"))),
+            "total_relevant_products": or_zero(F.col("total")),
             "relevant_products_recommended": or_zero(F.col("n_relevant_products")),
             "active_user_sessions": or_zero(F.col("_first_session")),
             "events_processed": F.lit(1).cast("bigint")})
+    running = running.withColumns({c: F.col(c) + F.lit(int(before.get(c, 0))) for c in METRIC_COLUMNS})
     position = F.col("events_processed") - 1
     due = running.filter((F.col("event_type") == K.VIEW_EVENT) & (F.pmod(position, F.lit(every))
                                                                   == 0))
@@ -198,49 +405,28 @@ def every_tenth(events: DataFrame, counters: DataFrame, every: int = 10) -> Data
         "event_id", "ts", *METRIC_COLUMNS, "precision", "recall", "f1")
 
 
-# ---- sessions ----
+# ---- views on stored recommendations ----
 
-def start_sessions(messages: DataFrame, out: str, checkpoint: str,
-                   available_now: bool = False) -> StreamingQuery:
-    """Keep each user's latest viewed profile: a keyed state of one profile per user.
+def start_newest(recommended: DataFrame, out: str, checkpoint: str, max_age_minutes: float = 5,
+                 available_now: bool = False) -> StreamingQuery:
+    """Keep each user's newest recommendations; a row goes stale by the time of other users' events.
 
-    Later views replace earlier ones by event time. Each batch writes the users it changed.
+    ``recommended`` is a stream of stored recommendation messages. Each batch writes the users it changed.
     """
-    events = E.accepted(E.parse(messages))
-    latest = (events.filter((F.col("event_type") == K.VIEW_EVENT) & F.col("user_id").isNotNull()
-                            & F.col("user_profile").isNotNull())
-              .groupBy("user_id").agg(F.max_by(
-                  F.struct("ts", "event_id", E.profile_with_defaults(F.col("user_profile"))
-                           .alias("profile")), F.struct("ts", "event_id")).alias("session"))
-              .select("user_id", "session.*"))
+    rows = recommended.select("event_id", E.event_time(F.col("timestamp")).alias("ts"), "user_id", F.array_join(
+        F.transform("recommendations", lambda r: r["id"].cast("string")), ",").alias("ids"))
     trigger = {"availableNow": True} if available_now else {"processingTime": "10 seconds"}
-    return (latest.writeStream.outputMode("update").trigger(**trigger)
-            .option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda df, n: write_batch(df, out, n)).start())
-
-
-def current_sessions(batches: DataFrame) -> DataFrame:
-    """(user_id, ts, event_id, profile): the newest state of each user over all batches."""
-    return batches.groupBy("user_id").agg(F.max_by(
-        F.struct("ts", "event_id", "profile"), F.struct("ts", "event_id")).alias("s")).select(
-        "user_id", "s.*")
+    with S.keyed_state(recommended.sparkSession):
+        return (S.newest_changes(rows, max_age_minutes).writeStream.outputMode("update").trigger(**trigger)
+                .option("checkpointLocation", checkpoint)
+                .foreachBatch(lambda df, n: write_batch(df, out, n)).start())
 
 
-def session_purchases(sessions: DataFrame, purchases: DataFrame) -> DataFrame:
-    """(user_id, event_id, ts, product_id) bought after the session's last view.
+def newest_of(changes: DataFrame) -> DataFrame:
+    """(user_id, event_id, ts, ids, is_stale): each user's last change."""
+    last = changes.groupBy("user_id").agg(F.max(F.struct("at", "event_id", "is_stale", "ids")).alias("c"))
+    return last.select("user_id", "c.event_id", F.timestamp_micros("c.at").alias("ts"), "c.ids", "c.is_stale")
 
-    A purchase by a user without a session is not part of any.
-    """
-    since = settled(sessions.select("user_id", F.col("ts").alias("_ts"),
-                                    F.col("event_id").alias("_event")))
-    bought = purchases.select("user_id", "event_id", E.event_time(F.col("timestamp")).alias("ts"),
-                              "product_id")
-    joined = lookup_join(bought, since, "user_id", "inner", spread=["event_id"])
-    return joined.filter(F.struct("ts", "event_id") > F.struct(
-        F.col("_ts").alias("ts"), F.col("_event").alias("event_id"))).drop("_ts", "_event")
-
-
-# ---- views on stored recommendations ----
 
 def latest_recommendations(recommended: DataFrame, as_of: Column,
                            max_age: str = "5 minutes") -> DataFrame:

@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,17 +126,110 @@ def test_anonymous_and_user_zero(spark, landed):
 
 
 def test_sessions_replace_and_keep_later_purchases(spark, landed, tmp_path):
-    S.start_sessions(readers.stream_text_files(spark, landed, 1), str(tmp_path / "s"),
-                     str(tmp_path / "c"), available_now=True).awaitTermination()
-    sessions = S.current_sessions(spark.read.parquet(str(tmp_path / "s")))
-    state = {r["user_id"]: r for r in sessions.collect()}
+    run(spark, landed, tmp_path)
+    out = str(tmp_path / "out")
+    state = {r["user_id"]: r for r in S.stored_sessions(spark, out).collect()}
     assert {u: r["event_id"] for u, r in state.items()} == {0: 9, 1: 7, 2: 5}
     assert state[1]["profile"]["purchase_history"] == [2]
     assert state[2]["profile"]["price_sensitivity"] == 0.5
     assert state[2]["profile"]["viewing_history"] == []
-    bought = E.purchase_messages(E.accepted(E.parse(spark.read.text(landed))))
     # The purchases 1 and 2 came before the last view of their users; user 3 has no session.
-    assert rows(S.session_purchases(sessions, bought), "user_id", "event_id") == [(1, 8), (2, 6)]
+    assert rows(S.stored_session_purchases(spark, out), "user_id", "event_id") == [(1, 8), (2, 6)]
+
+
+def sequence(seed, n):
+    """Events of few users in no order of time, some repeated views, some users without a profile or id."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        user = rng.choice([0, 1, 1, 1, 2, 3, None])
+        profile = None if user in (3, None) else {**PROFILE, "purchase_history": [i]}
+        out.append(event(i, rng.choice([K.VIEW_EVENT, K.PURCHASE_EVENT, "wave"]), user, rng.randrange(8), profile))
+    rng.shuffle(out)
+    return out
+
+
+def test_state_over_twenty_batches_and_a_restart(spark, tmp_path):
+    """Late events, and users in many batches: the state gives what the whole table gives."""
+    source, events = str(tmp_path / "in"), sequence(3, 120)
+
+    def deliver(first, last):
+        for n in range(first, last):
+            land(source, f"part-{n:02d}.txt", events[6 * n:6 * n + 6])
+            os.utime(os.path.join(source, f"part-{n:02d}.txt"), (1e9 + n, 1e9 + n))
+        engine = S.Recommender(catalog(spark), f"{tmp_path}/out", 3, F.col("pos"), every=10)
+        engine.start(readers.stream_text_files(spark, source, 1), f"{tmp_path}/checkpoint", available_now=True).awaitTermination()
+
+    deliver(0, 8)
+    deliver(8, 20)
+    out = str(tmp_path / "out")
+    assert spark.read.parquet(f"{out}/timings").count() == 20
+    views = [e for e in events if e["event_type"] == K.VIEW_EVENT and e["user_profile"] and e["user_id"] is not None]
+    last = {u: max(e["event_id"] for e in views if e["user_id"] == u) for u in (0, 1, 2)}
+    assert {(r["user_id"], r["event_id"], tuple(r["profile"]["purchase_history"])) for r in S.stored_sessions(spark, out).collect()} == {
+        (u, i, (i,)) for u, i in last.items()}
+    assert rows(S.stored_session_purchases(spark, out), "user_id", "event_id") == sorted(
+        ((e["user_id"], e["event_id"]) for e in events
+         if e["event_type"] == K.PURCHASE_EVENT and e["user_id"] in last and e["event_id"] > last[e["user_id"]]), key=repr)
+    totals = spark.read.parquet(f"{out}/totals").orderBy(F.col("batch_id").desc()).first()
+    whole = S.cumulative_metrics(spark.read.parquet(f"{out}/metrics")).first()
+    assert all(totals[c] == whole[c] for c in S.METRIC_COLUMNS)
+    assert (totals["events_processed"], totals["active_user_sessions"]) == (120, 3) and totals["runtime_seconds"] > 0
+    # positions go on over batches: within each batch by time
+    order = [e for n in range(20) for e in sorted(events[6 * n:6 * n + 6], key=lambda e: e["event_id"])]
+    due = [(e["event_id"], n) for n, e in enumerate(order) if n % 10 == 0 and e["event_type"] == K.VIEW_EVENT]
+    updates = spark.read.parquet(f"{out}/updates")
+    assert rows(updates, "event_id", "events_processed") == sorted(due, key=repr)
+    seen = {e["event_id"]: len({x["user_id"] for x in order[:n + 1] if x in views}) for n, e in enumerate(order)}
+    assert all(r["active_user_sessions"] == seen[r["event_id"]] and r["runtime_seconds"] > 0 for r in updates.collect())
+    closing = spark.read.parquet(f"{out}/closing").first()
+    assert closing["metrics"]["events_processed"] == 120 and closing["metrics"]["events_per_second"] > 0
+
+
+def test_a_batch_that_is_scored_again_counts_once(spark, tmp_path):
+    """The first query may repeat its last batch after a failure, when the second has already read it."""
+    engine = S.Recommender(catalog(spark), str(tmp_path / "out"), 3, F.col("pos"))
+    texts = [spark.createDataFrame([(json.dumps(e),) for e in part], "value string") for part in (EVENTS[:4], EVENTS[5:9])]
+    for n in (0, 1, 1):
+        engine.process(texts[n], n)
+    totals = spark.read.parquet(str(tmp_path / "out/totals")).orderBy(F.col("batch_id").desc()).first()
+    assert (totals["events_processed"], totals["active_user_sessions"]) == (8, 2)
+
+
+def test_work_per_batch_stays_flat(spark, tmp_path):
+    """Jobs of a batch do not grow with the batches before it."""
+    engine = S.Recommender(catalog(spark), str(tmp_path / "out"), 3, F.col("pos"))
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for n in range(5):
+        part = [event(10 * n + i, K.VIEW_EVENT if i % 2 else K.PURCHASE_EVENT, 10 * n + i, i) for i in range(6)]
+        spark.sparkContext.setJobGroup(f"score-{n}", "score")
+        engine.score(spark.createDataFrame([(json.dumps(e),) for e in part], "value string"), n)
+        jobs.append(len(tracker.getJobIdsForGroup(f"score-{n}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(set(jobs[1:])) == 1
+    engine.account_for_all()
+    first = spark.read.parquet(str(tmp_path / "out/totals/batch_id=0")).first()
+    assert first["events_processed"] == 30 and first["active_user_sessions"] == 15
+
+
+def test_recommendations_go_stale_by_other_users_events(spark, tmp_path):
+    folder = str(tmp_path / "recs")
+    schema = "event_id bigint, timestamp double, user_id bigint, recommendations array<struct<id: bigint>>"
+
+    def add(*messages):
+        spark.createDataFrame([(i, 60.0 * at, u, [(i,)]) for i, at, u in messages], schema).coalesce(1).write.mode("append").parquet(folder)
+
+    def state():
+        S.start_newest(spark.readStream.schema(schema).parquet(folder), str(tmp_path / "out"), str(tmp_path / "c"),
+                       available_now=True).awaitTermination()
+        return rows(S.newest_of(spark.read.parquet(str(tmp_path / "out"))), "user_id", "event_id", "is_stale")
+
+    add((1, 10, 7), (2, 11, 8), (3, 9, 7), (4, 11, None))
+    assert state() == [(7, 1, False), (8, 2, False)]
+    add((5, 15.5, 9))
+    assert state() == [(7, 1, True), (8, 2, False), (9, 5, False)]
+    add((6, 40, 7), (7, 12, 8))
+    assert state() == [(7, 6, False), (8, 2, True), (9, 5, True)]
 
 
 def test_every_tenth_counts_before_the_event(spark):
