@@ -4,6 +4,9 @@ A keyed table is broadcast only when Catalyst's size estimate fits the session's
 budget. Otherwise both sides are shuffled on the key, and keys too frequent for one task are
 split over several: the frequent side's rows get a salt, and the matching rows of the other side
 are repeated once per salt. Every row is joined either way.
+
+Several tables that multiply per key are joined on a grid (``multiply``): a key's combinations are cut in
+every table's direction at once, so a key that is frequent in all of them spreads as well.
 """
 
 from __future__ import annotations
@@ -154,3 +157,65 @@ def _keyed_side_salted(fact: DataFrame, keyed: DataFrame, on: Sequence[str],
     left = fact.join(small, on).withColumn("_salt", _all_salts()).drop("_splits")
     right = keyed.join(small, on).withColumn("_salt", _salt(keyed.columns)).drop("_splits")
     return left.join(right, [*on, "_salt"], "inner").drop("_salt")
+
+
+def partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def multiply(base: DataFrame, children: Sequence[DataFrame], on: str, how: str = "left",
+             rows_per_task: int | None = None) -> DataFrame:
+    """Join every child to ``base`` on one key; a key's rows multiply over all tables.
+
+    Each table's rows per key are counted first (one aggregation, one row per key). Keys whose product is too
+    large for a task are joined on a grid: a table's rows are dealt to places of its own direction and
+    repeated along the others, so that a cell meets few rows of every table. The cells of all keys are dealt
+    to tasks by their number, and the whole chain of these keys is one stage.
+    """
+    limit, tables, n = rows_per_task or ROWS_PER_TASK, [base, *children], len(children) + 1
+    keys = reduce(DataFrame.unionByName, [t.select(on, F.lit(i).alias("_t")) for i, t in enumerate(tables)])
+    counted = keys.filter(F.col(on).isNotNull()).groupBy(on).agg(
+        *[F.count(F.when(F.col("_t") == i, 1)).alias(f"_n{i}") for i in range(n)])
+    rows = reduce(lambda a, b: a * b, [F.greatest(F.col(f"_n{i}"), F.lit(1)).cast("double") for i in range(n)])
+    sized = cut_lineage(counted.filter("_n0 > 0").withColumn("_rows", rows))
+    total, most = sized.agg(F.sum("_rows"), F.max("_rows")).first()
+    columns = [*base.columns, *[c for child in children for c in child.columns if c != on]]
+    if not most or most <= limit:
+        return _plain_chain(base, children, on, how).select(*columns)
+    tasks = max(partitions(base), int(-(-total // limit)))
+    cell = max(min(limit, total // (4 * tasks)), limit // 16, 1)  # several cells to a task even out
+    hot = _grid(sized.filter(F.col("_rows") > cell), on, n, cell)
+    rest = [t.join(hot.select(on), on, "left_anti") for t in tables]
+    done = _on_grid(tables[0], hot, on, 0, n).repartition(tasks, on, "_cell")
+    for i, child in enumerate(children, 1):
+        dealt = _on_grid(child, hot, on, i, n).drop(*[f"_has{j}" for j in range(n)]).withColumn("_met", F.lit(True))
+        done = done.join(dealt.repartition(tasks, on, "_cell"), [on, "_cell"], "left" if how == "left" else "inner")
+        # an empty cell of a child that has rows for the key elsewhere gives none
+        done = done.filter(F.col("_met").isNotNull() | ~F.col(f"_has{i}")).drop("_met")
+    return done.select(*columns).unionByName(_plain_chain(rest[0], rest[1:], on, how).select(*columns))
+
+
+def _plain_chain(base: DataFrame, children: Sequence[DataFrame], on: str, how: str) -> DataFrame:
+    return reduce(lambda a, b: a.join(F.broadcast(b) if fits_broadcast(b) else b, on, how), children, base)
+
+
+def _grid(sized: DataFrame, on: str, n: int, cell: float) -> DataFrame:
+    """Per key the places in each table's direction (``_d0``, ...), and which tables have the key."""
+    wide = reduce(lambda a, b: a + b, [(F.col(f"_n{i}") > 1).cast("int") for i in range(n)])
+    side = F.greatest(F.pow(F.lit(float(cell)), F.lit(1.0) / F.greatest(wide, F.lit(1))), F.lit(1.0))
+    return sized.select(on, *[F.greatest(F.ceil(F.col(f"_n{i}") / side), F.lit(1)).cast("bigint").alias(f"_d{i}")
+                              for i in range(n)], *[(F.col(f"_n{i}") > 0).alias(f"_has{i}") for i in range(n)])
+
+
+def _on_grid(table: DataFrame, hot: DataFrame, on: str, i: int, n: int) -> DataFrame:
+    """The rows of hot keys, each in every cell of its place in the direction ``i``."""
+    def places(which: Sequence[int]) -> Column:
+        return reduce(lambda a, b: a * b, [F.col(f"_d{j}") for j in which], F.lit(1).cast("bigint"))
+
+    stride, own = places(range(i)), F.col(f"_d{i}")
+    place = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in table.columns]), own)
+    # the place is fixed before rows are repeated; a repeated row differs by its cell only
+    dealt = table.join(hot, on).withColumn("_place", place).withColumn(
+        "_x", F.explode(F.sequence(F.lit(0).cast("bigint"), places([j for j in range(n) if j != i]) - 1)))
+    cell = F.floor(F.col("_x") / stride).cast("bigint") * stride * own + F.col("_place") * stride + F.pmod(F.col("_x"), stride)
+    return dealt.withColumn("_cell", cell).drop("_place", "_x", *[f"_d{j}" for j in range(n)])

@@ -105,3 +105,38 @@ def test_copies_of_a_row_spread(spark):
     copies = spark.range(8000, numPartitions=16).select(F.lit(1).alias("key"))
     salts = copies.join(F.broadcast(hot), "key").select(J._salt(["key"]).alias("s"))
     assert salts.distinct().count() >= 4
+
+
+def many(spark, n, keys, name):
+    """Key 7 in half of the rows, key 3 in a quarter, and some keys that other tables lack."""
+    i = F.col("id")
+    key = F.when(i % 2 == 0, 7).when(i % 4 == 1, 3).when(i % 97 == 3, F.lit(None)).otherwise(i % keys)
+    return spark.range(n).select(key.cast("bigint").alias("key"), i.alias(name))
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("limit", [40, 300, 10**9])
+def test_tables_that_multiply_equal_the_plain_chain(spark, how, limit):
+    base = many(spark, 40, 31, "a")
+    children = [many(spark, 60, 11, "b"), many(spark, 24, 50, "c").filter("key != 3"), many(spark, 3, 2, "d").limit(0)]
+    children = children if how == "left" else children[:2]
+    want = base
+    for child in children:
+        want = want.join(child, "key", how)
+    got = J.multiply(base, children, "key", how, limit)
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_a_key_hot_in_every_table_spreads(spark):
+    """One key has nearly all combinations; no task gets more than three times the median."""
+    tables = [spark.range(200).select(F.lit(1).cast("bigint").alias("key"), F.col("id").alias(n)) for n in "abc"]
+    tables[0] = tables[0].filter("a < 4")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        out = J.multiply(tables[0], tables[1:], "key", "left", 20_000)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sum(sizes) == 160_000 and len(sizes) >= 6
+    assert max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]
