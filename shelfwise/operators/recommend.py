@@ -12,7 +12,7 @@ preferences, and an event only merges three short arrays; the catalog never meet
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -24,6 +24,7 @@ PREFERENCE = ["categories", "features"]
 NO_PROFILE_TIER, FILL_TIER = 3, 4
 PRODUCT = ("id", "name", "category", "price", "description")
 GRAM = 3
+FEW_FEATURES = 200  # looked for in one scan of the catalog
 TEXT_ARRAY = "array<string>"
 
 
@@ -106,42 +107,75 @@ def catalog_pieces(catalog: DataFrame, sizes: Sequence[int] = range(GRAM + 1)) -
         F.array().cast(TEXT_ARRAY), *[_pieces(_text(), n) for n in sizes]))).alias("piece"))
 
 
-def feature_matches(catalog: DataFrame, features: DataFrame,
-                    shelf: "Shelf | None" = None) -> DataFrame:
+def feature_matches(catalog: DataFrame, features: DataFrame) -> DataFrame:
     """(feature, id, pos, category, product) where the description contains the feature.
 
-    Substring search as an equi-join: each feature is looked up under its rarest piece of three
-    characters (or itself when shorter), and the few candidates are verified. ``features`` holds
-    distinct lower-case features.
+    ``features`` holds distinct lower-case features.
     """
-    if shelf is None:
+    pairs = marked(catalog, features).select(F.explode("matched").alias("feature"), "id", "pos", "category")
+    return lookup_join(pairs, catalog.select("id", _product().alias("product")), "id", "inner", spread=["feature"])
+
+
+def marked(catalog: DataFrame, features: DataFrame, index: Callable[[], "Pieces"] | None = None) -> DataFrame:
+    """(id, pos, category, matched): products with any of the features, and which of them, in order.
+
+    A few features are all looked for in one scan of the catalog. Many are found by an
+    index of pieces, which ``index`` may have ready.
+    """
+    few = sorted(r[0] for r in features.select("feature").limit(FEW_FEATURES + 1).collect())
+    columns = ["id", "pos", "category"]
+    if len(few) <= FEW_FEATURES:
+        texts = catalog.select(*columns, _text().alias("_text"))
+        held = F.array(*[F.when(F.contains("_text", F.lit(f)), F.lit(f)) for f in few]).cast(TEXT_ARRAY)
+        return texts.select(*columns, F.array_compact(held).alias("matched")).filter(F.size("matched") > 0)
+    pairs = _by_pieces(catalog, features, index() if index else Pieces.of(catalog, features))
+    return pairs.groupBy("id").agg(F.first("pos").alias("pos"), F.first("category").alias("category"),
+                                   F.array_sort(F.collect_set("feature")).alias("matched"))
+
+
+@dataclass(frozen=True)
+class Pieces:
+    """The pieces of all descriptions, up to GRAM characters long, and how many products have each."""
+
+    pieces: DataFrame
+    frequency: DataFrame
+
+    @classmethod
+    def of(cls, catalog: DataFrame, features: DataFrame | None = None) -> "Pieces":
+        """For some features only their own sizes and pieces count; for any, all are written."""
+        if features is None:
+            pieces = cut_lineage(catalog_pieces(catalog))
+            return cls(pieces, cut_lineage(pieces.groupBy("piece").agg(F.count("*").alias("n"))))
         # At most four sizes: 0 (the empty feature, found in every text) to 3.
         sizes = sorted(r[0] for r in features.select(
             F.least(F.length("feature"), F.lit(GRAM))).distinct().collect())
-        indexed = catalog_pieces(catalog, sizes)
-    else:
-        indexed = shelf.pieces
+        pieces = catalog_pieces(catalog, sizes)
+        wanted = settled(_feature_pieces(features).select("piece").distinct())
+        return cls(pieces, lookup_join(pieces, wanted, "piece", "inner", spread=["id"]).groupBy(
+            "piece").agg(F.count("*").alias("n")))
+
+
+def _feature_pieces(features: DataFrame) -> DataFrame:
     own = F.when(F.length("feature") >= GRAM, _pieces(F.col("feature"), GRAM)).otherwise(
         F.array("feature"))
-    feature_pieces = features.select("feature", F.explode(F.array_distinct(own)).alias("piece"))
-
-    if shelf is None:
-        wanted = settled(feature_pieces.select("piece").distinct())
-        frequency = lookup_join(indexed, wanted, "piece", "inner", spread=["id"]).groupBy(
-            "piece").agg(F.count("*").alias("n"))
-    else:
-        frequency = shelf.frequency
+    return features.select("feature", F.explode(F.array_distinct(own)).alias("piece"))
+
+
+def _by_pieces(catalog: DataFrame, features: DataFrame, index: Pieces) -> DataFrame:
+    """(feature, id, pos, category): substring search as an equi-join.
+
+    Each feature is looked up under its rarest piece of three characters (or itself when shorter),
+    and the few candidates are verified.
+    """
     # A piece the catalog lacks has no frequency, and its feature no match.
-    anchors = (lookup_join(feature_pieces, frequency, "piece", "inner", spread=["feature"])
+    anchors = (lookup_join(_feature_pieces(features), index.frequency, "piece", "inner", spread=["feature"])
                .groupBy("feature").agg(F.min_by("piece", F.struct("n", "piece")).alias("piece")))
-    candidates = lookup_join(indexed, settled(anchors), "piece", "inner", spread=["id"],
+    candidates = lookup_join(index.pieces, settled(anchors), "piece", "inner", spread=["id"],
                              unique=False)
-    details = catalog.select("id", "pos", "category", _text().alias("_text"),
-                             _product().alias("product"))
+    details = catalog.select("id", "pos", "category", _text().alias("_text"))
     found = lookup_join(candidates.select("id", "feature"), details, "id", "inner",
                         spread=["feature"])
-    return (found.filter(F.col("_text").contains(F.col("feature")))
-            .select("feature", "id", "pos", "category", "product"))
+    return found.filter(F.contains("_text", "feature")).select("feature", "id", "pos", "category")
 
 
 def preference_sets(views: DataFrame) -> DataFrame:
@@ -151,47 +185,69 @@ def preference_sets(views: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Preferences:
-    """The distinct preference sets of some views and their feature matches in the catalog."""
+    """The distinct preference sets of some views, and the products that have any of their features."""
 
     sets: DataFrame
-    matches: DataFrame
+    marked: DataFrame
 
     @classmethod
     def of(cls, views: DataFrame, catalog: DataFrame,
            shelf: "Shelf | None" = None) -> "Preferences":
         sets = preference_sets(views)
         features = sets.select(F.explode("features").alias("feature")).distinct()
-        return cls(sets, cut_lineage(feature_matches(catalog, features, shelf)))
+        return cls(sets, cut_lineage(marked(catalog, features)) if shelf is None else shelf.marks(features))
 
 
-@dataclass(frozen=True)
+@dataclass
 class Shelf:
     """What a catalog gives whatever the events are, written once and used by every batch."""
 
+    catalog: DataFrame
     category_rows: DataFrame
     same_category: DataFrame
     fill: DataFrame
-    pieces: DataFrame
-    frequency: DataFrame
+    category_sizes: DataFrame
+    known: frozenset[str] = frozenset()
+    marked: DataFrame | None = None
+    pieces: Pieces | None = None
 
     @classmethod
     def of(cls, catalog: DataFrame, k: int, fill_key: Column | None = None) -> "Shelf":
         rows = cut_lineage(category_rows(catalog, k))
-        pieces = cut_lineage(catalog_pieces(catalog))
-        frequency = cut_lineage(pieces.groupBy("piece").agg(F.count("*").alias("n")))
-        return cls(rows, cut_lineage(listed_categories(rows)),
+        return cls(catalog, rows, cut_lineage(listed_categories(rows)),
                    cut_lineage(fill_list(catalog, k, seeded_fill() if fill_key is None
-                                         else fill_key)), pieces, frequency)
+                                         else fill_key)), cut_lineage(category_sizes(catalog)))
+
+    def index(self) -> Pieces:
+        """Made when a batch first has too many features for one scan."""
+        if self.pieces is None:
+            self.pieces = Pieces.of(self.catalog)
+        return self.pieces
+
+    def marks(self, features: DataFrame) -> DataFrame:
+        """The products with any of the features; the catalog is searched again only for features that are new."""
+        few = frozenset(r[0] for r in features.limit(FEW_FEATURES + 1).collect())
+        if len(few | self.known) > FEW_FEATURES:
+            return cut_lineage(marked(self.catalog, features, self.index))
+        if self.marked is None or not few <= self.known:
+            self.known |= few
+            every = features.sparkSession.createDataFrame([(f,) for f in sorted(self.known)], "feature string")
+            self.marked = cut_lineage(marked(self.catalog, every))
+        return self.marked
 
 
 def preferred_lists(preferences: DataFrame, by_category: DataFrame, matches: DataFrame,
-                    k: int) -> DataFrame:
+                    catalog: DataFrame, k: int) -> DataFrame:
     """(categories, features, preferred): the first k + 1 products of tiers 1 and 2."""
     tier1 = lookup_join(
         preferences.select(*PREFERENCE, F.explode("categories").alias("category")),
         by_category, "category", "inner", spread=PREFERENCE).select(
         *PREFERENCE, F.lit(1).alias("tier"), "pos", "product")
-    by_feature = first_per_group(matches, ["feature"], ["pos"], k + 1)
+    # Positions are ranked; only the few products that remain are looked up.
+    ranked = settled(first_per_group(matches.select(F.explode("matched").alias("feature"), "id", "pos"),
+                                     ["feature"], ["pos"], k + 1))
+    by_feature = lookup_join(catalog.select("id", _product().alias("product")), ranked, "id", "inner",
+                             unique=False)
     tier2 = lookup_join(
         preferences.select(*PREFERENCE, F.explode("features").alias("feature")),
         by_feature.select("feature", "pos", "product"), "feature", "inner",
@@ -219,8 +275,8 @@ def recommend(views: DataFrame, catalog: DataFrame, k: int = 3,
     same_category = category_lists(catalog, k) if shelf is None else shelf.same_category
     fill = (fill_list(catalog, k, seeded_fill() if fill_key is None else fill_key)
             if shelf is None else shelf.fill)
-    preferred = preferred_lists(preferences.sets, by_category, preferences.matches,
-                                k).withColumn("has_user_profile", F.lit(True))
+    preferred = preferred_lists(preferences.sets, by_category, preferences.marked,
+                                catalog, k).withColumn("has_user_profile", F.lit(True))
     spread = ["event_id"]
     joined = lookup_join(views, preferred, [*PREFERENCE, "has_user_profile"], "left", spread)
     joined = lookup_join(joined, same_category, "category", "left", spread, keys_from=views)
@@ -254,33 +310,46 @@ def exploded(recommended: DataFrame) -> DataFrame:
 
 # ---- relevance and scoring ----
 
-def relevant_totals(preferences: Preferences, catalog: DataFrame) -> DataFrame:
+def category_sizes(catalog: DataFrame) -> DataFrame:
+    """(category, products)."""
+    return catalog.filter(F.col("category").isNotNull()).groupBy("category").agg(
+        F.count("*").alias("products"))
+
+
+def feature_set_sizes(sets: DataFrame, matches: DataFrame) -> DataFrame:
+    """(features, category, products): how many products of a category have any feature of a set.
+
+    Products are counted per pattern, the list of all features they have. A set meets each pattern that
+    shares a feature once, at the first one they share; products and sets never meet.
+    """
+    patterns = settled(matches.groupBy("matched", "category").agg(F.count("*").alias("n")))
+    each = patterns.select(F.explode("matched").alias("feature"), "matched", "category", "n")
+    wanted = sets.select("features").distinct().select("features", F.explode("features").alias("feature"))
+    met = lookup_join(wanted, each, "feature", "inner", spread=["features"], unique=False)
+    first = F.array_min(F.array_intersect("features", "matched")) == F.col("feature")
+    return met.filter(first).groupBy("features", "category").agg(F.sum("n").alias("products"))
+
+
+def relevant_totals(preferences: Preferences, catalog: DataFrame, shelf: Shelf | None = None) -> DataFrame:
     """(categories, features, relevant_products): size of the union of all lists of a profile.
 
-    The union is exact and never materialised: every list is a set of bitmaps over catalog
-    positions, which are combined per set of preferences.
+    By inclusion and exclusion: the products of the categories, and those with a feature, less those
+    of the categories among them. All three are sums of counts; no list of products is formed.
     """
-    bit = {"bucket": F.bitmap_bucket_number(F.col("pos")),
-           "bit": F.bitmap_bit_position(F.col("pos"))}
-
-    def bitmaps(df: DataFrame, key: str, kind: str) -> DataFrame:
-        return (df.withColumns(bit).groupBy(F.col(key).alias("key"), "bucket")
-                .agg(F.bitmap_construct_agg("bit").alias("bits"))
-                .withColumn("kind", F.lit(kind)))
-
-    lists = bitmaps(catalog.filter(F.col("category").isNotNull()), "category", "c").unionByName(
-        bitmaps(preferences.matches, "feature", "f"))
-    wanted = preferences.sets.select(*PREFERENCE, F.explode(F.concat(
-        F.transform("categories", lambda c: F.struct(F.lit("c").alias("kind"), c.alias("key"))),
-        F.transform("features", lambda f: F.struct(F.lit("f").alias("kind"), f.alias("key"))),
-    )).alias("w")).select(*PREFERENCE, "w.*")
-    merged = (lookup_join(wanted, settled(lists), ["kind", "key"], "inner",
-                          spread=PREFERENCE, unique=False)  # a row per bucket
-              .groupBy(*PREFERENCE, "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits"))
-                                                  .alias("n")))
-    totals = merged.groupBy(*PREFERENCE).agg(F.sum("n").alias("relevant_products"))
-    return settled(preferences.sets.join(totals, PREFERENCE, "left").withColumn(
-        "relevant_products", F.coalesce("relevant_products", F.lit(0).cast("bigint"))))
+    sizes = category_sizes(catalog) if shelf is None else shelf.category_sizes
+    by_set = settled(feature_set_sizes(preferences.sets, preferences.marked))
+    wanted = preferences.sets.select(*PREFERENCE, F.explode("categories").alias("category"))
+    of_category = lookup_join(wanted, settled(sizes), "category", "inner", spread=PREFERENCE)
+    both = by_set.filter(F.col("category").isNotNull()).withColumnRenamed("products", "_both")
+    own = lookup_join(of_category, both, ["features", "category"], "left", spread=PREFERENCE)
+    none = F.lit(0).cast("bigint")
+    summed = own.groupBy(*PREFERENCE).agg(
+        F.sum(F.col("products") - F.coalesce("_both", none)).alias("_own"))
+    featured = by_set.groupBy("features").agg(F.sum("products").alias("_featured"))
+    joined = lookup_join(preferences.sets.join(summed, PREFERENCE, "left"), settled(featured), "features", "left",
+                         spread=["categories"])
+    return settled(joined.select(*PREFERENCE, (F.coalesce("_own", none) + F.coalesce("_featured", none))
+                                 .alias("relevant_products")))
 
 
 def event_counters(recommended: DataFrame, totals: DataFrame) -> DataFrame:

@@ -79,7 +79,7 @@ class Recommender:
                         "timings", batch_id)
             stored = self._batch(spark, "recommendations", batch_id).withColumn(
                 "ts", E.event_time(F.col("timestamp")))
-            totals = R.relevant_totals(preferences, self.catalog)
+            totals = R.relevant_totals(preferences, self.catalog, shelf)
             self._write(R.event_counters(stored, totals), "counters", batch_id)
             self._write(E.purchase_messages(events), "purchases", batch_id)
             self._write(parsed.filter(F.col("rejected").isNotNull()).select("rejected"),

@@ -61,6 +61,26 @@ def views_of(spark, products, profiles, events):
     return df.withColumns(sets).drop("cats", "feats")
 
 
+@pytest.mark.parametrize("few", [0, 200])
+def test_feature_matches_by_scan_and_by_pieces(spark, monkeypatch, few):
+    monkeypatch.setattr(R, "FEW_FEATURES", few)
+    products, _, _ = random_case(5)
+    features = ["", "x", "ma", "alpha", "delta ray", "amma", "no such", "a r"]
+    frame = spark.createDataFrame([(f,) for f in features], "feature string")
+    got = R.feature_matches(catalog(spark, products), frame)
+    assert rows(got, "feature", "id") == sorted(
+        ((f, p[0]) for f in features for p in products if f in (p[4] or "").lower()), key=repr)
+    shelf = R.Shelf.of(catalog(spark, products), 3)
+    marks = {r["id"]: r["matched"] for r in shelf.marks(frame).collect()}
+    assert marks == {p[0]: sorted(f for f in features if f in (p[4] or "").lower()) for p in products}
+    assert (shelf.pieces is None) == (few > 0)
+    before = shelf.marked
+    if few:  # known features need no further scan, new ones do
+        assert shelf.marks(frame.limit(3)) is before
+        assert shelf.marks(spark.createDataFrame([("beta",)], "feature string")) is not before
+        assert {"beta", "amma"} <= shelf.known
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_short_lists_give_the_brute_force_result(spark, seed):
     products, profiles, events = random_case(seed)
