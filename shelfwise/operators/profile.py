@@ -8,19 +8,45 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from shelfwise import constants as K
+from shelfwise.operators.joins import plan_bytes
+from shelfwise.sources.storage import cut_lineage
 
+TRACKED = 9_000  # items of a frequency sketch
+SKETCH_ABOVE = 1 << 30
 
-def as_text(value: Column, dtype: T.DataType) -> Column:
-    """A value as report text: NaN becomes NULL, dates and times ISO, nested values JSON."""
+
+def sanitised(value: Column, dtype: T.DataType) -> Column:
+    """A value as reports carry it, at any depth: NaN becomes NULL, dates and times ISO texts, bytes and intervals texts."""
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(value), value).cast("string")
+        return F.when(~F.isnan(value), value)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(value)
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda x: sanitised(x, dtype.elementType))
+    if isinstance(dtype, T.MapType):
+        keys = F.transform(F.map_keys(value), lambda k: as_text(k, dtype.keyType))
+        return F.map_from_arrays(keys, F.transform(F.map_values(value), lambda x: sanitised(x, dtype.valueType)))
+    if isinstance(dtype, T.StructType):
+        # a NULL struct stays NULL, not a struct of NULLs
+        return F.when(value.isNotNull(), F.struct(*[sanitised(value[f.name], f.dataType).alias(f.name) for f in dtype.fields]))
+    if isinstance(dtype, (T.NumericType, T.BooleanType, T.StringType)):
+        return value
     return value.cast("string")
 
 
+def as_text(value: Column, dtype: T.DataType) -> Column:
+    """A sanitised value as text; nested values are JSON that keeps its NULLs."""
+    clean = sanitised(value, dtype)
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(clean, {"ignoreNullFields": "false"})
+    return clean.cast("string")
+
+
+def sanitised_rows(df: DataFrame) -> DataFrame:
+    """All columns sanitised, with their names and nesting."""
+    return df.select(*[sanitised(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
+
+
 def column_types(df: DataFrame) -> DataFrame:
     """(column_name, data_type), from the schema alone."""
     return df.sparkSession.createDataFrame(
@@ -58,17 +84,37 @@ def column_stats(df: DataFrame) -> DataFrame:
     return _unpivot(wide, names, "m").select("column_name", "m.*")
 
 
+def _fields(df: DataFrame, columns: Sequence[str] | None) -> list[T.StructField]:
+    return [f for f in df.schema.fields if columns is None or f.name in set(columns)]
+
+
+def _counted(df: DataFrame, f: T.StructField, wanted: Sequence[int] | None = None) -> DataFrame:
+    """(column_name, value, frequency) of one column, counted in its own type; only then values become text.
+
+    ``wanted`` limits it to the values with these hashes.
+    """
+    value = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        value = F.when(~F.isnan(value), value)  # NaN counts as NULL
+    elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        value = as_text(value, f.dataType)
+    cells = df.select(value.alias("value"))
+    if wanted is not None:
+        cells = cells.filter(F.xxhash64("value").isin(list(wanted)))
+    counted = cells.groupBy("value").agg(F.count("*").alias("frequency"))
+    text = F.col("value") if isinstance(counted.schema["value"].dataType, T.StringType) else as_text(F.col("value"), f.dataType)
+    # not a plain literal: a window over a constant would lose its groups, and with them the trimming before the shuffle
+    name = F.when(F.col("frequency") > 0, F.lit(f.name))
+    return counted.select(name.alias("column_name"), text.alias("value"), "frequency")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column_name, value, frequency) of the distinct values; NULL is a value.
 
-    All columns go through one aggregation, which combines copies of a value before the shuffle.
+    Every column is read and counted by itself, in its own type, and copies of a value combine before the
+    shuffle. A frame that is costly to compute should be stored first.
     """
-    chosen = [f for f in df.schema.fields if columns is None or f.name in set(columns)]
-    cells = F.array(*[F.struct(F.lit(f.name).alias("column_name"),
-                               as_text(F.col(f"`{f.name}`"), f.dataType).alias("value"))
-                      for f in chosen])
-    return (df.select(F.explode(cells).alias("cell")).select("cell.*")
-            .groupBy("column_name", "value").agg(F.count("*").alias("frequency")))
+    return reduce(DataFrame.unionByName, [_counted(df, f) for f in _fields(df, columns)])
 
 
 def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -76,9 +122,7 @@ def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
     if approximate:
         wide = df.agg(*[F.approx_count_distinct(f"`{c}`").alias(c) for c in df.columns])
         return _unpivot(wide, df.columns, "distinct_count")
-    counted = value_counts(df).groupBy("column_name").agg(
-        F.count("value").alias("distinct_count"))
-    return counted
+    return value_counts(df).groupBy("column_name").agg(F.count("value").alias("distinct_count"))
 
 
 def _top(counted: DataFrame, top_n: int) -> DataFrame:
@@ -90,12 +134,47 @@ def _top(counted: DataFrame, top_n: int) -> DataFrame:
             .filter(F.col("rank") <= top_n))
 
 
-def top_values(df: DataFrame, top_n: int = 5, columns: Sequence[str] | None = None) -> DataFrame:
+def top_values(df: DataFrame, top_n: int = 5, columns: Sequence[str] | None = None,
+               sketch_above: int = SKETCH_ABOVE) -> DataFrame:
     """(column_name, value, frequency, rank): the most frequent values, ties by value.
 
-    Columns named in ``columns`` that the table lacks are skipped.
+    Columns named in ``columns`` that the table lacks are skipped. Tables estimated above ``sketch_above`` bytes are
+    read twice: a sketch per column, in one scan without a shuffle of values, names candidates, and these
+    alone are counted. Where their counts do not prove that nothing else can be among the first, as in a
+    column of unique values, the whole column is counted.
+    """
+    fields = _fields(df, columns)
+    if not fields:
+        return _top(value_counts(df), top_n).limit(0)
+    if plan_bytes(df.select(*[f"`{f.name}`" for f in fields])) <= sketch_above:
+        return _top(value_counts(df, columns), top_n)
+    return _top(reduce(DataFrame.unionByName, _frequent(df, fields, top_n)), top_n)
+
+
+def _frequent(df: DataFrame, fields: Sequence[T.StructField], top_n: int) -> list[DataFrame]:
+    """For each column the counts of its candidates, or of all its values.
+
+    A sketch of TRACKED items is off by 3.5 / TRACKED of the rows at most. A value that occurs more than
+    twice as often is among the candidates, of which TRACKED / 3 are named.
     """
-    return _top(value_counts(df, columns), top_n)
+    def hashed(f: T.StructField) -> Column:
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            value = F.when(~F.isnan(value), value)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = as_text(value, f.dataType)
+        return F.xxhash64(value)
+
+    sketches = df.agg(F.count("*").alias("n"), *[F.call_function(
+        "approx_top_k", hashed(f), F.lit(TRACKED // 3), F.lit(TRACKED)).alias(f"c{i}") for i, f in enumerate(fields)]).first()
+    rows, out = sketches["n"], []
+    for i, f in enumerate(fields):
+        candidates = cut_lineage(_counted(df, f, [item["item"] for item in sketches[f"c{i}"]]))  # at most TRACKED / 3 values
+        best = [r[0] for r in candidates.select("frequency").orderBy(F.col("frequency").desc()).limit(top_n).collect()]
+        whole = candidates.agg(F.sum("frequency")).first()[0] == rows
+        proven = len(best) == top_n and best[-1] > 2 * rows * 3.5 / TRACKED
+        out.append(candidates if whole or proven else _counted(df, f))
+    return out
 
 
 def value_sample(df: DataFrame, columns: Sequence[str], size: int = 10) -> DataFrame:

@@ -25,6 +25,22 @@ def clean_cart_incremental(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{base}/rows").select(*cart.columns)
 
 
+@query("clean_cart_stream", with_tables("cart_item", """
+    SELECT * FROM d_cart_item WHERE quantity >= 0 AND price >= 0 AND cart_id IS NOT NULL
+      AND updated_at > TIMESTAMP '2024-01-03 00:00:00'"""))
+def clean_cart_stream(t: Tables) -> DataFrame:
+    """The same job as a stream of landed files: two increments with a restart between them."""
+    from shelfwise.sources.bookmark import start_cart_cleaning
+    from shelfwise.sources.storage import new_path
+    base = new_path(t.spark, "cart-stream")
+    cart, middle = t.cart_item(), F.lit("2024-01-15").cast("timestamp_ntz")
+    for part in (cart.filter(F.col("updated_at") < middle), cart.filter(F.col("updated_at") >= middle)):
+        part.write.mode("append").parquet(f"{base}/landed")
+        start_cart_cleaning(t.spark, f"{base}/landed", cart.schema, f"{base}/rows", f"{base}/checkpoint",
+                            since="2024-01-03T00:00:00").awaitTermination()
+    return t.spark.read.parquet(f"{base}/rows").select(*cart.columns)
+
+
 RULES = R.CleaningRules(
     rename_columns={"id": "products_id", "absent": "ignored"},
     type_conversions={"created_at": "TimestampType", "average_rating": "IntegerType",
@@ -50,16 +66,14 @@ def clean_rules(t: Tables) -> DataFrame:
 
 
 @query("rename_map", with_tables("product_records users", """
-    SELECT 'products' AS table_name, id AS product_id, NULL AS user_id FROM d_product_records
-    UNION ALL SELECT 'users', NULL, id FROM d_users"""))
+    SELECT 'products' AS table_name, id AS product_id, NULL AS user_id, name, sku, NULL AS email, NULL AS role FROM d_product_records
+    UNION ALL SELECT 'users', NULL, id, NULL, NULL, email, role FROM d_users"""))
 def rename_map(t: Tables) -> DataFrame:
-    products = R.rename_for_table(t.product_records(), "products").select("product_id")
-    users = R.rename_for_table(t.users(), "users").select("user_id")
-    none = F.lit(None).cast("bigint")
-    return (products.select(F.lit("products").alias("table_name"), "product_id",
-                            none.alias("user_id"))
-            .unionByName(users.select(F.lit("users").alias("table_name"),
-                                      none.alias("product_id"), "user_id")))
+    """Key columns get the name of their table; all other columns stay."""
+    tables = [R.rename_for_table(df, name).withColumn("table_name", F.lit(name))
+              for name, df in (("products", t.product_records()), ("users", t.users()))]
+    both = tables[0].unionByName(tables[1], allowMissingColumns=True)
+    return both.select("table_name", "product_id", "user_id", "name", "sku", "email", "role")
 
 
 @query("rename_map_file", with_tables("product_records", """

@@ -182,14 +182,14 @@ def every_tenth(t: Tables) -> DataFrame:
 _UPDATES = with_tables("engine_events counters", scored(f"SELECT * EXCLUDE (ts, event_type) FROM ({_EVERY10})"))
 
 
-@query("replay_metrics_every10", _UPDATES)
-def replay_metrics_every10(t: Tables) -> DataFrame:
+@query("stream_metrics_every10", _UPDATES)
+def stream_metrics_every10(t: Tables) -> DataFrame:
     """The messages due at every tenth event, from stored tables."""
     return every_tenth(t).drop("ts")
 
 
-@query("stream_metrics_every10", _UPDATES)
-def stream_metrics_every10(t: Tables) -> DataFrame:
+@query("stream_metrics_live", _UPDATES)
+def stream_metrics_live(t: Tables) -> DataFrame:
     """The same messages as the running stream sends them, over several batches of ordered events."""
     out = replayed(t, SLICE_FILES, accounts=True, every=10, source=ordered_files(t))
     return output(t, out, "updates").drop("ts", "batch_id", "runtime_seconds", "events_per_second")

@@ -1,10 +1,11 @@
-"""A table of processed timestamps, of which the newest counts, and the batch job that advances it."""
+"""A table of processed timestamps, of which the newest counts, and the jobs that advance: in batches, and as a stream."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise import constants as K
 from shelfwise.operators.clean import keep_valid_cart_rows, newer_than
@@ -45,3 +46,19 @@ def clean_new_cart_rows(source: DataFrame, bookmark_path: str, output_path: str,
     if newest is not None:
         write_bookmark(spark, bookmark_path, newest)
     return {"read": seen.get["rows"], "kept": kept.get["rows"], "bookmark": newest or last}
+
+
+def start_cart_cleaning(spark: SparkSession, landed: str, schema: T.StructType, output: str, checkpoint: str,
+                        since: str = K.DEFAULT_BOOKMARK, available_now: bool = True, interval: str = "1 minute",
+                        files_per_trigger: int = 1000) -> StreamingQuery:
+    """Clean cart rows as their files land; the checkpoint is the bookmark.
+
+    What has been read is known by file, so a row counts once however late its ``updated_at`` is: a late row is
+    cleaned when it lands, where the batch job would pass it over. Only rows up to ``since`` are left out. Each
+    micro-batch overwrites its own folder, so a repeated one leaves no row twice.
+    """
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landed)
+    cleaned = keep_valid_cart_rows(newer_than(rows, F.lit(datetime.fromisoformat(since))))
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    return (cleaned.writeStream.trigger(**trigger).option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{output}/batch={n}")).start())

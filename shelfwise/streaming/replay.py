@@ -75,8 +75,7 @@ class Recommender:
             self._write(E.recommendation_messages(recommended, R.PREFERENCE).observe(
                 seen, F.count("*").alias("n")), "recommendations", batch_id)
             spent = 1000 * (time.perf_counter() - began) / max(seen.get["n"], 1)
-            self._write(spark.createDataFrame([(spent, seen.get["n"])], "processing_time_ms double, views bigint"),
-                        "timings", batch_id)
+            self._write(one_row(spark, {"processing_time_ms": spent, "views": seen.get["n"]}, TIMINGS), "timings", batch_id)
             stored = self._batch(spark, "recommendations", batch_id).withColumn(
                 "ts", E.event_time(F.col("timestamp")))
             totals = R.relevant_totals(preferences, self.catalog, shelf)
@@ -138,14 +137,15 @@ class Recommender:
             "relevant_products_recommended": F.sum("n_relevant_products"),
             "total_relevant_products": F.sum("total"), "events_processed": F.sum("n_events"),
             "active_user_sessions": F.count("session_start")}.items()]).first()
-        self._write(spark.createDataFrame(list(row.asDict().items()), "metric string, amount bigint"),
-                    "metrics", batch_id)
+        self._write(one_row(spark, row.asDict()).select(F.explode(F.array(*[
+            F.struct(F.lit(n).alias("metric"), F.col(n).cast("bigint").alias("amount")) for n in row.asDict()])).alias("m"))
+            .select("m.*"), "metrics", batch_id)
         before = self._totals(spark, batch_id - 1)
         now = time.monotonic()
         totals = {n: row[n] + before.get(n, 0) for n in METRIC_COLUMNS}
         totals["runtime_seconds"] = before.get("runtime_seconds", 0.0) + now - self.mark
         self.mark = now
-        self._write(spark.createDataFrame([tuple(totals.values())], TOTALS), "totals", batch_id)
+        self._write(one_row(spark, totals, TOTALS), "totals", batch_id)
         self._write(changes.filter("kind = 'session'").select(
             "user_id", F.timestamp_micros("ts").alias("ts"), "event_id", F.col("session_batch").alias("stored_in")),
             "sessions", batch_id)
@@ -206,7 +206,7 @@ class Recommender:
 
 def timed_recommendations(spark: SparkSession, out: str) -> DataFrame:
     """The stored recommendation messages with the time their batch took per view."""
-    times = spark.read.schema("processing_time_ms double, views bigint, batch_id int").parquet(f"{out}/timings")
+    times = spark.read.schema(f"{TIMINGS}, batch_id int").parquet(f"{out}/timings")
     recs = spark.read.parquet(f"{out}/recommendations").drop(*R.PREFERENCE)
     return recs.join(times.drop("views"), "batch_id").drop("batch_id")
 
@@ -336,6 +336,16 @@ UPDATES = ("event_id bigint, ts timestamp, " + ", ".join(f"{c} bigint" for c in
            + ", precision double, recall double, f1 double, runtime_seconds double, events_per_second double")
 
 
+TIMINGS = "processing_time_ms double, views bigint"
+
+
+def one_row(spark: SparkSession, values: dict, schema: str = "") -> DataFrame:
+    """A single row of plain values; ``schema`` gives their types."""
+    kinds = dict(part.split() for part in schema.split(", ")) if schema else {}
+    return spark.range(1).select(*[F.lit(v).cast(kinds[n]).alias(n) if n in kinds else F.lit(v).alias(n)
+                                   for n, v in values.items()])
+
+
 def totals_with_scores(totals: DataFrame) -> DataFrame:
     """Totals with precision, recall, F1 and the events per second of the run time."""
     return R.with_scores(totals).withColumn("events_per_second", F.when(

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +145,31 @@ def test_profile_of_a_small_table(spark):
 def test_top_values_trim_groups_before_the_shuffle(spark):
     plan = P.top_values(spark.range(10))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_top_values_by_sketch_equal_the_full_count(spark, monkeypatch):
+    """Frequent values are proven by their counts, few values by their sum; unique ones are counted whole."""
+    i = F.col("id")
+    df = spark.range(30_000).select(
+        i.alias("unique"), F.when(i % 3 == 0, "often").when(i % 3 == 1, F.concat(F.lit("x"), (i % 50).cast("string"))).otherwise(
+            F.concat(F.lit("rare"), i.cast("string"))).alias("mixed"),
+        F.when(i % 7 != 0, F.when(i % 2 == 0, float("nan")).otherwise((i % 4).cast("double"))).alias("number"),
+        F.array(i % 3).alias("nested"), F.lit(None).cast("int").alias("none"))
+    want = rows(P.top_values(df, 4))
+    counted = []
+    whole = P._counted
+    monkeypatch.setattr(P, "_counted", lambda d, f, wanted=None: counted.append((f.name, wanted is not None)) or whole(d, f, wanted))
+    assert rows(P.top_values(df, 4, sketch_above=0)) == want
+    assert [n for n, few in counted if not few] == ["unique"]
+    assert rows(P.top_values(df, 4, ["mixed", "absent"], sketch_above=0)) == [r for r in want if r[0] == "mixed"]
+
+
+def test_report_values_at_any_depth(spark):
+    df = spark.sql("""SELECT named_struct('a', array(double('NaN'), 1.5D, NULL), 'm', map(date'2024-02-03', float('NaN')),
+        'deep', array(named_struct('t', timestamp_ntz'2024-01-02 03:04:05.6', 'b', X'4142', 'd', 1.50BD)),
+        'gone', CAST(NULL AS struct<x: double>)) AS r, double('NaN') AS n, date'2024-05-06' AS d""")
+    text = df.select(P.as_text(F.col("r"), df.schema["r"].dataType)).first()[0]
+    assert json.loads(text) == {"a": [None, 1.5, None], "m": {"2024-02-03": None}, "gone": None,
+                                "deep": [{"t": "2024-01-02T03:04:05.600000", "b": "AB", "d": 1.5}]}
+    row = P.sanitised_rows(df).first()
+    assert row["n"] is None and row["d"] == "2024-05-06" and row["r"]["a"] == [None, 1.5, None] and row["r"]["gone"] is None

@@ -108,6 +108,23 @@ def test_bookmark_moves_past_bad_rows(spark, tmp_path):
     assert B.read_bookmark(spark, args[0]) == datetime(2024, 1, 3)
 
 
+def test_cart_stream_takes_late_rows_once(spark, tmp_path):
+    """Two increments and a restart; a row that lands late with an old time is cleaned when it lands."""
+    def land(rows_):
+        cart(spark, rows_).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run():
+        schema = cart(spark, []).schema
+        B.start_cart_cleaning(spark, str(tmp_path / "in"), schema, str(tmp_path / "out"), str(tmp_path / "c"),
+                              since="2024-01-02T00:00:00").awaitTermination()
+        return rows(spark.read.parquet(str(tmp_path / "out")), "id")
+
+    land([(1, 1, 1, 1.0, "2024-01-05"), (2, 1, -1, 1.0, "2024-01-06"), (3, 1, 1, 1.0, "2024-01-02")])
+    assert run() == [(1,)] and run() == [(1,)]
+    land([(4, 1, 1, 1.0, "2024-01-03"), (5, None, 1, 1.0, "2024-01-09")])
+    assert run() == [(1,), (4,)]
+
+
 def job(path, transform, **more):
     return N.TemplateJob("j", ["t"], transform, str(path), **more)
 
