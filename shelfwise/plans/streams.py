@@ -296,7 +296,7 @@ def replay_from(t: Tables) -> DataFrame:
 @query("web_event_normalise", with_tables("engine_events products profiles", f"""
     SELECT event_id, CASE event_type WHEN 'click' THEN 'add_to_cart' ELSE event_type END
       AS event_type, timestamp, user_id, product_id, product_name, has_profile, bought,
-      coalesce(json_extract_string(props, '$.k'), '') AS k, CASE WHEN event_id % 5 = 0 THEN 0 ELSE 1 END AS fields
+      CASE WHEN event_id % 5 = 0 THEN '' ELSE coalesce(json_extract_string(props, '$.k'), '') END AS k, CASE WHEN event_id % 5 = 0 THEN 0 ELSE 1 END AS fields
     FROM ({_BUILT}) JOIN (SELECT event_id, props FROM events) USING (event_id)"""))
 def web_event_normalise(t: Tables) -> DataFrame:
     kind = F.col("event_type")

@@ -6,6 +6,7 @@ below ``batch_id=N``, replacing it when a batch is repeated: outputs stay exactl
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -217,6 +218,7 @@ class Progress(StreamingQueryListener):
     def __init__(self) -> None:
         self.query_id: str | None = None
         self.rows: list[tuple] = []
+        self.over = threading.Event()  # reports arrive after the batches they are about
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -232,7 +234,8 @@ class Progress(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        if self.query_id == str(event.id):
+            self.over.set()
 
 
 @dataclass
@@ -262,6 +265,7 @@ class Running:
             self.engine.account_for_all()
         if self.engine.accounts and path_exists(self.engine.catalog.sparkSession, f"{self.engine.out}/totals"):
             self.engine.close()
+        self.progress.over.wait(60)
         self.engine.catalog.sparkSession.streams.removeListener(self.progress)
 
     def progress_rows(self) -> DataFrame:
