@@ -5,9 +5,9 @@ path is a row of segments, and the templates of a host form a tree:
 
 1. Variable segments become wildcards: runs of digits at once, and below each node the values that
    have fewer than ``MIN_PAGES`` pages (or less than ``min_share`` of the node's pages, 0 for no such bound).
-2. Branches below the same node with similar labels merge: ordered by their smoothed share of
-   blocked pages, neighbours whose shares differ by less than ``APART`` standard errors join.
-   So a template is judged by all pages of its merged branch.
+2. Branches below the same node with similar labels merge: in ``BINS`` steps of their smoothed share of
+   blocked pages, one step after the other joins the branch before it while its share and the pooled share of that
+   branch differ by less than ``APART`` standard errors. So a template is judged by all pages of its merged branch.
 3. A template is rejected if its smoothed purity, (blocked + STRENGTH * prior) / (labelled + STRENGTH),
    reaches ``REJECT``. The prior is the share of the page's shape (its path with # for numbers) over
    all hosts, smoothed towards the share of all labelled pages.
@@ -17,7 +17,7 @@ and shape before the tree is built, so a large host is a few rows there.
 
 Defined results: a null url, or one without ``://``, has empty host and path, fits no rule and is judged
 like the other pages of the empty host; repeated pages count once each; without labelled pages
-nothing is rejected; an empty table gives no rows; rules of equal length are taken in the order of
+nothing is rejected; very long paths are cut where their node has too few pages; an empty table gives no rows; rules of equal length are taken in the order of
 the list; other columns are ignored.
 """
 
@@ -26,7 +26,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.llm.scratch import cut
 
@@ -34,6 +34,7 @@ MIN_SHARE = 0.02  # of the default; the registered query sets neither this bound
 MIN_PAGES = 5
 DEPTH = 8  # segments that are told apart; the rest of a path is one more
 APART = 1.96
+BINS = 20
 STRENGTH = 4.0
 REJECT = 0.5
 NUMBER = r"^#?([.][a-z0-9#]{1,5})?$"  # segments that are kept: empty, a number, an extension
@@ -127,28 +128,45 @@ def merged(counts: DataFrame) -> DataFrame:
     """Branches below one node with similar labels: host, template, and the labelled (n) and blocked (k) pages of its branch.
 
     ``counts`` has host, template, labelled and blocked. Templates that differ in their last literal
-    segment only are branches of one node. Templates of a node with one share are one row before they are
-    put in order, so a wide node is as many rows as it has different shares.
+    segment only are branches of one node. Their smoothed shares of blocked pages fall into BINS steps; in the order of the
+    steps, one joins the branch before it while its share is close to the pooled share of that whole branch. So
+    however wide a node is, at most BINS rows of it are put in order, and branches cannot chain from one end
+    to the other.
     """
     # the last segment that is a name of its own, neither wildcard nor number
     node = F.regexp_replace("template", r"[^/*#]+(?=(/[*#][^/]*)*/?$)", "?")
     share = (F.col("blocked") + 1) / (F.col("labelled") + 2)
-    error = F.sqrt(F.col("share") * (1 - F.col("share")) / (F.col("labelled") + 2))
-    branches = cut(counts.withColumn("node", node).withColumn("share", share).withColumn("error", error))
+    branches = cut(counts.withColumn("node", node).withColumn("bin", F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")))
     known = branches.where("labelled > 0")
-    shares = known.groupBy("host", "node", "share").agg(
-        F.sum("labelled").alias("n"), F.sum("blocked").alias("k"),
-        F.min_by("error", "template").alias("first"), F.max_by("error", "template").alias("last"))
-    order = Window.partitionBy("host", "node").orderBy("share")
-    gap = F.col("share") - F.lag("share").over(order)
-    limit = APART * F.sqrt(F.pow("first", F.lit(2)) + F.pow(F.lag("last").over(order), F.lit(2)))
-    whole = Window.partitionBy("host", "node", "branch")
-    sums = (shares.withColumn("begins", F.when(gap >= limit, 1).otherwise(0))
-            .withColumn("branch", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-            .select("host", "node", "share", F.sum("n").over(whole).alias("n"), F.sum("k").over(whole).alias("k")))
+    steps = known.groupBy("host", "node", "bin").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("k"))
+    nodes = steps.groupBy("host", "node").agg(F.array_sort(F.collect_list(F.struct("bin", "n", "k"))).alias("steps"))
+
+    def estimate(x: Column) -> tuple[Column, Column]:
+        p = (x["k"] + 1) / (x["n"] + 2)
+        return p, p * (1 - p) / (x["n"] + 2)
+
+    def join(done: Column, x: Column) -> Column:
+        (p, v), (q, w) = estimate(x), estimate(done)
+        apart = (done["n"] > 0) & (F.abs(p - q) >= APART * F.sqrt(v + w))
+        branch = done["branch"] + F.when(apart, 1).otherwise(0)
+        own = F.struct(x["bin"].alias("bin"), x["n"].alias("n"), x["k"].alias("k"), branch.alias("branch"))
+        return F.struct(F.when(apart, x["n"]).otherwise(done["n"] + x["n"]).alias("n"),
+                        F.when(apart, x["k"]).otherwise(done["k"] + x["k"]).alias("k"),
+                        branch.alias("branch"), F.concat(done["out"], F.array(own)).alias("out"))
+
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).alias("branch"),
+                     F.array().cast("array<struct<bin:int,n:bigint,k:bigint,branch:int>>").alias("out"))
+    found = nodes.select("host", "node", F.aggregate("steps", start, join)["out"].alias("out"))
+
+    def pooled(x: Column, part: str) -> Column:
+        own = F.filter("out", lambda y: y["branch"] == x["branch"])
+        return F.aggregate(own, F.lit(0).cast("long"), lambda total, y: total + y[part]).alias(part)
+
+    sums = found.select("host", "node", F.explode(F.transform("out", lambda x: F.struct(
+        x["bin"].alias("bin"), pooled(x, "n"), pooled(x, "k")))).alias("b")).select("host", "node", "b.*")
     # branches without labels have nothing to be compared by: they join each other
     none = branches.where("labelled = 0").select("host", "template", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("k"))
-    return known.join(sums, ["host", "node", "share"]).select("host", "template", "n", "k").unionByName(none)
+    return known.join(sums, ["host", "node", "bin"]).select("host", "template", "n", "k").unionByName(none)
 
 
 def purities(shapes: DataFrame, tree: DataFrame) -> DataFrame:
