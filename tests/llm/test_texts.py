@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -168,6 +169,23 @@ def test_markup_decides():
     assert P.candidates(deep) == [("x", False)]
 
 
+@pytest.mark.parametrize("page", [
+    "<a x" * 250_000, "<div>" * 200_000, '<a x="' * 170_000 + ">", "<a x='\">" * 120_000, "</script" * 120_000,
+    "<script>" + "</script" * 120_000, "<p>" + "<b>" * 100_000 + "<x-y>" + "<div>" * 50_000,
+    "<ul>" + "<b>" * 100_000 + "<li></li>" * 50_000, "<!--" * 200_000, "<p " + 'class="' * 120_000 + ">"])
+def test_broken_pages_take_time_in_proportion(page):
+    start = time.process_time()
+    P.blocks(page)
+    assert time.process_time() - start < 5
+
+
+def test_quotes_in_tags():
+    assert P.blocks("<p title='a > b'>c</p><p title=\"d'>\">e</p>") == [("c", P.OPEN), ("e", P.OPEN)]
+    assert P.blocks("<p>one<p title='x>two</p><p>it's</p>") == [("one", P.OPEN)]
+    assert P.blocks("<p>one<p title='x>two</p><p>three</p>") == [("one", P.OPEN), ("two", P.OPEN), ("three", P.OPEN)]
+    assert P.blocks("a < b <c d") == [("a < b <c d", P.OPEN)]
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     def longest(a, b):
         row = [0] * (len(b) + 1)
@@ -260,7 +278,6 @@ def plain_verdicts(rows):
     """The tree, branch and purity rules in loops over all pages."""
     import re
     from collections import defaultdict
-    from itertools import groupby
 
     pages = []
     for i, url in rows:
@@ -302,18 +319,20 @@ def plain_verdicts(rows):
         branches[h, re.sub(r"[^/*#]+(?=(/[*#][^/]*)*/?$)", "?", t), n > 0].append((p, t, n, k))
     merged = {}
     for (h, _, known), own in branches.items():
-        own.sort()
-        number, last, label = 0, None, []
-        for p, t, n, _ in own:
-            error = (p * (1 - p) / (n + 2)) ** 0.5
-            if known and last and p - last[0] >= U.APART * (error**2 + last[1]**2) ** 0.5:
-                number += 1
-            last = (p, error)
-            label.append(number)
-        for _, group in groupby(zip(label, own, strict=True), key=lambda x: x[0]):
-            group = [x for _, x in group]
-            for _, t, _, _ in group:
-                merged[h, t] = (sum(x[2] for x in group), sum(x[3] for x in group))
+        steps = defaultdict(list)
+        for p, t, n, k in own:
+            steps[min(int(p * U.BINS), U.BINS - 1) if known else 0].append((t, n, k))
+        groups = []  # templates, pages and blocked pages of each branch
+        for _, step in sorted(steps.items()):
+            n, k = sum(x[1] for x in step), sum(x[2] for x in step)
+            if groups:
+                (p, v), (q, w) = ((s, s * (1 - s) / (m + 2)) for s, m in (((k + 1) / (n + 2), n), ((groups[-1][2] + 1) / (groups[-1][1] + 2), groups[-1][1])))
+            if not groups or abs(p - q) >= U.APART * (v + w) ** 0.5:
+                groups.append([[], 0, 0])
+            groups[-1] = [groups[-1][0] + [t for t, _, _ in step], groups[-1][1] + n, groups[-1][2] + k]
+        for names, n, k in groups:
+            for t in names:
+                merged[h, t] = (n, k)
     out = {}
     for i, h, path, rule, s in pages:
         n, k = merged[h, "/".join(template[h, s])]
@@ -358,6 +377,17 @@ def test_wide_and_deep_nodes_have_no_share_cut(spark, monkeypatch):
     assert {i: (r.host, r.path, r["rule"], r.verdict, round(r.purity, 9)) for i, r in wide.items()} == want
 
 
+def test_branches_do_not_chain_from_clean_to_blocked(spark):
+    """21 sections of 50 pages with 0%, 5%, ... 100% blocked: neighbours are alike, the ends are not."""
+    counts = [("h", f"/s{i:02d}/*", 50, round(2.5 * i)) for i in range(21)] + [("h", "/none/*", 0, 0), ("g", "/s00/*", 50, 0)]
+    out = {(r.host, r.template): (r.n, r.k) for r in U.merged(
+        spark.createDataFrame(counts, "host string, template string, labelled long, blocked long")).collect()}
+    shares = [out["h", f"/s{i:02d}/*"] for i in range(21)]
+    assert all(k / n < 0.2 for n, k in shares[:2]) and all(k / n > 0.8 for n, k in shares[-2:])
+    assert len(set(shares)) >= 4 and sum(n for n, _ in set(shares)) == 1050
+    assert out["h", "/none/*"] == (0, 0) and out["g", "/s00/*"] == (50, 0)
+
+
 def test_a_small_section_of_a_large_host_keeps_its_template(spark):
     words = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
     rows = [f"http://h.net/{w}/{p}" for w in words for p in "abcdefgh"]
