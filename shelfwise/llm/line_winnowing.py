@@ -1,7 +1,7 @@
 """Removal of runs of lines that occurred before, found by winnowing.
 
-A run of ``MIN_LINES`` consecutive lines is the shortest that is removed; with ``min_words`` also
-any run, down to one line, with so many words. Pairs of neighbouring
+A run of ``MIN_LINES`` consecutive lines is the shortest that is removed; with ``min_words``
+any run, down to one line, with so many words goes too. Pairs of neighbouring
 lines are hashed, and of the pairs in each run the least hash is its fingerprint: equal
 runs have equal fingerprints, wherever they stand. Only runs whose fingerprint occurs again are
 looked at further. They are compared over their whole length, which extends the match from the fingerprint
@@ -16,7 +16,8 @@ loses none, a run may recur in its own document and then loses its later lines,
 lose all lines and stay as an empty one; ids are integers, a null id counts as larger than all
 others; a row with a null id is a document of its own, and so are rows with equal ids and different texts
 (in the order of a hash of the text); rows equal in id and text are one document and keep the same
-lines; an empty table gives no rows; other columns stay.
+lines; a very long text is one row, and takes a task memory in proportion to its lines; an empty table gives no
+rows; other columns stay.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ from shelfwise.llm.scratch import cut
 from shelfwise.llm.tasks import unused
 
 MIN_LINES = 3
-WORD = r"[^\x20\x09-\x0D]+"
+MIN_WORDS = 50  # of the registered query: shorter runs with so many words go as well
+WORD = r"\S+"
 KEY = ["rank", "mark", "row"]
 
 
@@ -62,30 +64,12 @@ def _keyed(documents: DataFrame, key: list[str], id_col: str, text_col: str) ->
         cut(found.where(null).withColumn(row, F.monotonically_increasing_id())))
 
 
-def _long_runs(words: int) -> Column:
-    """at and n of the shortest runs with so many words from each line on, and up to each line.
+def _runs(documents: DataFrame, key: list[str], text_col: str, size: int, words: int | None) -> DataFrame:
+    """The key, at (first line of the run, among the non-blank), n (lines), fingerprint, two hashes of the run.
 
-    Together they cover every run with so many words: a line of it lies in the shortest run from the
-    run's first line, or else in the shortest one up to the line itself. A line that is not blank counts
-    as a word at least, so no shortest run has more lines than words.
+    Runs of ``size`` lines, and with ``words`` those of fewer lines that have so many words. A longer run
+    is made of these. A line that is not blank counts as a word at least.
     """
-    def shortest(lines: Column) -> Column:
-        start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("words"))
-        end = F.aggregate(F.slice(lines, 1, words), start, lambda done, x: F.when(done["words"] >= words, done).otherwise(
-            F.struct((done["n"] + 1).alias("n"), (done["words"] + x["words"]).alias("words"))))
-        return F.when(end["words"] >= words, end["n"])
-
-    n = F.size("line")
-    each = F.sequence(F.lit(1), n)
-    onward = F.transform(each, lambda i: F.struct(i.alias("at"), shortest(F.slice("line", i, words)).alias("n")))
-    back = F.transform(each, lambda j: _let(shortest(F.reverse(F.slice(
-        "line", F.greatest(j - (words - 1), F.lit(1)), F.least(j, F.lit(words))))),
-        lambda m: F.struct((j - m + 1).alias("at"), m.alias("n"))))
-    return F.filter(F.array_union(onward, back), lambda r: r["n"].isNotNull())
-
-
-def _runs(documents: DataFrame, key: list[str], text_col: str, size: int, words: int | None) -> DataFrame:
-    """The key, at (first line of the run, among the non-blank), n (lines), fingerprint, two hashes of the run."""
     def counted(x: Column) -> list[Column]:
         return [] if words is None else [F.greatest(F.regexp_count(x, F.lit(WORD)), F.lit(1)).alias("words")]
 
@@ -96,24 +80,24 @@ def _runs(documents: DataFrame, key: list[str], text_col: str, size: int, words:
     pair = F.transform(F.slice("line", 1, F.size("line") - 1), lambda x, i: F.xxhash64(
         x["a"], F.element_at("line", (i + 2).cast("int"))["a"]))
     rows = rows.withColumn("pair", pair)
-    starts = F.sequence(F.lit(1), F.size("line") - size + 1)
 
-    def whole(i: Column, part: str) -> Column:
-        return F.xxhash64(*(F.element_at("line", (i + k).cast("int"))[part] for k in range(size)))
+    def windows(n: int) -> Column:
+        def line(i: Column, k: int) -> Column:
+            return F.element_at("line", (i + k).cast("int"))
 
-    each = F.transform(starts, lambda i: F.struct(
-        i.alias("at"), F.lit(size).alias("n"), F.array_min(F.slice("pair", i, size - 1)).alias("fingerprint"),
-        whole(i, "a").alias("a"), whole(i, "b").alias("b")))
-    if words is not None:
-        several = F.when(F.size("line") >= size, each).otherwise(F.array())
+        def whole(i: Column, part: str) -> Column:
+            return F.xxhash64(*(line(i, k)[part] for k in range(n)))
 
-        def hashed(r: Column, part: str) -> Column:
-            return F.xxhash64(F.transform(F.slice("line", r["at"], r["n"]), lambda x: x[part]))
+        starts = F.when(F.size("line") >= n, F.sequence(F.lit(1), F.size("line") - n + 1)).otherwise(F.array().cast("array<int>"))
+        if n < size:
+            starts = F.filter(starts, lambda i: sum((line(i, k)["words"] for k in range(n)), F.lit(0)) >= words)
+        # one line has no pair: it is its own fingerprint; lengths do not share fingerprints
+        least = (lambda i: line(i, 0)["a"]) if n == 1 else (lambda i: F.array_min(F.slice("pair", i, n - 1)))
+        mark = least if n == size else (lambda i: F.xxhash64(F.lit(n), least(i)))
+        return F.transform(starts, lambda i: F.struct(
+            i.alias("at"), F.lit(n).alias("n"), mark(i).alias("fingerprint"), whole(i, "a").alias("a"), whole(i, "b").alias("b")))
 
-        # one line has no pair: a long run is its own fingerprint
-        each = F.concat(several, F.transform(_long_runs(words), lambda r: F.struct(
-            r["at"].alias("at"), r["n"].alias("n"), hashed(r, "a").alias("fingerprint"),
-            hashed(r, "a").alias("a"), hashed(r, "b").alias("b"))))
+    each = F.concat(*(windows(n) for n in (range(1, size + 1) if words is not None else [size])))
     return rows.select(*KEY, F.explode(each).alias("run")).select(*KEY, "run.*")
 
 
@@ -133,10 +117,11 @@ def repeated_lines(documents: DataFrame, min_lines: int = MIN_LINES, key: list[s
 
 
 def remove_repeated_lines(documents: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id",
-                          text_col: str = "text", min_words: int | None = None) -> DataFrame:
+                          text_col: str = "text", min_words: int | None = None, removed_col: str | None = None) -> DataFrame:
     """The documents with the repeated runs removed from their texts; all columns stay.
 
-    With ``min_words``, runs of fewer lines go as well if they have so many words, be it in one line.
+    With ``min_words``, runs of fewer lines go as well if they have so many words, be it in one line. ``removed_col``
+    adds how many lines a document lost.
     """
     key, lost = [unused(f"__{n}", documents) for n in KEY], unused("__runs", documents)
     keyed = _keyed(documents, key, id_col, text_col)
@@ -151,15 +136,14 @@ def remove_repeated_lines(documents: DataFrame, min_lines: int = MIN_LINES, id_c
         return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
 
     text = _let(_lines(F.col(text_col)), lambda lines: _let(_filled(lines), lambda filled: spared(lines, filled)))
-    return both.withColumn(text_col, F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(text)).select(
-        *(both[c] if c != text_col else F.col(c) for c in documents.columns))
+    out = both.withColumn(text_col, F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(text))
+    count = [] if removed_col is None else [
+        F.coalesce(F.size(F.array_distinct(runs)), F.lit(0)).cast("long").alias(removed_col)]
+    return out.select(*(both[c] if c != text_col else F.col(c) for c in documents.columns if c != removed_col), *count)
 
 
-def removal_report(documents: DataFrame) -> DataFrame:
+def removal_report(documents: DataFrame, min_words: int | None = MIN_WORDS) -> DataFrame:
     """doc_id, the text that is left, and how many lines it had and lost."""
-    source = documents.select("doc_id", "text", F.size(_lines(F.coalesce("text", F.lit("")))).alias("__had"))
-    left = remove_repeated_lines(source)
-    lines = F.when(F.length("text") > 0, F.size(_lines(F.col("text")))).otherwise(0)
-    had = F.when(F.col("__had") > 1, F.col("__had")).otherwise(F.least(F.col("__had"), lines))
-    return left.select("doc_id", "text", had.cast("long").alias("n_lines"),
-                       (had - lines).cast("long").alias("n_removed"))
+    size = F.when(F.length("text") > 0, F.size(_lines(F.col("text")))).otherwise(0)
+    source = documents.select("doc_id", "text", size.cast("long").alias("n_lines"))
+    return remove_repeated_lines(source, min_words=min_words, removed_col="n_removed")

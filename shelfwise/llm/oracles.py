@@ -69,18 +69,22 @@ SELECT doc_id, len(w) AS n_words, coalesce(len(p), 0) AS n_removed, sha256(coale
 FROM doc LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-_OP9 = """
+_OP9 = r"""
 WITH line AS (
   SELECT doc_id, x, i FROM (SELECT doc_id, unnest(l) AS x, unnest(generate_series(1, len(l))) AS i
                             FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))),
-filled AS (SELECT doc_id, x, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM line WHERE trim(x) <> ''),
-run AS (SELECT a.doc_id, a.n, a.i AS i1, b.i AS i2, c.i AS i3, a.x AS x1, b.x AS x2, c.x AS x3
+filled AS (SELECT doc_id, x, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n,
+                  greatest(len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')), 1) AS words FROM line WHERE trim(x) <> ''),
+run AS (SELECT a.doc_id, a.n, [a.x, b.x, c.x] AS xs, [a.i, b.i, c.i] AS places
         FROM filled a JOIN filled b ON b.doc_id = a.doc_id AND b.n = a.n + 1
-        JOIN filled c ON c.doc_id = a.doc_id AND c.n = a.n + 2),
-later AS (SELECT doc_id, i1, i2, i3 FROM (
-            SELECT doc_id, i1, i2, i3, row_number() OVER (PARTITION BY x1, x2, x3 ORDER BY doc_id, n) AS place FROM run)
+        JOIN filled c ON c.doc_id = a.doc_id AND c.n = a.n + 2
+        UNION ALL SELECT a.doc_id, a.n, [a.x, b.x], [a.i, b.i]
+        FROM filled a JOIN filled b ON b.doc_id = a.doc_id AND b.n = a.n + 1 WHERE a.words + b.words >= 50
+        UNION ALL SELECT doc_id, n, [x], [i] FROM filled WHERE words >= 50),
+later AS (SELECT doc_id, places FROM (
+            SELECT doc_id, places, row_number() OVER (PARTITION BY xs ORDER BY doc_id, n) AS place FROM run)
           WHERE place > 1),
-gone AS (SELECT DISTINCT doc_id, unnest([i1, i2, i3]) AS i FROM later),
+gone AS (SELECT DISTINCT doc_id, unnest(places) AS i FROM later),
 kept AS (SELECT doc_id, string_agg(x, chr(10) ORDER BY i) AS t, count(*) AS left_
          FROM line ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
 had AS (SELECT doc_id, count(*) AS n FROM line GROUP BY doc_id)

@@ -84,8 +84,8 @@ def without_hits(text, hit):
     return " ".join(p for p in (k.strip(" ") for k in kept) if p)
 
 
-def without_repeated_lines(docs, size):
-    """{id: text} of [(id, text)] in the order of ids."""
+def without_repeated_lines(docs, size, words=None):
+    """{id: text} of [(id, text)] in the order of ids; with ``words`` shorter runs with so many go as well."""
     seen, out = set(), {}
     for i, text in sorted(docs):
         if text is None:
@@ -94,11 +94,14 @@ def without_repeated_lines(docs, size):
         lines = text.split("\n")
         filled = [k for k, x in enumerate(lines) if x.strip(" ")]
         gone = set()
-        for at in range(len(filled) - size + 1):
-            run = tuple(lines[k] for k in filled[at:at + size])
-            if run in seen:
-                gone |= set(filled[at:at + size])
-            seen.add(run)
+        for n in range(1 if words else size, size + 1):
+            for at in range(len(filled) - n + 1):
+                run = tuple(lines[k] for k in filled[at:at + n])
+                if n < size and sum(max(1, len(re.findall(r"[^\x20\x09-\x0D]+", x))) for x in run) < words:
+                    continue
+                if run in seen:
+                    gone |= set(filled[at:at + n])
+                seen.add(run)
         out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 

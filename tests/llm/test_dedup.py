@@ -225,3 +225,12 @@ def test_cap_filters_nulls_copies_and_clashes(spark):
     assert out == sorted([(1, 4, 1, True), (2, 4, 1, False), (2, 4, 1, False), (3, 4, 1, False), (11, 4, 1, False),
                           (None, 0, None, True), *alone], key=repr)
     assert cap_filters.near_duplicates(frame.limit(0)).collect() == []
+
+
+def test_line_report_counts_lines_not_blank_rests(spark):
+    rows = [(1, "one\ntwo\nthree\n"), (2, "one\ntwo\nthree\n"), (3, "\none\n\ntwo\nthree\nown"), (4, ""), (5, None), (6, " ".join("w" * 50)),
+            (7, "new\n" + " ".join("w" * 50)), (8, "short line"), (9, "short line")]
+    out = line_winnowing.removal_report(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in out if r.text is not None) == [
+        (1, "one\ntwo\nthree\n", 4, 0), (2, "", 4, 3), (3, "\n\nown", 6, 3), (4, "", 0, 0), (6, " ".join("w" * 50), 1, 0), (7, "new", 2, 1),
+        (8, "short line", 1, 0), (9, "short line", 1, 0)]

@@ -40,7 +40,7 @@ def test_pipeline_equals_plain_stages(spark):
     table = docs.select("doc_id", "text").toPandas()
     good = table[crf_quality.scores(table["text"], field) >= 0.7]
     assert 0 < len(good) < len(table)
-    left = brute.without_repeated_lines(list(good.itertuples(index=False, name=None)), 3)
+    left = brute.without_repeated_lines(list(good.itertuples(index=False, name=None)), 3, 50)
     groups = brute.jaccard_groups(list(left.items()), 5, 80, 100)
     kept = [(i, t) for i, t in left.items() if groups[i][1] == i]
     assert len(kept) < len(left)
