@@ -30,8 +30,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the runs of lines that occurred before; a document may be left empty."""
-    return measured(line_winnowing.remove_repeated_lines(docs), docs)
+    """Documents without the runs of lines that occurred before, of three lines or 50 words; a document may be left empty."""
+    return measured(line_winnowing.remove_repeated_lines(docs, min_words=line_winnowing.MIN_WORDS), docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
