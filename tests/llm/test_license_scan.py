@@ -10,7 +10,7 @@ DOCS = "doc_id long, text string"
 
 
 def words(text):
-    return [re.sub("[A-Z]", lambda m: m.group().lower(), w) for w in re.findall(license_scan.WORDS, text or "")]
+    return [re.sub("[A-Z]", lambda m: m.group().lower(), w) for w in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text or "")]
 
 
 def brute(docs, templates):
