@@ -15,8 +15,10 @@ vectors, and every two blocks meet in a task of their own. A task counts links,
 filter that its two vectors share, and returns the counts and the links of a spanning forest, never all pairs.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite numbers link with
-nothing; only vectors of equal dimension are compared; repeated rows are linked vectors of their own; a null id
-has no component, is kept and not compared; an empty table gives no rows; other columns are ignored.
+nothing; only vectors of equal dimension are compared; repeated rows are linked vectors of their own, and so are
+rows with equal ids and different vectors: each has its own links, while an id is one node of the components; a null id
+has no component, is kept and not compared; very long vectors take a task memory in proportion; an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from shelfwise.llm.scratch import cut, stored
 THRESHOLD = 0.95
 PER_FILTER = 200
 HITS = 16  # filters times the share of vectors that pass one, before alpha is lowered
+LEAST_SHARE = 1e-6  # of the vectors in a filter, which bounds the code to some thousand directions
 MISSED = 0.005
 BLOCK = 8_000
 STRIPE = 500  # vectors of a filter that are compared with the others at once
@@ -54,7 +57,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 def code(dimension: int, vectors: int, threshold: float) -> Code:
     """The product code for so many vectors, the same whenever it is built."""
     rng = np.random.default_rng([dimension, 11])
-    share = min(0.05, max(PER_FILTER / max(vectors, 1), 1e-5))
+    share = min(0.05, max(PER_FILTER / max(vectors, 1), LEAST_SHARE))
     size = int(np.ceil(np.sqrt(HITS / share)))
     rotation = np.linalg.qr(rng.standard_normal((dimension, dimension)))[0]
     half = (dimension + 1) // 2
@@ -255,17 +258,29 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     """id, n_links, component_id, kept for every vector."""
     rows = distinct_vectors(vectors, id_col, vector_col)
     key = ["k1", "k2"]
+    # a stored number stands for each distinct vector: ids may repeat
     first = cut(rows.groupBy(*key).agg(F.min("id").alias("first"), F.count("*").alias("copies"),
-                                       F.min_by("vector", "id").alias("vector")))
-    found = stored(link_counts(first.withColumnRenamed("first", "id"), threshold))
-    joined = components(found.where(F.col("other").isNotNull()).select(F.col("id").alias("a"), F.col("other").alias("b")))
+                                       F.min_by("vector", "id").alias("vector"))
+                .withColumn("node", F.monotonically_increasing_id()))
+    found = stored(link_counts(first.select(F.col("node").alias("id"), "copies", "vector"), threshold))
+    links = found.where(F.col("other").isNotNull()).select(F.col("id").alias("a"), F.col("other").alias("b"))
+    # an id with different vectors is one node of the components
+    several = rows.groupBy("id").agg(F.min(F.struct(*key)).alias("lo"), F.max(F.struct(*key)).alias("hi")).where("lo != hi")
+    placed = rows.select("id", *key).join(several.select("id"), "id").join(first.select(*key, "node"), key).select("id", "node").distinct()
+    low = placed.groupBy("id").agg(F.min("node").alias("b"))
+    joined = components(links.unionByName(placed.join(low, "id").select(F.col("node").alias("a"), "b")))
+    least = (joined.join(first.select(F.col("node").alias("id"), "first"), "id")
+             .groupBy("component").agg(F.min("first").alias("least")))
     counts = found.where(F.col("other").isNull()).groupBy("id").agg(F.sum("n").alias("n"))
-    groups = (first.select(*key, "first", "copies").join(counts, F.col("first") == F.col("id"), "left").drop("id")
-              .join(joined, F.col("first") == F.col("id"), "left")
-              .select(*key, (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n"), F.coalesce("component", "first").alias("component")))
-    members = rows.select("id", *key).join(groups, key).select("id", "n", "component").distinct()
+    groups = (first.select(*key, "first", "copies", F.col("node").alias("id")).join(counts, "id", "left")
+              .join(joined, "id", "left").join(least, "component", "left")
+              .select(*key, (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n"),
+                      F.coalesce("least", "first").alias("component")))
     own = F.col(id_col)
-    return vectors.select(own).join(members, own.cast("long") == F.col("id"), "left").select(
-        own, F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component", own.cast("long")).alias("component_id"),
-        F.coalesce(own.cast("long") == F.coalesce("component", own.cast("long")), F.lit(True)).alias("kept"))
+    asked = vectors.select(own, F.xxhash64(vector_col).alias("k1"), F.xxhash64(F.lit(1), vector_col).alias("k2"))
+    known = groups.select(F.col("k1").alias("g1"), F.col("k2").alias("g2"), "n", "component")
+    linkable = own.isNotNull()  # vectors that cannot link have no group
+    done = asked.join(known, (F.col("k1") == F.col("g1")) & (F.col("k2") == F.col("g2")) & linkable, "left")
+    component = F.coalesce("component", own.cast("long"))
+    return done.select(own, F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
+                       F.coalesce(own.cast("long") == component, F.lit(True)).alias("kept"))

@@ -21,8 +21,9 @@ N-grams are compared by 64-bit keys, equal sets by their size and 128 bits.
 
 Defined results: a text with fewer words than an n-gram is one n-gram; null, empty and blank texts
 have none and link with nothing; repeated rows are links of similarity 1; ids are integers, a null id
-links with nothing and has no component; rows with equal ids count as one node; an empty table gives
-no rows; other columns are ignored.
+links with nothing and has no component; rows with equal ids and different texts keep sets of their own, and the id
+is one node that links them; a very long text is held whole by one task; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -321,7 +322,11 @@ def similarity_groups(documents: DataFrame, size: int = WORDS, threshold: tuple[
     key = SET
     rows, alone, first = _representatives(documents, size, threshold, id_col, text_col)
     texts = documents.select(F.col(id_col).cast("long").alias("rank"), F.col(text_col).alias("text"))
-    joined = components(links(alone, texts, size, threshold))
+    # an id with different texts is one node: it links their sets
+    known = rows.where((F.col("n") > 0) & (F.col("rank") != B.LAST))
+    several = known.groupBy("rank").agg(F.min(F.struct(*SET)).alias("lo"), F.max(F.struct(*SET)).alias("hi")).where("lo != hi")
+    same = known.join(several.select("rank"), "rank").join(first, key).select(F.col("rank").alias("a"), F.col("first").alias("b"))
+    joined = components(links(alone, texts, size, threshold).unionByName(same))
     groups = first.join(joined, F.col("first") == F.col("id"), "left").select(
         *key, F.coalesce("component", "first").alias("component"))
     return rows.select("rank", *key).join(groups, key, "left").select(

@@ -8,33 +8,37 @@ from shelfwise.llm.license_scan import all_templates
 _WORDLIKE = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 _OP5 = r"""
-WITH RECURSIVE doc AS (
-  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                             '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
-shingle AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(3, len(w)) - 1), ' ') AS s
-            FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM doc WHERE len(w) > 0)),
-size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
-common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingle a JOIN shingle b USING (s)
-           WHERE a.doc_id < b.doc_id GROUP BY ALL),
-link AS (SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+WITH RECURSIVE doc AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS r,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+shingle AS (SELECT DISTINCT r, doc_id, array_to_string(list_slice(w, i, i + least(3, len(w)) - 1), ' ') AS s
+            FROM (SELECT r, doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM doc WHERE len(w) > 0)),
+size AS (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, any_value(a.doc_id) AS one, any_value(b.doc_id) AS two, count(*) AS c
+           FROM shingle a JOIN shingle b USING (s) WHERE a.doc_id < b.doc_id GROUP BY a.r, b.r),
+link AS (SELECT DISTINCT one AS a, two AS b FROM common JOIN size x ON x.r = a JOIN size y ON y.r = b
          WHERE 100 * c >= 90 * (x.n + y.n - c)),
 both_ AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
-reach AS (SELECT doc_id, doc_id AS r FROM size UNION SELECT reach.doc_id, b FROM reach JOIN both_ ON a = r)
-SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(m, d.doc_id) AS component_id
-FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN (SELECT doc_id, min(r) AS m FROM reach GROUP BY doc_id) USING (doc_id)
+reach AS (SELECT doc_id, doc_id AS r FROM doc WHERE len(w) > 0 UNION SELECT reach.doc_id, b FROM reach JOIN both_ ON a = r)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(CASE WHEN n IS NOT NULL THEN m END, d.doc_id) AS component_id
+FROM doc d LEFT JOIN size USING (r) LEFT JOIN (SELECT doc_id, min(r) AS m FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
 _OP6 = """
-WITH RECURSIVE vec AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, row_number() OVER () AS r FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+WITH RECURSIVE every AS MATERIALIZED (SELECT vec_id, embedding, row_number() OVER () AS r FROM embeddings),
+vec AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, r FROM every
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM vec a JOIN vec b ON a.r <> b.r AND len(a.v) = len(b.v)
+link AS (SELECT a.r, a.vec_id AS a, b.vec_id AS b FROM vec a JOIN vec b ON a.r <> b.r AND len(a.v) = len(b.v)
          WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
-reach AS (SELECT vec_id, vec_id AS r FROM vec UNION SELECT reach.vec_id, b FROM reach JOIN link ON a = r)
-SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(m, e.vec_id) AS component_id, coalesce(m, e.vec_id) = e.vec_id AS kept
-FROM embeddings e LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a) USING (vec_id)
-LEFT JOIN (SELECT vec_id, min(r) AS m FROM reach GROUP BY vec_id) USING (vec_id)
+reach AS (SELECT DISTINCT vec_id, vec_id AS s FROM vec UNION SELECT reach.vec_id, b FROM reach JOIN link ON a = s),
+placed AS (SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(CASE WHEN v.r IS NOT NULL THEN m END, e.vec_id) AS component_id
+           FROM every e LEFT JOIN vec v ON v.r = e.r LEFT JOIN (SELECT r, count(*) AS n FROM link GROUP BY r) l ON l.r = e.r
+           LEFT JOIN (SELECT vec_id, min(s) AS m FROM reach GROUP BY vec_id) x ON x.vec_id = e.vec_id)
+SELECT *, coalesce(component_id = vec_id, true) AS kept FROM placed
 """
 
 _OP7 = f"""

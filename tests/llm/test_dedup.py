@@ -234,3 +234,34 @@ def test_line_report_counts_lines_not_blank_rests(spark):
     assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in out if r.text is not None) == [
         (1, "one\ntwo\nthree\n", 4, 0), (2, "", 4, 3), (3, "\n\nown", 6, 3), (4, "", 0, 0), (6, " ".join("w" * 50), 1, 0), (7, "new", 2, 1),
         (8, "short line", 1, 0), (9, "short line", 1, 0)]
+
+
+def against_sql(spark, tmp_path, name, table, frame):
+    """The registered query and its SQL over a table of one's own."""
+    import duckdb
+    from shelfwise.llm import queries
+
+    frame.coalesce(1).write.parquet(str(tmp_path / f"{table}.parquet"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    found = queries.QUERIES[name](spark, str(tmp_path))
+    sql = queries.ORACLE[name]
+    want = db.execute(f"SELECT {', '.join(found.columns)} FROM ({sql})").fetchall()
+    got = [tuple(r) for r in found.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    return got
+
+
+def test_equal_ids_with_different_texts_are_one_node(spark, tmp_path):
+    x, y, z = "a b c d e f g h i j k l m n", "q w e r t z u i o p", "one two three four five six"
+    rows = [(3, x), (5, x), (5, y), (5, z), (8, z), (9, z.upper()), (5, x), (6, None), (6, "alone here now"), (None, x), (7, "")]
+    got = against_sql(spark, tmp_path, "op5_ngram_jaccard_join", "documents", spark.createDataFrame(rows, DOCS))
+    assert {r[2] for r in got if r[0] in (3, 5, 8, 9)} == {3} and {r[2] for r in got if r[0] in (6, 7)} == {6, 7}
+
+
+def test_equal_ids_with_different_vectors_give_a_row_each(spark, tmp_path):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(3, a), (5, a), (5, b), (5, c), (8, c), (9, [0.0, 0.01, 1.0]), (5, a), (6, None), (6, [0.0, 0.0, 0.0]), (6, [-1.0, 0.0, 0.0]), (None, a)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = against_sql(spark, tmp_path, "op6_embedding_near_dedup", "embeddings", frame)
+    assert len(got) == len(rows) and {r[2] for r in got if r[0] in (3, 5, 8, 9)} == {3}
