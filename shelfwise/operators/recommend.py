@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.operators.joins import lookup_join, settled
-from shelfwise.sources.storage import cut_lineage
+from shelfwise.sources.storage import cut_lineage, lasting
 
 PREFERENCE = ["categories", "features"]
 NO_PROFILE_TIER, FILL_TIER = 3, 4
@@ -221,7 +221,8 @@ class Shelf:
     def index(self) -> Pieces:
         """Made when a batch first has too many features for one scan."""
         if self.pieces is None:
-            self.pieces = Pieces.of(self.catalog)
+            with lasting():
+                self.pieces = Pieces.of(self.catalog)
         return self.pieces
 
     def marks(self, features: DataFrame) -> DataFrame:
@@ -232,7 +233,8 @@ class Shelf:
         if self.marked is None or not few <= self.known:
             self.known |= few
             every = features.sparkSession.createDataFrame([(f,) for f in sorted(self.known)], "feature string")
-            self.marked = cut_lineage(marked(self.catalog, every))
+            with lasting():
+                self.marked = cut_lineage(marked(self.catalog, every))
         return self.marked
 
 

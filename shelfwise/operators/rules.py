@@ -52,6 +52,12 @@ def rules_for(table: str, path: str) -> CleaningRules:
         return CleaningRules.from_dict((yaml.safe_load(source).get("tables") or {}).get(table))
 
 
+def load_rules(spark: SparkSession, path: str, table: str) -> CleaningRules:
+    """Rules of one table from a YAML file of any file system, with boolean type names repaired."""
+    text = spark.read.text(path, wholetext=True).first()[0]  # one small file
+    return CleaningRules.from_dict(repair_type_names(yaml.safe_load(text) or {})["tables"].get(table))
+
+
 def rename_existing(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed({old: new for old, new in names.items() if old in df.columns})
 

@@ -65,6 +65,37 @@ def clean_rules(t: Tables) -> DataFrame:
         "created_at", F.col("created_at").cast("timestamp_ntz"))
 
 
+_RULE_FILE = """tables:
+  products:
+    rename_columns: {id: products_id}
+    type_conversions: {is_active: BooleanType, average_rating: IntegerType}
+    null_replacements: {brand: UNKNOWN}
+    case_formatting: {model: lower}
+  users:
+    rename_columns: {id: user_id}
+"""
+
+
+@query("clean_rules_file", with_tables("product_records", """
+    SELECT id AS products_id, coalesce(brand, 'UNKNOWN') AS brand, name, sku, lower(model) AS model,
+      CAST(trunc(average_rating) AS INTEGER) AS average_rating, created_at, updated_at, is_active, is_featured
+    FROM d_product_records"""))
+def clean_rules_file(t: Tables) -> DataFrame:
+    """The rules of one table out of a file for several, with an old name for the boolean type."""
+    from shelfwise.sources.storage import new_path
+    path = new_path(t.spark, "rules")
+    t.spark.createDataFrame([(_RULE_FILE.rstrip(),)], "value string").coalesce(1).write.text(path)
+    return R.apply_rules(t.product_records(), R.load_rules(t.spark, path, "products"))
+
+
+@query("clean_cart_today", with_tables("cart_item", """
+    SELECT id, updated_at, CAST(date_diff('day', CAST(last_updated AS DATE), current_date) AS INTEGER) AS cart_age_days
+    FROM d_cart_item"""))
+def clean_cart_today(t: Tables) -> DataFrame:
+    """The age of carts as of the day it runs."""
+    return L.cart_details(t.cart_item()).select("id", "updated_at", "cart_age_days")
+
+
 @query("rename_map", with_tables("product_records users", """
     SELECT 'products' AS table_name, id AS product_id, NULL AS user_id, name, sku, NULL AS email, NULL AS role FROM d_product_records
     UNION ALL SELECT 'users', NULL, id, NULL, NULL, email, role FROM d_users"""))

@@ -9,7 +9,7 @@ from shelfwise.plans.adapters import Tables
 from shelfwise.plans.feeds import CSV_ERRORS_SQL, RULES, _ISSUES, _TASKS
 from shelfwise.plans.oracle_tables import with_tables
 from shelfwise.plans.profiling import NULLS_SQL
-from shelfwise.plans.registry import query
+from shelfwise.plans.registry import ORACLE, query
 from shelfwise.plans.validation import PRODUCT_REJECTS_SQL
 from shelfwise.sources import readers, sinks
 from shelfwise.sources.storage import new_path
@@ -51,6 +51,18 @@ def io_feed_csv(t: Tables) -> DataFrame:
     return O.error_table(O.validate_feed(readers.read_feed(t.spark, path), RULES))
 
 
+@query("io_feed_json", ORACLE["feed_errors"])
+def io_feed_json(t: Tables) -> DataFrame:
+    """The same feed out of JSON files, each an array of at most a thousand products."""
+    path = new_path(t.spark, "feed") + ".json"
+    feed = t.feed()
+    part = feed.groupBy(F.pmod(F.xxhash64("product_id"), F.lit(8)).alias("part"), F.floor(
+        F.substring("product_id", 3, 20).cast("bigint") / 1000).alias("block")).agg(
+        F.to_json(F.collect_list(F.struct(*feed.columns)), sinks.JSON_OPTIONS).alias("value"))
+    part.write.partitionBy("part", "block").text(path)
+    return O.error_table(O.validate_feed(readers.read_feed(t.spark, path).select(*feed.columns), RULES))
+
+
 @query("io_reject_sink", PRODUCT_REJECTS_SQL)
 def io_reject_sink(t: Tables) -> DataFrame:
     path = new_path(t.spark, "rejects")

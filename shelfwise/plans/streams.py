@@ -53,12 +53,8 @@ SLICES, SLICE_FILES = 8, 4
 def ordered_files(t: Tables) -> str:
     """The event messages landed in the order of their time: SLICES batches of SLICE_FILES files each."""
     path = new_path(t.spark, "ordered")
-    rows = cut_lineage(built(t))
-    low, high = rows.agg(F.min("timestamp"), F.max("timestamp")).first()
-    step = (high - low) / SLICES
-    place = F.least(F.floor((F.col("timestamp") - low) / F.lit(step)), F.lit(SLICES - 1))
-    for n in range(SLICES):  # files are read in the order of their writing
-        E.to_messages(rows.filter(place == n)).repartition(SLICE_FILES).write.mode("append").text(path)
+    for part in slices(t):  # files are read in the order of their writing
+        land(part, path)
     return path
 
 
@@ -66,6 +62,17 @@ def output(t: Tables, folder: str, table: str) -> DataFrame:
     return t.spark.read.parquet(f"{folder}/{table}")
 
 
+def slices(t: Tables) -> list[DataFrame]:
+    rows = cut_lineage(built(t))
+    low, high = rows.agg(F.min("timestamp"), F.max("timestamp")).first()
+    place = F.least(F.floor((F.col("timestamp") - low) / F.lit((high - low) / SLICES)), F.lit(SLICES - 1))
+    return [rows.filter(place == n) for n in range(SLICES)]
+
+
+def land(part: DataFrame, path: str) -> None:
+    E.to_messages(part).repartition(SLICE_FILES).write.mode("append").text(path)
+
+
 _SECONDS = "CAST(epoch_us({c}) AS DOUBLE) / CAST(1000000 AS DOUBLE)"
 
 
@@ -129,6 +136,25 @@ def stream_recommendations(t: Tables) -> DataFrame:
         "*", (F.col("pos") + 1).alias("rank"), "rec.id", "rec.tier").drop("pos", "rec")
 
 
+@query("stream_restart", with_tables("view_recs", """
+    SELECT event_id, user_id, rank, id, CAST(tier AS INTEGER) AS tier, event_id % 2 >= 0 AS once FROM d_view_recs"""))
+def stream_restart(t: Tables) -> DataFrame:
+    """Two runs from one checkpoint: the second takes only what landed since, so nothing comes twice."""
+    base, parts = new_path(t.spark, "restart"), slices(t)
+    engine = S.Recommender(cut_lineage(t.catalog()), f"{base}/out", K_RECS, t.fill_key(), accounts=False)
+    batches = []
+    for some in (parts[:2], parts[2:]):
+        for part in some:
+            land(part, f"{base}/in")
+        stream = readers.stream_text_files(t.spark, f"{base}/in", 1_000)
+        engine.start(stream, f"{base}/checkpoint", available_now=True).awaitTermination()
+        batches.append(output(t, f"{base}/out", "recommendations").agg(F.max("batch_id")).first()[0])
+    recs = output(t, f"{base}/out", "recommendations")
+    return recs.select("event_id", "user_id", F.posexplode("recommendations").alias("pos", "rec"),
+                       F.lit(batches[0] < batches[1]).alias("once")).select(
+        "event_id", "user_id", (F.col("pos") + 1).alias("rank"), "rec.id", "rec.tier", "once")
+
+
 @query("stream_purchases", with_tables("engine_events products", f"""
     SELECT event_id, 'purchase_confirmed' AS event_type, {_SECONDS.format(c='ts')} AS timestamp,
       user_id, product_id, p.name AS product_name, p.price

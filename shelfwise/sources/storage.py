@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 _local_folders: dict[str, str] = {}
+_collecting = threading.local()  # paths of the tables cut in this thread, or None where they last
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,5 +57,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     and Catalyst knows their true size.
     """
     path = new_path(df.sparkSession, "table")
+    paths = getattr(_collecting, "paths", None)
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Tables cut inside are deleted at the end: for work that stores its results before it is over."""
+    before, _collecting.paths = getattr(_collecting, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _collecting.paths = _collecting.paths, before
+        for path in paths:
+            delete_folder(spark, path)
+
+
+@contextmanager
+def lasting():
+    """Tables cut inside stay, also within ``temporary`` work."""
+    before, _collecting.paths = getattr(_collecting, "paths", None), None
+    try:
+        yield
+    finally:
+        _collecting.paths = before
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from shelfwise import constants as K
 from shelfwise.operators import recommend as R
 from shelfwise.operators.ordering import running_totals
-from shelfwise.sources.storage import make_folder, path_exists
+from shelfwise.sources.storage import lasting, make_folder, path_exists, temporary
 from shelfwise.streaming import events as E, state as S
 
 
@@ -64,6 +64,10 @@ class Recommender:
     # ---- first query: score the events ----
 
     def score(self, batch: DataFrame, batch_id: int) -> None:
+        with temporary(batch.sparkSession):
+            self._score(batch, batch_id)
+
+    def _score(self, batch: DataFrame, batch_id: int) -> None:
         parsed = E.parse(batch).persist()
         try:
             events = E.accepted(parsed)
@@ -102,7 +106,8 @@ class Recommender:
     def _shelf(self) -> R.Shelf:
         """The static catalog's lists, made at the first batch."""
         if self.shelf is None:
-            self.shelf = R.Shelf.of(self.catalog, self.k, self.fill_key)
+            with lasting():
+                self.shelf = R.Shelf.of(self.catalog, self.k, self.fill_key)
         return self.shelf
 
     def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
@@ -128,6 +133,10 @@ class Recommender:
         self.start_accounts(available_now=True).awaitTermination()
 
     def account(self, changes: DataFrame, batch_id: int) -> None:
+        with temporary(changes.sparkSession):
+            self._account(changes, batch_id)
+
+    def _account(self, changes: DataFrame, batch_id: int) -> None:
         """Store what a step of the second query changes, and add it to the totals of the step before."""
         spark = changes.sparkSession
         self._write(changes.withColumnRenamed("batch_id", "stored_in"), "changes", batch_id)

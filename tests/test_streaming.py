@@ -196,6 +196,11 @@ def test_a_batch_that_is_scored_again_counts_once(spark, tmp_path):
     assert (totals["events_processed"], totals["active_user_sessions"]) == (8, 2)
 
 
+def tables(spark):
+    folder = os.path.join(spark.conf.get("spark.checkpoint.dir"), "shelfwise")
+    return os.listdir(folder) if os.path.isdir(folder) else []
+
+
 def test_work_per_batch_stays_flat(spark, tmp_path):
     """Jobs of a batch do not grow with the batches before it."""
     engine = S.Recommender(catalog(spark), str(tmp_path / "out"), 3, F.col("pos"))
@@ -207,9 +212,13 @@ def test_work_per_batch_stays_flat(spark, tmp_path):
         jobs.append(len(tracker.getJobIdsForGroup(f"score-{n}")))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(set(jobs[1:])) == 1
+    kept = len(tables(spark))
+    engine.score(spark.createDataFrame([(json.dumps(event(99, K.VIEW_EVENT, 1, 1)),)], "value string"), 5)
+    assert len(tables(spark)) == kept  # a batch leaves no intermediate table
+    engine.score(spark.createDataFrame([], "value string"), 6)
     engine.account_for_all()
     first = spark.read.parquet(str(tmp_path / "out/totals/batch_id=0")).first()
-    assert first["events_processed"] == 30 and first["active_user_sessions"] == 15
+    assert first["events_processed"] == 31 and first["active_user_sessions"] == 15
 
 
 def test_recommendations_go_stale_by_other_users_events(spark, tmp_path):
