@@ -1,6 +1,6 @@
 """Keys of many documents, compared in packed blocks.
 
-Documents are dealt to chunks by a hash of their id. A chunk's task sorts its distinct keys and
+Documents are dealt to chunks by a hash of their id, or of their text where the id is null. A chunk's task sorts its distinct keys and
 cuts them by their first bits into blocks, one row per chunk and part. All blocks of a part meet
 in one task, which answers with one bit per key; the answers go back to the chunks. A key crosses the
 network once per chunk however many documents hold it, so common keys do not gather rows.
@@ -27,9 +27,13 @@ def layout(documents: DataFrame, text_col: str = "text") -> tuple[int, int]:
 
 
 def chunked(documents: DataFrame, chunks: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """chunk, rank and text; a null id ranks behind all others."""
+    """chunk, rank and text; a null id ranks behind all others, and its rows are dealt by their texts.
+
+    Rows that repeat an id and a text may lie in one chunk; different texts do not, however many share an id that is null.
+    """
     rank = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
-    return documents.select(F.pmod(F.xxhash64(rank), F.lit(chunks)).cast("int").alias("chunk"),
+    deal = F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(rank)
+    return documents.select(F.pmod(F.xxhash64(deal), F.lit(chunks)).cast("int").alias("chunk"),
                             rank.alias("rank"), F.col(text_col).alias("text"))
 
 

@@ -265,3 +265,24 @@ def test_equal_ids_with_different_vectors_give_a_row_each(spark, tmp_path):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = against_sql(spark, tmp_path, "op6_embedding_near_dedup", "embeddings", frame)
     assert len(got) == len(rows) and {r[2] for r in got if r[0] in (3, 5, 8, 9)} == {3}
+
+
+def test_rows_without_an_id_are_dealt_by_their_text(spark):
+    rows = [(None, f"text {i}") for i in range(400)] + [(7, f"text {i}") for i in range(3)]
+    dealt = blocks.chunked(spark.createDataFrame(rows, DOCS), 10).groupBy("rank", "chunk").count().collect()
+    null = [r["count"] for r in dealt if r["rank"] == blocks.LAST]
+    assert len(null) == 10 and max(null) < 100 and len([r for r in dealt if r["rank"] == 7]) == 1
+
+
+def test_null_ids_in_several_chunks(spark, small_chunks):
+    """The same results as in one chunk: nothing is removed for a null id's sake, and nothing links to it."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(30)]
+    passage = " ".join(rng.choices(words, k=30))
+    rows = [(None if i % 3 else i, " ".join(rng.choices(words, k=rng.randrange(80))) + " " + passage) for i in range(150)]
+    out = substring_dedup.removal_report(spark.createDataFrame(rows, DOCS)).collect()
+    removed = {(r.doc_id, r.n_words): r.n_removed for r in out}
+    first = min(i for i, _ in rows if i is not None)
+    assert all((n >= 30) == (i != first) for (i, _), n in removed.items())
+    groups = jaccard_join.components_of(spark.createDataFrame(rows, DOCS)).collect()
+    assert all(r.component_id is None for r in groups if r.doc_id is None) and len(groups) == 150
