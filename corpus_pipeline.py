@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfwise.llm import crf_quality, fm_decontaminate, jaccard_join, line_winnowing, sentencepiece
 from shelfwise.llm.scratch import checkpoint_dir
 from shelfwise.llm.tasks import importable, unused
+from shelfwise.sources.storage import delete_folder
 
 
 def measured(changed: DataFrame, like: DataFrame) -> DataFrame:
@@ -62,11 +63,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written to the checkpoint folder and read again; the last one's rows."""
+    """All stages, each written to the checkpoint folder and read again; the last one's rows.
+
+    What a stage read is deleted once its own output is stored, so only the input of the last stage remains.
+    """
     importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{number}")
+        if number:
+            delete_folder(spark, f"{base}/{number - 1}")
         docs = spark.read.parquet(f"{base}/{number}")
     return STAGES[-1][1](spark, docs, sf_dir)
