@@ -88,25 +88,19 @@ def lookup_join(fact: DataFrame, keyed: DataFrame, on: str | Sequence[str], how:
 
     ``spread`` names fact columns that differ between rows of one key (default: all); their hash
     is the salt. ``keys_from`` may give a cheaper frame with the same frequent keys for the
-    sketch. With ``unique=False`` a key may have any number of rows in ``keyed`` too.
+    sketch. With ``unique=False`` a key may have any number of rows in ``keyed`` too, and both sides are split.
     """
     on = [on] if isinstance(on, str) else list(on)
     limit = rows_per_task or ROWS_PER_TASK
     if fits_broadcast(keyed):
         return fact.join(F.broadcast(keyed), on, how)
     columns = [*fact.columns, *[c for c in keyed.columns if c not in on]]
-    parts = []
     if not unique:
-        hot = hot_keys(keyed.select(*on), on, limit)
-        if hot is not None:
-            large = frequent_keys(keyed, on, hot)
-            parts.append(_keyed_side_salted(fact, keyed, on, large).select(*columns))
-            fact = fact.join(F.broadcast(large.drop("_splits")), on, "left_anti")
-            keyed = keyed.join(F.broadcast(large.drop("_splits")), on, "left_anti")
+        return multiply(fact, [keyed], on, how, limit)
     hot = hot_keys((fact if keys_from is None else keys_from).select(*on), on, limit)
-    rest = (fact.join(keyed, on, how) if hot is None
-            else salted_join(fact, keyed, on, how, hot, spread or fact.columns))
-    return reduce(DataFrame.unionByName, [rest.select(*columns), *parts])
+    if hot is None:
+        return fact.join(keyed, on, how).select(*columns)
+    return salted_join(fact, keyed, on, how, hot, spread or fact.columns).select(*columns)
 
 
 def _salt(spread: Sequence[str]) -> Column:
@@ -136,78 +130,56 @@ def salted_join(fact: DataFrame, keyed: DataFrame, on: Sequence[str], how: str,
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
-def frequent_keys(keyed: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
-    """The key values behind the hot hashes with their splits: at most one row per hot key.
-
-    NULL keys are left out, since they match nothing.
-    """
-    rows = (keyed.select(*on).na.drop().join(F.broadcast(hot), _key_hash(on) == F.col("_hot"))
-            .select(*on, "_splits").distinct().collect())
-    schema = keyed.select(*on).withColumn("_splits", F.lit(1)).schema
-    return keyed.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
-
-
-def _keyed_side_salted(fact: DataFrame, keyed: DataFrame, on: Sequence[str],
-                       large: DataFrame) -> DataFrame:
-    """Join on keys frequent in ``keyed``: its rows are split, fact rows go to every split.
-
-    Each of these keys has matches, so the inner join is the left join.
-    """
-    small = F.broadcast(large)
-    left = fact.join(small, on).withColumn("_salt", _all_salts()).drop("_splits")
-    right = keyed.join(small, on).withColumn("_salt", _salt(keyed.columns)).drop("_splits")
-    return left.join(right, [*on, "_salt"], "inner").drop("_salt")
-
-
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def multiply(base: DataFrame, children: Sequence[DataFrame], on: str, how: str = "left",
+def multiply(base: DataFrame, children: Sequence[DataFrame], on: str | Sequence[str], how: str = "left",
              rows_per_task: int | None = None) -> DataFrame:
-    """Join every child to ``base`` on one key; a key's rows multiply over all tables.
+    """Join every child to ``base`` on the same key columns; a key's rows multiply over all tables.
 
     Each table's rows per key are counted first (one aggregation, one row per key). Keys whose product is too
     large for a task are joined on a grid: a table's rows are dealt to places of its own direction and
     repeated along the others, so that a cell meets few rows of every table. The cells of all keys are dealt
     to tasks by their number, and the whole chain of these keys is one stage.
     """
+    on = [on] if isinstance(on, str) else list(on)
     limit, tables, n = rows_per_task or ROWS_PER_TASK, [base, *children], len(children) + 1
-    keys = reduce(DataFrame.unionByName, [t.select(on, F.lit(i).alias("_t")) for i, t in enumerate(tables)])
-    counted = keys.filter(F.col(on).isNotNull()).groupBy(on).agg(
+    keys = reduce(DataFrame.unionByName, [t.select(*on, F.lit(i).alias("_t")) for i, t in enumerate(tables)])
+    counted = keys.na.drop(subset=on).groupBy(*on).agg(
         *[F.count(F.when(F.col("_t") == i, 1)).alias(f"_n{i}") for i in range(n)])
     rows = reduce(lambda a, b: a * b, [F.greatest(F.col(f"_n{i}"), F.lit(1)).cast("double") for i in range(n)])
     sized = cut_lineage(counted.filter("_n0 > 0").withColumn("_rows", rows))
     total, most = sized.agg(F.sum("_rows"), F.max("_rows")).first()
-    columns = [*base.columns, *[c for child in children for c in child.columns if c != on]]
+    columns = [*base.columns, *[c for child in children for c in child.columns if c not in on]]
     if not most or most <= limit:
         return _plain_chain(base, children, on, how).select(*columns)
     tasks = max(partitions(base), int(-(-total // limit)))
     cell = max(min(limit, total // (4 * tasks)), limit // 16, 1)  # several cells to a task even out
     hot = _grid(sized.filter(F.col("_rows") > cell), on, n, cell)
-    rest = [t.join(hot.select(on), on, "left_anti") for t in tables]
-    done = _on_grid(tables[0], hot, on, 0, n).repartition(tasks, on, "_cell")
+    rest = [t.join(hot.select(*on), on, "left_anti") for t in tables]
+    done = _on_grid(tables[0], hot, on, 0, n).repartition(tasks, *on, "_cell")
     for i, child in enumerate(children, 1):
         dealt = _on_grid(child, hot, on, i, n).drop(*[f"_has{j}" for j in range(n)]).withColumn("_met", F.lit(True))
-        done = done.join(dealt.repartition(tasks, on, "_cell"), [on, "_cell"], "left" if how == "left" else "inner")
+        done = done.join(dealt.repartition(tasks, *on, "_cell"), [*on, "_cell"], "left" if how == "left" else "inner")
         # an empty cell of a child that has rows for the key elsewhere gives none
         done = done.filter(F.col("_met").isNotNull() | ~F.col(f"_has{i}")).drop("_met")
     return done.select(*columns).unionByName(_plain_chain(rest[0], rest[1:], on, how).select(*columns))
 
 
-def _plain_chain(base: DataFrame, children: Sequence[DataFrame], on: str, how: str) -> DataFrame:
+def _plain_chain(base: DataFrame, children: Sequence[DataFrame], on: Sequence[str], how: str) -> DataFrame:
     return reduce(lambda a, b: a.join(F.broadcast(b) if fits_broadcast(b) else b, on, how), children, base)
 
 
-def _grid(sized: DataFrame, on: str, n: int, cell: float) -> DataFrame:
+def _grid(sized: DataFrame, on: Sequence[str], n: int, cell: float) -> DataFrame:
     """Per key the places in each table's direction (``_d0``, ...), and which tables have the key."""
     wide = reduce(lambda a, b: a + b, [(F.col(f"_n{i}") > 1).cast("int") for i in range(n)])
     side = F.greatest(F.pow(F.lit(float(cell)), F.lit(1.0) / F.greatest(wide, F.lit(1))), F.lit(1.0))
-    return sized.select(on, *[F.greatest(F.ceil(F.col(f"_n{i}") / side), F.lit(1)).cast("bigint").alias(f"_d{i}")
+    return sized.select(*on, *[F.greatest(F.ceil(F.col(f"_n{i}") / side), F.lit(1)).cast("bigint").alias(f"_d{i}")
                               for i in range(n)], *[(F.col(f"_n{i}") > 0).alias(f"_has{i}") for i in range(n)])
 
 
-def _on_grid(table: DataFrame, hot: DataFrame, on: str, i: int, n: int) -> DataFrame:
+def _on_grid(table: DataFrame, hot: DataFrame, on: Sequence[str], i: int, n: int) -> DataFrame:
     """The rows of hot keys, each in every cell of its place in the direction ``i``."""
     def places(which: Sequence[int]) -> Column:
         return reduce(lambda a, b: a * b, [F.col(f"_d{j}") for j in which], F.lit(1).cast("bigint"))

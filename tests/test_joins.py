@@ -140,3 +140,17 @@ def test_a_key_hot_in_every_table_spreads(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert sum(sizes) == 160_000 and len(sizes) >= 6
     assert max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_keys_hot_on_both_sides_of_a_lookup(spark, no_broadcast, how):
+    """Two key columns; a third of the rows of each side have one key, some keys are NULL."""
+    def side(n, name):
+        i = F.col("id")
+        return spark.range(n).select(F.when(i % 3 == 0, 7).when(i % 11 != 1, i % 20).cast("int").alias("k1"),
+                                     F.when(i % 3 == 0, "x").otherwise("y").alias("k2"), i.alias(name))
+
+    left, right = side(300, "a"), side(200, "b")
+    got = J.lookup_join(left, right, ["k1", "k2"], how, rows_per_task=500, unique=False)
+    want = left.join(right, ["k1", "k2"], how)
+    assert got.columns == want.columns and rows(got) == rows(want)
