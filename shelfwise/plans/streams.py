@@ -47,7 +47,7 @@ def replayed(t: Tables, files_per_trigger: int = 16, accounts: bool = False, eve
     return f"{base}/out"
 
 
-SLICES, SLICE_FILES = 8, 4
+SLICES, SLICE_FILES = 4, 4
 
 
 def ordered_files(t: Tables) -> str:

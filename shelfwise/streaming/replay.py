@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from shelfwise import constants as K
 from shelfwise.operators import recommend as R
 from shelfwise.operators.ordering import running_totals
+from shelfwise.sources import readers, sinks
 from shelfwise.sources.storage import lasting, make_folder, path_exists, temporary
 from shelfwise.streaming import events as E, state as S
 
@@ -221,6 +222,15 @@ def timed_recommendations(spark: SparkSession, out: str) -> DataFrame:
     return recs.join(times.drop("views"), "batch_id").drop("batch_id")
 
 
+def run_on_topics(engine: Recommender, servers: str, checkpoint: str, interval: str = "10 seconds",
+                  max_offsets: int | None = None) -> Running:
+    """Run a recommender between topics: events come from one, recommendations, purchases and metrics go to two others."""
+    spark = engine.catalog.sparkSession
+    engine.publish = lambda messages, topic: sinks.write_topic(messages, servers, topic)
+    messages = readers.stream_topics(spark, readers.kafka_options(servers, [K.TOPIC_EVENTS], max_offsets=max_offsets))
+    return engine.start(messages, checkpoint, interval=interval)
+
+
 class Progress(StreamingQueryListener):
     """What the stream itself reports per batch: messages, rows per second and time."""
 
@@ -268,6 +278,7 @@ class Running:
 
     def _finish(self) -> None:
         if self.accounts is not None:
+            self.accounts.processAllAvailable()
             self.accounts.stop()
             self.accounts = None
         if self.engine.accounts:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from shelfwise import constants as K
 from shelfwise.operators import recommend as R
-from shelfwise.sources import readers
+from shelfwise.sources import readers, sinks
 from shelfwise.streaming import events as E, monitor as M, replay as S
 
 PRODUCTS = [{"id": i, "name": f"p{i}", "category": "AB"[i % 2], "price": float(i),
@@ -221,6 +221,34 @@ def test_work_per_batch_stays_flat(spark, tmp_path):
     assert first["events_processed"] == 31 and first["active_user_sessions"] == 15
 
 
+def test_a_stream_that_is_stopped_sends_a_closing_message(spark, landed, tmp_path, monkeypatch):
+    """Both queries run side by side, between stand-ins for the topics."""
+    asked, sent = [], []
+
+    def topics(session, options):
+        asked.append(options)
+        return readers.stream_text_files(session, landed, 1)
+
+    monkeypatch.setattr(readers, "stream_topics", topics)
+    monkeypatch.setattr(sinks, "write_topic", lambda messages, servers, topic: sent.extend(
+        (servers, topic, json.loads(r["value"])) for r in messages.collect()))
+    engine = S.Recommender(catalog(spark), str(tmp_path / "out"), 3, F.col("pos"), every=10)
+    running = S.run_on_topics(engine, "host:1", str(tmp_path / "c"), "1 second", 500)
+    running.scoring.processAllAvailable()
+    assert running.accounts.isActive
+    running.stop()
+    assert not running.scoring.isActive and running.accounts is None
+    assert asked[0]["subscribe"] == K.TOPIC_EVENTS and asked[0]["maxOffsetsPerTrigger"] == "500"
+    assert {s for s, _, _ in sent} == {"host:1"}
+    kinds = [(t, m["event_type"]) for _, t, m in sent]
+    assert kinds.count((K.TOPIC_RECOMMENDATIONS, K.PURCHASE_MESSAGE)) == 5
+    times = [m["processing_time_ms"] for _, _, m in sent if m["event_type"] == K.RECOMMENDATION_MESSAGE]
+    assert len(times) == 6 and min(times) > 0
+    metrics = [m["metrics"] for _, t, m in sent if t == K.TOPIC_METRICS]
+    assert [m["events_processed"] for m in metrics] in ([0, 12], [0, 10, 12]) and metrics[-1]["events_per_second"] > 0
+    assert sum(r["messages"] for r in running.progress_rows().collect()) == len(EVENTS)
+
+
 def test_recommendations_go_stale_by_other_users_events(spark, tmp_path):
     folder = str(tmp_path / "recs")
     schema = "event_id bigint, timestamp double, user_id bigint, recommendations array<struct<id: bigint>>"
