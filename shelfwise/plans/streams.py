@@ -38,11 +38,12 @@ def message_files(t: Tables) -> str:
 
 
 def replayed(t: Tables, files_per_trigger: int = 16, accounts: bool = False, every: int | None = None,
-             source: str | None = None) -> str:
+             source: str | None = None, recommend: bool = True) -> str:
     """Run the recommender over all messages; returns the folder of its outputs."""
     base = new_path(t.spark, "replay")
     stream = readers.stream_text_files(t.spark, source or message_files(t), files_per_trigger)
-    S.Recommender(cut_lineage(t.catalog()), f"{base}/out", K_RECS, t.fill_key(), every=every, accounts=accounts).start(
+    S.Recommender(cut_lineage(t.catalog()), f"{base}/out", K_RECS, t.fill_key(), every=every, accounts=accounts,
+                  recommend=recommend).start(
         stream, f"{base}/checkpoint", available_now=True).awaitTermination()
     return f"{base}/out"
 
@@ -260,7 +261,7 @@ _LAST_VIEW = f"""SELECT * FROM ({_BUILT}) WHERE event_type = 'product_view' AND
 def stream_sessions(t: Tables) -> DataFrame:
     """The sessions that the running stream keeps, after several batches in no order."""
     profile = F.col("profile")
-    return S.stored_sessions(t.spark, replayed(t, 4, accounts=True)).select(
+    return S.stored_sessions(t.spark, replayed(t, 4, accounts=True, recommend=False)).select(
         "user_id", "event_id",
         F.array_join(profile["preferred_categories"], ",").alias("categories"),
         F.array_join(profile["preferred_features"], ",").alias("features"),
@@ -273,7 +274,7 @@ def stream_sessions(t: Tables) -> DataFrame:
       ON l.user_id = e.user_id AND (e.ts > l.ts OR (e.ts = l.ts AND e.event_id > l.event_id))
     WHERE e.event_type = 'product_purchase'""", last_view=_LAST_VIEW))
 def stream_session_purchases(t: Tables) -> DataFrame:
-    return S.stored_session_purchases(t.spark, replayed(t, 4, accounts=True)).drop("ts")
+    return S.stored_session_purchases(t.spark, replayed(t, 4, accounts=True, recommend=False)).drop("ts")
 
 
 @query("stream_latest_recs", with_tables("view_recs", """

@@ -55,6 +55,7 @@ class Recommender:
     every: int | None = None
     ttl_ms: int | None = None
     accounts: bool = True  # run the second query
+    recommend: bool = True  # without it only sessions and their purchases are kept
     mark: float = field(default_factory=time.monotonic)
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -72,6 +73,10 @@ class Recommender:
         parsed = E.parse(batch).persist()
         try:
             events = E.accepted(parsed)
+            if not self.recommend:
+                self._write(profiles_of(events), "profiles", batch_id)
+                self._write(activity(events, batch.sparkSession.createDataFrame([], COUNTERS)), "activity", batch_id)
+                return
             views = E.views(events)
             shelf, spark = self._shelf(), batch.sparkSession
             began, seen = time.perf_counter(), Observation()
@@ -354,6 +359,8 @@ def stored_session_purchases(spark: SparkSession, out: str) -> DataFrame:
 
 METRIC_COLUMNS = [*R.COUNTERS, "events_processed", "active_user_sessions"]
 TOTALS = ", ".join(f"{c} bigint" for c in METRIC_COLUMNS) + ", runtime_seconds double"
+COUNTERS = ("event_id bigint, user_id bigint, ts timestamp, n_recs bigint, n_relevant bigint, "
+            "n_relevant_products bigint, relevant_products bigint")
 EVENT_STEPS = ("event_id bigint, ts timestamp, event_type string, n_recs bigint, n_relevant bigint, "
                "n_relevant_products bigint, relevant_products bigint, batch_id int")
 UPDATES = ("event_id bigint, ts timestamp, " + ", ".join(f"{c} bigint" for c in METRIC_COLUMNS)
