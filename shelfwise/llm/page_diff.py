@@ -2,19 +2,20 @@
 
 A page is cut into blocks of text, each with the kind of place it stands in. Menus, headers,
 footers, sidebars, notices, adverts, forms and comments go by their tags, roles, classes and ids; an
-article or main element keeps what is left inside of it. Only blocks of which the markup says neither
-are judged by difference: pages of a host are ordered by the path of their url, each page is
-paired with the one before it (the first with the one after it), their lines are aligned by the
-longest common subsequence, and shared lines are deleted. Lines inside an article are not deleted when
-they are shared, since copied articles share all of theirs.
+article or main element vouches for what is left inside of it. Then every page is compared: pages of a host are
+ordered by the path of their url, each page is paired with the one before it (the first with the one after it), their
+blocks are aligned by the longest common subsequence, and the difference decides. Of blocks that the markup says nothing
+of, the shared ones are deleted. Of articles, those that the partner repeats whole are deleted where the page has another one
+with a block of its own (a teaser beside the article); else all stay. Blocks within an article are not parted, since
+copied articles share all of theirs. Pages with an article are compared with each other, and so are those without.
 
 Neighbours with the same lines are copies of each other: they are one run with one partner, the nearest
 page that differs. Pages are dealt out by ranges of (host, path), so a large host is cut into many ranges, and
 each range is told the pages that differ before and after it: the result does not depend on the ranges.
 
 Defined results: a null page has no text, a page without blocks an empty one; a page alone on its
-host, or whose url is null or without a host, keeps the blocks the markup does not reject; repeated rows are
-each reported; unclosed elements end where their parents end, or where an element of their kind
+host, or whose url is null or without a host, keeps the blocks the markup does not reject; pages without such blocks are
+no partners; repeated rows are each reported; unclosed elements end where their parents end, or where an element of their kind
 begins; a very long page takes time in proportion to its length, and one task its memory; an empty table gives no rows; other columns are ignored.
 """
 
@@ -23,9 +24,11 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 from itertools import islice
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -159,12 +162,12 @@ class Stack:
         return ends
 
 
-def blocks(page: str) -> list[tuple[str, int]]:
-    """The texts of a page's blocks in order, each MAIN, OPEN or DROPPED."""
+def pieces(page: str) -> list[tuple[str, int]]:
+    """The texts of a page's blocks in order, each OPEN, DROPPED, or MAIN plus the number of its innermost article."""
     out: list[tuple[str, int]] = []
     parts: list[str] = []
     stack, tags = Stack(), Tags(page)
-    state, at, end = OPEN, 0, len(page)
+    state, at, end, articles = OPEN, 0, len(page), 0
 
     def flush() -> None:
         if parts:
@@ -223,11 +226,12 @@ def blocks(page: str) -> list[tuple[str, int]]:
             continue
         inside = state
         # an article's own header holds its headline
-        boiler = name in _boiler and not (name == "header" and state == MAIN)
+        boiler = name in _boiler and not (name == "header" and state >= MAIN)
         if boiler or (name not in ("html", "body") and attributes and rejects(attributes)):
             inside = DROPPED
         elif name in ("article", "main") and state != DROPPED:
-            inside = MAIN
+            inside = MAIN + articles
+            articles += 1
         if inside != state:
             flush()
         stack.push(name, inside)
@@ -236,17 +240,27 @@ def blocks(page: str) -> list[tuple[str, int]]:
     return out
 
 
-def candidates(page: str | None) -> list[tuple[str, bool]]:
-    """Blocks that the markup does not reject, and whether it vouches for them.
+def blocks(page: str) -> list[tuple[str, int]]:
+    """The texts of a page's blocks in order, each MAIN, OPEN or DROPPED."""
+    return [(t, min(s, MAIN)) for t, s in pieces(page)]
+
+
+def vouched(page: str | None) -> list[tuple[str, int]]:
+    """Blocks that the markup does not reject, each with the number of its article (from 1), or 0 on a page without.
 
     A page with an article keeps that alone, if it has text.
     """
-    found = blocks(page) if page else []
-    main = [(t, True) for t, s in found if s == MAIN]
-    return main or [(t, False) for t, s in found if s == OPEN]
+    found = pieces(page) if page else []
+    main = [(t, s - MAIN + 1) for t, s in found if s >= MAIN]
+    return main or [(t, 0) for t, s in found if s == OPEN]
 
 
-def shared(own: list[str], other: list[str]) -> list[bool]:
+def candidates(page: str | None) -> list[tuple[str, bool]]:
+    """Blocks that the markup does not reject, and whether it vouches for them."""
+    return [(t, article > 0) for t, article in vouched(page)]
+
+
+def shared(own: list, other: list) -> list[bool]:
     """Lines of ``own`` on a longest common subsequence with ``other`` (the earliest such)."""
     out = [False] * len(own)
     low = 0
@@ -261,7 +275,7 @@ def shared(own: list[str], other: list[str]) -> list[bool]:
     a = [i for i in range(low, len(own) - high) if own[i] in both]
     b = [x for x in other[low:len(other) - high] if x in both]
     # rows of lengths as bits: a set bit where the length grows (bit-parallel, one integer per line)
-    places: dict[str, int] = {}
+    places: dict = {}
     for i, x in enumerate(b):
         places[x] = places.get(x, 0) | (1 << i)
     full = (1 << len(b)) - 1
@@ -360,10 +374,22 @@ def partners(rows: Iterator[tuple], around: dict[int, Around]) -> Iterator[tuple
         yield None, head, back if back is not None else around[part].ahead
 
 
-def different(own: list[str], other: list[str] | None) -> str:
-    """The lines of a page that its partner does not share."""
-    gone = shared(own, other) if other is not None else [False] * len(own)
-    return "\n".join(t for t, g in zip(own, gone, strict=True) if not g)
+def kept(own: list[int], articles: list[int], other: list[int]) -> list[bool]:
+    """Which blocks of a page are its text, beside those of its partner."""
+    gone = shared(own, other)
+    if not all(articles):
+        return [not g for g in gone]
+    new = {a for a, g in zip(articles, gone, strict=True) if not g}
+    return [not new or a in new for a in articles]
+
+
+def marks(page: str | None) -> tuple[list[str], list[int], list[int], bytes]:
+    """The blocks that may be text, a hash of each, their articles, and a hash of all."""
+    found = vouched(page)
+    hashes = [blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t, _ in found]
+    of = [a for _, a in found]
+    return ([t for t, _ in found], np.frombuffer(b"".join(h[:8] for h in hashes), "<i8").tolist(), of,
+            blake2b(b"".join(hashes), digest_size=16).digest())
 
 
 def _per_range(ordered: DataFrame, run: Callable, schema: str) -> DataFrame:
@@ -383,14 +409,14 @@ def _per_range(ordered: DataFrame, run: Callable, schema: str) -> DataFrame:
 
 
 def compared(pages: DataFrame) -> DataFrame:
-    """page, url and text of pages by their difference to the nearest different page of the host.
+    """name, hash and ``kept`` of pages: which blocks are their text, by the difference to their partner.
 
-    ``pages`` is stored and has number, page, url, host, path and lines. The pages are put in order as small rows,
-    in ranges; what ranges know of each other is one small row per range. Texts are made once per run and range.
+    ``pages`` is stored and has number, name, page, host, path, marks, articles and hash; a host may be any text that
+    parts pages which are not to be compared. The pages are put in order as small rows, in ranges; what ranges know of
+    each other is one small row per range. Blocks are compared by 64-bit hashes, once per run and range.
     """
-    single = F.concat_ws(" ", *(F.hex(F.xxhash64(F.lit(k), F.col("lines"))) for k in range(2)))
-    light = pages.where("host <> ''").select("number", "host", "path", "page", single.alias("hash"))
-    order = ("host", "path", "page", "number")
+    light = pages.select("number", "host", "path", "page", "hash")
+    order = ("host", "path", "page", "hash", "number")
     ordered = cut(light.repartitionByRange(*order).sortWithinPartitions(*order)
                   .select(F.spark_partition_id().alias("part"), "number", "host", "hash"))
     fields = ("part int, host string, lines string, page long, second long, last_host string, last_lines string, "
@@ -398,39 +424,50 @@ def compared(pages: DataFrame) -> DataFrame:
     edges = _per_range(ordered, lambda rows: iter([e] if (e := edge(rows)) else []), fields).collect()
     around = neighbours([Edge(*r) for r in edges])
     found = cut(_per_range(ordered, lambda rows: partners(rows, around), "number long, head long, partner long"))
-    lines = pages.select("number", "lines")
-    own = found.where("number IS NULL").select("head", "partner").join(lines.toDF("head", "lines"), "head")
-    # a run without a partner gets a key of its own that no page has
-    both = own.withColumn("partner", F.coalesce("partner", -1 - F.col("head"))).join(
-        lines.toDF("partner", "other"), "partner", "left").select("head", F.struct("lines", "other").alias("both"))
+    own = found.where("number IS NULL AND partner IS NOT NULL").select("head", "partner").join(
+        pages.select(F.col("number").alias("head"), "marks", "articles"), "head")
+    both = own.join(pages.select(F.col("number").alias("partner"), F.col("marks").alias("other")), "partner").select(
+        "head", F.struct("marks", "articles", "other").alias("both"))
 
     def run(pairs: pa.Array) -> list[pa.Array]:
-        return [pa.array([different(p["lines"], p["other"]) for p in pairs.to_pylist()], pa.string())]
+        return [pa.array([kept(p["marks"], p["articles"], p["other"]) for p in pairs.to_pylist()], pa.list_(pa.bool_()))]
 
-    texts = add_columns(both, "both", {"text": T.StringType()}, run).drop("both")
-    of = found.where("number IS NOT NULL").select("number", "head").join(texts, "head").drop("head")
-    apart = pages.where("host = ''").select("page", "url", F.array_join("lines", "\n").alias("text"))
-    return pages.select("number", "page", "url").join(of, "number").drop("number").unionByName(apart)
+    decided = add_columns(both, "both", {"kept": T.ArrayType(T.BooleanType())}, run).drop("both")
+    of = found.where("number IS NOT NULL").select("number", "head").join(decided, "head").drop("head")
+    # equal rows lie side by side and have the same partner
+    return pages.select("number", "name", "hash").join(of, "number").drop("number").dropDuplicates(["name", "hash"])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """id, url and main text of every page."""
+    """id, url and main text of every page.
+
+    Pages are parsed twice: first for the hashes of their blocks, which are stored and compared, then for the
+    texts that the comparison has decided about; so a text is shuffled once and stored nowhere.
+    """
     host, path = split_url(F.col(url_col))
-    source = pages.select(F.col(id_col).cast("string").alias("page"), F.col(url_col).alias("url"), host.alias("host"),
-                          path.alias("path"), F.col(html_col).alias("html"),
-                          F.monotonically_increasing_id().alias("number"))
-
-    def parse(texts: pa.Array) -> list[pa.Array]:
-        found = [candidates(x) for x in texts.to_pylist()]
-        return [pa.array([[t for t, _ in f] for f in found], pa.list_(pa.string())),
-                pa.array([all(s for _, s in f) for f in found])]
-
-    new = {"lines": T.ArrayType(T.StringType()), "sure": T.BooleanType()}
-    parsed = stored(add_columns(source, "html", new, parse).drop("html"))
-    # pages that the markup decides need no partner
-    decided = parsed.where("sure").select("page", "url", F.array_join("lines", "\n").alias("text"))
-    return decided.unionByName(compared(parsed.where("NOT sure"))).select(
-        F.col("page").cast(pages.schema[id_col].dataType).alias(id_col), F.col("url").alias(url_col), "text")
+    page, url = F.col(id_col).cast("string"), F.col(url_col)
+    name = F.concat(*(F.hex(F.xxhash64(F.lit(k), page.isNull(), page, url)) for k in range(2)))
+    source = pages.select(page.alias("page"), url.alias("url"), name.alias("name"), host.alias("host"), path.alias("path"),
+                          F.col(html_col).alias("html"))
+
+    def parse(texts: pa.Array, text: bool) -> list[pa.Array]:
+        found = [marks(x) for x in texts.to_pylist()]
+        single = pa.array([f[3].hex() for f in found], pa.string())
+        if text:
+            return [pa.array([f[0] for f in found], pa.list_(pa.string())), single]
+        return [pa.array([f[1] for f in found], pa.list_(pa.int64())), pa.array([f[2] for f in found], pa.list_(pa.int32())), single]
+
+    new = {"marks": T.ArrayType(T.LongType()), "articles": T.ArrayType(T.IntegerType()), "hash": T.StringType()}
+    some = add_columns(source.where(host != "").drop("url"), "html", new, lambda x: parse(x, False)).drop("html")
+    kind = F.when(F.col("articles")[0] > 0, "main:").otherwise("open:")
+    decided = compared(stored(some.where(F.size("marks") > 0).withColumn("host", F.concat(kind, "host")).withColumn(
+        "number", F.monotonically_increasing_id())))
+    texts = add_columns(source.select("page", "url", "name", "html"), "html",
+                        {"lines": T.ArrayType(T.StringType()), "hash": T.StringType()}, lambda x: parse(x, True)).drop("html")
+    whole = texts.join(decided, ["name", "hash"], "left")
+    lines = F.when(F.col("kept").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda _, i: F.get("kept", i)))
+    return whole.select(F.col("page").cast(pages.schema[id_col].dataType).alias(id_col), F.col("url").alias(url_col),
+                        F.array_join(lines, "\n").alias("text"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

@@ -220,6 +220,20 @@ def test_unmarked_pages_differ_from_their_neighbours(spark):
     assert P.main_texts(frame.limit(0)).collect() == []
 
 
+def test_articles_differ_from_their_neighbours(spark):
+    """Every page goes through the difference: an article that the neighbour repeats whole is none where another one is new."""
+    def page(*bodies):
+        return "<nav>Menu</nav>" + "".join(f"<article><p>{b}</p><p>{b} too</p></article>" for b in bodies)
+
+    rows = [(1, "http://h.com/1", page("one", "teaser")), (2, "http://h.com/2", page("teaser", "two")),
+            (3, "http://h.com/3", page("teaser", "two")), (4, "http://h.com/4", page("two")),
+            (5, "http://other.com/", page("alone", "teaser")), (6, "http://h.com/3a", "<div>x</div>"), (6, "http://h.com/3a", "<div>x</div>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.text) for r in P.main_texts(frame).collect())
+    assert got == [(1, "one\none too"), (2, "two\ntwo too"), (3, "two\ntwo too"), (4, "two\ntwo too"), (5, "alone\nalone too\nteaser\nteaser too"),
+                   (6, "x"), (6, "x")]
+
+
 @pytest.mark.parametrize("ranges", [1, 7, 60])
 def test_differences_do_not_depend_on_the_ranges(spark, ranges):
     """Long runs of copies fill ranges, and hosts begin and end anywhere: every page gets the partner of a plain pass."""
