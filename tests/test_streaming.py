@@ -1,15 +1,16 @@
 import json
 import os
 import random
+from types import SimpleNamespace as Bag
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from conftest import rows
 from shelfwise import constants as K
 from shelfwise.operators import recommend as R
 from shelfwise.sources import readers, sinks
-from shelfwise.streaming import events as E, monitor as M, replay as S
+from shelfwise.streaming import events as E, monitor as M, replay as S, state
 
 PRODUCTS = [{"id": i, "name": f"p{i}", "category": "AB"[i % 2], "price": float(i),
              "description": "quick fox" if i % 3 else "lazy dog"} for i in range(8)]
@@ -304,3 +305,69 @@ def test_variants_split_users_evenly(spark):
     share = users.filter("variant = 'A'").count() / 2000
     assert 0.45 < share < 0.55
     assert rows(users) == rows(S.with_variant(users.select("user_id"), "s"))
+
+
+class _Store:
+    """A value or list of the state store, which counts the calls it gets."""
+
+    def __init__(self, calls, many):
+        self.calls, self.many, self.held = calls, many, [] if many else None
+
+    def get(self):
+        self.calls.append("get")
+        return iter(self.held) if self.many else self.held
+
+    def update(self, value):
+        self.calls.append("update")
+        self.held = value
+
+    put = update
+
+    def appendList(self, values):
+        self.calls.append("append")
+        self.held = self.held + values
+
+    def clear(self):
+        self.calls.append("clear")
+        self.held = []
+
+
+class _Handle:
+    def __init__(self):
+        self.calls, self.timers = [], set()
+
+    def getValueState(self, *_, **__):
+        return _Store(self.calls, False)
+
+    def getListState(self, *_, **__):
+        return _Store(self.calls, True)
+
+    def registerTimer(self, at):
+        self.calls.append("timer")
+        self.timers.add(at)
+
+
+def test_state_of_a_user_costs_few_calls():
+    numbers = dict.fromkeys(("n_events", "n_recs", "n_relevant", "n_relevant_products", "total_event", "total"), 0)
+    view = {**numbers, "kind": "sums", "has_view": True, "has_total": False, "first_event": 1, "last_ts": 10, "last_event": 1}
+    bought = [{"kind": "purchase", "batch_id": 0, "ts": 11 + n, "event_id": 100 + n, "product_id": n} for n in range(500)]
+    users, handle = state.user_state(), _Handle()
+    users.init(handle)
+    out = list(users.handleInputRows((True, 7), iter([{**view, "batch_id": 0}, *bought]), None))
+    assert [r.kind for r in out] == ["sums", "session", *["purchase"] * 500] and len(handle.calls) == 3
+    handle.calls.clear()
+    out = list(users.handleInputRows((True, 7), iter([{**view, "batch_id": 1, "last_ts": 509, "last_event": 2}]), None))
+    assert [(r.kind, r.ts) for r in out[1:]] == [("session", 509), ("purchase", 509), ("purchase", 510)]
+    assert len(handle.calls) == 4
+
+    newest, handle = state.newest_state(1), _Handle()
+    newest.init(handle)
+    now = Bag(getCurrentWatermarkInMs=lambda: 0)
+    for at in (5_000, 9_000):
+        handle.calls.clear()
+        rows = [Row(at=at, event_id=e, ids=str(e)) for e in range(300)]
+        assert [(r.at, r.event_id, r.is_stale) for r in newest.handleInputRows((7,), iter(rows), now)] == [(at, 299, False)]
+        assert len(handle.calls) == 3
+    gone = [[r.is_stale for r in newest.handleExpiredTimer((7,), now, Bag(getExpiryTimeInMs=lambda due=due: due))]
+            for due in sorted(handle.timers)]
+    assert gone == [[], [True]]
