@@ -154,3 +154,19 @@ def test_keys_hot_on_both_sides_of_a_lookup(spark, no_broadcast, how):
     got = J.lookup_join(left, right, ["k1", "k2"], how, rows_per_task=500, unique=False)
     want = left.join(right, ["k1", "k2"], how)
     assert got.columns == want.columns and rows(got) == rows(want)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_blocks_multiply_like_rows(spark, no_broadcast, how):
+    """Keys of 0 to 40 rows in blocks of at most four: every combination once, unpacked and not joined."""
+    base = spark.createDataFrame([(k, f"u{k}") for k in (1, 2, 3, 4)] + [(1, "twin"), (None, "none")], "key bigint, name string")
+    one = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 1), (2, 1), (None, 5), (9, 9)], "key bigint, a bigint")
+    two = spark.createDataFrame([(1, f"b{i}") for i in range(9)] + [(2, None), (3, "x"), (None, "y")], "key bigint, b string")
+    plain = base.join(one, "key", how).join(two, "key", how)
+    limit = J.BLOCKS_PER_TASK * 16
+    assert J.block_size(limit, 2) == 4 and J.block_size(100, 2) == 1 and J.block_size(J.ROWS_PER_TASK, 4) ** 4 <= J.ROWS_PER_TASK // 64
+    got = J.multiply_in_blocks(base, [one, two], "key", how, limit)
+    assert got.columns == plain.columns and rows(got) == rows(plain)
+    assert rows(J.multiply_in_blocks(base, [one, two], "key", how, 100)) == rows(plain)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and "Join" not in plan
