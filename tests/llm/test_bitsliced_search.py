@@ -106,3 +106,18 @@ def test_bounds_hold_and_shards_do_not_matter(monkeypatch, seed):
     for item, _, _, score in brute(docs, [(i, t) for i, (_, t) in enumerate(items)]):
         top.setdefault(item, []).append(score)
     assert {i: sorted(b[0].tolist()) for i, b in enumerate(task.best) if len(b[0])} == {i: sorted(s) for i, s in top.items()}
+
+
+def test_a_task_holds_one_shard_at_a_time(spark, monkeypatch):
+    """Shards reach a task one by one, and the session's setting is as before."""
+    before, seen, plain = spark.conf.get(search.BATCH_ROWS), [], search.best
+
+    def best(*args):
+        seen.append(spark.conf.get(search.BATCH_ROWS))
+        return plain(*args)
+
+    monkeypatch.setattr(search, "best", best)
+    documents = spark.createDataFrame([(i, f"word{i} common") for i in range(20)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "common word3")], "item_id long, text string")
+    assert {r.doc_id for r in search.ranking(documents, items).where("rank = 1").collect()} == {3}
+    assert seen == ["1"] and spark.conf.get(search.BATCH_ROWS) == before
