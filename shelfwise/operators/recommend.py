@@ -13,7 +13,7 @@ preferences, and an event only merges three short arrays; the catalog never meet
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -189,13 +189,23 @@ class Preferences:
 
     sets: DataFrame
     marked: DataFrame
+    shelf: "Shelf | None" = None
 
     @classmethod
     def of(cls, views: DataFrame, catalog: DataFrame,
            shelf: "Shelf | None" = None) -> "Preferences":
         sets = preference_sets(views)
         features = sets.select(F.explode("features").alias("feature")).distinct()
-        return cls(sets, cut_lineage(marked(catalog, features)) if shelf is None else shelf.marks(features))
+        return cls(sets, cut_lineage(marked(catalog, features)) if shelf is None else shelf.marks(features), shelf)
+
+    def kept(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A small table that depends on the marked products alone: a shelf makes it once for the marks it keeps."""
+        if self.shelf is None or self.marked is not self.shelf.marked:
+            return settled(make())
+        if name not in self.shelf.of_marked:
+            with lasting():
+                self.shelf.of_marked[name] = cut_lineage(make())
+        return self.shelf.of_marked[name]
 
 
 @dataclass
@@ -210,6 +220,7 @@ class Shelf:
     known: frozenset[str] = frozenset()
     marked: DataFrame | None = None
     pieces: Pieces | None = None
+    of_marked: dict[str, DataFrame] = field(default_factory=dict)
 
     @classmethod
     def of(cls, catalog: DataFrame, k: int, fill_key: Column | None = None) -> "Shelf":
@@ -234,25 +245,28 @@ class Shelf:
             self.known |= few
             every = features.sparkSession.createDataFrame([(f,) for f in sorted(self.known)], "feature string")
             with lasting():
-                self.marked = cut_lineage(marked(self.catalog, every))
+                self.marked, self.of_marked = cut_lineage(marked(self.catalog, every)), {}
         return self.marked
 
 
-def preferred_lists(preferences: DataFrame, by_category: DataFrame, matches: DataFrame,
-                    catalog: DataFrame, k: int) -> DataFrame:
+def feature_rows(matches: DataFrame, catalog: DataFrame, k: int) -> DataFrame:
+    """(feature, pos, product): the first k + 1 products per feature."""
+    # Positions are ranked; only the few products that remain are looked up.
+    ranked = settled(first_per_group(matches.select(F.explode("matched").alias("feature"), "id", "pos"),
+                                     ["feature"], ["pos"], k + 1))
+    return lookup_join(catalog.select("id", _product().alias("product")), ranked, "id", "inner",
+                       unique=False).select("feature", "pos", "product")
+
+
+def preferred_lists(preferences: DataFrame, by_category: DataFrame, by_feature: DataFrame, k: int) -> DataFrame:
     """(categories, features, preferred): the first k + 1 products of tiers 1 and 2."""
     tier1 = lookup_join(
         preferences.select(*PREFERENCE, F.explode("categories").alias("category")),
         by_category, "category", "inner", spread=PREFERENCE).select(
         *PREFERENCE, F.lit(1).alias("tier"), "pos", "product")
-    # Positions are ranked; only the few products that remain are looked up.
-    ranked = settled(first_per_group(matches.select(F.explode("matched").alias("feature"), "id", "pos"),
-                                     ["feature"], ["pos"], k + 1))
-    by_feature = lookup_join(catalog.select("id", _product().alias("product")), ranked, "id", "inner",
-                             unique=False)
     tier2 = lookup_join(
         preferences.select(*PREFERENCE, F.explode("features").alias("feature")),
-        by_feature.select("feature", "pos", "product"), "feature", "inner",
+        by_feature, "feature", "inner",
         spread=PREFERENCE).select(*PREFERENCE, F.lit(2).alias("tier"), "pos", "product")
     # A product found twice counts in its better tier.
     best = (tier1.unionByName(tier2).groupBy(*PREFERENCE, F.col("product.id").alias("_id"))
@@ -277,8 +291,8 @@ def recommend(views: DataFrame, catalog: DataFrame, k: int = 3,
     same_category = category_lists(catalog, k) if shelf is None else shelf.same_category
     fill = (fill_list(catalog, k, seeded_fill() if fill_key is None else fill_key)
             if shelf is None else shelf.fill)
-    preferred = preferred_lists(preferences.sets, by_category, preferences.marked,
-                                catalog, k).withColumn("has_user_profile", F.lit(True))
+    by_feature = preferences.kept(f"first {k + 1}", lambda: feature_rows(preferences.marked, catalog, k))
+    preferred = preferred_lists(preferences.sets, by_category, by_feature, k).withColumn("has_user_profile", F.lit(True))
     spread = ["event_id"]
     joined = lookup_join(views, preferred, [*PREFERENCE, "has_user_profile"], "left", spread)
     joined = lookup_join(joined, same_category, "category", "left", spread, keys_from=views)
@@ -318,13 +332,17 @@ def category_sizes(catalog: DataFrame) -> DataFrame:
         F.count("*").alias("products"))
 
 
-def feature_set_sizes(sets: DataFrame, matches: DataFrame) -> DataFrame:
+def matched_patterns(matches: DataFrame) -> DataFrame:
+    """(matched, category, n): products per list of all features they have, and category."""
+    return matches.groupBy("matched", "category").agg(F.count("*").alias("n"))
+
+
+def feature_set_sizes(sets: DataFrame, patterns: DataFrame) -> DataFrame:
     """(features, category, products): how many products of a category have any feature of a set.
 
     Products are counted per pattern, the list of all features they have. A set meets each pattern that
     shares a feature once, at the first one they share; products and sets never meet.
     """
-    patterns = settled(matches.groupBy("matched", "category").agg(F.count("*").alias("n")))
     each = patterns.select(F.explode("matched").alias("feature"), "matched", "category", "n")
     wanted = sets.select("features").distinct().select("features", F.explode("features").alias("feature"))
     met = lookup_join(wanted, each, "feature", "inner", spread=["features"], unique=False)
@@ -339,7 +357,8 @@ def relevant_totals(preferences: Preferences, catalog: DataFrame, shelf: Shelf |
     of the categories among them. All three are sums of counts; no list of products is formed.
     """
     sizes = category_sizes(catalog) if shelf is None else shelf.category_sizes
-    by_set = settled(feature_set_sizes(preferences.sets, preferences.marked))
+    patterns = preferences.kept("patterns", lambda: matched_patterns(preferences.marked))
+    by_set = settled(feature_set_sizes(preferences.sets, patterns))
     wanted = preferences.sets.select(*PREFERENCE, F.explode("categories").alias("category"))
     of_category = lookup_join(wanted, settled(sizes), "category", "inner", spread=PREFERENCE)
     both = by_set.filter(F.col("category").isNotNull()).withColumnRenamed("products", "_both")

@@ -191,11 +191,14 @@ class Tables:
     def _k(self) -> Column:
         return F.regexp_extract("props", "[0-9]+", 0).cast("int")
 
-    def any_product(self) -> Column:
-        """The product of an event, over the whole catalog."""
+    def products_count(self) -> int:
         if self._products is None:
             self._products = max(self.raw("part").count(), 1)
-        return F.col("event_id") * 7 % F.lit(self._products)
+        return self._products
+
+    def any_product(self) -> Column:
+        """The product of an event, over the whole catalog."""
+        return F.col("event_id") * 7 % F.lit(self.products_count())
 
     def _wanted_product(self) -> Column:
         return self.any_product() + F.when(every("event_id", 19), ORPHAN).otherwise(0)

@@ -300,7 +300,10 @@ class Running:
 
 
 def activity(events: DataFrame, counters: DataFrame) -> DataFrame:
-    """What a batch says about its users: one row per user, however many events it has, and its purchases."""
+    """What a batch says about its users: one row per user, however many events it has, and its purchases.
+
+    Purchases up to the user's last view in the batch are left out, since they are behind no session.
+    """
     micros = F.unix_micros("ts")
     views = events.filter((F.col("event_type") == K.VIEW_EVENT) & F.col("user_id").isNotNull()
                           & F.col("user_profile").isNotNull())
@@ -324,6 +327,11 @@ def activity(events: DataFrame, counters: DataFrame) -> DataFrame:
         F.lit("purchase").alias("kind"), "user_id",
         *[none.alias(n) for n in sums.columns[2:-3]], micros.alias("ts"), "event_id",
         F.col("product.id").alias("product_id"))
+    zero = F.lit(0).cast("bigint")
+    ahead = F.struct(F.coalesce("ts", zero), F.coalesce("event_id", zero)) > F.struct(
+        F.coalesce("last.ts", zero), F.col("last.event_id"))  # as the state compares them
+    # Spark itself splits the purchases of a hot user, whom the other side has once
+    bought = bought.join(seen, "user_id", "left").filter(F.col("last.event_id").isNull() | ahead).select(*sums.columns)
     return sums.unionByName(bought)
 
 

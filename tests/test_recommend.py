@@ -193,3 +193,28 @@ def test_a_user_with_thousands_of_events_keeps_full_histories(spark):
         if seen:
             assert (r["first"], r["last"]) == (seen[0], seen[-1])
     assert len(out) == n
+
+
+def test_short_histories_need_no_blocks(spark, monkeypatch):
+    df = spark.createDataFrame([(i, i, i % 3, K.VIEW_EVENT if i % 2 else K.PURCHASE_EVENT, i + 1000) for i in range(30)],
+                               "event_id bigint, ts bigint, user_id bigint, event_type string, product_id bigint")
+    positioned = H.positions(df)
+    want = rows(H.with_histories(positioned, 2))  # most of them from blocks
+    monkeypatch.setattr(H, "entry_blocks", None)
+    assert rows(H.with_histories(positioned, 5)) == want
+
+
+def test_a_shelf_ranks_its_marked_products_once(spark, monkeypatch):
+    products, profiles, events = random_case(1)
+    views, shelf = views_of(spark, products, profiles, events), catalog(spark, products)
+    prepared = R.Shelf.of(shelf, 3, F.col("pos") * 7 % 11)
+    plain, ranked = R.first_per_group, []
+    monkeypatch.setattr(R, "first_per_group", lambda df, group, *more: ranked.append(group) or plain(df, group, *more))
+
+    def batch():
+        preferences = R.Preferences.of(views, shelf, prepared)
+        recs = R.recommend(views, shelf, 3, None, preferences, prepared)
+        return rows(R.event_counters(recs.withColumn("ts", F.lit(0)), R.relevant_totals(preferences, shelf, prepared)))
+
+    assert batch() == batch()
+    assert ranked.count(["feature"]) == 1

@@ -371,3 +371,33 @@ def test_state_of_a_user_costs_few_calls():
     gone = [[r.is_stale for r in newest.handleExpiredTimer((7,), now, Bag(getExpiryTimeInMs=lambda due=due: due))]
             for due in sorted(handle.timers)]
     assert gone == [[], [True]]
+
+
+def test_purchases_behind_no_session_reach_no_state(spark):
+    view, buy = K.VIEW_EVENT, K.PURCHASE_EVENT
+    events = spark.createDataFrame([
+        (n, user, kind, at, ({"id": n},), ("x",) if profile else None) for n, user, kind, at, profile in [
+            (1, 1, buy, 10, False), (2, 1, view, 20, True), (3, 1, buy, 20, False), (4, 1, buy, 30, False),
+            (5, 2, buy, 5, False), (6, 2, view, 9, False), (0, 1, buy, 20, False), (7, None, buy, 40, False)]],
+        "event_id bigint, user_id bigint, event_type string, at bigint, product struct<id: struct<id: bigint>>, "
+        "user_profile struct<c: string>").withColumn("product", F.col("product.id")).withColumn(
+        "ts", F.timestamp_micros("at"))
+    out = S.activity(events, spark.createDataFrame([], S.COUNTERS)).collect()
+    assert sorted(r.event_id for r in out if r.kind == "purchase") == [3, 4, 5]
+    assert sorted((r.user_id or 0, r.n_events, r.last_event) for r in out if r.kind == "sums") == [
+        (0, 1, None), (1, 5, 2), (2, 2, None)]
+
+
+def test_state_rows_cross_as_few_arrays():
+    names = ["kind", "has_view", "has_total", "batch_id", "n_events", "n_recs", "n_relevant", "n_relevant_products",
+             "first_event", "last_ts", "last_event", "total_event", "total", "ts", "event_id", "product_id"]
+    told = [Row(told=[0, 1, 0, 0, 2_501, 0, 0, 0, 1, 10, 1, 0, 0, 0, 0, 0])] + [
+        Row(told=[2, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 11 + n, 100 + n, n]) for n in range(2_500)]
+    users = state.in_arrays(state.user_state(), names)
+    users.init(_Handle())
+    out = [r.changes for r in users.handleInputRows((True, 7), iter(told), None)]
+    assert [len(some) for some in out] == [1_000, 1_000, 502]
+    changes = [dict(zip([c.split()[0] for c in state.CHANGES.split(", ")], c, strict=True)) for some in out for c in some]
+    assert [c["kind"] for c in changes] == [0, 1, *[2] * 2_500]
+    assert changes[0]["session_start"] == 1 and {c["user_id"] for c in changes} == {7}
+    assert [c["product_id"] for c in changes[2:]] == list(range(2_500))
