@@ -12,8 +12,9 @@ share an n-gram among the first n - ceil(t n) + 1 of each.
 3. Candidates that share a prefix n-gram and pass the length, the positional and the suffix filter are
    pairs; the suffix filter bounds the overlap by the sets' counts per range of keys. First
    each bucket's members pair with a dozen of the bucket, which links groups of many near copies without
-   their pairs. After contracting these links, all pairs of a bucket are formed that are not linked
-   yet; a pair inside one component could add nothing.
+   their pairs. After contracting these links, all pairs of a bucket are looked at that are not linked
+   yet; a pair inside one component could add nothing. Their number grows with the square of a bucket, so tasks
+   look at them as arrays: many small buckets at once, a large one cut into blocks of which every two meet.
 4. Each pair is verified once on the whole sets. Only the sets of documents in pairs are built again
    and travel.
 
@@ -42,6 +43,9 @@ THRESHOLD = (90, 100)  # links from 90 / 100 on
 FEW = 500_000  # ids that may be broadcast, 8 bytes each
 HEADS = 10  # members of a bucket that all others are compared with at first
 RANGES = 512  # of keys, for the suffix filter
+BLOCK = 2_048  # members of a bucket that meet as many others in one piece of work
+ENTRIES = 20_000  # of buckets, to a group of rows that a task holds
+PAIRS = 1 << 19  # looked at in one step
 _ROW = "rank long, n long, s1 long, s2 long, keys array<long>, places array<int>, ranges array<tinyint>"
 
 
@@ -276,20 +280,77 @@ def links(rows: DataFrame, documents: DataFrame, size: int, threshold: tuple[int
     placed = entries.join(joined.select(F.col("id").alias("__id"), "component"), F.col("x.rank") == F.col("__id"), "left").select(
         "key", "x", F.coalesce("component", F.col("x.rank")).alias("group"))
     sizes = placed.groupBy("key", "group").count()
-    main = (sizes.groupBy("key").agg(F.count("*").alias("groups"), F.max_by("group", F.struct("count", "group")).alias("main"))
-            .where("groups > 1").select("key", "main"))
-    more = rows.select(F.col("rank").alias("__id"), "keys", "ranges")
+    main = (sizes.groupBy("key").agg(F.count("*").alias("groups"), F.max_by("group", F.struct("count", "group")).alias("main"),
+                                     F.ceil(F.sum("count") / BLOCK).cast("int").alias("blocks"))
+            .where("groups > 1").select("key", "main", "blocks"))
+    more = rows.select(F.col("rank").alias("__id"), "ranges")
     open_ = cut(placed.join(main, "key").join(more, F.col("x.rank") == F.col("__id")).select(
-        "key", F.struct("x.n", "x.rank", "x.place", "keys", "ranges").alias("x"), "group", "main"))
-    rest = open_.where(F.col("group") != F.col("main")).select("key", F.col("x").alias("y"), F.col("group").alias("other"))
-    # the main component's members meet the others, and these meet each other once
-    once = (F.col("group") == F.col("main")) | (F.col("x.rank") < F.col("y.rank"))
-    cross = open_.join(rest, "key").where((F.col("group") != F.col("other")) & once & _fits("x", "y", threshold)
-                                          & _first("x", "y") & _may_overlap("x", "y", threshold))
-    more = verify(cut(_pairs(cross).join(pairs, ["a", "b"], "left_anti")), documents, size, threshold)
+        "key", "x.*", "ranges", "group", (F.col("group") == F.col("main")).alias("main"), "blocks"))
+    more = verify(cut(_unlinked(open_, threshold).join(pairs, ["a", "b"], "left_anti")), documents, size, threshold)
     return found.unionByName(more)
 
 
+def _unlinked(entries: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Distinct pairs (a, b) of different groups of a bucket that pass the length, the positional and the suffix filter.
+
+    A bucket is cut into ``blocks``; each two of them, and each with itself, are a piece of work.
+    """
+    held = entries.agg(F.sum("blocks")).first()[0] or 0
+    tasks = max(int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held // ENTRIES))
+    own = entries.withColumn("block", F.pmod(F.xxhash64("rank"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    dealt = own.withColumn("deal", F.pmod(F.xxhash64("key", "low", "high"), F.lit(tasks)).cast("int"))
+    return (dealt.select("deal", "key", "low", "high", (F.col("block") > F.col("low")).alias("side"), "main", "n", "rank", "place",
+                         "group", "ranges")
+            .repartition(tasks, "deal").groupBy("deal").applyInPandas(lambda frame: _meet(frame, threshold), "a long, b long").distinct())
+
+
+def _partners(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the range of rows that it meets; rows lie by key, low, high, side and main."""
+    new = np.ones(len(frame), bool)
+    new[1:] = np.any([frame[c].to_numpy()[1:] != frame[c].to_numpy()[:-1] for c in ("key", "low", "high")], axis=0)
+    begin, piece = np.flatnonzero(new), np.cumsum(new) - 1
+    end, side, main = np.append(begin[1:], len(frame))[piece], frame["side"].to_numpy(bool), frame["main"].to_numpy(bool)
+    middle = (begin + np.bincount(piece, weights=~side).astype(np.int64))[piece]
+    rest = middle + np.bincount(piece, weights=side & ~main).astype(np.int64)[piece]
+    one = frame["low"].to_numpy() == frame["high"].to_numpy()
+    low = np.where(one, np.arange(len(frame)) + 1, middle)
+    high = np.where(main, np.where(one, low, rest), end)
+    return low, np.where(side, low, high)
+
+
+def _meet(frame: pd.DataFrame, threshold: tuple[int, int]) -> pd.DataFrame:
+    """The pairs of some pieces of work that pass the filters (``_fits`` and ``_may_overlap``, for arrays)."""
+    num, den = threshold
+    frame = frame.sort_values(["key", "low", "high", "side", "main"], kind="stable")
+    n, rank, place, group = (frame[c].to_numpy(np.int64) for c in ("n", "rank", "place", "group"))
+    none = np.zeros(RANGES, np.uint8)
+    known = np.array([x is not None for x in frame["ranges"]], bool)
+    ranges = np.stack([none if x is None else np.asarray(x, np.int8).view(np.uint8) for x in frame["ranges"]])
+    low, high = _partners(frame)
+    times = high - low
+    total = np.concatenate(([0], np.cumsum(times)))
+    steps = np.unique(np.searchsorted(total, np.append(np.arange(0, total[-1], PAIRS), total[-1]), "left"))
+    found = [np.zeros((0, 2), np.int64)]
+    for i, j in zip(steps[:-1], steps[1:], strict=True):
+        x = np.repeat(np.arange(i, j), times[i:j])
+        y = np.arange(total[i], total[j]) + np.repeat(low[i:j] - total[i:j], times[i:j])
+        some = np.flatnonzero(group[x] != group[y])
+        x, y = x[some], y[some]
+        both, most = n[x] + n[y], np.minimum((n - place)[x], (n - place)[y])
+        some = np.flatnonzero((np.minimum(n[x], n[y]) * den >= np.maximum(n[x], n[y]) * num) & (most * den >= (both - most) * num))
+        x, y, both = x[some], y[some], both[some]
+        for at in range(0, len(x), 4096):
+            p, q, b = x[at:at + 4096], y[at:at + 4096], both[at:at + 4096]
+            most = np.minimum(ranges[p], ranges[q]).sum(axis=1, dtype=np.int64)
+            keep = (most * den >= (b - most) * num) | ~(known[p] & known[q])
+            a, b = rank[p[keep]], rank[q[keep]]
+            found.append(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1)[a != b])
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
 def all_links(documents: DataFrame, size: int = WORDS, threshold: tuple[int, int] = THRESHOLD,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """a, b (a < b): every pair of similar documents with different sets, one document standing for each set.

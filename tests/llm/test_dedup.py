@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +100,55 @@ def test_group_of_near_copies_makes_few_pairs(spark):
     assert {r.component for r in components(found).collect()} == {0}
 
 
+def test_large_bucket_is_met_in_blocks(spark, monkeypatch):
+    """Pairs of a bucket are looked at as arrays in pieces of bounded size, and none is lost."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    monkeypatch.setattr(jaccard_join, "ENTRIES", 40)
+    rng, docs = random.Random(3), []
+    base = [f"w{i}" for i in range(120)]
+    for i in range(150):
+        own = list(base)
+        for _ in range(rng.randrange(1, 14)):
+            own[rng.randrange(120)] = rng.choice(base) if rng.random() < 0.5 else f"x{rng.randrange(60)}"
+        docs.append((i, " ".join(own)))
+    frame, plain, pieces = spark.createDataFrame(docs, DOCS), jaccard_join._unlinked, []
+
+    def unlinked(entries, threshold):
+        pieces.append(entries.groupBy("key", "blocks").count().collect())
+        return plain(entries, threshold)
+
+    monkeypatch.setattr(jaccard_join, "_unlinked", unlinked)
+    out = jaccard_join.similarity_groups(frame, 1, (90, 100)).collect()
+    assert {r.rank: (r.n, r.component) for r in out} == brute.jaccard_groups(docs, 1, 90, 100)
+    assert max(r.blocks for r in pieces[0]) > 2 and all(-(-r["count"] // 16) == r.blocks for r in pieces[0])
+
+
+def test_meet_gives_the_pairs_that_pass_the_filters(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PAIRS", 50)
+    rng, rows, rank = random.Random(4), [], 0
+    for key in range(12):
+        low, high = rng.choice([(0, 0), (0, 1), (1, 1), (2, 5)])
+        for _ in range(rng.choice([1, 2, 3, 25])):
+            rank, main = rank + 1, rng.random() < 0.4
+            side = low < high and rng.random() < 0.5
+            n = rng.randrange(20, 26)
+            ranges = np.bincount([rng.randrange(8) for _ in range(n)], minlength=jaccard_join.RANGES).astype(np.int8)
+            rows.append((key, low, high, side, main, n, rank, rng.randrange(8), -1 if main else rank, ranges if rng.random() < 0.8 else None))
+    rng.shuffle(rows)
+    frame = pd.DataFrame(rows, columns=["key", "low", "high", "side", "main", "n", "rank", "place", "group", "ranges"])
+    want = set()
+    for x in rows:
+        for y in rows:
+            if x[0] != y[0] or x[6] >= y[6] or x[8] == y[8] or (x[1] < x[2] and x[3] == y[3]):
+                continue
+            n, m, most = x[5], y[5], min(x[5] - x[7], y[5] - y[7])
+            both = most if x[9] is None or y[9] is None else int(np.minimum(x[9], y[9]).sum())
+            if min(n, m) * 100 >= max(n, m) * 50 and all(100 * c >= 50 * (n + m - c) for c in (most, both)):
+                want.add((x[6], y[6]))
+    got = jaccard_join._meet(frame, (50, 100))
+    assert len(want) > 50 and sorted(zip(got["a"], got["b"], strict=True)) == sorted(want)
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(100)] + [(200, 200 + i) for i in range(1, 50)] + [(300, 300), (401, 400)]
     out = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
