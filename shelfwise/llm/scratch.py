@@ -27,9 +27,9 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
-def stored(frame: DataFrame) -> DataFrame:
-    """The same rows, written as Parquet below the checkpoint folder and read again."""
+def stored(frame: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
+    """The same rows, written as Parquet (with the writer's ``options``) below the checkpoint folder and read again."""
     spark = frame.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.options(**(options or {})).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

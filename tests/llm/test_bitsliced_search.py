@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +122,27 @@ def test_a_task_holds_one_shard_at_a_time(spark, monkeypatch):
     items = spark.createDataFrame([(1, "common word3")], "item_id long, text string")
     assert {r.doc_id for r in search.ranking(documents, items).where("rank = 1").collect()} == {3}
     assert seen == ["1"] and spark.conf.get(search.BATCH_ROWS) == before
+
+
+def test_index_is_stored_in_groups_of_few_shards(spark, monkeypatch):
+    """However many shards a task writes, it holds few of them; readers take them one by one."""
+    seen, plain = [], search.build
+
+    def build(documents):
+        seen.append(spark.conf.get(search.BATCH_ROWS))
+        return plain(documents)
+
+    monkeypatch.setattr(search, "build", build)
+    before = spark.conf.get(search.BATCH_ROWS), spark.conf.get(search.READER_ROWS)
+    docs = [(i, " ".join(map(str, range(i * 10**6, i * 10**6 + search.SHARD_TERMS + 1)))) for i in range(6)]
+    index = search.stored_index(spark.createDataFrame(docs, DOCS).coalesce(1))
+    sizes = []
+    for name in index.inputFiles():
+        meta = pq.ParquetFile(name.removeprefix("file://")).metadata
+        sizes += [meta.row_group(i).num_rows for i in range(meta.num_row_groups)]
+    assert sum(sizes) == len(docs) and max(sizes) <= 2
+    assert seen == [str(search.BATCH_DOCS)] and before == (spark.conf.get(search.BATCH_ROWS), spark.conf.get(search.READER_ROWS))
+    with search.single_rows(spark):
+        assert spark.conf.get(search.READER_ROWS) == "1"
+    asked = spark.createDataFrame([(1, "3000001 3000002"), (2, "5000000")], ITEMS)
+    assert [(i, d) for i, _, d, _ in got(search.search(index, asked))] == [(1, 3), (2, 5)]
