@@ -170,3 +170,13 @@ def test_blocks_multiply_like_rows(spark, no_broadcast, how):
     assert rows(J.multiply_in_blocks(base, [one, two], "key", how, 100)) == rows(plain)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" in plan and "Join" not in plan
+
+
+def test_tasks_of_blocks_are_sized_by_their_rows(spark, no_broadcast, monkeypatch):
+    """Blocks that are far from full count by their rows: 3,000 combinations at 16 a task, whatever the blocks could hold."""
+    monkeypatch.setattr(J, "BLOCKS_PER_TASK", 1)
+    base = spark.range(3000).select(F.col("id").alias("key"))
+    one, two = (base.select("key", F.lit(1).alias(n)) for n in "ab")
+    assert J.block_size(16, 2) == 4
+    got = J.multiply_in_blocks(base, [one, two], "key", "left", 16)
+    assert "Repartition 188, true" in got._jdf.queryExecution().optimizedPlan().toString() and got.count() == 3000
